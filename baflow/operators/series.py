@@ -72,27 +72,41 @@ def short_segment_cost(df: DataFrame, keys, kmin: int, out: str = "short_ab") ->
     return df.withColumn(out, F.when(F.col("rn") <= F.col("n") - 3 * k + 1, c))
 
 
-def quantile7(df: DataFrame, keys, value: str, inset: Column, prob: Column, out: str) -> DataFrame:
-    """AG-17: R type-7 quantile of ``value`` over the rows where ``inset`` holds, per series.
+def quantiles7(df: DataFrame, keys, specs) -> DataFrame:
+    """AG-17: R type-7 quantiles per series, several at once.
 
-    ``prob`` may differ per series (Spark's ``percentile`` needs a constant), so the quantile is
-    taken from ranks: x[lo] + interpolation to x[lo+1], with h = 1 + (cnt-1) p.
+    ``specs``: list of (value column, row-set condition, probability column, output name). The
+    probability may differ per series (Spark's ``percentile`` needs a constant), so each quantile is
+    read from ranks: x[lo] interpolated to x[lo+1], h = 1 + (cnt-1) p. Batched so the plan keeps
+    one window stage per window specification.
     """
-    t = f"__{out}"
-    d = (df.withColumn(t + "_in", inset)
-         .withColumn(t + "_cnt", F.sum(F.when(F.col(t + "_in"), 1).otherwise(0)).over(_w(keys)))
-         .withColumn(t + "_rk", F.row_number().over(_w(list(keys) + [t + "_in"], [value])))
-         .withColumn(t + "_h", F.lit(1.0) + (F.col(t + "_cnt") - 1) * prob)
-         .withColumn(t + "_lo", F.floor(F.col(t + "_h"))))
-    xlo = F.max(F.when(F.col(t + "_in") & (F.col(t + "_rk") == F.col(t + "_lo")), F.col(value))).over(_w(keys))
-    xhi = F.max(F.when(F.col(t + "_in") & (F.col(t + "_rk") == F.col(t + "_lo") + 1), F.col(value))).over(_w(keys))
-    d = d.withColumn(t + "_xlo", xlo).withColumn(t + "_xhi", xhi)
-    fr = F.col(t + "_h") - F.col(t + "_lo")
-    q = (F.when((fr > 0) & (F.col(t + "_xhi") != F.col(t + "_xlo")),
-                (1 - fr) * F.col(t + "_xlo") + fr * F.col(t + "_xhi"))
-         .otherwise(F.col(t + "_xlo")))
-    d = d.withColumn(out, q)
-    return d.drop(*[c for c in d.columns if c.startswith(t + "_")])
+    keys = list(keys)
+    wk = _w(keys)
+    d = df.withColumns({f"__in{i}": cond for i, (_, cond, _, _) in enumerate(specs)})
+    d = d.withColumns({
+        **{f"__cnt{i}": F.sum(F.when(F.col(f"__in{i}"), 1).otherwise(0)).over(wk) for i in range(len(specs))},
+        **{f"__rk{i}": F.row_number().over(_w(keys + [f"__in{i}"], [v])) for i, (v, _, _, _) in enumerate(specs)}})
+    d = d.withColumns({f"__h{i}": F.lit(1.0) + (F.col(f"__cnt{i}") - 1) * p for i, (_, _, p, _) in enumerate(specs)})
+    d = d.withColumns({f"__lo{i}": F.floor(F.col(f"__h{i}")) for i in range(len(specs))})
+    xs = {}
+    for i, (v, _, _, _) in enumerate(specs):
+        sel = F.col(f"__in{i}")
+        xs[f"__xlo{i}"] = F.max(F.when(sel & (F.col(f"__rk{i}") == F.col(f"__lo{i}")), F.col(v))).over(wk)
+        xs[f"__xhi{i}"] = F.max(F.when(sel & (F.col(f"__rk{i}") == F.col(f"__lo{i}") + 1), F.col(v))).over(wk)
+    d = d.withColumns(xs)
+    outs = {}
+    for i, (_, _, _, out) in enumerate(specs):
+        fr = F.col(f"__h{i}") - F.col(f"__lo{i}")
+        lo, hi = F.col(f"__xlo{i}"), F.col(f"__xhi{i}")
+        outs[out] = F.when((fr > 0) & (hi != lo), (1 - fr) * lo + fr * hi).otherwise(lo)
+    d = d.withColumns(outs)
+    tmp = [f"__{p}{i}" for i in range(len(specs)) for p in ("in", "cnt", "rk", "h", "lo", "xlo", "xhi")]
+    return d.drop(*tmp)
+
+
+def quantile7(df: DataFrame, keys, value: str, inset: Column, prob: Column, out: str) -> DataFrame:
+    """Single type-7 quantile (see ``quantiles7``)."""
+    return quantiles7(df, keys, [(value, inset, prob, out)])
 
 
 def fractions(n: Column) -> tuple[Column, Column]:
@@ -102,51 +116,63 @@ def fractions(n: Column) -> tuple[Column, Column]:
             F.when(small, F.lit(0.15)).otherwise(F.lit(0.05)))
 
 
+def _hp(S, L: int) -> Column:
+    return F.abs(4 * S(0) - S(-3 * L) - S(-2 * L) - S(2 * L) - S(3 * L))
+
+
 def mark_breakpoints(df: DataFrame, keys, value: str, kmin: int) -> DataFrame:
     """SEG-05: candidate breakpoint marks of one series (the reference's four-filter rule).
 
-    Expects ``rn`` and ``n`` (``index_series``). Adds cost1, test1, cost2, short_ab, test2 and ``mark``.
-    Series shorter than 50 points are never segmented, so the rule is only meant for n >= 50.
+    Expects ``rn`` and ``n`` (``index_series``). Adds cost1, test1, cost2, short_ab, test2, the three
+    limits and ``mark``. Series shorter than 50 points are never segmented, so the rule is meant for
+    n >= 50. Columns are added in batches, one stage per window specification.
     """
-    frac1, frac2 = fractions(F.col("n"))
+    keys = list(keys)
+    k = kmin
+    rn, n = F.col("rn"), F.col("n")
+    frac1, frac2 = fractions(n)
+    w = _w(keys, ["rn"])
     d = cumsum(df, keys, value)
-    d = highpass(d, keys, L1, "cost1")
-    d = rolling_max7(d, keys, "cost1", "test1")
-    d = highpass(d, keys, L2, "cost2")
-    d = short_segment_cost(d, keys, kmin)
-    m_len = F.col("n") - 3 * kmin + 1
-    d = rolling_max7(d, keys, "short_ab", "test2", last=m_len)
-    # limit of filter 1: over rows near a local maximum
+    offsets = sorted({-3 * L1, -2 * L1, 2 * L1, 3 * L1, -3 * L2, -2 * L2, 2 * L2, 3 * L2, 2 * k - 1, k - 1, 3 * k - 1, -1}
+                     - {0})
+    name = lambda o: f"__S{'m' if o < 0 else 'p'}{abs(o)}"
+    d = d.withColumns({name(o): (F.lead("S", o).over(w) if o > 0 else F.lag("S", -o, 0.0).over(w)) for o in offsets})
+    S = lambda o: F.col("S") if o == 0 else F.col(name(o))
+    m_len = n - 3 * k + 1
+    d = d.withColumns({
+        "cost1": F.when((rn >= 3 * L1) & (rn <= n - 3 * L1), _hp(S, L1)).otherwise(F.lit(0.0)),
+        "cost2": F.when((rn >= 3 * L2) & (rn <= n - 3 * L2), _hp(S, L2)).otherwise(F.lit(0.0)),
+        "short_ab": F.when(rn <= m_len, F.abs(3 * (S(2 * k - 1) - S(k - 1)) - (S(3 * k - 1) - S(-1))))})
+    d = d.drop(*[name(o) for o in offsets])
+    wf = _w(keys, ["rn"], (-3, 3))
+    d = d.withColumns({
+        "test1": F.when((rn >= 4) & (rn <= n - 3), F.max("cost1").over(wf)).otherwise(F.lit(0.0)),
+        "test2": F.when((rn >= 4) & (rn <= m_len - 3), F.max("short_ab").over(wf)).otherwise(F.lit(0.0))})
     in1 = F.col("cost1") >= THRES * F.col("test1")
-    cnt1 = F.sum(F.when(in1, 1).otherwise(0)).over(_w(keys))
-    p1 = 1 - F.least(F.lit(0.8), frac1 * F.col("n") / cnt1)
-    d = quantile7(d, keys, "cost1", in1, p1, "limit1")
-    # limit of filter 2: over its defined range 3 <= r <= n-3
-    in2 = (F.col("rn") >= 3 * L2) & (F.col("rn") <= F.col("n") - 3 * L2)
-    d = quantile7(d, keys, "cost2", in2, 1 - frac2, "limit2")
-    # limit of the short-segment filter
-    in3 = (F.col("rn") <= m_len) & (F.col("short_ab") >= THRES * F.col("test2"))
-    cnt3 = F.sum(F.when(in3, 1).otherwise(0)).over(_w(keys))
-    p3 = 1 - F.least(F.lit(0.8), FRAC3 * m_len / cnt3)
-    d = quantile7(d, keys, "short_ab", in3, p3, "limit3")
-    w = _w(keys, ["rn"])
-    h1 = ((F.col("rn") <= m_len) & (F.col("short_ab") > F.col("limit3"))
-          & (F.col("short_ab") > THRES * F.col("test2")))
-    d = d.withColumn("mark_h1", h1)
-    rn, n = F.col("rn"), F.col("n")
+    in2 = (rn >= 3 * L2) & (rn <= n - 3 * L2)
+    in3 = (rn <= m_len) & (F.col("short_ab") >= THRES * F.col("test2"))
+    wk = _w(keys)
+    d = d.withColumns({"__c1": F.sum(F.when(in1, 1).otherwise(0)).over(wk),
+                       "__c3": F.sum(F.when(in3, 1).otherwise(0)).over(wk)})
+    p1 = 1 - F.least(F.lit(0.8), frac1 * n / F.col("__c1"))
+    p3 = 1 - F.least(F.lit(0.8), FRAC3 * m_len / F.col("__c3"))
+    d = quantiles7(d, keys, [("cost1", in1, p1, "limit1"), ("cost2", in2, 1 - frac2, "limit2"),
+                             ("short_ab", in3, p3, "limit3")]).drop("__c1", "__c3")
+    d = d.withColumn("__h1", (rn <= m_len) & (F.col("short_ab") > F.col("limit3"))
+                     & (F.col("short_ab") > THRES * F.col("test2")))
     m1 = (F.col("cost1") > F.col("limit1")) & (F.col("cost1") > THRES * F.col("test1"))
     m2 = in2 & (F.col("cost2") > F.col("limit2"))
-    mh2 = F.coalesce(F.lag("mark_h1", kmin - 1).over(w), F.lit(False)) if kmin > 1 else F.lit(False)
-    mh3 = F.coalesce(F.lag("mark_h1", 2 * kmin - 1).over(w), F.lit(False)) if kmin > 1 else F.lit(False)
-    mark = m1 | m2 | mh2 | mh3
-    if 3 * L1 > kmin:
-        forced = ((rn >= kmin) & (rn <= 3 * L1 - 1)) | ((rn >= n - 3 * L1 + 1) & (rn <= n - kmin))
-        dropped = (rn <= kmin - 1) | ((rn >= n - kmin + 1) & (rn <= n - 1))
+    mh2 = F.coalesce(F.lag("__h1", k - 1).over(w), F.lit(False)) if k > 1 else F.lit(False)
+    mh3 = F.coalesce(F.lag("__h1", 2 * k - 1).over(w), F.lit(False)) if k > 1 else F.lit(False)
+    mark = F.coalesce(m1, F.lit(False)) | F.coalesce(m2, F.lit(False)) | mh2 | mh3
+    if 3 * L1 > k:
+        forced = ((rn >= k) & (rn <= 3 * L1 - 1)) | ((rn >= n - 3 * L1 + 1) & (rn <= n - k))
+        dropped = (rn <= k - 1) | ((rn >= n - k + 1) & (rn <= n - 1))
         mark = F.when(rn == n, True).when(dropped, False).when(forced, True).otherwise(mark)
     else:
-        mark = (F.when(rn == n, True).when((rn == kmin) | (rn == n - kmin), True)
-                .when((rn <= kmin - 1) | ((rn >= n - kmin + 1) & (rn <= n - 1)), False).otherwise(mark))
-    return d.withColumn("mark", mark).drop("mark_h1")
+        mark = (F.when(rn == n, True).when((rn == k) | (rn == n - k), True)
+                .when((rn <= k - 1) | ((rn >= n - k + 1) & (rn <= n - 1)), False).otherwise(mark))
+    return d.withColumn("mark", mark).drop("__h1")
 
 
 def block_ids(df: DataFrame, keys, mark: str = "mark") -> DataFrame:
