@@ -43,6 +43,10 @@ CROSS JOIN (SELECT CAST(sum(length * (nmaj + nmin)) AS DOUBLE) / CAST(sum(length
             FROM (SELECT CAST(20 + p_size AS INT) AS length,
                          CASE p_partkey % 5 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 1 END AS nmaj,
                          CASE p_partkey % 5 WHEN 1 THEN 0 ELSE 1 END AS nmin FROM part WHERE p_partkey < 60)) pl""",
+    "v_bafseg": """SELECT sample_id, chrom, position, event_id, baf_phased,
+       avg(baf_phased) OVER (PARTITION BY sample_id, chrom, CAST(floor(position / 86400) AS INT)) AS baf_seg
+FROM (SELECT *, CASE WHEN avg(baf) OVER (PARTITION BY sample_id, chrom, CAST(floor(position / 86400) AS INT)) > 0.5
+                     THEN baf ELSE 1 - baf END AS baf_phased FROM v_series)""",
     "v_contigs": """SELECT l.chrom, CAST(max(l.position) AS BIGINT) AS length,
        CAST(CASE WHEN l.chrom = 'chrX' THEN floor(count(*) / 2) ELSE count(*) END AS BIGINT) AS mapped,
        CAST(0 AS BIGINT) AS unmapped

@@ -137,3 +137,16 @@ def contigs(spark, sf_dir) -> DataFrame:
         [("chrM", 16569, 900, 0), ("chr1_alt", 500, 9, 0), ("*", 0, 0, 77)],
         "chrom string, length long, mapped long, unmapped long")
     return main.unionByName(extra)
+
+
+def baf_segmented(spark, sf_dir) -> DataFrame:
+    """Segmented-BAF stand-in: phase flipped by the day mean, segment value = day mean of phased BAF.
+
+    Keeps duplicated positions (the alignment step must drop them); SQL twin ``v_bafseg``.
+    """
+    from pyspark.sql import Window
+    s = series(spark, sf_dir)
+    w = Window.partitionBy("sample_id", "chrom", F.floor(F.col("position") / 86400).cast("int"))
+    s = s.withColumn("baf_phased", F.when(F.avg("baf").over(w) > 0.5, F.col("baf")).otherwise(1 - F.col("baf")))
+    return s.select("sample_id", "chrom", "position", "event_id", "baf_phased",
+                    F.avg("baf_phased").over(w).alias("baf_seg"))
