@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from baflow.functions.chrom import chrom_ord
-from baflow.functions.rmath import r_round, t_pvalue_two_sided, t_statistic
+from baflow.functions.rmath import dbinom_clamped, r_round, t_pvalue_two_sided, t_statistic
+from baflow.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -357,10 +358,10 @@ def segment_clonal(rows: DataFrame, gamma: float, siglevel: float, maxdist: floa
     nmin_test (one corner of the nearest edge, two-sided t-test of b against its level)."""
     b, r0, rho, psi = F.col("b"), F.coalesce(F.col("r"), F.lit(0.0)), F.col("rho"), F.col("psi")
     na, nb = copy_numbers(b, r0, rho, psi, gamma)
-    d = rows.withColumns({"__M0": F.greatest(na, nb), "__m0": F.least(na, nb)})
-    maj, mn = _adjusted(F.col("__M0"), F.col("__m0"), b, True)
-    d = d.withColumns({"__M": maj, "__m": mn})
-    tmaj, tmin = nearest_corner(b, F.col("__M") + F.col("__m"), rho, F.col("__M"), F.col("__m"))
+    d = rows.withColumns({"__cmaj0": F.greatest(na, nb), "__cmin0": F.least(na, nb)})
+    maj, mn = _adjusted(F.col("__cmaj0"), F.col("__cmin0"), b, True)
+    d = d.withColumns({"__cmaj": maj, "__cmin": mn})
+    tmaj, tmin = nearest_corner(b, F.col("__cmaj") + F.col("__cmin"), rho, F.col("__cmaj"), F.col("__cmin"))
     d = d.withColumns({"nmaj_test": tmaj, "nmin_test": tmin})
     lev = baf_level(rho, F.col("nmaj_test"), F.col("nmin_test"))
     p = F.when(F.col("sd") == 0, F.lit(0.0)).otherwise(
@@ -368,7 +369,7 @@ def segment_clonal(rows: DataFrame, gamma: float, siglevel: float, maxdist: floa
     d = d.withColumn("pval", p)
     return d.withColumns({
         "balanced": F.col("nmaj_test") == F.col("nmin_test"),
-        "is_clonal": (F.col("pval") > siglevel) & (F.col("__M") - F.col("__M0") < 1)}).drop("__M0", "__m0", "__M", "__m")
+        "is_clonal": (F.col("pval") > siglevel) & (F.col("__cmaj") - F.col("__cmaj0") < 1)}).drop("__cmaj0", "__cmin0", "__cmaj", "__cmin")
 
 
 def standardised_error(rows: DataFrame, gamma: float) -> DataFrame:
@@ -379,8 +380,8 @@ def standardised_error(rows: DataFrame, gamma: float) -> DataFrame:
     m = (rho - 1 + (1 - b) * psi * f) / rho
     M = F.when((M < 0) | M.isNull() | F.isnan(M), F.lit(0.01)).otherwise(M)
     m = F.when((m < 0) | m.isNull() | F.isnan(m), F.lit(0.01)).otherwise(m)
-    d = rows.withColumns({"__M": M, "__m": m})
-    M, m = F.col("__M"), F.col("__m")
+    d = rows.withColumns({"__cmaj": M, "__cmin": m})
+    M, m = F.col("__cmaj"), F.col("__cmin")
     corners = F.array(*[F.struct(a.alias("maj"), c.alias("mn")) for a, c in
                         ((F.floor(M), F.ceil(m)), (F.ceil(M), F.ceil(m)), (F.floor(M), F.floor(m)), (F.ceil(M), F.floor(m)))])
     kept = F.filter(corners, lambda c: (2 - 2 * rho + rho * (c["maj"] + c["mn"])) != 0)
@@ -396,7 +397,7 @@ def standardised_error(rows: DataFrame, gamma: float) -> DataFrame:
     tv = t_statistic(F.col("size"), F.col("mean"), F.col("sd"), mu)
     has = (F.col("size") > 0) & (F.col("sd") != 0) & (F.size(lev) > 0)
     return d.withColumns({"tvar": F.when(has, tv).otherwise(F.lit(0.0)),
-                          "included": F.when(has, F.lit(1)).otherwise(F.lit(0))}).drop("__M", "__m", "__lev")
+                          "included": F.when(has, F.lit(1)).otherwise(F.lit(0))}).drop("__cmaj", "__cmin", "__lev")
 
 
 def clonal_distance(segs: DataFrame, spec, choice: int, p: FitParams) -> DataFrame:
@@ -437,16 +438,17 @@ def centroid_optimum(cd: DataFrame) -> DataFrame:
     Returns (sample_id, i, j, psi, rho (capped at 1), goodness, ref_seg, ref_maj, ref_min, n_optima).
     """
     dm = F.when(F.col("minimise"), F.col("d")).otherwise(-F.col("d"))
-    g = cd.withColumn("dm", dm)
-    gmin = g.groupBy("sample_id").agg(F.min("dm").alias("gmin"))
-    opt = g.join(gmin, "sample_id").filter(F.col("dm") == F.col("gmin"))
-    ctr = opt.groupBy("sample_id").agg(F.median("i").alias("ci"), F.median("j").alias("cj"),
-                                       F.count("*").alias("n_optima"))
-    o = opt.join(ctr, "sample_id").withColumn("sq", F.pow(F.col("i") - F.col("ci"), 2) + F.pow(F.col("j") - F.col("cj"), 2))
+    ws = Window.partitionBy("sample_id")   # one sample's grid (about 10^4 cells)
+    g = cd.withColumn("dm", dm).withColumn("gmin", F.min("dm").over(ws))
+    opt = g.filter(F.col("dm") == F.col("gmin"))
+    o = opt.withColumns({"ci": F.percentile("i", 0.5).over(ws), "cj": F.percentile("j", 0.5).over(ws),
+                         "n_optima": F.count("*").over(ws)})
+    o = o.withColumn("sq", F.pow(F.col("i") - F.col("ci"), 2) + F.pow(F.col("j") - F.col("cj"), 2))
     best = o.groupBy("sample_id").agg(
         F.max_by(F.struct("i", "j", "psi", "rho", "gmin", "minimise", "ref_seg", "ref_maj", "ref_min", "n_optima"),
                  F.struct(-F.col("sq"), F.col("i"), F.col("j"))).alias("o"))
     return best.select("sample_id", "o.i", "o.j", "o.psi", F.least(F.col("o.rho"), F.lit(1.0)).alias("rho"),
+                       F.col("o.rho").alias("rho_raw"),
                        F.when(F.col("o.minimise"), F.col("o.gmin")).otherwise(-F.col("o.gmin")).alias("goodness"),
                        "o.ref_seg", "o.ref_maj", "o.ref_min", "o.n_optima")
 
@@ -488,12 +490,15 @@ def psi_t(segs: DataFrame, point: DataFrame, p: FitParams, include_subclonal: bo
     """FIT-19: length-weighted psi_t over clonal segments at (rho, psi); null when none."""
     rows = segs.join(F.broadcast(point.select("sample_id", "rho", "psi")), "sample_id")
     rows = segment_clonal(rows, p.gamma, p.siglevel_baf, p.maxdist_baf)
-    if not include_subclonal:
-        rows = rows.filter("is_clonal")
+    # conditional sums, not a filter: a filter on is_clonal would be pushed below the projections and
+    # inline every column definition into the predicate
+    use = F.lit(True) if include_subclonal else F.col("is_clonal")
     pt = calc_psi_t(F.col("nmaj_test") + F.col("nmin_test"), F.col("r"), F.col("rho"), p.gamma)
-    rows = rows.withColumn("__pt", pt)
+    rows = rows.withColumns({"__pt": pt, "__use": use})
     w = F.col("length").cast("double")
-    return rows.groupBy("sample_id").agg(F.try_divide(F.sum(F.col("__pt") * w), F.sum(w)).alias("psi_t"))
+    agg = rows.groupBy("sample_id").agg(
+        F.try_divide(F.sum(F.when(F.col("__use"), F.col("__pt") * w)), F.sum(F.when(F.col("__use"), w))).alias("psi_t"))
+    return point.select("sample_id").distinct().join(agg, "sample_id", "left")
 
 
 def reliability(points: DataFrame, point: DataFrame, gamma: float, b: str = "b", r: str = "r") -> DataFrame:
@@ -514,3 +519,84 @@ def reliability(points: DataFrame, point: DataFrame, gamma: float, b: str = "b",
         bb == 0.5, F.lit(100.0)).otherwise(100 * (1 - F.abs(F.col("backTransformedBAF") - bb) / F.abs(bb - 0.5))))))
     return d.withColumns({"confidenceR": rc, "confidenceBAF": bc,
                           "segmentedBAF": bb, "segmentedR": rr})
+
+
+def ln_likelihood_ratio(rows: DataFrame, gamma: float, read_depth: int = 30) -> DataFrame:
+    """FIT-10: binomial likelihood of the pooled BAF mean at the nearest corner's level, and the log ratio
+    of the two best candidate levels. The nearest-corner rule yields a single candidate, so the ratio
+    is 0 (App. A-14); the likelihood of that candidate is still reported."""
+    b, r0, rho, psi = F.col("b"), F.coalesce(F.col("r"), F.lit(0.0)), F.col("rho"), F.col("psi")
+    f = F.pow(F.lit(2.0), r0 / F.lit(gamma))
+    d = rows.withColumns({"__cmaj0": (rho - 1 + b * psi * f) / rho, "__cmin0": (rho - 1 + (1 - b) * psi * f) / rho})
+    bad = (F.col("__cmin0") < 0) | F.col("__cmin0").isNull() | F.isnan(F.col("__cmin0"))
+    raised = F.col("__cmaj0") + b * (F.lit(0.01) - F.col("__cmin0")) / (1 - b)
+    maj = F.when(bad, F.when(b == 1, F.lit(1000.0)).otherwise(F.when(raised < 0, F.lit(1000.0)).otherwise(raised)))
+    maj = maj.otherwise(F.col("__cmaj0"))
+    d = d.withColumns({"__cmaj": maj, "__cmin": F.when(bad, F.lit(0.01)).otherwise(F.col("__cmin0"))})
+    d = d.withColumn("__cmaj", F.when(F.abs(F.col("__cmaj")) == float("inf"), F.lit(0.01)).otherwise(F.col("__cmaj")))
+    cmaj, cmin = nearest_corner(b, F.col("__cmaj") + F.col("__cmin"), rho, F.col("__cmaj"), F.col("__cmin"))
+    lev = baf_level(rho, cmaj, cmin, zero_half=False)
+    pooled = F.lit(read_depth) * F.col("size")
+    d = d.withColumn("likelihood", dbinom_clamped(F.col("mean"), pooled, lev))
+    return d.withColumn("ln_ratio", F.lit(0.0)).drop("__cmaj0", "__cmin0", "__cmaj", "__cmin")
+
+
+def index_segments(segs: DataFrame) -> DataFrame:
+    """1-based segment index in genome order per sample (segments per sample are few)."""
+    return segs.withColumn("seg_idx", F.row_number().over(Window.partitionBy("sample_id").orderBy("seg_id")))
+
+
+def fit_copy_number(matched: DataFrame, p: FitParams = FitParams()) -> dict[str, DataFrame]:
+    """FIT-21 / FIT-18: ASCAT grid search, clonal refinement, and the rho/psi table per sample.
+
+    ``matched`` is the output of ``match_signals``. Returns frames ``ascat``, ``clonal_distance``,
+    ``run_clonal`` and ``rho_psi`` (3 rows per sample: ASCAT, FRAC_GENOME, REF_SEG).
+    """
+    p.check()
+    s_ascat = make_segments(matched.withColumn("__b1", 1 - F.col("baf_seg")), "logr_seg", "__b1")
+    dist = cut_lineage(distance_grid(s_ascat, coarse_grid_spec(p), p.ascat_dist_choice, p.gamma, p.uninformative_baf))
+    opt = cut_lineage(ascat_optimum(dist, p))
+    s_cl = cut_lineage(index_segments(segment_info(matched).filter(F.col("length") > 1)))
+    spec = clonal_grid_spec(new_bounds(opt, p))
+    cd = cut_lineage(clonal_distance(s_cl, spec, p.clonal_dist_choice, p))
+    minimise = p.clonal_dist_choice in (1, 2, 3)
+    best = cd.groupBy("sample_id").agg((F.min("d") if minimise else F.max("d")).alias("distance_without_ref"))
+    cen = cut_lineage(centroid_optimum(cd))
+    pl_wo = ploidy_at(s_cl, cen.select("sample_id", F.col("rho_raw").alias("rho"), "psi"), p.gamma)
+    ref = ref_segment_refine(s_cl, cen, p)
+    d_ref = distance_at_point(s_cl, ref.filter(F.col("rho").isNotNull()), p).withColumnRenamed("d", "__dref")
+    ref = (ref.join(cen.select("sample_id", "ref_seg"), "sample_id").join(d_ref, "sample_id", "left")
+           .withColumn("distance", F.when(F.col("ref_seg") == 0, F.lit(1.0))
+                       .when(F.col("rho").isNull(), F.lit(float("inf"))).otherwise(F.col("__dref")))
+           .drop("__dref"))
+    pt = psi_t(s_cl, cen.select("sample_id", "rho", "psi"), p)
+    rc = (cen.select("sample_id", F.col("psi").alias("psi_grid"), F.col("rho").alias("rho_without_ref"),
+                     F.col("goodness").alias("goodness_grid"), "n_optima")
+          .join(pl_wo.withColumnRenamed("ploidy", "ploidy_without_ref"), "sample_id")
+          .join(pt, "sample_id", "left")
+          .join(best, "sample_id")
+          .join(ref.select("sample_id", F.col("psi").alias("psi_ref"), F.col("rho").alias("rho_ref"),
+                           F.col("ploidy").alias("ploidy_ref"), "distance"), "sample_id", "left"))
+    better = (F.col("rho_ref").isNotNull() & (F.col("psi_ref") >= p.min_ploidy) & (F.col("psi_ref") <= p.max_ploidy)
+              & (F.col("rho_ref") >= p.min_rho) & (F.col("rho_ref") <= p.max_rho)
+              & ((F.col("distance") < F.col("distance_without_ref")) if minimise
+                 else (F.col("distance") > F.col("distance_without_ref"))))
+    rc = cut_lineage(rc.withColumn("is_ref_better", F.coalesce(better, F.lit(False)))
+                     .withColumn("psi_without_ref", F.coalesce(F.col("psi_t"), F.col("psi_grid"))))
+    ascat_row = F.array(F.struct(
+        F.lit("ASCAT").alias("method"), F.col("rho").alias("rho"), F.col("psi").alias("psi"),
+        F.col("ploidy").alias("ploidy"), F.lit(None).cast("double").alias("distance"),
+        F.lit(None).cast("boolean").alias("is_best")))
+    clonal_rows = F.array(
+        F.struct(F.lit("FRAC_GENOME").alias("method"), F.col("rho_without_ref").alias("rho"),
+                 F.col("psi_without_ref").alias("psi"), F.col("ploidy_without_ref").alias("ploidy"),
+                 F.col("distance_without_ref").alias("distance"), (~F.col("is_ref_better")).alias("is_best")),
+        F.struct(F.lit("REF_SEG").alias("method"), F.col("rho_ref").alias("rho"), F.col("psi_ref").alias("psi"),
+                 F.col("ploidy_ref").alias("ploidy"), F.col("distance").alias("distance"),
+                 F.col("is_ref_better").alias("is_best")))
+    # every sample gets its ASCAT row (null fit and a status when no solution); the clonal rows only
+    # exist for samples with a solution (the reference stops there)
+    rho_psi = (opt.select("sample_id", "status", F.inline(ascat_row))
+               .unionByName(rc.join(opt.select("sample_id", "status"), "sample_id").select(
+                   "sample_id", "status", F.inline(clonal_rows))))
+    return {"ascat": opt, "clonal_distance": cd, "run_clonal": rc, "rho_psi": rho_psi}
