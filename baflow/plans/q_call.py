@@ -176,3 +176,15 @@ def q_plot_cnv(spark, d):
     doubles=["psi", "rho", "neg_d"], sql="SELECT sample_id, i, j, psi, rho, -d AS neg_d FROM dist")
 def q_plot_distance(spark, d):
     return PF.distance_frame(_dist1(spark, d))
+
+
+@register("pipeline_copy_number")
+def q_pipeline_copy_number(spark, d):
+    """PIPE-01 end to end on the fixture: base observations -> copy-number table."""
+    from baflow.plans.pipeline import RunParams, run
+    from baflow.plans.q_signals import TP, test_side
+    tables = {"bases": V.bases(spark, d), "loci": V.loci(spark, d), "phased": V.phased(spark, d),
+              "contig_stats": V.contigs(spark, d)}
+    params = RunParams(min_baseq=TP["min_baseq"], min_mapq=TP["min_mapq"], min_counts=TP["min_counts"],
+                       het_min_counts=TP["min_counts"], range_bucket=BUCKET)
+    return run(tables, params, side=test_side())["copy_number"]
