@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from baflow.functions.chrom import chrom_ord
-from baflow.functions.rmath import dbinom_clamped, r_round, t_pvalue_two_sided, t_statistic
+from baflow.functions.rmath import dbinom_clamped, r_round, t_pvalue_two_sided, t_statistic, with_t_pvalue
 from baflow.session import cut_lineage
 
 
@@ -353,9 +353,13 @@ def _adjusted(nmajor: Column, nminor: Column, b: Column, big_if_negative: bool)
     return maj, mn
 
 
-def segment_clonal(rows: DataFrame, gamma: float, siglevel: float, maxdist: float) -> DataFrame:
+def segment_clonal(rows: DataFrame, gamma: float, siglevel: float, maxdist: float,
+                   materialise: bool = False) -> DataFrame:
     """FIT-09: per (cell, segment) row with b, r, size, sd, rho, psi -> is_clonal, balanced, nmaj_test,
-    nmin_test (one corner of the nearest edge, two-sided t-test of b against its level)."""
+    nmin_test (one corner of the nearest edge, two-sided t-test of b against its level).
+
+    With ``materialise`` (grid searches) the states are checkpointed and the t-test UDF runs once per
+    distinct (size, b, sd, level) instead of once per cell."""
     b, r0, rho, psi = F.col("b"), F.coalesce(F.col("r"), F.lit(0.0)), F.col("rho"), F.col("psi")
     na, nb = copy_numbers(b, r0, rho, psi, gamma)
     d = rows.withColumns({"__cmaj0": F.greatest(na, nb), "__cmin0": F.least(na, nb)})
@@ -364,9 +368,13 @@ def segment_clonal(rows: DataFrame, gamma: float, siglevel: float, maxdist: floa
     tmaj, tmin = nearest_corner(b, F.col("__cmaj") + F.col("__cmin"), rho, F.col("__cmaj"), F.col("__cmin"))
     d = d.withColumns({"nmaj_test": tmaj, "nmin_test": tmin})
     lev = baf_level(rho, F.col("nmaj_test"), F.col("nmin_test"))
-    p = F.when(F.col("sd") == 0, F.lit(0.0)).otherwise(
-        t_pvalue_two_sided(F.col("size"), b, F.col("sd"), lev, maxdist))
-    d = d.withColumn("pval", p)
+    if materialise:
+        d = cut_lineage(d.withColumn("__lev", lev))
+        d = with_t_pvalue(d, "size", "b", "sd", "__lev", maxdist).drop("__lev")
+    else:
+        p = F.when(F.col("sd") == 0, F.lit(0.0)).otherwise(
+            t_pvalue_two_sided(F.col("size"), b, F.col("sd"), lev, maxdist))
+        d = d.withColumn("pval", p)
     return d.withColumns({
         "balanced": F.col("nmaj_test") == F.col("nmin_test"),
         "is_clonal": (F.col("pval") > siglevel) & (F.col("__cmaj") - F.col("__cmaj0") < 1)}).drop("__cmaj0", "__cmin0", "__cmaj", "__cmin")
@@ -409,7 +417,7 @@ def clonal_distance(segs: DataFrame, spec, choice: int, p: FitParams) -> DataFra
     candidate (App. A-14).
     """
     rows = with_grid(segs.filter(F.col("b") > p.uninformative_baf), spec)
-    rows = segment_clonal(rows, p.gamma, p.siglevel_baf, p.maxdist_baf)
+    rows = segment_clonal(rows, p.gamma, p.siglevel_baf, p.maxdist_baf, materialise=True)
     rows = standardised_error(rows, p.gamma)
     size = F.col("size").cast("double")
     resid2 = F.pow(F.col("b") - F.col("mean"), 2)
@@ -439,8 +447,11 @@ def centroid_optimum(cd: DataFrame) -> DataFrame:
     """
     dm = F.when(F.col("minimise"), F.col("d")).otherwise(-F.col("d"))
     ws = Window.partitionBy("sample_id")   # one sample's grid (about 10^4 cells)
-    g = cd.withColumn("dm", dm).withColumn("gmin", F.min("dm").over(ws))
-    opt = g.filter(F.col("dm") == F.col("gmin"))
+    # ties are found on d rounded to 10 decimals: sums over segments are added in partition order,
+    # so cells that are equal in exact arithmetic may differ in the last bits
+    g = cd.withColumn("dm", dm).withColumn("__dr", F.round(F.col("dm"), 10))
+    g = g.withColumn("__gr", F.min("__dr").over(ws))
+    opt = g.filter(F.col("__dr") == F.col("__gr")).withColumn("gmin", F.min("dm").over(ws))
     o = opt.withColumns({"ci": F.percentile("i", 0.5).over(ws), "cj": F.percentile("j", 0.5).over(ws),
                          "n_optima": F.count("*").over(ws)})
     o = o.withColumn("sq", F.pow(F.col("i") - F.col("ci"), 2) + F.pow(F.col("j") - F.col("cj"), 2))

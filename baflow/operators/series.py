@@ -276,22 +276,23 @@ def running_median(df: DataFrame, keys, value: str, out: str = "runmed", half: i
                .otherwise(med_tail))
     interior = (rn > F.col("__h")) & (rn <= n - F.col("__h"))
     d = d.withColumn("__res", F.when(interior, centred).otherwise(F.col(value)))
-    # prefix / suffix medians of the kept-ends vector, computed only over the first / last 2h-1 rows
-    d = d.withColumn("__rev", n - rn + 1)
-    pre = F.percentile(F.col("__res"), 0.5).over(_w(keys, ["rn"], (Window.unboundedPreceding, 0)))
-    suf = F.percentile(F.col("__res"), 0.5).over(_w(keys, ["__rev"], (Window.unboundedPreceding, 0)))
-    head = (d.filter(F.col("rn") <= 2 * F.col("__h") - 1).withColumn("__sm_head", pre)
-            .filter(F.col("rn") % 2 == 1)
-            .select(*keys, ((F.col("rn") + 1) / 2).cast("int").alias("rn"), "__sm_head"))
-    tail = (d.filter(F.col("__rev") <= 2 * F.col("__h") - 1).withColumn("__sm_tail", suf)
-            .filter(F.col("__rev") % 2 == 1)
-            .select(*keys, (F.col("n") - ((F.col("__rev") + 1) / 2).cast("int") + 1).alias("rn"), "__sm_tail"))
-    d = d.join(head, list(keys) + ["rn"], "left").join(tail, list(keys) + ["rn"], "left")
+    # end smoothing needs the first / last 2h-1 values of the kept-ends vector: one partition-level
+    # collect over just those rows (nulls are skipped), sorted by distance from the end -- no join back
+    w = _w(keys, ["rn"])
+    wk = _w(keys)
+    span = 2 * F.col("__h") - 1
+    rev = n - rn + 1
+    hl = F.collect_list(F.when(rn <= span, F.struct(rn.alias("k"), F.col("__res").alias("v")))).over(wk)
+    tl = F.collect_list(F.when(rev <= span, F.struct(rev.alias("k"), F.col("__res").alias("v")))).over(wk)
+    d = d.withColumns({"__hl": F.transform(F.array_sort(hl), lambda e: e["v"]),
+                       "__tl": F.transform(F.array_sort(tl), lambda e: e["v"])})
+    d = d.withColumns({
+        "__sm_head": F.try_element_at(F.array_sort(F.slice("__hl", F.lit(1), 2 * rn - 1)), rn.cast("int")),
+        "__sm_tail": F.try_element_at(F.array_sort(F.slice("__tl", F.lit(1), 2 * rev - 1)), rev.cast("int"))})
     sm = (F.when((rn >= 2) & (rn <= F.col("__h")) & (F.col("__h") >= 2), F.col("__sm_head"))
           .when((rn >= n - F.col("__h") + 1) & (rn <= n - 1) & (F.col("__h") >= 2), F.col("__sm_tail"))
           .otherwise(F.col("__res")))
     d = d.withColumn("__sm", sm)
-    w = _w(keys, ["rn"])
     s2, s3 = F.lead("__sm", 1).over(w), F.lead("__sm", 2).over(w)
     t2, t3 = F.lag("__sm", 1).over(w), F.lag("__sm", 2).over(w)
 
@@ -304,7 +305,7 @@ def running_median(df: DataFrame, keys, value: str, out: str = "runmed", half: i
            .when((F.col("__h") >= 1) & (rn == n), last)
            .otherwise(F.col("__sm")))
     d = d.withColumn(out, res)
-    return d.drop("__h", "__res", "__sm", "__rev", "__sm_head", "__sm_tail")
+    return d.drop("__h", "__res", "__sm", "__hl", "__tl", "__sm_head", "__sm_tail")
 
 
 def noise_sd(points: DataFrame, keys, order, value: str = "baf") -> DataFrame:
