@@ -110,13 +110,13 @@ def segment_baf_phased(het: DataFrame, breakpoints: DataFrame | None = None, gam
     keys, order = list(keys), list(order)
     pts = het.filter(F.col(value).isNotNull()).select(*keys, *order, F.col(value).alias("baf"))
     assigned, _ = R.presegments(pts, breakpoints, keys, order, hole_limit)
-    pts = pts.join(assigned, keys + order)
     skeys = keys + ["preseg"]
-    sd = R.noise_sd(pts, skeys, order, "baf")
-    pts = (pts.join(sd.select(*skeys, "sd"), skeys)
-           .withColumn("pen1", F.lit(phasegamma) * F.col("sd"))
-           .withColumn("pen2", F.lit(gamma) * F.col("sd")))
-    idx = cut_lineage(R.index_series(pts, skeys, order))
+    # points with their presegment feed both the noise estimate and the index: materialise once
+    pts = cut_lineage(R.index_series(assigned, skeys, order))
+    sd = R.noise_sd(pts.drop("rn", "n"), skeys, order, "baf")
+    idx = cut_lineage(pts.join(sd.select(*skeys, "sd"), skeys)
+                      .withColumn("pen1", F.lit(phasegamma) * F.col("sd"))
+                      .withColumn("pen2", F.lit(gamma) * F.col("sd")))
     p1 = segment_series(idx, skeys, "baf", phasekmin, "pen1", "temp_baf_segm")
     p1 = p1.select(*skeys, *order, "rn", "n", "baf", "pen2", "temp_baf_segm")
     p1 = cut_lineage(p1.withColumn("baf_phased", F.when(F.col("temp_baf_segm") > 0.5, F.col("baf"))

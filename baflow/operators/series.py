@@ -201,7 +201,8 @@ def big_holes(df: DataFrame, keys, order, limit: int) -> DataFrame:
 
 
 def presegments(points: DataFrame, breakpoints: DataFrame | None, keys, order, limit: int = 3_000_000):
-    """SEG-02/03: presegment id per point, and the presegment table (keys, preseg, start, end).
+    """SEG-02/03: presegment id per point (with the point's other columns), and the presegment
+    table (keys, preseg, start, end, n_points).
 
     Points are grouped by the prior breakpoints of their chromosome: a point belongs to the
     interval ending at the first breakpoint >= its position. Big holes split the intervals that end
@@ -210,6 +211,7 @@ def presegments(points: DataFrame, breakpoints: DataFrame | None, keys, order, l
     not used as an interval end (unless it is the only one), and the first interval then starts at it.
     """
     keys = list(keys)
+    extra = [c for c in points.columns if c not in keys and c not in order]
     pts = points.withColumn("__is_bp", F.lit(0))
     if breakpoints is None:
         bps = pts.limit(0).select(*keys, "position")
@@ -224,9 +226,9 @@ def presegments(points: DataFrame, breakpoints: DataFrame | None, keys, order, l
             .select(*keys, "position"))
     n_used = used.groupBy(*keys).agg(F.count("*").alias("__m_used"))
     # order: points before a breakpoint at the same position (a point at a breakpoint ends that interval)
-    u = (pts.select(*keys, "position", *[c for c in order if c != "position"], F.lit(1).alias("__kind"))
+    u = (pts.select(*keys, "position", *[c for c in order if c != "position"], *extra, F.lit(1).alias("__kind"))
          .unionByName(used.select(*keys, "position", *[F.lit(None).cast(points.schema[c].dataType).alias(c)
-                                                       for c in order if c != "position"],
+                                                       for c in order + extra if c != "position"],
                                   F.lit(2).alias("__kind"))))
     wo = _w(keys, ["position", "__kind"] + [c for c in order if c != "position"],
             (Window.unboundedPreceding, -1))
@@ -240,7 +242,7 @@ def presegments(points: DataFrame, breakpoints: DataFrame | None, keys, order, l
     hole = F.when(splits & (gap >= limit), 1).otherwise(0)
     grp = grp.withColumn("hole_id", F.sum(hole).over(_w(gkeys, order, (Window.unboundedPreceding, 0))))
     pid = F.dense_rank().over(_w(keys, ["bp_group", "hole_id"]))
-    assigned = grp.withColumn("preseg", pid - 1).select(*keys, *order, "preseg")
+    assigned = grp.withColumn("preseg", pid - 1).select(*keys, *order, *extra, "preseg")
     table = (assigned.groupBy(*keys, "preseg").agg(F.min("position").alias("start"), F.max("position").alias("end"),
                                                      F.count("*").alias("n_points"))
              .join(info, keys, "left")

@@ -56,6 +56,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss; never local)."""
+    """Reliable checkpoint into the shared folder (survives executor loss; never local).
+
+    The frame is persisted first so the checkpoint write reads the cached blocks instead of computing
+    the plan a second time; the cache is dropped once the checkpoint files exist. The result keeps
+    its output partitioning, so a following window or join on the same keys does not shuffle again.
+    """
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+    return out
