@@ -130,7 +130,7 @@ def call_subclones(baf_seg: DataFrame, logr: DataFrame, rho_psi: DataFrame, gamm
         "sample_id", F.col("rho").alias("__rho"), (F.col("rho") * F.col("psi") + 2 * (1 - F.col("rho"))).alias("__psi"))
     segs = segment_range_mean(baf_segments(baf_seg), logr, "value" if "value" in logr.columns else "logr",
                               bucket=bucket)
-    segs = segs.join(F.broadcast(fg), "sample_id")
+    segs = segs.join(fg, "sample_id")
     rho, psi = F.col("__rho"), F.col("__psi")
     segs = continuous_cn(segs, rho, psi, gamma)
     segs = edge_candidates(segs, rho)

@@ -142,7 +142,7 @@ def genome_runs(df: DataFrame, r: str, b: str) -> DataFrame:
     before = F.coalesce(F.sum("__nruns").over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     merges = F.sum("__joined").over(wc.rowsBetween(Window.unboundedPreceding, 0))
     per = per.withColumn("__offset", before - merges).select("sample_id", "chrom", "__offset")
-    d = d.join(F.broadcast(per), ["sample_id", "chrom"])
+    d = d.join(per, ["sample_id", "chrom"])
     return d.withColumn("seg_id", (F.col("__local") + F.col("__offset")).cast("long")).drop(
         "__rb", "__chg", "__local", "__offset")
 
@@ -180,12 +180,13 @@ def with_grid(segs: DataFrame, spec) -> DataFrame:
     """Attach grid cells to every segment row: columns i, j, psi, rho, n_psi, n_rho.
 
     ``spec`` is either a dict of constants or a DataFrame with one row per sample (psi_min, psi_max,
-    psi_by, rho_min, rho_max, rho_by) joined on sample_id (one row per sample, so broadcast).
+    psi_by, rho_min, rho_max, rho_by) joined on sample_id (one row per sample; Spark broadcasts it when
+    its measured size is under the threshold).
     """
     if isinstance(spec, dict):
         d = segs.withColumns({k: F.lit(float(v)) for k, v in spec.items()})
     else:
-        d = segs.join(F.broadcast(spec), "sample_id")
+        d = segs.join(spec, "sample_id")
     d = d.withColumns({"n_psi": seq_len(F.col("psi_min"), F.col("psi_max"), F.col("psi_by")),
                        "n_rho": seq_len(F.col("rho_min"), F.col("rho_max"), F.col("rho_by"))})
     d = d.withColumn("__cell", F.explode(F.sequence(F.lit(0), F.col("n_psi") * F.col("n_rho") - 1)))
@@ -466,7 +467,7 @@ def centroid_optimum(cd: DataFrame) -> DataFrame:
 
 def ploidy_at(segs: DataFrame, point: DataFrame, gamma: float) -> DataFrame:
     """AG-11: length-weighted ploidy of every sample's segments at its (rho, psi)."""
-    j = segs.join(F.broadcast(point.select("sample_id", "rho", "psi")), "sample_id")
+    j = segs.join(point.select("sample_id", "rho", "psi"), "sample_id")
     na, nb = copy_numbers(F.col("b"), F.col("r"), F.col("rho"), F.col("psi"), gamma)
     return j.groupBy("sample_id").agg((F.sum((na + nb) * F.col("length")) / F.sum("length")).alias("ploidy"))
 
@@ -499,7 +500,7 @@ def distance_at_point(segs: DataFrame, point: DataFrame, p: FitParams) -> DataFr
 
 def psi_t(segs: DataFrame, point: DataFrame, p: FitParams, include_subclonal: bool = False) -> DataFrame:
     """FIT-19: length-weighted psi_t over clonal segments at (rho, psi); null when none."""
-    rows = segs.join(F.broadcast(point.select("sample_id", "rho", "psi")), "sample_id")
+    rows = segs.join(point.select("sample_id", "rho", "psi"), "sample_id")
     rows = segment_clonal(rows, p.gamma, p.siglevel_baf, p.maxdist_baf)
     # conditional sums, not a filter: a filter on is_clonal would be pushed below the projections and
     # inline every column definition into the predicate
@@ -514,7 +515,7 @@ def psi_t(segs: DataFrame, point: DataFrame, p: FitParams, include_subclonal: bo
 
 def reliability(points: DataFrame, point: DataFrame, gamma: float, b: str = "b", r: str = "r") -> DataFrame:
     """FIT-17: rounded states, back-transformed LogR/BAF and their confidences per point."""
-    d = points.join(F.broadcast(point.select("sample_id", "rho", "psi")), "sample_id")
+    d = points.join(point.select("sample_id", "rho", "psi"), "sample_id")
     bb, rr, rho, psi = F.col(b), F.col(r), F.col("rho"), F.col("psi")
     na_f, nb_f = copy_numbers(bb, rr, rho, psi, gamma)
     d = d.withColumns({"nAfull": na_f, "nBfull": nb_f})

@@ -22,7 +22,7 @@ def haplotype_frame(het: DataFrame) -> DataFrame:
         F.min("position").alias("x_min"), F.max("position").alias("x_max"), F.count("*").alias("n"))
     lim = lim.withColumn("point_size", F.greatest(F.lit(0.5), F.least(F.lit(3.0), 1000 / F.col("n").cast("double"))))
     return (het.select("sample_id", "chrom", "position", "baf", (1 - F.col("baf")).alias("baf_mirror"))
-            .join(F.broadcast(lim), ["sample_id", "chrom"]))
+            .join(lim, ["sample_id", "chrom"]))
 
 
 def cnv_frame(calls: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def cnv_frame(calls: DataFrame) -> DataFrame:
     return (calls.select("sample_id", F.col("Chromosome").alias("chrom"), chrom_ord("Chromosome").alias("chrom_rank"),
                          (F.col("Start_Pos") / 1e6).alias("start_mb"), (F.col("End_Pos") / 1e6).alias("end_mb"),
                          "Total_Copy_Number", "Major_Copy_Number", "Minor_Copy_Number")
-            .join(F.broadcast(lim), "sample_id"))
+            .join(lim, "sample_id"))
 
 
 def distance_frame(dist: DataFrame) -> DataFrame:

@@ -89,3 +89,11 @@ def run(tables: dict[str, DataFrame], params: RunParams = RunParams(), side=None
     out["plot_segments"] = PF.segmented_frame(seg)
     out["plot_cnv"] = PF.cnv_frame(calls)
     return out
+
+
+def write_outputs(outputs: dict[str, DataFrame], root: str, names=None) -> None:
+    """SNK-11: every stage as Parquet under ``root/<name>``, one directory per sample."""
+    from baflow.sources.io import write_table
+    for name, df in outputs.items():
+        if names is None or name in names:
+            write_table(df, f"{root}/{name}")

@@ -29,7 +29,7 @@ def _point(spark, d):
 
 
 def _cn(spark, d):
-    s = _segs(spark, d).join(F.broadcast(_point(spark, d)), "sample_id")
+    s = _segs(spark, d).join(_point(spark, d), "sample_id")
     return K.continuous_cn(s, F.col("__rho"), F.col("__psi"), 1.0)
 
 

@@ -80,20 +80,20 @@ def _planted_point(spark, d):
 
 @register("segment_clonal")
 def q_segment_clonal(spark, d):
-    rows = clonal_segments(spark, d).join(F.broadcast(_planted_point(spark, d)), "sample_id")
+    rows = clonal_segments(spark, d).join(_planted_point(spark, d), "sample_id")
     return T.segment_clonal(rows, P.gamma, P.siglevel_baf, P.maxdist_baf).select(
         "sample_id", "seg_idx", "nmaj_test", "nmin_test", "pval", "balanced", "is_clonal")
 
 
 @register("std_error")
 def q_std_error(spark, d):
-    rows = clonal_segments(spark, d).join(F.broadcast(_planted_point(spark, d)), "sample_id")
+    rows = clonal_segments(spark, d).join(_planted_point(spark, d), "sample_id")
     return T.standardised_error(rows, P.gamma).select("sample_id", "seg_idx", "tvar", "included")
 
 
 @register("ln_ratio")
 def q_ln_ratio(spark, d):
-    rows = clonal_segments(spark, d).join(F.broadcast(_planted_point(spark, d)), "sample_id")
+    rows = clonal_segments(spark, d).join(_planted_point(spark, d), "sample_id")
     return T.ln_likelihood_ratio(rows, P.gamma, read_depth=30).select("sample_id", "seg_idx", "likelihood", "ln_ratio")
 
 

@@ -146,6 +146,11 @@ def read_breakpoints(spark: SparkSession, path: str | None) -> DataFrame:
     return df.select(F.col("chromosome").alias("chrom"), F.col("position").try_cast("int").alias("position"))
 
 
+def prefix_columns(df: DataFrame, prefix: str, keep=("sample_id", "chrom", "position")) -> DataFrame:
+    """PRJ-01: prefix every column except the keys (``snp_``, ``normal_``), in one projection."""
+    return df.select(*[F.col(c) if c in keep else F.col(c).alias(prefix + c) for c in df.columns])
+
+
 def genomic_sort(df: DataFrame, chrom: str = "chrom", pos: str = "position") -> DataFrame:
     """SRT-01/02/06: order by (chromosome rank with X = 100, name, position); range-partitioned sort."""
     return df.withColumn("chrom_rank", chrom_ord(chrom)).orderBy("chrom_rank", chrom, pos)
