@@ -1,0 +1,2 @@
+"""No streaming operators: the reference has no stream source, watermark, window or state
+(SURVEY §2.13), so nothing is built here. Batch jobs run per sample cohort."""
