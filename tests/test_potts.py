@@ -66,3 +66,23 @@ def test_short_series_single_mean():
     seg = segments_from_splits(bs, 2)
     assert (seg == 0).all()
     assert np.allclose(segment_means(seg, np.array([2.0, 2.0]), np.array([1.0, 2.0])), 0.75)
+
+
+def test_segmentation_recovers_planted_levels(spark):
+    """Two-pass phased segmentation on a planted series: phase blocks flip, levels 0.5 / 0.75 / 0.6."""
+    from pyspark.sql import functions as F
+    from baflow.operators.segment import segment_baf_phased
+    rng = np.random.default_rng(11)
+    levels = [0.5] * 200 + [0.75] * 250 + [0.6] * 150
+    rows = []
+    for i, lv in enumerate(levels):
+        side = (i // 40) % 2            # phase switches every 40 points
+        b = lv if side == 0 else 1 - lv
+        rows.append(("s", "1", 1000 * (i + 1), float(min(max(b + rng.normal(0, 0.02), 0.001), 0.999))))
+    df = spark.createDataFrame(rows, "sample_id string, chrom string, position long, baf double")
+    out = segment_baf_phased(df).orderBy("position").select("baf_seg").collect()
+    seg = np.array([r[0] for r in out])
+    got = np.maximum(seg, 1 - seg)
+    assert abs(np.median(got[:200]) - 0.5) < 0.03
+    assert abs(np.median(got[220:430]) - 0.75) < 0.03
+    assert abs(np.median(got[470:]) - 0.6) < 0.03
