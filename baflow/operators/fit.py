@@ -204,8 +204,12 @@ def distance_grid(segs: DataFrame, spec, choice: int, gamma: float = 1.0, thr: f
     The minor allele is nA when sum(nA) < sum(nB) over the sample's segments, per cell (AG-23): both
     candidate sums are aggregated in the same pass and the choice is made afterwards.
     """
-    g = with_grid(segs, spec)
-    b, r, w = F.col("b"), F.col("r"), F.col("length").cast("double")
+    # segments with the same (b, r) contribute identical terms: fold them into one weighted row before
+    # the fan-out to cells (every term below is linear in the length or a plain count)
+    folded = segs.groupBy("sample_id", "b", "r").agg(F.count("*").alias("__cnt"),
+                                                    F.sum("length").cast("double").alias("__len"))
+    g = with_grid(folded, spec)
+    b, r, w, cnt = F.col("b"), F.col("r"), F.col("__len"), F.col("__cnt")
     na, nb = copy_numbers(b, r, F.col("rho"), F.col("psi"), gamma)
     g = g.withColumns({"__na": na, "__nb": nb})
     na, nb = F.col("__na"), F.col("__nb")
@@ -220,7 +224,7 @@ def distance_grid(segs: DataFrame, spec, choice: int, gamma: float = 1.0, thr: f
     both = (half_term(na) + half_term(nb))
     hom = (na < 0.5) & (nb < 0.5) & (na >= 0) & (nb >= 0)
     not_half = F.when(b == 0.5, F.lit(0.0)).otherwise(F.lit(1.0))
-    aggs = [F.sum(na).alias("__sa"), F.sum(nb).alias("__sb"),
+    aggs = [F.sum(na * cnt).alias("__sa"), F.sum(nb * cnt).alias("__sb"),
             F.sum(F.pow(dev(na), 2) * w * info).alias("__d0a"), F.sum(F.pow(dev(nb), 2) * w * info).alias("__d0b"),
             F.sum(half_term(na) * w).alias("__d1a"), F.sum(half_term(nb) * w).alias("__d1b"),
             (0.5 * F.sum(both * w)).alias("__d2"),
@@ -230,8 +234,10 @@ def distance_grid(segs: DataFrame, spec, choice: int, gamma: float = 1.0, thr: f
             F.sum((F.when(r_round(na) == 0, w).otherwise(0.0) + F.when(r_round(nb) == 0, w).otherwise(0.0))
                   * not_half).alias("__zab"),
             F.sum(w * not_half).alias("__wab"),
-            F.sum(F.lit(0.25) * w).alias("max_dist")]
-    a = g.groupBy("sample_id", "i", "j", "psi", "rho", "n_psi", "n_rho").agg(*aggs)
+            F.sum(F.lit(0.25) * w).alias("max_dist"),
+            F.first("psi").alias("psi"), F.first("rho").alias("rho"), F.first("n_psi").alias("n_psi"),
+            F.first("n_rho").alias("n_rho")]
+    a = g.groupBy("sample_id", "i", "j").agg(*aggs)
     a_minor = F.col("__sa") < F.col("__sb")
     d = {0: F.when(a_minor, F.col("__d0a")).otherwise(F.col("__d0b")),
          1: F.when(a_minor, F.col("__d1a")).otherwise(F.col("__d1b")),

@@ -38,11 +38,11 @@ FROM v_bases_raw b JOIN v_loci l ON b.locus = l.locus""",
        log2((CAST(0.6 AS DOUBLE) + CAST(0.7 AS DOUBLE) * (nmaj + nmin)) / (CAST(0.6 AS DOUBLE) + CAST(0.7 AS DOUBLE) * psi_true)) AS r
 FROM (SELECT p_partkey AS seg_id, CAST(20 + p_size AS INT) AS length,
              CASE p_partkey % 5 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 1 END AS nmaj,
-             CASE p_partkey % 5 WHEN 1 THEN 0 ELSE 1 END AS nmin FROM part WHERE p_partkey < 60) st
+             CASE p_partkey % 5 WHEN 1 THEN 0 ELSE 1 END AS nmin FROM part) st
 CROSS JOIN (SELECT CAST(sum(length * (nmaj + nmin)) AS DOUBLE) / CAST(sum(length) AS DOUBLE) AS psi_true
             FROM (SELECT CAST(20 + p_size AS INT) AS length,
                          CASE p_partkey % 5 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 1 END AS nmaj,
-                         CASE p_partkey % 5 WHEN 1 THEN 0 ELSE 1 END AS nmin FROM part WHERE p_partkey < 60)) pl""",
+                         CASE p_partkey % 5 WHEN 1 THEN 0 ELSE 1 END AS nmin FROM part)) pl""",
     "v_bafseg": """SELECT sample_id, chrom, position, event_id, baf_phased,
        avg(baf_phased) OVER (PARTITION BY sample_id, chrom, CAST(floor(position / 86400) AS INT)) AS baf_seg
 FROM (SELECT *, CASE WHEN avg(baf) OVER (PARTITION BY sample_id, chrom, CAST(floor(position / 86400) AS INT)) > 0.5

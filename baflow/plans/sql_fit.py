@@ -28,9 +28,10 @@ def distance_sql(segs: str, cells: str, choice: int, gamma=1.0, thr=0.51) -> lis
     zero = f"(CASE WHEN round_even(na, 0) = 0 THEN w ELSE {D(0.0)} END + CASE WHEN round_even(nb, 0) = 0 THEN w ELSE {D(0.0)} END)"
     d = {0: "CASE WHEN sa < sb THEN d0a ELSE d0b END", 1: "CASE WHEN sa < sb THEN d1a ELSE d1b END", 2: "d2", 3: "d3"}[choice]
     return [
-        ("dx", f"""SELECT s.sample_id, c.*, s.b, s.r, CAST(s.length AS DOUBLE) AS w, {na} AS na, {nb} AS nb
-FROM {segs} s CROSS JOIN ({cells}) c"""),
-        ("dagg", f"""SELECT sample_id, i, j, psi, rho, n_psi, n_rho, sum(na) AS sa, sum(nb) AS sb,
+        ("dx", f"""SELECT s.sample_id, c.*, s.b, s.r, s.w, s.cnt, {na} AS na, {nb} AS nb
+FROM (SELECT sample_id, b, r, count(*) AS cnt, CAST(sum(length) AS DOUBLE) AS w FROM {segs} GROUP BY ALL) s
+CROSS JOIN ({cells}) c"""),
+        ("dagg", f"""SELECT sample_id, i, j, psi, rho, n_psi, n_rho, sum(na * cnt) AS sa, sum(nb * cnt) AS sb,
   sum(pow({dev('na')}, 2) * w * {info}) AS d0a, sum(pow({dev('nb')}, 2) * w * {info}) AS d0b,
   sum({half('na')} * w) AS d1a, sum({half('nb')} * w) AS d1b, 0.5 * sum({both} * w) AS d2,
   0.5 * sum(CASE WHEN {hom} THEN {both} * 4 * w * 2 ELSE {both} * w END) AS d3,

@@ -107,9 +107,9 @@ def segments(spark, sf_dir) -> DataFrame:
 
 
 def planted(spark, sf_dir) -> DataFrame:
-    """``v_planted``: 60 segments built from known states at rho = 0.7 and psi = their ploidy."""
+    """``v_planted``: one segment per part, built from known states at rho = 0.7 and psi = their ploidy."""
     k = F.col("p_partkey")
-    st = (table(spark, sf_dir, "part").filter(k < 60).select(
+    st = (table(spark, sf_dir, "part").select(
         F.lit(SAMPLE_ID).alias("sample_id"),
         k.alias("seg_id"), (F.lit(20) + F.col("p_size")).cast("int").alias("length"),
         F.when(k % 5 == 2, 2).when(k % 5 == 3, 3).otherwise(1).alias("nmaj"),
