@@ -84,8 +84,10 @@ def allele_signal(bases: DataFrame, loci: DataFrame, min_baseq: int = 20, min_ma
                   min_counts: int = 10, side: Column | None = None, seed: int = 42) -> DataFrame:
     """Flagship: base observations -> per-locus BAF and LogR for tumour and normal (SIG-05/06)."""
     from baflow.operators.pileup import pileup_counts
+    from baflow.session import cut_lineage
     counts = pileup_counts(bases, loci, min_baseq, min_mapq)
-    pairs = min_depth(allele_pair_counts(counts, loci), min_counts)
+    # the per-sample mean ratio and the per-locus rows both read the pairs: materialise them once
+    pairs = cut_lineage(min_depth(allele_pair_counts(counts, loci), min_counts))
     return logr_normalised(baf_side(pairs, side, seed))
 
 
