@@ -253,7 +253,7 @@ def distance_grid(segs: DataFrame, spec, choice: int, gamma: float = 1.0, thr: f
 
 # ------------------------------------------------------------------ local minima (FIT-06/07)
 
-def strict_local_minima(grid: DataFrame, value: str = "dm", radius: int = 3) -> DataFrame:
+def strict_local_minima(grid: DataFrame, value: str = "dm", radius: int = 3, out: str = "is_local_min") -> DataFrame:
     """WN-09: cells strictly below all other cells of their (2r+1)^2 block; border of r skipped.
 
     Four framed windows: column minima along i, then their minima along j on both sides, and the
@@ -262,62 +262,73 @@ def strict_local_minima(grid: DataFrame, value: str = "dm", radius: int = 3) ->
     wi = Window.partitionBy("sample_id", "j").orderBy("i")
     wj = Window.partitionBy("sample_id", "i").orderBy("j")
     v = F.col(value)
+    t = f"__{out}"
     g = grid.withColumns({
-        "__col_all": F.min(v).over(wi.rowsBetween(-radius, radius)),
-        "__col_up": F.min(v).over(wi.rowsBetween(-radius, -1)),
-        "__col_dn": F.min(v).over(wi.rowsBetween(1, radius))})
+        t + "_all": F.min(v).over(wi.rowsBetween(-radius, radius)),
+        t + "_up": F.min(v).over(wi.rowsBetween(-radius, -1)),
+        t + "_dn": F.min(v).over(wi.rowsBetween(1, radius))})
     g = g.withColumns({
-        "__left": F.min("__col_all").over(wj.rowsBetween(-radius, -1)),
-        "__right": F.min("__col_all").over(wj.rowsBetween(1, radius))})
-    nb_min = F.least("__left", "__right", "__col_up", "__col_dn")
+        t + "_l": F.min(t + "_all").over(wj.rowsBetween(-radius, -1)),
+        t + "_r": F.min(t + "_all").over(wj.rowsBetween(1, radius))})
+    nb_min = F.least(t + "_l", t + "_r", t + "_up", t + "_dn")
     inside = ((F.col("i") >= radius) & (F.col("i") <= F.col("n_psi") - 1 - radius)
               & (F.col("j") >= radius) & (F.col("j") <= F.col("n_rho") - 1 - radius))
-    return g.withColumn("is_local_min", inside & (nb_min > v)).drop(
-        "__col_all", "__col_up", "__col_dn", "__left", "__right")
+    return g.withColumn(out, inside & (nb_min > v)).drop(t + "_all", t + "_up", t + "_dn", t + "_l", t + "_r")
 
 
-def local_minima(dist: DataFrame, p: FitParams, fallback: bool = False) -> DataFrame:
-    """FIT-06 (strict) or FIT-07 (``fallback``): candidate optima with goodness and acceptance flag.
+def _goodness(dm: str) -> Column:
+    return F.when(F.col("minimise"), (1 - F.col(dm) / F.col("max_dist")) * 100).otherwise(
+        -F.col(dm) / F.col("max_dist") * 100)
 
-    ``dm`` is the distance turned so that smaller is better. The fallback sets cells with rho > 1 to
-    1e20, drops the zero-share rule and makes the ploidy bounds strict.
-    """
+
+def _minima_flags(dist: DataFrame, p: FitParams) -> DataFrame:
+    """Both candidate rules on one grid pass: strict (FIT-06) and fallback (FIT-07) minima with their
+    goodness and acceptance. The fallback sets cells with rho > 1 to 1e20, drops the zero-share rule
+    and makes the ploidy bounds strict."""
     dm = F.when(F.col("minimise"), F.col("d")).otherwise(-F.col("d"))
-    g = dist.withColumn("dm", dm)
-    if fallback:
-        g = g.withColumn("dm", F.when(F.col("rho") > 1, F.lit(1e20)).otherwise(F.col("dm")))
-    g = strict_local_minima(g).filter("is_local_min").drop("is_local_min")
-    good = F.when(F.col("minimise"), (1 - F.col("dm") / F.col("max_dist")) * 100).otherwise(
-        -F.col("dm") / F.col("max_dist") * 100)
-    g = g.withColumn("goodness", good)
+    g = dist.withColumns({"dm": dm, "dm_fb": F.when(F.col("rho") > 1, F.lit(1e20)).otherwise(dm)})
+    g = strict_local_minima(g, "dm", out="min_strict")
+    g = strict_local_minima(g, "dm_fb", out="min_fb")
+    g = g.withColumns({"goodness": _goodness("dm"), "goodness_fb": _goodness("dm_fb")})
+    ok = ((F.col("ploidy") >= p.min_ploidy) & (F.col("ploidy") <= p.max_ploidy) & (F.col("rho") >= p.min_rho)
+          & (F.col("goodness") >= p.min_goodness) & ((F.col("percentzero") > 0.01) | (F.col("perczero_abb") > 0.1)))
+    ok_fb = ((F.col("ploidy") > p.min_ploidy) & (F.col("ploidy") < p.max_ploidy) & (F.col("rho") >= p.min_rho)
+             & (F.col("goodness_fb") >= p.min_goodness))
+    return g.withColumns({"accepted": F.col("min_strict") & ok, "accepted_fb": F.col("min_fb") & ok_fb})
+
+
+def local_minima(dist: DataFrame, p: FitParams, fallback: bool = False) -> DataFrame:
+    """FIT-06 (strict) or FIT-07 (``fallback``): candidate optima with goodness and acceptance flag."""
+    g = _minima_flags(dist, p)
     if fallback:
-        ok = ((F.col("ploidy") > p.min_ploidy) & (F.col("ploidy") < p.max_ploidy) & (F.col("rho") >= p.min_rho)
-              & (F.col("goodness") >= p.min_goodness))
+        g = (g.filter("min_fb").drop("dm", "goodness", "accepted")
+             .withColumnsRenamed({"dm_fb": "dm", "goodness_fb": "goodness", "accepted_fb": "accepted"}))
     else:
-        ok = ((F.col("ploidy") >= p.min_ploidy) & (F.col("ploidy") <= p.max_ploidy) & (F.col("rho") >= p.min_rho)
-              & (F.col("goodness") >= p.min_goodness)
-              & ((F.col("percentzero") > 0.01) | (F.col("perczero_abb") > 0.1)))
-    return g.withColumn("accepted", ok)
+        g = g.filter("min_strict").drop("dm_fb", "goodness_fb", "accepted_fb")
+    return g.drop("min_strict", "min_fb")
 
 
 def ascat_optimum(dist: DataFrame, p: FitParams) -> DataFrame:
     """FIT-08 / SRT-04: best accepted local minimum per sample (lowest ``dm``; the last one in (i, j)
     order wins ties); samples without one use the fallback rule; none -> nulls with a status line.
 
+    One pass over the grid: a per-sample window flag (over that sample's cells) says whether any strict
+    optimum exists, and a single aggregation picks the optimum, so every sample gets a row.
     Returns (sample_id, psi, rho, ploidy, goodness, n_optima, status).
     """
-    strict = local_minima(dist, p).filter("accepted")
-    have = strict.select("sample_id").distinct()
-    fb = local_minima(dist, p, fallback=True).filter("accepted").join(have, "sample_id", "left_anti")
-    cands = strict.unionByName(fb)
-    best = cands.groupBy("sample_id").agg(
-        F.max_by(F.struct("psi", "rho", "ploidy", "goodness"),
-                 F.struct(-F.col("dm"), F.col("i"), F.col("j"))).alias("o"),
-        F.count("*").alias("n_optima"))
-    samples = dist.select("sample_id").distinct()
-    out = samples.join(best, "sample_id", "left")
-    n = F.coalesce(F.col("n_optima"), F.lit(0))
-    return out.select(
+    g = _minima_flags(dist, p)
+    has_strict = F.max(F.col("accepted").cast("int")).over(Window.partitionBy("sample_id")) > 0
+    g = g.withColumn("__has", has_strict)
+    cand = F.when(F.col("__has"), F.col("accepted")).otherwise(F.col("accepted_fb"))
+    m = F.when(F.col("__has"), F.col("dm")).otherwise(F.col("dm_fb"))
+    good = F.when(F.col("__has"), F.col("goodness")).otherwise(F.col("goodness_fb"))
+    g = g.withColumns({"__cand": cand, "__m": m, "__good": good})
+    best = g.groupBy("sample_id").agg(
+        F.max_by(F.when(F.col("__cand"), F.struct("psi", "rho", "ploidy", F.col("__good").alias("goodness"))),
+                 F.when(F.col("__cand"), F.struct(-F.col("__m"), F.col("i"), F.col("j")))).alias("o"),
+        F.count_if(F.col("__cand")).alias("n_optima"))
+    n = F.col("n_optima")
+    return best.select(
         "sample_id", F.col("o.psi").alias("psi"), F.least(F.col("o.rho"), F.lit(1.0)).alias("rho"),
         F.col("o.ploidy").alias("ploidy"), F.col("o.goodness").alias("goodness"), n.alias("n_optima"),
         F.when(n > 0, F.concat(n.cast("string"), F.lit(" copy number solutions found")))
