@@ -161,3 +161,30 @@ def with_t_pvalue(df, n: str, mean: str, sd: str, mu: str, max_dist: float, out:
          .when(F.abs(F.col(mean) - F.col(mu)) < F.lit(max_dist), F.lit(1.0))
          .otherwise(F.col("__u_p")))
     return j.withColumn(out, p).drop(*[f"__u_{c}" for c in args], "__u_p")
+
+
+def t_critical_np(df: np.ndarray, alpha: float) -> np.ndarray:
+    """Two-sided critical value: the t with 2 P(T > t) = alpha, by bisection on the same tail function."""
+    df = np.asarray(df, dtype=float)
+    lo = np.zeros_like(df)
+    hi = np.full_like(df, 1e8)
+    for _ in range(200):
+        mid = 0.5 * (lo + hi)
+        p = t_two_sided_np(mid, df)
+        big = p > alpha            # still above alpha -> critical value is further out
+        lo = np.where(big, mid, lo)
+        hi = np.where(big, hi, mid)
+    return np.where(df > 0, 0.5 * (lo + hi), np.nan)
+
+
+def t_critical_values(sizes, n: str, alpha: float, out: str = "t_crit"):
+    """One row per distinct sample size with the two-sided critical t at level ``alpha`` (df = n - 1).
+
+    ``p > alpha`` is the same test as ``|t| < t_crit``, since the tail probability falls in |t|; grid
+    searches use this to test every cell with a comparison instead of a UDF call per cell.
+    """
+    @pandas_udf(DoubleType())
+    def _crit(k: pd.Series) -> pd.Series:
+        return pd.Series(t_critical_np(k.to_numpy(dtype=float) - 1.0, alpha))
+
+    return sizes.select(n).distinct().withColumn(out, _crit(F.col(n).cast("double")))

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from baflow.functions.chrom import chrom_ord
-from baflow.functions.rmath import dbinom_clamped, r_round, t_pvalue_two_sided, t_statistic, with_t_pvalue
+from baflow.functions.rmath import (dbinom_clamped, r_round, t_critical_values, t_pvalue_two_sided, t_statistic,
+                                    with_t_pvalue)
 from baflow.session import cut_lineage
 
 
@@ -376,8 +377,9 @@ def segment_clonal(rows: DataFrame, gamma: float, siglevel: float, maxdist: floa
     """FIT-09: per (cell, segment) row with b, r, size, sd, rho, psi -> is_clonal, balanced, nmaj_test,
     nmin_test (one corner of the nearest edge, two-sided t-test of b against its level).
 
-    With ``materialise`` (grid searches) the states are checkpointed and the t-test UDF runs once per
-    distinct (size, b, sd, level) instead of once per cell."""
+    With ``materialise`` (grid searches) the p-value itself is not produced (``pval`` is null): the
+    test p > siglevel is decided as |t| < t_crit(size - 1), with critical values computed once per
+    distinct size, so no UDF runs per cell."""
     b, r0, rho, psi = F.col("b"), F.coalesce(F.col("r"), F.lit(0.0)), F.col("rho"), F.col("psi")
     na, nb = copy_numbers(b, r0, rho, psi, gamma)
     d = rows.withColumns({"__cmaj0": F.greatest(na, nb), "__cmin0": F.least(na, nb)})
@@ -387,8 +389,18 @@ def segment_clonal(rows: DataFrame, gamma: float, siglevel: float, maxdist: floa
     d = d.withColumns({"nmaj_test": tmaj, "nmin_test": tmin})
     lev = baf_level(rho, F.col("nmaj_test"), F.col("nmin_test"))
     if materialise:
-        d = cut_lineage(d.withColumn("__lev", lev))
-        d = with_t_pvalue(d, "size", "b", "sd", "__lev", maxdist).drop("__lev")
+        # grid search: only p > siglevel matters, i.e. |t| < t_crit(size - 1); critical values are
+        # computed once per distinct size and joined (small side), no UDF call per cell
+        crit = t_critical_values(rows.select("sample_id", "size"), "size", siglevel, "__tcrit")
+        d = d.join(crit, "size", "left").withColumn("__lev", lev)
+        t = t_statistic(F.col("size"), b, F.col("sd"), F.col("__lev"))
+        passed = (F.when(F.col("sd") == 0, F.lit(False))
+                  .when(F.abs(b - F.col("__lev")) < F.lit(maxdist), F.lit(True))
+                  .otherwise(F.abs(t) < F.col("__tcrit")))
+        d = d.withColumn("__pass", passed).withColumn("pval", F.lit(None).cast("double"))
+        d = d.withColumns({"balanced": F.col("nmaj_test") == F.col("nmin_test"),
+                           "is_clonal": F.col("__pass") & (F.col("__cmaj") - F.col("__cmaj0") < 1)})
+        return d.drop("__cmaj0", "__cmin0", "__cmaj", "__cmin", "__lev", "__tcrit", "__pass")
     else:
         p = F.when(F.col("sd") == 0, F.lit(0.0)).otherwise(
             t_pvalue_two_sided(F.col("size"), b, F.col("sd"), lev, maxdist))
