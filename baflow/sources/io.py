@@ -47,6 +47,19 @@ def read_table_generic(spark: SparkSession, paths, schema: StructType, header: b
     return df.toDF(*[c.replace(" ", ".") for c in df.columns])
 
 
+def existing_paths(spark: SparkSession, paths) -> list[str]:
+    """Keep paths that exist and are not empty (file-system metadata only, one call per path)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    keep = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp) and (fs.getFileStatus(hp).isDirectory() or fs.getFileStatus(hp).getLen() > 0):
+            keep.append(p)
+    return keep
+
+
 def read_per_chrom(spark: SparkSession, paths: list[str], schema: StructType, header: bool = True,
                    sep: str = "\t", chrom_from_name: bool = False) -> DataFrame:
     """SRC-02/03/04: one scan over many per-chromosome files; missing files are skipped.
@@ -54,10 +67,11 @@ def read_per_chrom(spark: SparkSession, paths: list[str], schema: StructType, he
     With ``chrom_from_name`` the chromosome is taken from the file name suffix
     (``prefix<chrom>.txt``) through the hidden ``_metadata`` column selected on the scan.
     """
+    paths = existing_paths(spark, paths)
     if not paths:
         return spark.createDataFrame([], schema)
     df = (spark.read.schema(schema).option("sep", sep).option("header", header)
-          .option("mode", "DROPMALFORMED").option("ignoreMissingFiles", "true").csv(paths))
+          .option("mode", "DROPMALFORMED").csv(paths))
     if chrom_from_name:
         df = df.select("*", F.regexp_extract(F.col("_metadata.file_path"), r"((?:chr)?(?:\d+|X|Y))\.[^/.]+$", 1)
                        .alias("CHR"))
