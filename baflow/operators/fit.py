@@ -411,31 +411,52 @@ def segment_clonal(rows: DataFrame, gamma: float, siglevel: float, maxdist: floa
 
 
 def standardised_error(rows: DataFrame, gamma: float) -> DataFrame:
-    """FIT-11: t statistic of the pooled BAF mean against the nearest level (0.5 tie rule); included flag."""
+    """FIT-11: t statistic of the pooled BAF mean against the nearest level (0.5 tie rule); included flag.
+
+    The four corners are plain columns (no array functions, so the stage stays in generated code):
+    corners with a zero denominator are dropped, the nearest remaining level wins (first on ties), and
+    when that level and the 2nd and 3rd remaining levels are all 0.5 the level is 0.5.
+    """
     b, r0, rho, psi = F.col("b"), F.coalesce(F.col("r"), F.lit(0.0)), F.col("rho"), F.col("psi")
     f = F.pow(F.lit(2.0), r0 / F.lit(gamma))
     M = (rho - 1 + b * psi * f) / rho
     m = (rho - 1 + (1 - b) * psi * f) / rho
-    M = F.when((M < 0) | M.isNull() | F.isnan(M), F.lit(0.01)).otherwise(M)
-    m = F.when((m < 0) | m.isNull() | F.isnan(m), F.lit(0.01)).otherwise(m)
-    d = rows.withColumns({"__cmaj": M, "__cmin": m})
-    M, m = F.col("__cmaj"), F.col("__cmin")
-    corners = F.array(*[F.struct(a.alias("maj"), c.alias("mn")) for a, c in
-                        ((F.floor(M), F.ceil(m)), (F.ceil(M), F.ceil(m)), (F.floor(M), F.floor(m)), (F.ceil(M), F.floor(m)))])
-    kept = F.filter(corners, lambda c: (2 - 2 * rho + rho * (c["maj"] + c["mn"])) != 0)
-    levels = F.transform(kept, lambda c: (1 - rho + rho * c["maj"]) / (2 - 2 * rho + rho * (c["maj"] + c["mn"])))
-    d = d.withColumn("__lev", levels)
-    lev = F.col("__lev")
-    best = F.array_min(F.transform(lev, lambda x, k: F.struct(F.abs(x - b).alias("dist"), k.alias("k"))))["k"]
-    x, y = F.floor(m), F.floor(M)
-    tie = ((F.size(lev) >= 3) & (F.element_at(lev, best + 1) == 0.5) & (F.element_at(lev, 2) == 0.5)
-           & (F.element_at(lev, 3) == 0.5))
-    k = F.when(tie, F.when(M + m > x + y + 1, F.lit(1)).otherwise(F.lit(2))).otherwise(best)
-    mu = F.element_at(lev, k + 1)
-    tv = t_statistic(F.col("size"), F.col("mean"), F.col("sd"), mu)
-    has = (F.col("size") > 0) & (F.col("sd") != 0) & (F.size(lev) > 0)
-    return d.withColumns({"tvar": F.when(has, tv).otherwise(F.lit(0.0)),
-                          "included": F.when(has, F.lit(1)).otherwise(F.lit(0))}).drop("__cmaj", "__cmin", "__lev")
+    d = rows.withColumns({"__se_maj": F.when((M < 0) | M.isNull() | F.isnan(M), F.lit(0.01)).otherwise(M),
+                          "__se_min_cn": F.when((m < 0) | m.isNull() | F.isnan(m), F.lit(0.01)).otherwise(m)})
+    M, m = F.col("__se_maj"), F.col("__se_min_cn")
+    corners = [(F.floor(M), F.ceil(m)), (F.ceil(M), F.ceil(m)), (F.floor(M), F.floor(m)), (F.ceil(M), F.floor(m))]
+    cols = {}
+    for k, (a, c) in enumerate(corners, 1):
+        den = 2 - 2 * rho + rho * (a + c)
+        cols[f"__se_keep{k}"] = den != 0
+        cols[f"__se_lev{k}"] = F.when(den != 0, (1 - rho + rho * a) / den)
+    d = d.withColumns(cols)
+    keep = [F.col(f"__se_keep{k}") for k in range(1, 5)]
+    lev = [F.col(f"__se_lev{k}") for k in range(1, 5)]
+    pos = [sum((kk.cast("int") for kk in keep[:k + 1]), F.lit(0)) for k in range(4)]
+    dist = [F.abs(lv - b) for lv in lev]                      # null for dropped corners
+    d = d.withColumns({**{f"__se_pos{k + 1}": pos[k] for k in range(4)},
+                       **{f"__se_dist{k + 1}": dist[k] for k in range(4)}})
+    pos = [F.col(f"__se_pos{k}") for k in range(1, 5)]
+    dist = [F.col(f"__se_dist{k}") for k in range(1, 5)]
+    d = d.withColumn("__se_min", F.least(*dist))
+
+    def first_match(values, conds):
+        e = None
+        for v, c in zip(values, conds):
+            e = F.when(c, v) if e is None else e.when(c, v)
+        return e
+
+    best = first_match(lev, [kk & (dd == F.col("__se_min")) for kk, dd in zip(keep, dist)])
+    at = lambda p: first_match(lev, [kk & (pp == p) for kk, pp in zip(keep, pos)])
+    nkept = pos[3]
+    tie = (nkept >= 3) & (best == 0.5) & (at(2) == 0.5) & (at(3) == 0.5)
+    d = d.withColumn("__se_mu", F.when(tie, F.lit(0.5)).otherwise(best))
+    tv = t_statistic(F.col("size"), F.col("mean"), F.col("sd"), F.col("__se_mu"))
+    has = (F.col("size") > 0) & (F.col("sd") != 0) & (nkept > 0)
+    d = d.withColumns({"tvar": F.when(has, tv).otherwise(F.lit(0.0)),
+                       "included": F.when(has, F.lit(1)).otherwise(F.lit(0))})
+    return d.drop(*[c for c in d.columns if c.startswith("__se_")])
 
 
 def clonal_distance(segs: DataFrame, spec, choice: int, p: FitParams) -> DataFrame:
