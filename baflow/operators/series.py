@@ -214,7 +214,9 @@ def presegments(points: DataFrame, breakpoints: DataFrame | None, keys, order, l
     extra = [c for c in points.columns if c not in keys and c not in order]
     pts = points.withColumn("__is_bp", F.lit(0))
     if breakpoints is None:
-        bps = pts.limit(0).select(*keys, "position")
+        from pyspark.sql.types import StructType
+        empty = StructType([points.schema[c] for c in keys + ["position"]])
+        bps = points.sparkSession.createDataFrame([], empty)
     else:
         bps = breakpoints.select(*keys, "position")
     first_pt = pts.groupBy(*keys).agg(F.min("position").alias("__p1"))

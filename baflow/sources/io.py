@@ -143,12 +143,15 @@ def read_signal(spark: SparkSession, path: str, sample_id: str | None = None) ->
 
 
 def read_rho_psi(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-13: ``rho_and_psi`` TSV with row names; returns all rows with a ``method`` column."""
+    """SRC-13: ``rho_and_psi`` TSV written with row names (the header line has one field less).
+
+    Columns are named explicitly; the header line drops out with the method filter.
+    """
     raw = spark.read.option("header", False).option("sep", "\t").csv(path)
-    first = raw.limit(1).collect()[0]  # header row of a 4-line file
-    names = ["method"] + [str(x) for x in list(first)[1:] if x is not None]
-    body = spark.read.option("header", False).option("sep", "\t").csv(path).toDF(*names[: len(raw.columns)])
-    return body.filter(F.col("method").isin("ASCAT", "FRAC_GENOME", "REF_SEG"))
+    named = raw.toDF(*["method", "rho", "psi", "ploidy", "distance", "is_best"][: len(raw.columns)])
+    return named.filter(F.col("method").isin("ASCAT", "FRAC_GENOME", "REF_SEG")).select(
+        "method", *[F.col(c).try_cast("double").alias(c) for c in ("rho", "psi", "ploidy", "distance")],
+        F.upper(F.col("is_best")).isin("TRUE", "T").alias("is_best"))
 
 
 def read_breakpoints(spark: SparkSession, path: str | None) -> DataFrame:

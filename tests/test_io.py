@@ -63,3 +63,13 @@ def test_signal_reader_value_column(spark):
     s = io.read_signal(spark, f"{d}/baf.tsv")
     rows = sorted(s.collect(), key=lambda r: r["position"])
     assert rows[0]["sample_id"] == "TUMOUR1" and rows[0]["value"] == 0.25 and rows[1]["value"] is None
+
+
+def test_rho_psi_reader(spark):
+    d = tempfile.mkdtemp(prefix="baflow-io-")
+    _write_text(f"{d}/rho_and_psi.txt", ["rho\tpsi\tploidy\tdistance\tis.best", "ASCAT\t0.7\t2.4\t2.4\tNA\tNA",
+                                         "FRAC_GENOME\t0.71\t2.38\t2.41\t0.93\tTRUE", "REF_SEG\t0.69\t2.5\t2.45\t0.9\tFALSE"])
+    rows = {r["method"]: r for r in io.read_rho_psi(spark, f"{d}/rho_and_psi.txt").collect()}
+    assert set(rows) == {"ASCAT", "FRAC_GENOME", "REF_SEG"}
+    assert rows["FRAC_GENOME"]["rho"] == 0.71 and rows["FRAC_GENOME"]["is_best"] is True
+    assert rows["ASCAT"]["distance"] is None
