@@ -147,8 +147,8 @@ def read_rho_psi(spark: SparkSession, path: str) -> DataFrame:
 
     Columns are named explicitly; the header line drops out with the method filter.
     """
-    raw = spark.read.option("header", False).option("sep", "\t").csv(path)
-    named = raw.toDF(*["method", "rho", "psi", "ploidy", "distance", "is_best"][: len(raw.columns)])
+    schema = StructType([StructField(c, StringType()) for c in ("method", "rho", "psi", "ploidy", "distance", "is_best")])
+    named = spark.read.schema(schema).option("header", False).option("sep", "\t").csv(path)
     return named.filter(F.col("method").isin("ASCAT", "FRAC_GENOME", "REF_SEG")).select(
         "method", *[F.col(c).try_cast("double").alias(c) for c in ("rho", "psi", "ploidy", "distance")],
         F.upper(F.col("is_best")).isin("TRUE", "T").alias("is_best"))
