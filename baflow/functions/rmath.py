@@ -183,6 +183,9 @@ def t_critical_values(sizes, n: str, alpha: float, out: str = "t_crit"):
     ``p > alpha`` is the same test as ``|t| < t_crit``, since the tail probability falls in |t|; grid
     searches use this to test every cell with a comparison instead of a UDF call per cell.
     """
+    from baflow.session import ship_package
+    ship_package(sizes.sparkSession)
+
     @pandas_udf(DoubleType())
     def _crit(k: pd.Series) -> pd.Series:
         return pd.Series(t_critical_np(k.to_numpy(dtype=float) - 1.0, alpha))

@@ -98,6 +98,8 @@ def call_states(segs: DataFrame, rho: Column, siglevel: float = 0.05, maxdist: f
     """CALL-05..07: test level of the first candidate, t statistic and p-value of the phased BAF
     against it (sd null/0 -> p 0; |l - level| < maxdist -> p 1); clonal -> first candidate,
     subclonal (p <= siglevel) -> first non-null candidate."""
+    from baflow.session import ship_package
+    ship_package(segs.sparkSession)
     first = F.element_at(F.col("edges"), 1)
     lev = (1 - rho + rho * first["major"]) / (2 - 2 * rho + rho * (first["major"] + first["minor"]))
     d = segs.withColumn("test_level", lev)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from baflow.functions.chrom import chrom_ord
 from baflow.functions.rmath import (dbinom_clamped, r_round, t_critical_values, t_pvalue_two_sided, t_statistic,
                                     with_t_pvalue)
-from baflow.session import cut_lineage
+from baflow.session import cut_lineage, ship_package
 
 
 @dataclass(frozen=True)
@@ -380,6 +380,7 @@ def segment_clonal(rows: DataFrame, gamma: float, siglevel: float, maxdist: floa
     With ``materialise`` (grid searches) the p-value itself is not produced (``pval`` is null): the
     test p > siglevel is decided as |t| < t_crit(size - 1), with critical values computed once per
     distinct size, so no UDF runs per cell."""
+    ship_package(rows.sparkSession)
     b, r0, rho, psi = F.col("b"), F.coalesce(F.col("r"), F.lit(0.0)), F.col("rho"), F.col("psi")
     na, nb = copy_numbers(b, r0, rho, psi, gamma)
     d = rows.withColumns({"__cmaj0": F.greatest(na, nb), "__cmin0": F.least(na, nb)})
@@ -587,6 +588,7 @@ def ln_likelihood_ratio(rows: DataFrame, gamma: float, read_depth: int = 30) ->
     """FIT-10: binomial likelihood of the pooled BAF mean at the nearest corner's level, and the log ratio
     of the two best candidate levels. The nearest-corner rule yields a single candidate, so the ratio
     is 0 (App. A-14); the likelihood of that candidate is still reported."""
+    ship_package(rows.sparkSession)
     b, r0, rho, psi = F.col("b"), F.coalesce(F.col("r"), F.lit(0.0)), F.col("rho"), F.col("psi")
     f = F.pow(F.lit(2.0), r0 / F.lit(gamma))
     d = rows.withColumns({"__cmaj0": (rho - 1 + b * psi * f) / rho, "__cmin0": (rho - 1 + (1 - b) * psi * f) / rho})

@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from baflow.operators import potts
 from baflow.operators import series as R
-from baflow.session import cut_lineage
+from baflow.session import cut_lineage, ship_package
 
 MIN_SEGMENT_POINTS = 50   # fixed value: shorter series get their mean, no segmentation
 
@@ -40,6 +40,7 @@ def potts_fit(indexed: DataFrame, keys, value: str, kmin: int, penalty_col: str)
     ``indexed`` carries keys, rn, n, value and ``penalty_col`` (gamma, constant per series).
     """
     keys = list(keys)
+    ship_package(indexed.sparkSession)
     # the marked points feed both the compaction and the join back: materialise them once
     blk = cut_lineage(_blocks(indexed, keys, value, kmin))
     v = F.col(value)
@@ -130,6 +131,7 @@ def segment_baf_phased(het: DataFrame, breakpoints: DataFrame | None = None, gam
 def potts_exact(points: DataFrame, keys, order, value: str, kmin: int, gamma: float) -> DataFrame:
     """SEG-10: point-level fit per series in a grouped pandas UDF (raw points; for testing/small series)."""
     keys, order = list(keys), list(order)
+    ship_package(points.sparkSession)
     d = R.index_series(points.select(*keys, *order, F.col(value).alias("__y")), keys, order)
     fields = [f for f in d.schema.fields if f.name in keys]
     schema = StructType(fields + [StructField("rn", LongType()), StructField("seg_idx", LongType()),
@@ -150,6 +152,7 @@ def potts_exact(points: DataFrame, keys, order, value: str, kmin: int, gamma: fl
 def thin_marks(indexed: DataFrame, keys, value: str, kmin: int, penalty_col: str) -> DataFrame:
     """SEG-09: boundaries kept by the sliding-subset thinning (all marks for series < 15000 points)."""
     keys = list(keys)
+    ship_package(indexed.sparkSession)
     blk = _blocks(indexed, keys, value, kmin)
     v = F.col(value)
     compacted = blk.groupBy(*keys, "block_id").agg(

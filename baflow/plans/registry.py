@@ -41,7 +41,12 @@ def round6(df: DataFrame, cols) -> DataFrame:
 
 def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     q = REGISTRY[name]
-    return lambda spark, sf_dir: round6(q.build(spark, sf_dir), q.doubles)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from baflow.session import ship_package
+        ship_package(spark)
+        return round6(q.build(spark, sf_dir), q.doubles)
+    return run
 
 
 def oracle_query(name: str) -> str | None:

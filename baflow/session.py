@@ -32,6 +32,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
              .config("spark.ui.showConsoleProgress", "false"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -70,3 +71,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     finally:
         df.unpersist()
     return out
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``baflow`` importable in the Python workers (pandas UDFs) -- the ``--py-files`` step.
+
+    The package source is zipped once per application and added with ``SparkContext.addPyFile``,
+    which Spark distributes to every executor; harmless when the package is installed there already.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+
+    import baflow
+    pkg = os.path.dirname(os.path.abspath(baflow.__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="baflow-pyfiles-"), "baflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
