@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,15 +46,36 @@ def hash_share(rate: float, *cols: str, seed: int = 7) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(1 << 20)) < int(rate * (1 << 20) + 0.999)
 
 
-def by_size(batches: Iterator[pd.DataFrame], col: str, chars: int) -> Iterator[pd.DataFrame]:
-    """Cut batches into pieces of about ``chars`` characters of ``col``; one long text stays whole."""
+def slices(batches: Iterator[pa.RecordBatch], col: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Cut batches into pieces of about ``size`` bytes of the text column ``col``; one long text stays whole."""
     for b in batches:
-        if len(b) == 0:
+        if b.num_rows == 0:
             continue
-        total = b[col].str.len().fillna(0).to_numpy().cumsum()
-        piece = (total // chars).astype("int64")
+        total = pc.fill_null(pc.binary_length(b.column(col)), 0).to_numpy(zero_copy_only=False).astype("i8").cumsum()
         start = 0
-        while start < len(b):
-            stop = max(start + 1, int(piece.searchsorted(piece[start], "right")))
-            yield b.iloc[start:stop]
+        while start < b.num_rows:
+            base = total[start - 1] if start else 0
+            stop = max(start + 1, int(total.searchsorted(base + size, "right")))
+            yield b.slice(start, stop - start)
             start = stop
+
+
+def map_texts(docs: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dict], schema: str,
+              keep: tuple[str, ...] = ("doc_id",), size: int = 8_000_000) -> DataFrame:
+    """Apply ``fn`` to pieces of ``docs`` (columns ``keep`` and ``text``); ``fn`` gives the new columns.
+
+    ``fn(batch)`` returns a dict of arrays of the batch's length; the result has ``keep`` (types as they
+    were, nulls untouched) and the columns of ``schema``.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    names = [c.split()[0] for c in schema.split(", ")]
+    cols = [F.col(c) for c in keep if c != "text"] + [F.col("text").cast("string").alias("text")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", size):
+            new = fn(b)
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(new[c]) for c in names],
+                                             names=[*keep, *names])
+
+    full = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [schema])
+    return docs.select(*cols).mapInArrow(run, full)

@@ -15,12 +15,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from baflow.llm.common import by_size, save
+from baflow.llm.common import save, slices
 
 SEQ_LEN = 4096
 END_ID = 2
@@ -96,18 +96,20 @@ def _encoder(tokenizer: str) -> WordEncoder:
 def tokenize(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = END_ID) -> DataFrame:
     """(part, start_in_part, doc_id, doc_tokens, wide, ids): one row per row of ``docs``, its ids as bytes."""
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype=enc.kind)
-        for b in by_size(batches, "text", 4_000_000):
-            ids = [np.concatenate([x, end]) for x in enc.encode([t or "" for t in b["text"]])]
+        for b in slices(batches, "text", 4_000_000):
+            ids = [np.concatenate([x, end]) for x in enc.encode([t or "" for t in b.column("text").to_pylist()])]
             n = np.array([len(x) for x in ids], dtype="int64")
-            yield pd.DataFrame({"part": part, "start_in_part": at + n.cumsum() - n, "doc_id": b["doc_id"].array,
-                                "doc_tokens": n, "wide": enc.kind.itemsize, "ids": [x.tobytes() for x in ids]})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(n), part, "i4")), pa.array(at + n.cumsum() - n), b.column("doc_id"), pa.array(n),
+                 pa.array(np.full(len(n), enc.kind.itemsize, "i4")), pa.array([x.tobytes() for x in ids], pa.binary())],
+                names=["part", "start_in_part", "doc_id", "doc_tokens", "wide", "ids"])
             at += int(n.sum())
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInPandas(
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
         encode, f"part int, start_in_part long, doc_id {kind}, doc_tokens long, wide int, ids binary")
 
 
@@ -125,24 +127,24 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", seq_len: int = S
     placed = ids.join(firsts, "part").select(
         "doc_id", "doc_tokens", "wide", "ids", (F.col("first") + F.col("start_in_part")).alias("at"))
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens",
-                                                     "sequence_id", "offset")}
-            for doc_id, n, wide, raw, at in zip(b["doc_id"].tolist(), b["doc_tokens"].tolist(), b["wide"].tolist(),
-                                                b["ids"].tolist(), b["at"].tolist(), strict=True):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+        for b in slices(batches, "ids", 16_000_000):
+            row, pieces = [], []
+            for k, (n, wide, raw, at) in enumerate(zip(*(b.column(c).to_pylist() for c in (
+                    "doc_tokens", "wide", "ids", "at")), strict=True)):
                 x = np.frombuffer(raw, dtype=f"<u{wide}").astype("<u4")
                 lo = 0
                 while lo < n:
                     seq, off = divmod(at + lo, seq_len)
                     hi = min(n, lo + seq_len - off)
-                    for k, v in zip(rows, (doc_id, lo, hi - lo, zlib.crc32(x[lo:hi]), n, seq, off), strict=True):
-                        rows[k].append(v)
+                    row.append(k)
+                    pieces.append((lo, hi - lo, zlib.crc32(x[lo:hi]), n, seq, off))
                     lo = hi
-            out = pd.DataFrame(rows)
-            out["doc_id"] = pd.array(rows["doc_id"], dtype="Int64") if b["doc_id"].dtype.kind in "if" else rows["doc_id"]
-            yield out
+            cols = np.array(pieces, dtype="i8").reshape(-1, len(names))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row, pa.int64())),
+                                              *(pa.array(c) for c in cols.T.copy())], names=["doc_id", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return placed.mapInPandas(cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
-                                   "sequence_id long, offset long")
+    return placed.mapInArrow(cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
+                                  "sequence_id long, offset long")

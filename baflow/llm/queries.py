@@ -6,16 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from baflow.llm import packing
-from baflow.llm.common import read
+from pyspark.sql import functions as F
+
+from baflow.llm import langid, packing
+from baflow.llm.common import fold, read
 
 
 def op2_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op6_ftrl_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = langid.train(docs, may_learn=fold("doc_id", 4) != 2)
+    return langid.identify(docs, model).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_concat_packing": op2_concat_packing,
+    "op6_ftrl_langid": op6_ftrl_langid,
 }
 
 ORACLES: dict[str, str] = {}
