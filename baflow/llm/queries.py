@@ -8,10 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from baflow.llm import langid, packing
+from baflow.llm import langid, packing, toxicity
 from baflow.llm.common import fold, read
 
 
+def op1_subsequence_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), may_learn=fold("doc_id", 3) != 1)
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op2_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -24,6 +31,7 @@ def op6_ftrl_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_subsequence_svm": op1_subsequence_svm,
     "op2_concat_packing": op2_concat_packing,
     "op6_ftrl_langid": op6_ftrl_langid,
 }
