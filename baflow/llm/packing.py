@@ -24,10 +24,21 @@ from baflow.llm.common import save, slices
 
 SEQ_LEN = 4096
 END_ID = 2
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
+class _Words(dict):
+    """Ids by word; words that are only kept for the texts at hand lie in ``extra``."""
+
+    def __init__(self):
+        super().__init__({"": b""})
+        self.extra: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        return self.extra[word]
+
+
 class WordEncoder:
     """Ids of whole texts by a tokenizer whose pieces never cross white space, one word at a time.
 
@@ -43,7 +54,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
         self.limit = limit
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = _Words()
 
     def _raw(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
@@ -61,23 +72,18 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known, extra = self.known, {}
-        missing = {w for words in split for w in words if w not in known}
-        if missing:
-            # a letter-only word with one mark behind it is that word's ids and the mark's
-            tails = {w: w[-1] for w in missing if w[-1] in ".,;:" and w[:-1].isalpha()}
-            plain = {w[:-1] if w in tails else w for w in missing}
-            plain = {w for w in plain if w not in known}
-            room = self.limit - len(known)
-            into = known if room > len(missing) + len(plain) else extra
-            self._learn(sorted(w for w in plain if w.isalpha()), into)
-            for w in sorted(plain | set(tails.values())):
-                if w not in known and w not in into:
-                    into[w] = self._raw(w)
-            both = (lambda w: known[w] if w in known else extra[w])
-            for w, tail in tails.items():
-                into[w] = both(w[:-1]) + both(tail)
-        get = known.__getitem__ if not extra else (lambda w: known[w] if w in known else extra[w])
+        known = self.known
+        known.extra = extra = {}
+        missing = [w for w in set().union(*split) if w not in known]
+        # a letter-only word with one mark behind it is that word's ids and the mark's
+        tails = {w for w in missing if w[-1] in ".,;:" and w[:-1].isalpha()}
+        plain = {w[:-1] if w in tails else w for w in missing} | {w[-1] for w in tails}
+        plain = {w for w in plain if w not in known}
+        into = known if len(known) + len(plain) <= self.limit else extra
+        self._learn(sorted(w for w in plain if w.isalpha()), into)
+        into.update((w, self._raw(w)) for w in plain if not w.isalpha())
+        extra.update((w, known[w[:-1]] + known[w[-1]]) for w in tails)
+        get = known.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), dtype=self.kind) for words in split]
 
 
@@ -124,7 +130,8 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", seq_len: int = S
     totals = ids.groupBy("part").agg(F.sum("doc_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    placed = ids.join(firsts, "part").select(
+    # two numbers per task of pass one: small however large the input, so the ids need not be shuffled
+    placed = ids.join(F.broadcast(firsts), "part").select(
         "doc_id", "doc_tokens", "wide", "ids", (F.col("first") + F.col("start_in_part")).alias("at"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
