@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from baflow.session import checkpoint_dir, ship_package
 
@@ -68,13 +70,14 @@ def map_texts(docs: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | d
     were, nulls untouched) and the columns of ``schema``.
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    names = [c.split()[0] for c in schema.split(", ")]
+    new_fields = T.StructType.fromDDL(schema).fields
+    names, types = [f.name for f in new_fields], [to_arrow_type(f.dataType) for f in new_fields]
     cols = [F.col(c) for c in keep if c != "text"] + [F.col("text").cast("string").alias("text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", size):
             new = fn(b)
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(new[c]) for c in names],
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(new[c], t) for c, t in zip(names, types, strict=True)],
                                              names=[*keep, *names])
 
     full = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [schema])

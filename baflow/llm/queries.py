@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from baflow.llm import jaccard, langid, packing, toxicity
+from baflow.llm import jaccard, langid, packing, pii, toxicity
 from baflow.llm.common import fold, read
 
 
@@ -30,6 +30,11 @@ def op6_ftrl_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 def op8_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -38,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subsequence_svm": op1_subsequence_svm,
     "op2_concat_packing": op2_concat_packing,
     "op6_ftrl_langid": op6_ftrl_langid,
+    "op7_boosted_pii": op7_boosted_pii,
     "op8_count_vector_join": op8_count_vector_join,
 }
 
