@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from baflow.llm import jaccard, langid, packing, pii, toxicity
+from baflow.llm import jaccard, langid, packing, pii, toxicity, url_filter
 from baflow.llm.common import fold, read
 
 
@@ -39,12 +39,41 @@ def op8_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return url_filter.judge(pages, listed_hosts=url_filter.hosts_with_words(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subsequence_svm": op1_subsequence_svm,
     "op2_concat_packing": op2_concat_packing,
     "op6_ftrl_langid": op6_ftrl_langid,
     "op7_boosted_pii": op7_boosted_pii,
     "op8_count_vector_join": op8_count_vector_join,
+    "op9_bloom_cascade": op9_bloom_cascade,
 }
 
-ORACLES: dict[str, str] = {}
+OP9_SQL = """
+WITH parts AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+ruled AS (
+  SELECT page_id, host, path,
+    CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/')
+           THEN 'www.example.com/en/'
+         WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+         WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+         WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+         WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM split)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block'
+       WHEN rule IS NOT NULL THEN 'allow'
+       WHEN list_has_any(regexp_split_to_array(host, '[.-]'), ['adult', 'bets', 'casino', 'pills', 'spam']) THEN 'block'
+       ELSE 'allow' END AS verdict
+FROM ruled"""
+
+ORACLES: dict[str, str] = {"op9_bloom_cascade": OP9_SQL}
