@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from baflow.llm import jaccard, langid, packing, pii, toxicity, url_filter
+from baflow.llm import jaccard, langid, packing, pii, pivots, toxicity, url_filter
 from baflow.llm.common import fold, read
 
 
@@ -44,6 +44,10 @@ def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed_hosts=url_filter.hosts_with_words(pages))
 
 
+def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subsequence_svm": op1_subsequence_svm,
     "op2_concat_packing": op2_concat_packing,
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_boosted_pii": op7_boosted_pii,
     "op8_count_vector_join": op8_count_vector_join,
     "op9_bloom_cascade": op9_bloom_cascade,
+    "op10_pivot_permutations": op10_pivot_permutations,
 }
 
 OP9_SQL = """
