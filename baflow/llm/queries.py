@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from baflow.llm import jaccard, langid, packing, pii, pivots, toxicity, url_filter
+from baflow.llm import jaccard, langid, lm, packing, pii, pivots, toxicity, url_filter
 from baflow.llm.common import fold, read
 
 
@@ -23,6 +23,12 @@ def op2_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return lm.score(docs, fold("doc_id", 5) != 1).select(
+        "doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_ftrl_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = langid.train(docs, may_learn=fold("doc_id", 4) != 2)
@@ -51,6 +57,7 @@ def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subsequence_svm": op1_subsequence_svm,
     "op2_concat_packing": op2_concat_packing,
+    "op5_deleted_interpolation": op5_deleted_interpolation,
     "op6_ftrl_langid": op6_ftrl_langid,
     "op7_boosted_pii": op7_boosted_pii,
     "op8_count_vector_join": op8_count_vector_join,

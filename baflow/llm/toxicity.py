@@ -35,7 +35,7 @@ from baflow.llm.common import hash_share, map_texts, sample_rate
 
 ORDER = 4
 DECAY = 0.5
-TRAIN_DOCS = 3000
+TRAIN_DOCS = 2000
 MAX_LANDMARKS = 48
 MAX_CLEAN_WORDS = 20_000          # clean words that the support vector machine is fitted against
 CACHE_WORDS = 500_000
@@ -155,17 +155,22 @@ def _cover(pos: list[set[str]], neg: list[set[str]], most: int) -> list[str]:
     pos = [once[k] for k in sorted(once)]
     docs_of = Counter(w for words in pos for w in words)
     least = max(3, len(pos) // 100)
-    held: dict[str, set[str]] = {}
-    for w in docs_of:
-        for r in runs(w):
-            held.setdefault(r, set()).add(w)
-    count = {r: sum(docs_of[w] for w in ws) for r, ws in held.items()}
-    able = {r for r, c in count.items() if c >= least}
+    count: dict[str, int] = {}
+    for n in range(4, 9):                             # one length at a time keeps the driver's memory small
+        c: Counter[str] = Counter()
+        for w, k in docs_of.items():
+            for r in {w[i:i + n] for i in range(len(w) - n + 1)}:
+                c[r] += k
+        count.update((r, k) for r, k in c.items() if k >= least)
     against: Counter[str] = Counter()
-    for w, n in Counter(w for words in neg for w in words).items():
+    for w, k in Counter(w for words in neg for w in words).items():
+        for r in runs(w) & count.keys():
+            against[r] += k
+    able = {r for r, k in count.items() if against[r] * len(pos) <= 0.004 * k * len(neg)}
+    held: dict[str, set[str]] = {r: set() for r in able}
+    for w in docs_of:
         for r in runs(w) & able:
-            against[r] += n
-    able = {r for r in able if against[r] * len(pos) <= 0.004 * count[r] * len(neg)}
+            held[r].add(w)
     open_words, chosen = set(docs_of), []
     gain = {r: count[r] for r in able}
     while gain and len(chosen) < most:
@@ -285,8 +290,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", may_learn: C
                           for t in b.column("text").to_pylist()]}
 
     got = map_texts(sample, words, "words string", ("_label", "doc_id")).orderBy("doc_id").collect()
-    pos = [set(r["words"].split()) for r in got if r["_label"] == 1]
-    neg = [set(r["words"].split()) for r in got if r["_label"] == 0]
+    one: dict[str, str] = {}                          # one object per distinct word
+    bags = [(r["_label"], {one.setdefault(w, w) for w in r["words"].split()}) for r in got]
+    pos, neg = [b for v, b in bags if v == 1], [b for v, b in bags if v == 0]
     return fit(pos, neg)
 
 
