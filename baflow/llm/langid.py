@@ -181,13 +181,20 @@ def train(docs: DataFrame, label: str = "lang", may_learn: Column | None = None,
     return Model(langs, w * idf[:, None], idf * idf, b, fit_temperature(logits, y[kept]))
 
 
-def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns of every row, with lang_pred and score (0 to 1)."""
+def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
+             into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns of every row, with the predicted language and its probability in columns ``into``."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)    # DIM x languages numbers: a fixed size
 
     def predict(b):
         got = [shared.value.predict(t) for t in b.column("text").to_pylist()]
-        return {"lang_pred": [g[0] for g in got], "score": [g[1] for g in got]}
+        return {into[0]: [g[0] for g in got], into[1]: [g[1] for g in got]}
 
-    return map_texts(docs, predict, "lang_pred string, score double", keep)
+    return map_texts(docs, predict, f"{into[0]} string, {into[1]} double", keep)
+
+
+def accepted(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
+    """The rows of ``docs`` whose language is determined with probability ``least`` or more; columns stay."""
+    told = identify(docs, model, tuple(docs.columns), ("__lang", "__score"))
+    return told.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= least)).select(*docs.columns)

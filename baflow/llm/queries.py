@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from baflow.llm import jaccard, langid, lm, packing, pii, pivots, toxicity, url_filter
+from baflow.llm import decontam, jaccard, langid, lm, packing, pii, pivots, toxicity, url_filter
 from baflow.llm.common import fold, read
 
 
@@ -23,6 +23,12 @@ def op2_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op3_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", F.size("leaks").alias("n_items"), (F.size("leaks") > 0).alias("contaminated"),
+                        F.col("leaks.item_id").alias("item_ids"), F.col("leaks.distance").alias("distances"))
+
+
 def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return lm.score(docs, fold("doc_id", 5) != 1).select(
@@ -57,6 +63,7 @@ def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subsequence_svm": op1_subsequence_svm,
     "op2_concat_packing": op2_concat_packing,
+    "op3_cgk_decontamination": op3_cgk_decontamination,
     "op5_deleted_interpolation": op5_deleted_interpolation,
     "op6_ftrl_langid": op6_ftrl_langid,
     "op7_boosted_pii": op7_boosted_pii,

@@ -1,18 +1,45 @@
-"""Corpus pipeline: the stages that turn raw documents into packed training sequences."""
+"""Corpus pipeline: the stages that turn raw documents into packed training sequences.
+
+Each stage takes the rows that its predecessor kept, with the columns of ``documents``; the last one
+returns the pieces of the packed sequences. Null and empty texts are undetermined in language and go in the
+first stage; an empty table passes every stage as an empty table; extra columns are carried along.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from baflow.llm import packing
-from baflow.llm.common import read, save
+from baflow.llm import decontam, jaccard, langid, packing, pii
+from baflow.llm.common import fold, read, save
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is determined stay; the classifier learns from the labels of ``docs``."""
+    return langid.accepted(docs, langid.train(docs, may_learn=fold("doc_id", 4) != 2))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents stays, that of least id."""
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item stay."""
+    return decontam.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; personal data in their text is replaced by its kind in brackets."""
+    return pii.redact(docs, pii.train(docs))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of full sequences of tokens."""
     return packing.pack(docs)
 
 
-STAGES = [("packing", pack_documents)]
+STAGES = [("language ID", language_id), ("n-gram Jaccard join", near_duplicates),
+          ("benchmark decontamination", decontamination), ("PII", private_data), ("packing", pack_documents)]
 ORACLE_SQL = None
 
 
