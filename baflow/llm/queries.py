@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from baflow.llm import decontam, jaccard, langid, lm, packing, pii, pivots, toxicity, url_filter
+from baflow.llm import decontam, jaccard, langid, lm, packing, pii, pivots, secret_scan, toxicity, url_filter
 from baflow.llm.common import fold, read
 
 
@@ -29,6 +29,11 @@ def op3_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("leaks.item_id").alias("item_ids"), F.col("leaks.distance").alias("distances"))
 
 
+def op4_forest_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.train(docs))
+
+
 def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return lm.score(docs, fold("doc_id", 5) != 1).select(
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subsequence_svm": op1_subsequence_svm,
     "op2_concat_packing": op2_concat_packing,
     "op3_cgk_decontamination": op3_cgk_decontamination,
+    "op4_forest_secrets": op4_forest_secrets,
     "op5_deleted_interpolation": op5_deleted_interpolation,
     "op6_ftrl_langid": op6_ftrl_langid,
     "op7_boosted_pii": op7_boosted_pii,
