@@ -76,7 +76,7 @@ class WordEncoder:
         known.extra = extra = {}
         missing = [w for w in set().union(*split) if w not in known]
         # a letter-only word with one mark behind it is that word's ids and the mark's
-        tails = {w for w in missing if w[-1] in ".,;:" and w[:-1].isalpha()}
+        tails = {w for w in missing if w[-1] in ".,;:" and w[:-1].isalpha() and w.lower()[:-1].isalpha()}
         plain = {w[:-1] if w in tails else w for w in missing} | {w[-1] for w in tails}
         plain = {w for w in plain if w not in known}
         into = known if len(known) + len(plain) <= self.limit else extra
