@@ -101,7 +101,8 @@ def call_states(segs: DataFrame, rho: Column, siglevel: float = 0.05, maxdist: f
     from baflow.session import ship_package
     ship_package(segs.sparkSession)
     first = F.element_at(F.col("edges"), 1)
-    lev = (1 - rho + rho * first["major"]) / (2 - 2 * rho + rho * (first["major"] + first["minor"]))
+    # null where rho is 1 and the first candidate has no copies: the level is not defined there
+    lev = F.try_divide(1 - rho + rho * first["major"], 2 - 2 * rho + rho * (first["major"] + first["minor"]))
     d = segs.withColumn("test_level", lev)
     d = d.withColumn("t_stat", t_statistic(F.col("n"), F.col("mean"), F.col("sd"), F.col("test_level")))
     nonnull = F.filter(F.col("edges"), lambda e: e.isNotNull())

@@ -65,7 +65,7 @@ def calc_psi_t(total_cn: Column, r: Column, rho: Column, gamma: float) -> Column
 
 def baf_level(rho: Column, nmaj: Column, nmin: Column, zero_half: bool = True) -> Column:
     """Expected BAF of state (nMaj, nMin); (0, 0) gives 0.5."""
-    lev = (1 - rho + rho * nmaj) / (2 - 2 * rho + rho * (nmaj + nmin))
+    lev = F.try_divide(1 - rho + rho * nmaj, 2 - 2 * rho + rho * (nmaj + nmin))
     return F.when((nmaj == 0) & (nmin == 0), F.lit(0.5)).otherwise(lev) if zero_half else lev
 
 
@@ -87,9 +87,10 @@ def nearest_corner(b: Column, ntot: Column, rho: Column, nmajor: Column, nminor:
 # ------------------------------------------------------------------ signal alignment (FIT-01..03)
 
 def _dedupe(df: DataFrame, keys, tiebreak) -> DataFrame:
-    """AG-05: one row per key, the first by ``tiebreak`` (aggregate, no window over a whole chromosome)."""
+    """AG-05: one row per key, the first by ``tiebreak``, else the least by value (an aggregate, no window)."""
     others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(tiebreak)).alias("__r"))
+    row = F.struct(*others)
+    agg = df.groupBy(*keys).agg((F.min_by(row, F.col(tiebreak)) if tiebreak else F.min(row)).alias("__r"))
     return agg.select(*keys, "__r.*")
 
 
@@ -104,15 +105,15 @@ def match_signals(baf_seg: DataFrame, baf: DataFrame, logr: DataFrame, tiebreak:
 
     def prep(df, cols):
         d = df.withColumn("chrom", F.regexp_replace("chrom", "chr", ""))
+        if cols == ["value"]:                # rows without a value go first, then the first of a position stays
+            d = d.dropna(subset=cols)
         if tiebreak and tiebreak in d.columns:
-            d = _dedupe(d.select(*keys, tiebreak, *cols), keys, tiebreak).drop(tiebreak)
-        else:
-            d = d.select(*keys, *cols).dropDuplicates(keys)
-        return d
+            return _dedupe(d.select(*keys, tiebreak, *cols), keys, tiebreak).drop(tiebreak)
+        return _dedupe(d.select(*keys, *cols), keys, None)
 
     s = prep(baf_seg, ["baf_phased", "baf_seg"])
-    b = prep(baf, ["value"]).withColumnRenamed("value", "baf").dropna(subset=["baf"])
-    lr = prep(logr, ["value"]).withColumnRenamed("value", "logr").dropna(subset=["logr"])
+    b = prep(baf, ["value"]).withColumnRenamed("value", "baf")
+    lr = prep(logr, ["value"]).withColumnRenamed("value", "logr")
     m = s.join(b, keys).join(lr, keys)
     w = Window.partitionBy("sample_id", "chrom").orderBy("position")
     prev = F.lag("baf_seg").over(w)
@@ -330,7 +331,7 @@ def ascat_optimum(dist: DataFrame, p: FitParams) -> DataFrame:
         F.count_if(F.col("__cand")).alias("n_optima"))
     n = F.col("n_optima")
     return best.select(
-        "sample_id", F.col("o.psi").alias("psi"), F.least(F.col("o.rho"), F.lit(1.0)).alias("rho"),
+        "sample_id", F.col("o.psi").alias("psi"), F.when(F.col("o.rho") > 1, F.lit(1.0)).otherwise(F.col("o.rho")).alias("rho"),
         F.col("o.ploidy").alias("ploidy"), F.col("o.goodness").alias("goodness"), n.alias("n_optima"),
         F.when(n > 0, F.concat(n.cast("string"), F.lit(" copy number solutions found")))
         .otherwise(F.lit("no copy number solutions found")).alias("status"))
@@ -510,7 +511,7 @@ def centroid_optimum(cd: DataFrame) -> DataFrame:
     best = o.groupBy("sample_id").agg(
         F.max_by(F.struct("i", "j", "psi", "rho", "gmin", "minimise", "ref_seg", "ref_maj", "ref_min", "n_optima"),
                  F.struct(-F.col("sq"), F.col("i"), F.col("j"))).alias("o"))
-    return best.select("sample_id", "o.i", "o.j", "o.psi", F.least(F.col("o.rho"), F.lit(1.0)).alias("rho"),
+    return best.select("sample_id", "o.i", "o.j", "o.psi", F.when(F.col("o.rho") > 1, F.lit(1.0)).otherwise(F.col("o.rho")).alias("rho"),
                        F.col("o.rho").alias("rho_raw"),
                        F.when(F.col("o.minimise"), F.col("o.gmin")).otherwise(-F.col("o.gmin")).alias("goodness"),
                        "o.ref_seg", "o.ref_maj", "o.ref_min", "o.n_optima")
@@ -573,8 +574,8 @@ def reliability(points: DataFrame, point: DataFrame, gamma: float, b: str = "b",
     d = d.withColumns({"nA": F.greatest(r_round(F.col("nAfull")), F.lit(0.0)),
                        "nB": F.greatest(r_round(F.col("nBfull")), F.lit(0.0))})
     tot = F.col("nA") + F.col("nB")
-    r_back = F.lit(gamma) * F.log2((rho * tot + (1 - rho) * 2) / ((1 - rho) * 2 + rho * psi))
-    b_back = (1 - rho + rho * F.col("nB")) / (2 - 2 * rho + rho * tot)
+    r_back = F.lit(gamma) * F.log2(F.try_divide(rho * tot + (1 - rho) * 2, (1 - rho) * 2 + rho * psi))
+    b_back = F.try_divide(1 - rho + rho * F.col("nB"), 2 - 2 * rho + rho * tot)      # null: rho 1 and no copies
     d = d.withColumns({"backTransformedR": r_back, "backTransformedBAF": b_back})
     rc = F.when(F.abs(F.col("backTransformedR")) > 0.15, F.least(F.lit(100.0), F.greatest(F.lit(0.0), 100 * (
         1 - F.try_divide(F.abs(F.col("backTransformedR") - rr), F.abs(rr))))))

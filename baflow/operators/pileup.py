@@ -17,15 +17,22 @@ def pileup_counts(bases: DataFrame, loci: DataFrame, min_baseq: int = 20, min_ma
     """Per-locus A/C/G/T counts and good depth over observations passing both quality limits.
 
     ``bases``: (sample_id, sample_kind, chrom, position, base, baseq, mapq), one row per observed base.
-    ``loci``: (chrom, position, ...). The quality filter is pushed into the scan; the loci restrict
-    positions by a semi join (Spark broadcasts the loci only when their size is under the broadcast
-    threshold, else sort-merge); the counts are one conditional aggregate with map-side combine.
+    ``loci``: (chrom, position, ...). The quality filter is pushed into the scan and the observations are
+    reduced before anything is joined (one conditional aggregate with map-side combine). Every locus of every
+    sample is put out: loci without a good observation have zero counts.
     """
+    keys = list(keys)
     obs = bases.filter((F.col("baseq") >= min_baseq) & (F.col("mapq") >= min_mapq))
-    obs = obs.join(loci.select("chrom", "position"), ["chrom", "position"], "left_semi")
     aggs = [F.count_if(F.col("base") == b).cast("int").alias(c) for b, c in zip(BASES, COUNT_COLS)]
     aggs.append(F.count("*").cast("int").alias("good_depth"))
-    return obs.groupBy(*keys, "chrom", "position").agg(*aggs)
+    counted = obs.groupBy(*keys, "chrom", "position").agg(*aggs)
+    # the list of samples is one row (as long as the cohort), so each locus is repeated without a pair join
+    samples = bases.select(*keys).distinct().agg(F.collect_set(F.struct(*keys)).alias("__who")).withColumn("__one", F.lit(1))
+    places = loci.select("chrom", "position").distinct().withColumn("__one", F.lit(1)).join(samples, "__one")
+    places = places.select("chrom", "position", F.inline("__who"))
+    full = places.join(counted, [*keys, "chrom", "position"], "left")
+    return full.select(*keys, "chrom", "position",
+                       *[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c) for c in [*COUNT_COLS, "good_depth"]])
 
 
 def contig_style(contigs: DataFrame, key: str = "sample_id") -> DataFrame:

@@ -1,211 +1,55 @@
-"""Piecewise-constant (Potts) fit of one series, as numpy kernels run inside grouped pandas UDFs.
+"""Piecewise-constant (Potts) fit of one series given as blocks: optimal partitioning with pruning.
 
-The kernels see *compacted blocks* only (count, sum, sum of squares between candidate breakpoints),
-never raw points, except ``exact_fit`` which is the point-level version kept for testing and small
-series. Cost of a segment = sum of squares about its mean; a break costs ``gamma``; segments
-(other than a whole-prefix fit) need at least ``kmin`` points.
+With prefix sums of counts, values and squares, the fit of blocks ``s+1..e`` by their mean costs
+
+    SSE(s, e) = (Q[e] - Q[s]) - (S[e] - S[s])**2 / (N[e] - N[s]),
+
+and the best cost of the first ``e`` blocks follows ``F(e) = min over s of F(s) + SSE(s, e) + gamma`` with
+``F(0) = -gamma``, where a segment that starts behind a break has at least ``kmin`` points and a series with
+fewer than ``2 * kmin`` points up to ``e`` has no break. A start that is worse than a break at ``e`` even without
+its penalty can never win once ``kmin`` points lie behind ``e``, so it leaves the list of live starts then. One
+method for series of every length; memory is a few arrays of the length of the blocks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-# Fixed values of the size policy for long series (reference defaults).
-SUBSIZE = 5000
-STEP = 4000
-SMALL_SERIES = 15000
-
-
-def fit_blocks(nr, sm, sq, kmin: int, gamma: float, record_splits: bool = False):
-    """Optimal segmentation of a compacted series. Returns (best_split[1..N], split_blocks).
-
-    ``best_split[b]`` is the last block of the previous segment for a fit ending at block b
-    (0 = no previous segment). ``split_blocks`` (if requested) are all split blocks ever chosen.
-    """
-    nr = np.asarray(nr, dtype=float)
-    sm = np.asarray(sm, dtype=float)
-    sq = np.asarray(sq, dtype=float)
-    N = len(nr)
-    best_split = np.zeros(N + 1, dtype=np.int64)
-    splits: set[int] = set()
-    if nr.sum() < 2 * kmin:
-        return best_split, splits
-    # 1-based arrays; ant/tot/sqs[j] accumulate blocks j..n for candidate last segments starting at j
-    nr1, sm1, sq1 = np.concatenate([[0.0], nr]), np.concatenate([[0.0], sm]), np.concatenate([[0.0], sq])
-    ant = np.zeros(N + 1)
-    tot = np.zeros(N + 1)
-    sqs = np.zeros(N + 1)
-    best = np.zeros(N + 1)
-    a0, s0, q0 = nr1[1], sm1[1], sq1[1]
-    best[1] = q0 - s0 * (s0 / a0)
-    k = 2
-    while nr1[1:k + 1].sum() < 2 * kmin:
-        ant[2:k + 1] += nr1[k]
-        tot[2:k + 1] += sm1[k]
-        sqs[2:k + 1] += sq1[k]
-        best[k] = (q0 + sqs[2]) - (s0 + tot[2]) ** 2 / (a0 + ant[2])
-        k += 1
-    for n in range(k, N + 1):
-        ant[2:n + 1] += nr1[n]
-        tot[2:n + 1] += sm1[n]
-        sqs[2:n + 1] += sq1[n]
-        limit = n
-        while limit > 2 and ant[limit] < kmin:
-            limit -= 1
-        cost = best[1:limit] + sqs[2:limit + 1] - tot[2:limit + 1] ** 2 / ant[2:limit + 1]
-        j = int(np.argmin(cost))
-        pos = j + 2
-        c = cost[j] + gamma
-        whole = (sqs[2] + q0) - (tot[2] + s0) ** 2 / (ant[2] + a0)
-        if whole < c:
-            pos, c = 1, whole
-        best[n] = c
-        best_split[n] = pos - 1
-        if record_splits and pos - 1 >= 1:
-            splits.add(pos - 1)
-    return best_split, splits
-
-
-def segments_from_splits(best_split: np.ndarray, N: int) -> np.ndarray:
-    """Segment index (0-based, left to right) of each block 1..N from the back-tracked splits."""
-    ends = []
-    n = N
-    while n > 0:
-        ends.append(n)
-        n = int(best_split[n])
-    ends = ends[::-1]
-    seg = np.empty(N, dtype=np.int64)
-    start = 1
-    for i, e in enumerate(ends):
-        seg[start - 1:e] = i
-        start = e + 1
-    return seg
-
-
-def segment_means(seg: np.ndarray, nr, sm) -> np.ndarray:
-    """Mean of each block's segment: sum of block sums / sum of block counts."""
-    nr = np.asarray(nr, dtype=float)
-    sm = np.asarray(sm, dtype=float)
-    k = seg.max() + 1 if len(seg) else 0
-    tn = np.bincount(seg, weights=nr, minlength=k)
-    ts = np.bincount(seg, weights=sm, minlength=k)
-    return (ts / tn)[seg]
-
-
-def _compact(bounds: np.ndarray, end_pos: np.ndarray, cn, cs, cq):
-    """Counts/sums between chosen boundaries (raw positions that are block ends), from prefix sums."""
-    idx = np.searchsorted(end_pos, bounds)
-    n = np.diff(np.concatenate([[0.0], cn[idx]]))
-    s = np.diff(np.concatenate([[0.0], cs[idx]]))
-    q = np.diff(np.concatenate([[0.0], cq[idx]]))
-    return n, s, q
-
-
-def thin_long_series(end_pos, orig_mark, nr, sm, sq, n_points: int, kmin: int, gamma: float) -> np.ndarray:
-    """SEG-07/09: sliding-subset thinning of candidate marks for series of >= 15000 points.
-
-    Works in boundary space: ``end_pos`` are the raw positions ending each input block (a superset of
-    every position the procedure can mark). Returns the final boundary positions for the last fit.
-    """
-    end_pos = np.asarray(end_pos, dtype=np.int64)
-    cn, cs, cq = np.cumsum(nr), np.cumsum(sm), np.cumsum(sq)
-    marks = end_pos[np.asarray(orig_mark, dtype=bool)]
-
-    def potts_marks(bounds):
-        n, s, q = _compact(bounds, end_pos, cn, cs, cq)
-        _, split_blocks = fit_blocks(n, s, q, kmin, gamma, record_splits=True)
-        return set(int(bounds[b - 1]) for b in split_blocks)
-
-    init = np.union1d(marks[marks <= SUBSIZE - 1], [SUBSIZE])
-    mark2 = potts_marks(init)
-    mark2.add(STEP)
-    start = STEP + 1
-    while start + SUBSIZE < n_points:
-        stop = start + SUBSIZE - 1
-        sub = sorted(p for p in mark2 if p <= start - 1)
-        sub = np.union1d(np.union1d(sub, marks[(marks >= start) & (marks <= stop)]), [stop]).astype(np.int64)
-        mark2 = potts_marks(sub)
-        start += STEP
-        mark2.add(start - 1)
-    final = np.union1d(sorted(p for p in mark2 if p <= start - 1), marks[marks >= start]).astype(np.int64)
-    return final
-
-
-def fit_series_blocks(end_pos, orig_mark, nr, sm, sq, n_points: int, kmin: int, gamma: float):
-    """Fit one series given its input blocks; returns (segment index, fitted mean) per input block."""
-    end_pos = np.asarray(end_pos, dtype=np.int64)
-    nr = np.asarray(nr, dtype=float)
-    sm = np.asarray(sm, dtype=float)
-    sq = np.asarray(sq, dtype=float)
-    if n_points >= SMALL_SERIES:
-        bounds = thin_long_series(end_pos, orig_mark, nr, sm, sq, n_points, kmin, gamma)
-    else:
-        bounds = end_pos[np.asarray(orig_mark, dtype=bool)]
-        if len(bounds) == 0 or bounds[-1] != end_pos[-1]:
-            bounds = np.union1d(bounds, [end_pos[-1]])
-    cn, cs, cq = np.cumsum(nr), np.cumsum(sm), np.cumsum(sq)
-    n, s, q = _compact(bounds, end_pos, cn, cs, cq)
-    best_split, _ = fit_blocks(n, s, q, kmin, gamma)
-    seg_c = segments_from_splits(best_split, len(n))
-    mean_c = segment_means(seg_c, n, s)
-    # map compact blocks back to input blocks: input block i lies in the compact block whose bound >= end_pos[i]
-    ci = np.searchsorted(bounds, end_pos)
-    return seg_c[ci], mean_c[ci]
-
 
-def exact_fit(y, kmin: int, gamma: float):
-    """SEG-10: point-level optimal fit (no candidate marks). Returns (segment index, mean) per point."""
-    y = np.asarray(y, dtype=float)
-    N = len(y)
-    if N < 2 * kmin:
-        return np.zeros(N, dtype=np.int64), np.full(N, y.mean() if N else np.nan)
-    y1 = np.concatenate([[0.0], y])
-    init_sum = y1[1:kmin + 1].sum()
-    init_sq = (y1[1:kmin + 1] ** 2).sum()
-    init_ave = init_sum / kmin
-    best = np.zeros(N + 1)
-    best_ave = np.zeros(N + 1)
-    split = np.zeros(N + 1, dtype=np.int64)
-    tot = np.zeros(N + 1)
-    sqs = np.zeros(N + 1)
-    ave = np.zeros(N + 1)
-    best[kmin] = init_sq - init_sum * init_ave
-    best_ave[kmin] = init_ave
-    k1 = kmin + 1
-    for k in range(k1, 2 * kmin):
-        tot[k1:k + 1] += y1[k]
-        ave[k1:k + 1] = tot[k1:k + 1] / np.arange(k - kmin, 0, -1)
-        sqs[k1:k + 1] += y1[k] ** 2
-        best_ave[k] = (init_sum + tot[k1]) / k
-        best[k] = (init_sq + sqs[k1]) - k * best_ave[k] ** 2
-    for n in range(2 * kmin, N + 1):
-        yn = y1[n]
-        tot[k1:n + 1] += yn
-        ave[k1:n + 1] = tot[k1:n + 1] / np.arange(n - kmin, 0, -1)
-        sqs[k1:n + 1] += yn * yn
-        hi = n - kmin + 1
-        cost = best[kmin:n - kmin + 1] + sqs[k1:hi + 1] - tot[k1:hi + 1] * ave[k1:hi + 1] + gamma
-        j = int(np.argmin(cost))
-        pos = j + kmin + 1
-        c, a = cost[j], ave[pos]
-        t_ave = (tot[k1] + init_sum) / n
-        t_cost = (sqs[k1] + init_sq) - n * t_ave * t_ave
-        if t_cost < c:
-            pos, c, a = 1, t_cost, t_ave
-        best[n] = c
-        best_ave[n] = a
-        split[n] = pos - 1
-    seg = np.empty(N, dtype=np.int64)
-    means = np.empty(N)
-    ends = []
-    n = N
-    while n > 0:
-        ends.append(n)
-        n = int(split[n])
-    ends = ends[::-1]
-    start = 1
-    for i, e in enumerate(ends):
-        seg[start - 1:e] = i
-        means[start - 1:e] = best_ave[e]
-        start = e + 1
-    return seg, means
+def optimal_breaks(count, total, squares, kmin: int, gamma: float) -> np.ndarray:
+    """Last block (1-based) of each segment of the cheapest partition, left to right."""
+    n, s, q = (np.r_[0.0, np.cumsum(np.asarray(x, dtype=float))] for x in (count, total, squares))
+    blocks = len(n) - 1
+    if blocks == 0:
+        return np.zeros(0, dtype=np.int64)
+    cost = np.full(blocks + 1, -gamma)
+    before = np.zeros(blocks + 1, dtype=np.int64)
+    live, dies = np.array([0]), np.array([np.inf])       # starts, and the point count at which each leaves
+    waiting: list[int] = []                                # ends that are not yet kmin points back
+    for e in range(1, blocks + 1):
+        if n[e] >= 2 * kmin:
+            ready = [w for w in waiting if n[e] - n[w] >= kmin]
+            waiting = [w for w in waiting if n[e] - n[w] < kmin]
+            keep = dies > n[e]
+            live = np.r_[live[keep], ready].astype(np.int64)
+            dies = np.r_[dies[keep], np.full(len(ready), np.inf)]
+        rest = n[e] - n[live]
+        fit = cost[live] + (q[e] - q[live]) - (s[e] - s[live]) ** 2 / rest
+        best = int(np.argmin(fit))
+        cost[e], before[e] = fit[best] + gamma, live[best]
+        worse = (fit > cost[e]) & (live > 0)
+        dies[worse] = np.minimum(dies[worse], n[e] + kmin)
+        waiting.append(e)
+    ends = [blocks]
+    while before[ends[-1]] > 0:
+        ends.append(int(before[ends[-1]]))
+    return np.array(ends[::-1], dtype=np.int64)
+
+
+def fit_blocks(count, total, squares, kmin: int, gamma: float) -> tuple[np.ndarray, np.ndarray]:
+    """(segment number, segment mean) of every block."""
+    ends = optimal_breaks(count, total, squares, kmin, gamma)
+    size = np.diff(np.r_[0, ends])
+    seg = np.repeat(np.arange(len(ends)), size)
+    mean = np.bincount(seg, total) / np.bincount(seg, count) if len(ends) else np.zeros(0)
+    return seg, mean[seg]

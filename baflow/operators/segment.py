@@ -7,7 +7,6 @@ the Potts dynamic programme; its per-block fitted mean is joined back on (keys,
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,16 +16,9 @@ from baflow.operators import potts
 from baflow.operators import series as R
 from baflow.session import cut_lineage, ship_package
 
-MIN_SEGMENT_POINTS = 50   # fixed value: shorter series get their mean, no segmentation
-
-
 def _blocks(indexed: DataFrame, keys, value: str, kmin: int) -> DataFrame:
-    """Marks + block ids for series of >= 50 points; long series also split every 1000 points so the
-    subset procedure can place its forced boundaries."""
-    d = R.mark_breakpoints(indexed, keys, value, kmin)
-    long_split = (F.col("n") >= potts.SMALL_SERIES) & (F.col("rn") % 1000 == 0)
-    d = d.withColumn("boundary", F.col("mark") | long_split)
-    return R.block_ids(d, keys, "boundary")
+    """Candidate marks and the numbers of the blocks between them; the end of a series is a mark."""
+    return R.block_ids(R.mark_breakpoints(indexed, keys, value, kmin), keys, "mark")
 
 
 def _fit_schema(keys_schema) -> StructType:
@@ -35,7 +27,7 @@ def _fit_schema(keys_schema) -> StructType:
 
 
 def potts_fit(indexed: DataFrame, keys, value: str, kmin: int, penalty_col: str) -> DataFrame:
-    """Fitted value per point (column ``fit``) and segment index (``seg_idx``) for series of >= 50 points.
+    """Fitted value per point (column ``fit``) and segment index (``seg_idx``).
 
     ``indexed`` carries keys, rn, n, value and ``penalty_col`` (gamma, constant per series).
     """
@@ -46,16 +38,14 @@ def potts_fit(indexed: DataFrame, keys, value: str, kmin: int, penalty_col: str)
     v = F.col(value)
     compacted = blk.groupBy(*keys, "block_id").agg(
         F.count("*").cast("double").alias("nr"), F.sum(v).alias("sm"), F.sum(v * v).alias("sq"),
-        F.max("rn").cast("long").alias("end_rn"), F.max("mark").alias("orig_mark"),
-        F.first("n").cast("long").alias("n"), F.first(penalty_col).alias("penalty"))
+        F.max("rn").cast("long").alias("end_rn"), F.first(penalty_col).alias("penalty"))
     key_fields = [f for f in indexed.schema.fields if f.name in keys]
     schema = _fit_schema(key_fields)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("end_rn")
-        seg, mean = potts.fit_series_blocks(pdf["end_rn"].to_numpy(), pdf["orig_mark"].to_numpy(),
-                                            pdf["nr"].to_numpy(), pdf["sm"].to_numpy(), pdf["sq"].to_numpy(),
-                                            int(pdf["n"].iloc[0]), kmin, float(pdf["penalty"].iloc[0]))
+        seg, mean = potts.fit_blocks(pdf["nr"].to_numpy(), pdf["sm"].to_numpy(), pdf["sq"].to_numpy(), kmin,
+                                     float(pdf["penalty"].iloc[0]))
         out = pdf[keys + ["block_id"]].copy()
         out["block_id"] = out["block_id"].astype("int64")
         out["seg_idx"] = seg.astype("int64")
@@ -68,18 +58,17 @@ def potts_fit(indexed: DataFrame, keys, value: str, kmin: int, penalty_col: str)
 
 def segment_series(points: DataFrame, keys, value: str, kmin: int, penalty_col: str, out: str,
                    skip: bool = False) -> DataFrame:
-    """One Potts pass over every series (rows carry rn, n); series shorter than 50 (or ``skip``) get
-    their mean."""
+    """One Potts pass over every series (rows carry rn, n); with ``skip``, and for series of fewer than
+    ``2 * kmin`` points, which cannot hold a break, the value is the series' mean."""
     keys = list(keys)
     mean = F.avg(value).over(Window.partitionBy(*keys))
     idx = points.withColumn("__mean", mean)
     if skip:
         return idx.withColumn(out, F.col("__mean")).drop("__mean")
-    small = idx.filter(F.col("n") < MIN_SEGMENT_POINTS).withColumn(out, F.col("__mean"))
-    big = idx.filter(F.col("n") >= MIN_SEGMENT_POINTS)
-    fitted = potts_fit(big, keys, value, kmin, penalty_col).withColumnRenamed("fit", out)
+    whole = idx.filter(F.col("n") < 2 * kmin).withColumn(out, F.col("__mean"))
+    fitted = potts_fit(idx.filter(F.col("n") >= 2 * kmin), keys, value, kmin, penalty_col).withColumnRenamed("fit", out)
     cols = idx.columns + [out]
-    return small.select(*cols).unionByName(fitted.select(*cols)).drop("__mean")
+    return whole.select(*cols).unionByName(fitted.select(*cols)).drop("__mean")
 
 
 def segment_value_rule(df: DataFrame, keys, option: int = 3, seg: str = "baf_seg", phased: str = "baf_phased") -> DataFrame:
@@ -126,53 +115,3 @@ def segment_baf_phased(het: DataFrame, breakpoints: DataFrame | None = None, gam
     p2 = p2.select(*skeys, *order, "rn", "baf", "baf_phased", "baf_seg", "temp_baf_segm")
     p2 = segment_value_rule(p2, skeys, calc_seg_baf_option)
     return p2.select(*keys, *order, "preseg", "baf", "baf_phased", "baf_seg", "temp_baf_segm")
-
-
-def potts_exact(points: DataFrame, keys, order, value: str, kmin: int, gamma: float) -> DataFrame:
-    """SEG-10: point-level fit per series in a grouped pandas UDF (raw points; for testing/small series)."""
-    keys, order = list(keys), list(order)
-    ship_package(points.sparkSession)
-    d = R.index_series(points.select(*keys, *order, F.col(value).alias("__y")), keys, order)
-    fields = [f for f in d.schema.fields if f.name in keys]
-    schema = StructType(fields + [StructField("rn", LongType()), StructField("seg_idx", LongType()),
-                                  StructField("fit", DoubleType())])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rn")
-        seg, mean = potts.exact_fit(pdf["__y"].to_numpy(dtype=float), kmin, gamma)
-        out = pdf[keys].copy()
-        out["rn"] = pdf["rn"].astype("int64").to_numpy()
-        out["seg_idx"] = seg.astype("int64")
-        out["fit"] = mean
-        return out
-
-    return d.select(*keys, "rn", "__y").groupBy(*keys).applyInPandas(run, schema)
-
-
-def thin_marks(indexed: DataFrame, keys, value: str, kmin: int, penalty_col: str) -> DataFrame:
-    """SEG-09: boundaries kept by the sliding-subset thinning (all marks for series < 15000 points)."""
-    keys = list(keys)
-    ship_package(indexed.sparkSession)
-    blk = _blocks(indexed, keys, value, kmin)
-    v = F.col(value)
-    compacted = blk.groupBy(*keys, "block_id").agg(
-        F.count("*").cast("double").alias("nr"), F.sum(v).alias("sm"), F.sum(v * v).alias("sq"),
-        F.max("rn").cast("long").alias("end_rn"), F.max("mark").alias("orig_mark"),
-        F.first("n").cast("long").alias("n"), F.first(penalty_col).alias("penalty"))
-    fields = [f for f in indexed.schema.fields if f.name in keys]
-    schema = StructType(fields + [StructField("end_rn", LongType())])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("end_rn")
-        n_points = int(pdf["n"].iloc[0])
-        e = pdf["end_rn"].to_numpy()
-        if n_points >= potts.SMALL_SERIES:
-            b = potts.thin_long_series(e, pdf["orig_mark"].to_numpy(), pdf["nr"].to_numpy(), pdf["sm"].to_numpy(),
-                                       pdf["sq"].to_numpy(), n_points, kmin, float(pdf["penalty"].iloc[0]))
-        else:
-            b = e[pdf["orig_mark"].to_numpy(dtype=bool)]
-        out = pd.DataFrame({k: [pdf[k].iloc[0]] * len(b) for k in keys})
-        out["end_rn"] = np.asarray(b, dtype="int64")
-        return out
-
-    return compacted.groupBy(*keys).applyInPandas(run, schema)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 # Fixed values of the mark filter (reference defaults).
 L1, L2 = 8, 1          # half-widths of the two high-pass filters
-FRAC3 = 0.02           # share of short-segment candidates kept
 THRES = 0.9            # local-maximum tolerance
 MAD_SCALE = 1.4826     # consistency constant of the median absolute deviation
 SD_FLOOR = 0.09        # lower bound of the noise estimate
@@ -109,28 +108,22 @@ def quantile7(df: DataFrame, keys, value: str, inset: Column, prob: Column, out:
     return quantiles7(df, keys, [(value, inset, prob, out)])
 
 
-def fractions(n: Column) -> tuple[Column, Column]:
-    """SEG-07 size policy: (frac1, frac2) = (0.15, 0.15) below 1000 points, else (0.12, 0.05)."""
-    small = n < 1000
-    return (F.when(small, F.lit(0.15)).otherwise(F.lit(0.12)),
-            F.when(small, F.lit(0.15)).otherwise(F.lit(0.05)))
-
-
 def _hp(S, L: int) -> Column:
     return F.abs(4 * S(0) - S(-3 * L) - S(-2 * L) - S(2 * L) - S(3 * L))
 
 
-def mark_breakpoints(df: DataFrame, keys, value: str, kmin: int) -> DataFrame:
+def mark_breakpoints(df: DataFrame, keys, value: str, kmin: int, wide: float = 0.15, narrow: float = 0.15,
+                     short: float = 0.02, most: float = 0.8) -> DataFrame:
     """SEG-05: candidate breakpoint marks of one series (the reference's four-filter rule).
 
     Expects ``rn`` and ``n`` (``index_series``). Adds cost1, test1, cost2, short_ab, test2, the three
-    limits and ``mark``. Series shorter than 50 points are never segmented, so the rule is meant for
-    n >= 50. Columns are added in batches, one stage per window specification.
+    limits and ``mark``. ``wide``, ``narrow`` and ``short`` are the shares of positions that the wide filter, the
+    narrow filter and the short-segment filter put forward, ``most`` bounds the share of a filter's own peaks;
+    they are the same for series of every length. Columns are added in batches, one stage per window specification.
     """
     keys = list(keys)
     k = kmin
     rn, n = F.col("rn"), F.col("n")
-    frac1, frac2 = fractions(n)
     w = _w(keys, ["rn"])
     d = cumsum(df, keys, value)
     offsets = sorted({-3 * L1, -2 * L1, 2 * L1, 3 * L1, -3 * L2, -2 * L2, 2 * L2, 3 * L2, 2 * k - 1, k - 1, 3 * k - 1, -1}
@@ -154,9 +147,9 @@ def mark_breakpoints(df: DataFrame, keys, value: str, kmin: int) -> DataFrame:
     wk = _w(keys)
     d = d.withColumns({"__c1": F.sum(F.when(in1, 1).otherwise(0)).over(wk),
                        "__c3": F.sum(F.when(in3, 1).otherwise(0)).over(wk)})
-    p1 = 1 - F.least(F.lit(0.8), frac1 * n / F.col("__c1"))
-    p3 = 1 - F.least(F.lit(0.8), FRAC3 * m_len / F.col("__c3"))
-    d = quantiles7(d, keys, [("cost1", in1, p1, "limit1"), ("cost2", in2, 1 - frac2, "limit2"),
+    p1 = 1 - F.least(F.lit(most), F.try_divide(wide * n, F.col("__c1")))
+    p3 = 1 - F.least(F.lit(most), F.try_divide(short * m_len, F.col("__c3")))
+    d = quantiles7(d, keys, [("cost1", in1, p1, "limit1"), ("cost2", in2, F.lit(1 - narrow), "limit2"),
                              ("short_ab", in3, p3, "limit3")]).drop("__c1", "__c3")
     d = d.withColumn("__h1", (rn <= m_len) & (F.col("short_ab") > F.col("limit3"))
                      & (F.col("short_ab") > THRES * F.col("test2")))

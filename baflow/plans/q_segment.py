@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from baflow.operators import segment as G
@@ -34,25 +35,13 @@ def q_potts_segments(spark, d):
     return _summary(fitted)
 
 
-@register("potts_exact")
-def q_potts_exact(spark, d):
-    s = V.series(spark, d)
-    fitted = G.potts_exact(s, KEYS, ORDER, "baf", 5, 0.3)
-    return _summary(fitted)
-
-
-@register("thin_marks")
-def q_thin_marks(spark, d):
-    return G.thin_marks(_with_penalty(spark, d), KEYS, "baf", 3, "pen")
-
-
 DAYMEAN_SQL = f"""SELECT *, avg(baf) OVER (PARTITION BY {KS}, CAST(floor(position / 86400) AS INT)) AS seg_mean FROM v_series"""
 
 
 def _daymean(spark, d):
     s = V.series(spark, d)
     day = F.floor(F.col("position") / 86400).cast("int")
-    return s.withColumn("seg_mean", F.avg("baf").over(__import__("pyspark.sql").sql.Window.partitionBy(*KEYS, day)))
+    return s.withColumn("seg_mean", F.avg("baf").over(Window.partitionBy(*KEYS, day)))
 
 
 @register("phase_flip", doubles=["baf", "baf_phased"], ctes=[("dm", DAYMEAN_SQL)],
@@ -77,7 +66,6 @@ FROM sg WINDOW w AS (PARTITION BY {KS} ORDER BY rn)"""),
           sql=f"""SELECT sample_id, chrom, event_id, baf_phased, CASE WHEN med IN (0.0, 1.0) THEN baf_seg ELSE med END AS baf_seg
 FROM (SELECT *, median(baf_phased) OVER (PARTITION BY {KS}, run) AS med FROM rn)""")
 def q_segment_value_rule(spark, d):
-    from pyspark.sql import Window
     s = _daymean(spark, d)
     s = s.select(*KEYS, "event_id", "position",
                  F.when(F.col("seg_mean") > 0.5, F.col("baf")).otherwise(1 - F.col("baf")).alias("baf_phased"))

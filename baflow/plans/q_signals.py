@@ -14,13 +14,14 @@ TP = V.TEST_PARAMS
 CHROM_RANK_SQL = ("CASE WHEN regexp_extract({c}, '^(?:chr)?(\\d+|X)$', 1) = 'X' THEN 100 "
                   "ELSE TRY_CAST(NULLIF(regexp_extract({c}, '^(?:chr)?(\\d+|X)$', 1), '') AS INT) END")
 
-PILEUP_SQL = f"""SELECT b.sample_id, b.sample_kind, b.chrom, b.position,
+PILEUP_SQL = f"""SELECT w.sample_id, w.sample_kind, l.chrom, l.position,
   CAST(count(*) FILTER (WHERE base = 'A') AS INT) AS count_a, CAST(count(*) FILTER (WHERE base = 'C') AS INT) AS count_c,
   CAST(count(*) FILTER (WHERE base = 'G') AS INT) AS count_g, CAST(count(*) FILTER (WHERE base = 'T') AS INT) AS count_t,
-  CAST(count(*) AS INT) AS good_depth
-FROM v_bases b
-WHERE b.baseq >= {TP['min_baseq']} AND b.mapq >= {TP['min_mapq']}
-  AND EXISTS (SELECT 1 FROM v_loci l WHERE l.chrom = b.chrom AND l.position = b.position)
+  CAST(count(base) AS INT) AS good_depth
+FROM (SELECT DISTINCT chrom, position FROM v_loci) l
+CROSS JOIN (SELECT DISTINCT sample_id, sample_kind FROM v_bases) w
+LEFT JOIN v_bases b ON b.chrom = l.chrom AND b.position = l.position AND b.sample_id = w.sample_id
+  AND b.sample_kind = w.sample_kind AND b.baseq >= {TP['min_baseq']} AND b.mapq >= {TP['min_mapq']}
 GROUP BY 1, 2, 3, 4"""
 
 

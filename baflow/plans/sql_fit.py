@@ -77,7 +77,7 @@ def optimum_sql(strict_src: str, fb_src: str, samples: str) -> list[tuple[str, s
 UNION ALL SELECT * FROM {fb_src} f WHERE accepted AND f.sample_id NOT IN (SELECT sample_id FROM {strict_src} WHERE accepted)"""),
         ("best", """SELECT sample_id, psi, rho, ploidy, goodness, count(*) OVER (PARTITION BY sample_id) AS n_optima
 FROM cand QUALIFY row_number() OVER (PARTITION BY sample_id ORDER BY dm ASC, i DESC, j DESC) = 1"""),
-        ("opt", f"""SELECT s.sample_id, b.psi, least(b.rho, {D(1.0)}) AS rho, b.ploidy, b.goodness, coalesce(b.n_optima, 0) AS n_optima,
+        ("opt", f"""SELECT s.sample_id, b.psi, CASE WHEN b.rho > 1 THEN {D(1.0)} ELSE b.rho END AS rho, b.ploidy, b.goodness, coalesce(b.n_optima, 0) AS n_optima,
   CASE WHEN coalesce(b.n_optima, 0) > 0 THEN CAST(b.n_optima AS VARCHAR) || ' copy number solutions found'
        ELSE 'no copy number solutions found' END AS status
 FROM (SELECT DISTINCT sample_id FROM {samples}) s LEFT JOIN best b ON b.sample_id = s.sample_id"""),

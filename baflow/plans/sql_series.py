@@ -26,8 +26,7 @@ def mark_ctes(src: str, keys: str, kmin: int, prefix: str = "m") -> list[tuple[s
                                         else f"lag(S, {-o}, {D(0.0)}) OVER (PARTITION BY {keys} ORDER BY rn)"))
     hp = lambda L: f"abs(4 * S - {S(-3 * L)} - {S(-2 * L)} - {S(2 * L)} - {S(3 * L)})"
     m_len = f"(n - {3 * k} + 1)"
-    frac1 = f"CASE WHEN n < 1000 THEN {D(0.15)} ELSE {D(0.12)} END"
-    frac2 = f"CASE WHEN n < 1000 THEN {D(0.15)} ELSE {D(0.05)} END"
+    frac1 = frac2 = D(0.15)
     p = prefix
     ctes = [
         (f"{p}_cs", f"SELECT *, sum(x) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS S FROM {src}"),

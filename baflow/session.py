@@ -50,7 +50,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
         d = tempfile.mkdtemp(prefix="baflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

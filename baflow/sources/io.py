@@ -69,7 +69,8 @@ def read_per_chrom(spark: SparkSession, paths: list[str], schema: StructType, he
     """
     paths = existing_paths(spark, paths)
     if not paths:
-        return spark.createDataFrame([], schema)
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn("CHR", F.lit(None).cast("string")) if chrom_from_name else empty
     df = (spark.read.schema(schema).option("sep", sep).option("header", header)
           .option("mode", "DROPMALFORMED").csv(paths))
     if chrom_from_name:
@@ -116,8 +117,12 @@ def read_haplotype_info(spark: SparkSession, path: str) -> DataFrame:
 
 def read_contig_stats(spark: SparkSession, path: str) -> DataFrame:
     """SRC-11: 4-column contig table; malformed rows become ("invalid", 0, 0, 0)."""
-    df = spark.read.schema(CONTIG_STATS).option("sep", "\t").csv(path)
-    ok = (F.col("length").try_cast("long").isNotNull() & F.col("mapped").try_cast("long").isNotNull()
+    raw = spark.read.text(path)
+    parts = F.split("value", "\t", -1)
+    names = [f.name for f in CONTIG_STATS.fields]
+    df = raw.where(F.col("value") != "").select(F.size(parts).alias("__n"), *[
+        F.get(parts, F.lit(k)).alias(c) for k, c in enumerate(names)])
+    ok = ((F.col("__n") == len(names)) & F.col("length").try_cast("long").isNotNull() & F.col("mapped").try_cast("long").isNotNull()
           & F.col("unmapped").try_cast("long").isNotNull() & F.col("chrom").isNotNull())
     return df.select(
         F.when(ok, F.col("chrom")).otherwise(F.lit("invalid")).alias("chrom"),
@@ -159,8 +164,10 @@ def read_breakpoints(spark: SparkSession, path: str | None) -> DataFrame:
     schema = "chrom string, position int"
     if path is None:
         return spark.createDataFrame([], schema)
-    df = spark.read.option("header", True).option("sep", " ").csv(path)
-    return df.select(F.col("chromosome").alias("chrom"), F.col("position").try_cast("int").alias("position"))
+    parts = F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ")
+    df = spark.read.text(path).select(F.get(parts, F.lit(0)).alias("chrom"), F.get(parts, F.lit(1)).alias("position"))
+    return df.where("chrom <> '' and chrom <> 'chromosome'").select(
+        "chrom", F.col("position").try_cast("int").alias("position"))
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep=("sample_id", "chrom", "position")) -> DataFrame:
@@ -197,18 +204,20 @@ def export_tsv(df: DataFrame, path: str, header: bool = True, single_file: bool
 def vcf_lines(df: DataFrame) -> DataFrame:
     """SNK-03: VCF text lines -- three ``##`` header lines, ``#CHROM`` header, body without ``chr``.
 
-    Returns (ord, line) so a writer can ``orderBy('ord')`` within a sample; body order is by POS.
+    Returns (chrom_ord, ord, line): a writer orders by these within a sample, so chromosomes follow each other
+    (X last) and positions rise within each; the header lines come first.
     """
     header = ["##fileformat=VCFv4.2",
               '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
               "##reference=hg38",
               "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tSAMP0001"]
     keys = [c for c in ("sample_id",) if c in df.columns]
-    body = df.select(*keys, F.col("POS").cast("long").alias("ord"), F.concat_ws(
+    body = df.select(*keys, F.coalesce(chrom_ord("CHROM"), F.lit(1000)).cast("int").alias("chrom_ord"),
+                     F.col("POS").cast("long").alias("ord"), F.concat_ws(
         "\t", F.regexp_replace(F.col("CHROM"), "^chr", ""), F.col("POS").cast("string"), "ID", "REF", "ALT",
         "QUAL", "FILTER", "INFO", "FORMAT", "SAMP0001").alias("line"))
     heads = df.select(*keys).distinct() if keys else None
-    hdr_arr = F.array(*[F.struct(F.lit(i - len(header)).cast("long").alias("ord"), F.lit(h).alias("line"))
+    hdr_arr = F.array(*[F.struct(F.lit(-1).alias("chrom_ord"), F.lit(i - len(header)).cast("long").alias("ord"), F.lit(h).alias("line"))
                         for i, h in enumerate(header)])
     if heads is None:
         hdr = df.sparkSession.range(1).select(F.inline(hdr_arr))

@@ -12,5 +12,5 @@ def spark():
     from baflow.session import get_session
     s = get_session("local[*]", 8)
     if not s.conf.get("spark.checkpoint.dir", None):        # tests only: a fresh local folder
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="baflow-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="baflow-test-ckpt-"))
     yield s

@@ -1,71 +1,62 @@
 import numpy as np
 
-from baflow.operators.potts import exact_fit, fit_blocks, fit_series_blocks, segment_means, segments_from_splits
+from baflow.operators.potts import fit_blocks, optimal_breaks
 
 
-def _cost(y, seg, gamma):
-    c = sum(((y[seg == k] - y[seg == k].mean()) ** 2).sum() for k in np.unique(seg))
-    return c + gamma * (len(np.unique(seg)) - 1)
+def _best_cost(y, kmin, gamma):
+    """Plain quadratic dynamic programme over points."""
+    def sse(a, b):
+        return ((y[a:b] - y[a:b].mean()) ** 2).sum()
+    best = [-gamma]
+    for e in range(1, len(y) + 1):
+        cuts = [s for s in range(1, e) if e - s >= kmin] if e >= 2 * kmin else []
+        best.append(min([sse(0, e)] + [best[s] + sse(s, e) + gamma for s in cuts]))
+    return best[-1]
 
 
-def _series(seed=0, n=(300, 200, 100), lv=(0.3, 0.7, 0.4)):
+def _cost(y, ends, gamma):
+    parts = np.split(y, ends[:-1])
+    return sum(((p - p.mean()) ** 2).sum() for p in parts) + gamma * (len(parts) - 1)
+
+
+def _series(seed=0, n=(60, 40, 30), lv=(0.3, 0.7, 0.4), sd=0.05):
     rng = np.random.default_rng(seed)
-    return np.concatenate([rng.normal(m, 0.05, k) for m, k in zip(lv, n)])
-
-
-def test_all_marks_equals_exact():
-    y = _series()
-    seg_e, _ = exact_fit(y, 3, 0.5)
-    nr = np.ones(len(y))
-    bs, _ = fit_blocks(nr, y, y * y, 3, 0.5)
-    seg_c = segments_from_splits(bs, len(y))
-    assert abs(_cost(y, seg_e, 0.5) - _cost(y, seg_c, 0.5)) < 1e-9
-
-
-def test_block_fit_properties():
-    y = _series(1)
-    # blocks of 4 points
-    ends = np.arange(4, len(y) + 1, 4)
-    nr = np.full(len(ends), 4.0)
-    sm = np.add.reduceat(y, ends - 4)
-    sq = np.add.reduceat(y * y, ends - 4)
-    seg, mean = fit_series_blocks(ends, np.ones(len(ends), bool), nr, sm, sq, len(y), 3, 0.5)
-    assert (np.diff(seg) >= 0).all()
-    # fitted mean equals the mean of the raw points of each segment
+    return np.concatenate([rng.normal(m, sd, k) for m, k in zip(lv, n)])
+
+
+def test_pruned_partition_is_optimal():
+    rng = np.random.default_rng(4)
+    for k in range(25):
+        y = _series(k, tuple(rng.integers(1, 40, 4)), (0.3, 0.6, 0.4, 0.5), 0.15)
+        kmin, gamma = int(rng.integers(1, 6)), float(rng.choice([0.01, 0.05, 0.3]))
+        ends = optimal_breaks(np.ones(len(y)), y, y * y, kmin, gamma)
+        assert abs(_cost(y, ends, gamma) - _best_cost(y, kmin, gamma)) < 1e-9
+        assert (np.diff(ends) >= kmin).all()
+
+
+def test_blocks_of_several_points():
+    y = _series(1)[:128]
+    cut = np.arange(0, 128, 4)
+    seg, mean = fit_blocks(np.full(32, 4.0), np.add.reduceat(y, cut), np.add.reduceat(y * y, cut), 3, 0.5)
     pts = np.repeat(seg, 4)
-    for k in np.unique(seg):
-        assert abs(mean[seg == k][0] - y[pts == k].mean()) < 1e-9
-    # coarser candidates cannot beat the point-level optimum
-    seg_e, _ = exact_fit(y, 3, 0.5)
-    assert _cost(y, pts, 0.5) >= _cost(y, seg_e, 0.5) - 1e-9
-
-
-def test_exact_segments_respect_kmin():
-    y = _series(2, (40, 6, 40), (0.2, 0.8, 0.2))
-    seg, mean = exact_fit(y, 5, 0.01)
-    sizes = np.bincount(seg)
-    assert sizes.sum() == len(y)
-    assert (sizes[1:] >= 5).all()
-
-
-def test_long_series_subset_path():
-    rng = np.random.default_rng(3)
-    y = np.concatenate([rng.normal(0.3, 0.05, 9000), rng.normal(0.7, 0.05, 7000)])
-    n = len(y)
-    ends = np.arange(10, n + 1, 10)
-    nr = np.full(len(ends), 10.0)
-    sm = np.add.reduceat(y, ends - 10)
-    sq = np.add.reduceat(y * y, ends - 10)
-    seg, mean = fit_series_blocks(ends, np.ones(len(ends), bool), nr, sm, sq, n, 3, 1.0)
-    assert seg.max() >= 1
-    assert abs(mean[0] - 0.3) < 0.01 and abs(mean[-1] - 0.7) < 0.01
-
-
-def test_short_series_single_mean():
-    bs, _ = fit_blocks(np.array([2.0, 2.0]), np.array([1.0, 2.0]), np.array([0.5, 2.0]), 3, 1.0)
-    seg = segments_from_splits(bs, 2)
-    assert (seg == 0).all()
-    assert np.allclose(segment_means(seg, np.array([2.0, 2.0]), np.array([1.0, 2.0])), 0.75)
+    assert (np.diff(seg) >= 0).all()
+    assert all(abs(mean[seg == k][0] - y[pts == k].mean()) < 1e-9 for k in np.unique(seg))
+
+
+def test_one_method_for_every_length():
+    for n in (40, 900, 2000, 20000):
+        rng = np.random.default_rng(n)
+        y = np.r_[rng.normal(0.3, 0.05, n // 2), rng.normal(0.7, 0.05, n - n // 2)]
+        cut = np.arange(0, n, 5)
+        size = np.diff(np.r_[cut, n]).astype(float)
+        seg, mean = fit_blocks(size, np.add.reduceat(y, cut), np.add.reduceat(y * y, cut), 3, 0.5)
+        assert seg.max() == 1 and abs(mean[0] - 0.3) < 0.05 and abs(mean[-1] - 0.7) < 0.05
+
+
+def test_short_series_has_one_mean():
+    seg, mean = fit_blocks([2.0, 2.0], [1.0, 2.0], [0.5, 2.0], 3, 1.0)
+    assert (seg == 0).all() and np.allclose(mean, 0.75)
+    assert len(optimal_breaks([], [], [], 3, 1.0)) == 0
 
 
 def test_segmentation_recovers_planted_levels(spark):
