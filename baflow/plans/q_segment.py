@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from baflow.operators import segment as G
 from baflow.operators import series as R
+from baflow.plans.q_series import MARKS, NOISE_CTES
 from baflow.plans.registry import register
 from baflow.sources import views as V
 
@@ -29,10 +30,46 @@ def _summary(df, value="fit"):
                  F.first(value).alias("mean")))
 
 
-@register("potts_segments")
+def potts_sql(factor: float, kmin: int = 3) -> str:
+    """The partition by plain recursion over all starts: F(e) = min over s of F(s) + SSE(s, e) + gamma."""
+    return f"""SELECT * FROM (WITH RECURSIVE
+blocks AS (SELECT {KS}, block_id, CAST(count(*) AS DOUBLE) AS nr, sum(x) AS sm, sum(x * x) AS sq FROM
+  (SELECT *, coalesce(sum(CAST(mark AS INT)) OVER (PARTITION BY {KS} ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+   AS block_id FROM m_mk) GROUP BY ALL),
+sums AS (SELECT {KS}, block_id, sum(nr) OVER w AS nr, sum(sm) OVER w AS sm, sum(sq) OVER w AS sq FROM blocks
+  WINDOW w AS (PARTITION BY {KS} ORDER BY block_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cum AS (SELECT s.sample_id, s.chrom, count(*) AS k, list_prepend(0.0::DOUBLE, list(nr ORDER BY block_id)) AS n,
+  list_prepend(0.0::DOUBLE, list(sm ORDER BY block_id)) AS s, list_prepend(0.0::DOUBLE, list(sq ORDER BY block_id)) AS q,
+  {factor} * first(greatest(coalesce(mad.mad, 0.0), 0.09)) AS gamma
+  FROM sums s LEFT JOIN mad ON mad.sample_id = s.sample_id AND mad.chrom = s.chrom GROUP BY s.sample_id, s.chrom),
+rec AS (SELECT {KS}, CAST(0 AS BIGINT) AS e, [-gamma] AS cost, [CAST(0 AS BIGINT)] AS prev FROM cum
+  UNION ALL SELECT {KS}, e + 1, list_append(cost, list_min(v)), list_append(prev, CAST(list_position(v, list_min(v)) - 1 AS BIGINT))
+  FROM (SELECT r.*, list_transform(range(0, r.e + 1), lambda i: CASE
+      WHEN i = 0 OR (c.n[r.e + 2] >= {2 * kmin} AND c.n[r.e + 2] - c.n[i + 1] >= {kmin})
+      THEN r.cost[i + 1] + c.q[r.e + 2] - c.q[i + 1] - pow(c.s[r.e + 2] - c.s[i + 1], 2) / (c.n[r.e + 2] - c.n[i + 1]) + c.gamma
+      ELSE 1e300 END) AS v
+    FROM rec r JOIN cum c ON c.sample_id = r.sample_id AND c.chrom = r.chrom WHERE r.e < c.k)),
+back AS (SELECT r.sample_id, r.chrom, r.prev, c.k AS e, r.prev[c.k + 1] AS s FROM rec r JOIN cum c
+    ON c.sample_id = r.sample_id AND c.chrom = r.chrom WHERE r.e = c.k
+  UNION ALL SELECT sample_id, chrom, prev, s, prev[s + 1] FROM back WHERE s > 0)
+SELECT b.sample_id, b.chrom, row_number() OVER (PARTITION BY b.sample_id, b.chrom ORDER BY b.e) - 1 AS seg_idx,
+  CAST(c.n[b.s + 1] AS BIGINT) + 1 AS start_rn, CAST(c.n[b.e + 1] AS BIGINT) AS end_rn,
+  CAST(c.n[b.e + 1] - c.n[b.s + 1] AS BIGINT) AS n_points, (c.s[b.e + 1] - c.s[b.s + 1]) / (c.n[b.e + 1] - c.n[b.s + 1]) AS mean
+FROM back b JOIN cum c ON c.sample_id = b.sample_id AND c.chrom = b.chrom)"""
+
+
+POTTS_CTES = MARKS + NOISE_CTES
+
+
+@register("potts_segments", doubles=["mean"], ctes=POTTS_CTES, sql=potts_sql(3.0))
 def q_potts_segments(spark, d):
-    fitted = G.potts_fit(_with_penalty(spark, d), KEYS, "baf", 3, "pen")
-    return _summary(fitted)
+    return _summary(G.potts_fit(_with_penalty(spark, d), KEYS, "baf", 3, "pen"))
+
+
+@register("potts_segments_fine", doubles=["mean"], ctes=POTTS_CTES, sql=potts_sql(0.25))
+def q_potts_segments_fine(spark, d):
+    """A penalty small enough for many breaks in every series."""
+    return _summary(G.potts_fit(_with_penalty(spark, d, 0.25), KEYS, "baf", 3, "pen"))
 
 
 DAYMEAN_SQL = f"""SELECT *, avg(baf) OVER (PARTITION BY {KS}, CAST(floor(position / 86400) AS INT)) AS seg_mean FROM v_series"""

@@ -70,13 +70,16 @@ def q_presegments(spark, d):
     return table
 
 
-@register("noise_sd", doubles=["sd", "mad_raw"], ctes=[
+NOISE_CTES = [
     ("f", f"""SELECT sample_id, chrom, event_id, position, x,
   row_number() OVER (PARTITION BY {KS} ORDER BY position, event_id) AS rn, count(*) OVER (PARTITION BY {KS}) AS n
-FROM (SELECT sample_id, chrom, event_id, position, CASE WHEN baf < 0.5 THEN baf ELSE 1 - baf END AS x FROM v_series) WHERE x <> 0""")]
+FROM (SELECT sample_id, chrom, event_id, position, CASE WHEN baf < 0.5 THEN baf ELSE 1 - baf END AS x FROM v_series) WHERE x <> 0""")] \
     + runmed_ctes("f", KS) + [
     ("dif", f"SELECT *, x - rm AS dif, median(x - rm) OVER (PARTITION BY {KS}) AS md FROM r_rm"),
-    ("mad", f"SELECT sample_id, chrom, {1.4826} * median(abs(dif - md)) AS mad FROM dif GROUP BY 1, 2")],
+    ("mad", f"SELECT sample_id, chrom, {1.4826} * median(abs(dif - md)) AS mad FROM dif GROUP BY 1, 2")]
+
+
+@register("noise_sd", doubles=["sd", "mad_raw"], ctes=NOISE_CTES,
     sql="""SELECT k.sample_id, k.chrom, greatest(coalesce(m.mad, 0.0), 0.09) AS sd, m.mad AS mad_raw
 FROM (SELECT DISTINCT sample_id, chrom FROM v_series) k LEFT JOIN mad m ON m.sample_id = k.sample_id AND m.chrom = k.chrom""")
 def q_noise_sd(spark, d):
