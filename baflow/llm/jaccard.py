@@ -42,6 +42,7 @@ CHUNK = 1 << 14
 HOT_ROUTE = 100_000
 PAGE = 32
 PROBE = 1024
+SEND_ROWS = 1_000_000
 
 
 def _long(x: np.ndarray) -> np.ndarray:
@@ -158,8 +159,11 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     num, den = threshold
     used = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
     used = used.join(classes.select("fp", "any_id"), "fp").select("fp", F.col("any_id").alias("doc_id"))
+    used = save(used.withColumnRenamed("doc_id", "_id"), "used")
+    # a short list of ids is sent to the texts; a longer one meets them in a shuffle
+    wanted = F.broadcast(used) if used.count() <= SEND_ROWS else used
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        used.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
+        wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
 
     def make(b):
         sets = shingle_sets(b.column("text"), words)

@@ -8,7 +8,7 @@ from baflow.operators import call as K
 from baflow.operators import fit as T
 from baflow.operators import plot_frames as PF
 from baflow.plans.q_clonal import _planted_point
-from baflow.plans.q_fit import OPT_CTES, P, _dist1
+from baflow.plans.q_fit import COARSE_CELLS, OPT_CTES, P, _dist1
 from baflow.plans.registry import register
 from baflow.plans.sql_fit import D
 from baflow.sources import views as V
@@ -172,7 +172,7 @@ def q_plot_cnv(spark, d):
 
 
 @register("plot_distance", ctes=__import__("baflow.plans.sql_fit", fromlist=["x"]).distance_sql(
-    "v_planted", __import__("baflow.plans.q_fit", fromlist=["x"]).TEST_CELLS, 1),
+    "v_planted", COARSE_CELLS, 1),
     doubles=["psi", "rho", "neg_d"], sql="SELECT sample_id, i, j, psi, rho, -d AS neg_d FROM dist")
 def q_plot_distance(spark, d):
     return PF.distance_frame(_dist1(spark, d))

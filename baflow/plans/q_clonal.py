@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from baflow.operators import fit as T
-from baflow.plans.q_fit import OPT_CTES, P, TEST_GRID, _dist1, matched, planted
+from baflow.plans.q_fit import OPT_CTES, P, COARSE, _dist1, matched, planted
 from baflow.plans.registry import register
 from baflow.plans.sql_fit import D, bounds_sql
 from baflow.sources import views as V

@@ -11,10 +11,6 @@ from baflow.plans.sql_fit import D, bounds_sql, cells_sql, distance_sql, minima_
 from baflow.sources import views as V
 
 P = T.FitParams()
-# test grid of FIXTURES.md: psi = 1.0 + 0.1 i (45 values), rho = 0.08 + 0.02 j (49 values)
-TEST_GRID = {"psi_min": 1.0, "psi_max": 1.0 + 44 * 0.1, "psi_by": 0.1,
-             "rho_min": 0.08, "rho_max": 0.08 + 48 * 0.02, "rho_by": 0.02}
-TEST_CELLS = cells_sql(1.0, 0.1, 45, 0.08, 0.02, 49)
 COARSE = T.coarse_grid_spec(P)
 COARSE_CELLS = cells_sql(COARSE["psi_min"], 0.05, 89, COARSE["rho_min"], 0.01, 97)
 
@@ -90,10 +86,10 @@ def q_segment_info(spark, d):
 DIST_OUT = "sample_id, i, j, psi, rho, d"
 for _c in range(4):
     def _mk(c):
-        @register(f"distance_choice{c}", ctes=distance_sql("v_planted", TEST_CELLS, c), doubles=["psi", "rho", "d"],
+        @register(f"distance_choice{c}", ctes=distance_sql("v_planted", COARSE_CELLS, c), doubles=["psi", "rho", "d"],
                   sql=f"SELECT {DIST_OUT} FROM dist")
         def _q(spark, d):
-            return T.distance_grid(planted(spark, d), TEST_GRID, c).select("sample_id", "i", "j", "psi", "rho", "d")
+            return T.distance_grid(planted(spark, d), COARSE, c).select("sample_id", "i", "j", "psi", "rho", "d")
         return _q
     _mk(_c)
 
@@ -109,10 +105,10 @@ LM_DOUBLES = ["psi", "rho", "dm", "ploidy", "percentzero", "perczero_abb", "good
 
 
 def _dist1(spark, d):
-    return T.distance_grid(planted(spark, d), TEST_GRID, 1)
+    return T.distance_grid(planted(spark, d), COARSE, 1)
 
 
-@register("local_minima", ctes=distance_sql("v_planted", TEST_CELLS, 1) + minima_sql("dist", False, P),
+@register("local_minima", ctes=distance_sql("v_planted", COARSE_CELLS, 1) + minima_sql("dist", False, P),
           doubles=LM_DOUBLES, sql=f"SELECT {LM_OUT} FROM lm")
 def q_local_minima(spark, d):
     return T.local_minima(_dist1(spark, d), P).select(*LM_OUT.split(", "))
@@ -122,13 +118,13 @@ def _fb_ctes():
     return [(n.replace("lm", "fb"), s.replace("lm_", "fb_")) for n, s in minima_sql("dist", True, P)]
 
 
-@register("local_minima_fallback", ctes=distance_sql("v_planted", TEST_CELLS, 1) + _fb_ctes(),
+@register("local_minima_fallback", ctes=distance_sql("v_planted", COARSE_CELLS, 1) + _fb_ctes(),
           doubles=LM_DOUBLES, sql=f"SELECT {LM_OUT} FROM fb")
 def q_local_minima_fallback(spark, d):
     return T.local_minima(_dist1(spark, d), P, fallback=True).select(*LM_OUT.split(", "))
 
 
-OPT_CTES = (distance_sql("v_planted", TEST_CELLS, 1) + minima_sql("dist", False, P) + _fb_ctes()
+OPT_CTES = (distance_sql("v_planted", COARSE_CELLS, 1) + minima_sql("dist", False, P) + _fb_ctes()
             + optimum_sql("lm", "fb", "v_planted"))
 
 
