@@ -23,35 +23,31 @@ def r_round(c: Column) -> Column:
 
 # ---------------------------------------------------------------- numpy kernels
 
-def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, iters: int = 300) -> np.ndarray:
-    """Continued fraction for the regularised incomplete beta (modified Lentz)."""
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < tiny, tiny, d)
-    d = 1.0 / d
-    h = d.copy()
-    for m in range(1, iters + 1):
-        m2 = 2.0 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        h = h * d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        delta = d * c
-        h = h * delta
-        if np.all(np.abs(delta - 1.0) < 3e-16):
+def _fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Continued fraction 1 / (1 + d1 / (1 + d2 / (1 + ...))) of the regularised incomplete beta function, with
+
+        d_2m = m (b - m) x / ((a + 2m - 1) (a + 2m)),   d_2m+1 = -(a + m) (a + b + m) x / ((a + 2m) (a + 2m + 1)),
+
+    evaluated from the last term back; the number of terms is doubled until the value stands still.
+    """
+    before = None
+    for terms in (32, 64, 128, 256, 512, 1024, 2048):
+        tail = np.zeros_like(x)
+        for k in range(terms, 0, -1):
+            m = k // 2
+            top = m * (b - m) if k % 2 == 0 else -(a + m) * (a + b + m)
+            tail = top * x / ((a + k - 1) * (a + k)) / (1.0 + tail)
+        value = 1.0 / (1.0 + tail)
+        if before is not None and np.all(np.abs(value - before) <= 4e-16 * np.abs(value)):
             break
-    return h
+        before = value
+    return value
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """Log gamma; the library function is called once per distinct value."""
+    values, index = np.unique(x, return_inverse=True)
+    return np.array([math.lgamma(v) for v in values])[index]
 
 
 def betainc_reg(a, b, x) -> np.ndarray:
@@ -67,15 +63,15 @@ def betainc_reg(a, b, x) -> np.ndarray:
     mid = ok & (x > 0) & (x < 1)
     if mid.any():
         am, bm, xm = a[mid], b[mid], x[mid]
-        lbeta = np.array([math.lgamma(p + q) - math.lgamma(p) - math.lgamma(q) for p, q in zip(am, bm)])
+        lbeta = _log_gamma(am + bm) - _log_gamma(am) - _log_gamma(bm)
         front = np.exp(lbeta + am * np.log(xm) + bm * np.log1p(-xm))
         direct = xm < (am + 1.0) / (am + bm + 2.0)
         res = np.empty_like(xm)
         if direct.any():
-            res[direct] = front[direct] * _betacf(am[direct], bm[direct], xm[direct]) / am[direct]
+            res[direct] = front[direct] * _fraction(am[direct], bm[direct], xm[direct]) / am[direct]
         if (~direct).any():
             nd = ~direct
-            res[nd] = 1.0 - front[nd] * _betacf(bm[nd], am[nd], 1.0 - xm[nd]) / bm[nd]
+            res[nd] = 1.0 - front[nd] * _fraction(bm[nd], am[nd], 1.0 - xm[nd]) / bm[nd]
         out[mid] = res
     return out
 
@@ -95,18 +91,16 @@ def dbinom_np(k: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
     k = np.asarray(k, dtype=float)
     n = np.asarray(n, dtype=float)
     p = np.asarray(p, dtype=float)
-    out = np.empty(k.shape)
-    for idx in range(k.size):
-        kk, nn, pp = k.flat[idx], n.flat[idx], p.flat[idx]
-        if np.isnan(kk) or np.isnan(nn) or np.isnan(pp) or kk < 0 or kk > nn:
-            out.flat[idx] = np.nan if (np.isnan(kk) or np.isnan(nn) or np.isnan(pp)) else 0.0
-        elif pp == 0.0:
-            out.flat[idx] = 1.0 if kk == 0 else 0.0
-        elif pp == 1.0:
-            out.flat[idx] = 1.0 if kk == nn else 0.0
-        else:
-            lc = math.lgamma(nn + 1) - math.lgamma(kk + 1) - math.lgamma(nn - kk + 1)
-            out.flat[idx] = math.exp(lc + kk * math.log(pp) + (nn - kk) * math.log1p(-pp))
+    k, n, p = np.broadcast_arrays(k, n, p)
+    out = np.zeros(k.shape)
+    out[np.isnan(k) | np.isnan(n) | np.isnan(p)] = np.nan
+    fits = (k >= 0) & (k <= n)
+    out[fits & (((p == 0) & (k == 0)) | ((p == 1) & (k == n)))] = 1.0
+    mid = fits & (p > 0) & (p < 1)
+    if mid.any():
+        x, m, q = k[mid], n[mid], p[mid]
+        choose = _log_gamma(m + 1) - _log_gamma(x + 1) - _log_gamma(m - x + 1)
+        out[mid] = np.exp(choose + x * np.log(q) + (m - x) * np.log1p(-q))
     return out
 
 

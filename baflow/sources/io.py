@@ -89,13 +89,34 @@ def read_impute_info(spark: SparkSession, path: str, chrom: str | None = None, i
     return df
 
 
+def read_allele_counts(spark: SparkSession, paths: list[str], sample_id: str, sample_kind: str) -> DataFrame:
+    """Per-chromosome count files of one sample as the operators take them (PRJ-02)."""
+    df = read_per_chrom(spark, paths, ALLELE_COUNTS)
+    return df.select(F.lit(sample_id).alias("sample_id"), F.lit(sample_kind).alias("sample_kind"),
+                     F.col("#CHR").alias("chrom"), F.col("POS").alias("position"),
+                     *[F.col(f"Count_{x}").alias(f"count_{x.lower()}") for x in "ACGT"],
+                     F.col("Good_depth").alias("good_depth"))
+
+
+def read_allele_loci(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Per-chromosome allele files as loci (chrom, position, a0, a1); the chromosome is in the file name."""
+    df = read_per_chrom(spark, paths, LOCI_ALLELES, chrom_from_name=True)
+    return df.select(F.col("CHR").alias("chrom"), "position", "a0", "a1")
+
+
 def read_legends(spark: SparkSession, impute_info: DataFrame) -> DataFrame:
-    """SRC-06: space-separated legends listed in ``impute_info`` (one multi-path scan).
+    """SRC-06: legends listed in ``impute_info`` as SNPs (chrom, position, id, a0, a1), one multi-path scan.
 
-    The list of legend paths is a handful of reference-panel file names, so it is collected.
+    The list of legend paths is a handful of reference-panel file names, so it is collected; a legend's
+    chromosome is that of its row of ``impute_info``, found by the file name.
     """
-    paths = [r[0] for r in impute_info.select("impute_legend").distinct().collect()]
-    return spark.read.option("header", True).option("sep", " ").csv(paths)
+    listed = impute_info.select("chrom", "impute_legend").distinct().collect()
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    chrom = F.create_map(*[F.lit(x) for r in listed for x in (r["impute_legend"].rsplit("/", 1)[-1], r["chrom"])])
+    df = (spark.read.schema("id string, position string, a0 string, a1 string").option("header", True)
+          .option("sep", " ").csv([r["impute_legend"] for r in listed]))
+    return df.select(F.try_element_at(chrom, name).alias("chrom"), F.col("position").try_cast("int").alias("position"),
+                     "id", "a0", "a1")
 
 
 def read_problem_loci(spark: SparkSession, path: str) -> DataFrame:
@@ -115,6 +136,18 @@ def read_haplotype_info(spark: SparkSession, path: str) -> DataFrame:
     return read_table_generic(spark, path, HAPLOTYPE_INFO, header=False)
 
 
+def phased_genotypes(vcf: DataFrame, sample_id: str) -> DataFrame:
+    """A phased VCF body as ``phased_split`` takes it (SRC-09)."""
+    return vcf.select(F.lit(sample_id).alias("sample_id"), F.col("CHROM").alias("chrom"), F.col("POS").alias("position"),
+                      F.col("REF").alias("ref"), F.col("ALT").alias("alt"), F.col("SAMPLE").alias("gt"))
+
+
+def haplotype_variants(info: DataFrame, chrom: str) -> DataFrame:
+    """A haplotype info table of one chromosome as ``het_baf`` takes it (SRC-10)."""
+    return info.select(F.lit(chrom).alias("chrom"), F.col("POS_var").alias("position"), F.col("REF").alias("ref"),
+                       F.col("ALT").alias("alt"), "allele1", "allele2")
+
+
 def read_contig_stats(spark: SparkSession, path: str) -> DataFrame:
     """SRC-11: 4-column contig table; malformed rows become ("invalid", 0, 0, 0)."""
     raw = spark.read.text(path)

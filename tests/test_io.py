@@ -25,6 +25,47 @@ def test_allele_counts_and_per_chrom(spark):
     assert loci.select("CHR").collect()[0][0] == "chr2"
 
 
+def test_readers_feed_the_operators(spark):
+    """Count, allele, legend, VCF and haplotype files through the operators that use them."""
+    from baflow.operators.phase import het_baf, known_snps, phased_split, snp_baf
+    from baflow.operators.signals import allele_pair_counts
+    d = tempfile.mkdtemp(prefix="baflow-io-")
+    header = "#CHR\tPOS\tCount_A\tCount_C\tCount_G\tCount_T\tGood_depth"
+    for kind, g in (("tumour", 4), ("normal", 3)):
+        _write_text(f"{d}/{kind}_chr1.txt", [header, f"chr1\t100\t1\t0\t{g}\t0\t{1 + g}", "chr1\t200\t0\t5\t0\t5\t10"])
+    counts = io.read_allele_counts(spark, [f"{d}/tumour_chr1.txt"], "s", "tumour").union(
+        io.read_allele_counts(spark, [f"{d}/normal_chr1.txt"], "s", "normal"))
+    _write_text(f"{d}/loci_chr1.txt", ["position\ta0\ta1", "100\t1\t3", "200\t2\t4"])
+    pairs = {r["position"]: r for r in allele_pair_counts(counts, io.read_allele_loci(spark, [f"{d}/loci_chr1.txt"])).collect()}
+    assert pairs[100]["mut_count2"] == 4 and pairs[100]["norm_count2"] == 3 and pairs[200]["total_tumour"] == 10
+    _write_text(f"{d}/chr1.legend", ["id position a0 a1", "rs1 100 A G", "rs2 200 C T"])
+    info = spark.createDataFrame([("chr1", f"{d}/chr1.legend", "m", "h", 1, 9, 1)], io.IMPUTE_INFO)
+    bad = spark.createDataFrame([("chr1", 200)], "chrom string, position int")
+    snps = known_snps(io.read_legends(spark, info), bad)
+    assert [(r["id"], round(r["baf"], 6)) for r in snp_baf(counts, snps).collect()] == [("rs1", 0.8)]
+    _write_text(f"{d}/p.vcf", ["##x", "chr1\t100\t.\tA\tG\t.\tPASS\t.\tGT\t0|1"])
+    split = phased_split(io.phased_genotypes(io.read_phased_vcf(spark, f"{d}/p.vcf"), "s"))
+    assert [(r["allele1"], r["allele2"]) for r in split.collect()] == [(0, 1)]
+    _write_text(f"{d}/hap.txt", ["snp1\trs1\t100\tA\tG\t0\t1", "snp2\trs2\t200\tC\tT\t1\t1"])
+    haps = io.haplotype_variants(io.read_haplotype_info(spark, f"{d}/hap.txt"), "chr1")
+    assert [(r["position"], round(r["baf"], 6)) for r in het_baf(counts, haps).collect()] == [(100, 0.8)]
+
+
+def test_vcf_order_and_empty_inputs(spark):
+    calls = spark.createDataFrame([(c, p, ".", "A", "G", ".", "PASS", ".", "GT", "0/1") for c, p in
+                                   (("chrX", 5), ("chr10", 7), ("chr2", 9), ("chr2", 3))],
+                                  "CHROM string, POS int, ID string, REF string, ALT string, QUAL string, "
+                                  "FILTER string, INFO string, FORMAT string, SAMP0001 string")
+    body = [r["line"].split("\t")[:2] for r in io.vcf_lines(calls).orderBy("chrom_ord", "ord").collect()][4:]
+    assert body == [["2", "3"], ["2", "9"], ["10", "7"], ["X", "5"]]
+    assert io.read_per_chrom(spark, ["/nowhere/a_chr1.txt"], io.LOCI_ALLELES, chrom_from_name=True).columns[-1] == "CHR"
+    d = tempfile.mkdtemp(prefix="baflow-io-")
+    _write_text(f"{d}/bp.txt", ["chromosome  position", "1\t100", "X   200"])
+    assert [tuple(r) for r in io.read_breakpoints(spark, f"{d}/bp.txt").orderBy("position").collect()] == [("1", 100), ("X", 200)]
+    _write_text(f"{d}/five.txt", ["chr1\t1\t2\t3\t4", "chr2\t10\t5\t0"])
+    assert {r["chrom"] for r in io.read_contig_stats(spark, f"{d}/five.txt").collect()} == {"invalid", "chr2"}
+
+
 def test_contig_stats_malformed(spark):
     d = tempfile.mkdtemp(prefix="baflow-io-")
     _write_text(f"{d}/idx.txt", ["chr1\t1000\t500\t0", "chrX\t800\t200\t3", "garbage line", "*\t0\t0\t77"])
