@@ -36,7 +36,9 @@ from baflow.llm.words import mix, shingle_sets
 
 WORDS = 4
 THRESHOLD = (85, 100)
-GROUPS = 64
+GROUPS = 128
+FULL = 65535                      # a group count that stands for itself or more
+SLICE = 2_000_000
 BUCKETS = 1 << 20
 CHUNK = 1 << 14
 HOT_ROUTE = 100_000
@@ -57,7 +59,7 @@ def _fingerprint(s: np.ndarray) -> int:
 
 
 def _group_counts(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s & np.uint64(GROUPS - 1)).astype("i8"), minlength=GROUPS).astype("<u4")
+    return np.minimum(np.bincount((s & np.uint64(GROUPS - 1)).astype("i8"), minlength=GROUPS), FULL).astype("<u2")
 
 
 def _bucket(s: np.ndarray) -> np.ndarray:
@@ -71,7 +73,7 @@ def profiles(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n", "fp", "chunk", "counts"]
         total, ids = np.zeros(BUCKETS, "i8"), None
-        for b in slices(batches, "text", 4_000_000):
+        for b in slices(batches, "text", SLICE):
             sets, ids = shingle_sets(b.column("text"), words), b.column("doc_id")
             total += np.bincount(_bucket(np.concatenate(sets)), minlength=BUCKETS)
             m = len(sets)
@@ -126,13 +128,20 @@ def prefixes(docs: DataFrame, counts: np.ndarray, words: int, threshold: tuple[i
             salts.append(np.where(deal > 0, 1 + f % (1 + deal), 0).astype("i4"))
         return {"fp": np.array(fp, "i8"), "n": np.array(n, "i8"), "groups": groups, "tokens": tokens, "salts": salts}
 
-    every = map_texts(docs, run, "fp long, n long, groups binary, tokens array<long>, salts array<int>", ())
+    every = map_texts(docs, run, "fp long, n long, groups binary, tokens array<long>, salts array<int>", (), SLICE)
     return every.where("n > 0").dropDuplicates(["fp"])
 
 
+def _overlap(g1, g2):
+    """Most shingles in common by the group counts; without a bound where both stand for ``FULL`` or more."""
+    least = np.minimum(g1, g2)
+    return least.sum(axis=-1, dtype="i8") + np.where((least == FULL).any(axis=-1), 1 << 40, 0)
+
+
 def _can_link(n1, n2, overlap, num: int, den: int):
     """Whether sets of sizes n1, n2 with at most ``overlap`` shingles in common can reach the threshold."""
-    return den * overlap >= num * (n1 + n2 - overlap)
+    both = np.minimum(overlap, np.minimum(n1, n2))
+    return den * both >= num * (n1 + n2 - both)
 
 
 def bounded(pairs: DataFrame, classes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -146,19 +155,19 @@ def bounded(pairs: DataFrame, classes: DataFrame, threshold: tuple[int, int]) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                g1, g2 = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(-1, GROUPS) for c in ("ga", "gb"))
+                g1, g2 = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u2").reshape(-1, GROUPS) for c in ("ga", "gb"))
                 n1, n2 = (b.column(c).to_numpy() for c in ("na", "nb"))
-                ok = _can_link(n1, n2, np.minimum(g1, g2).sum(axis=1).astype("i8"), num, den)
+                ok = _can_link(n1, n2, _overlap(g1, g2), num, den)
                 yield b.select(["a", "b"]).filter(pa.array(ok))
 
     return wide.select("a", "b", "na", "nb", "ga", "gb").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, names: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame:
     """The pairs whose whole sets reach the threshold; sets are made again for the classes in ``pairs`` only."""
     num, den = threshold
     used = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
-    used = used.join(classes.select("fp", "any_id"), "fp").select("fp", F.col("any_id").alias("doc_id"))
+    used = used.join(names, "fp").select("fp", F.col("any_id").alias("doc_id"))
     used = save(used.withColumnRenamed("doc_id", "_id"), "used")
     # a short list of ids is sent to the texts; a longer one meets them in a shuffle
     wanted = F.broadcast(used) if used.count() <= SEND_ROWS else used
@@ -170,7 +179,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
         return {"is_it": [_fingerprint(s) == f for s, f in zip(sets, b.column("fp").to_pylist(), strict=True)],
                 "items": [s.tobytes() for s in sets]}
 
-    sets = save(map_texts(texts.select("fp", "text"), make, "is_it boolean, items binary", ("fp",)).where(
+    sets = save(map_texts(texts.select("fp", "text"), make, "is_it boolean, items binary", ("fp",), SLICE).where(
         "is_it").select("fp", "items").dropDuplicates(["fp"]), "sets")
     wide = pairs.join(sets.select(F.col("fp").alias("a"), F.col("items").alias("ia")), "a").join(
         sets.select(F.col("fp").alias("b"), F.col("items").alias("ib")), "b")
@@ -206,14 +215,14 @@ class CountTree:
         n, g, c = self.n[k], self.groups[k], self.comp[k]
         page = np.flatnonzero((self.first + PAGE > k + 1) & (self.low * num <= n * den) & (self.mixed | (self.only != c)))
         # all sizes behind k are n or more; a page's overlap with it is at most the sum of the minima
-        cover = np.minimum(self.most[page], g).sum(axis=1)
+        cover = _overlap(self.most[page], g)
         page = page[_can_link(n, np.maximum(n, self.low[page]), cover, num, den)]
         if not len(page):
             return page
         at = (self.first[page][:, None] + np.arange(PAGE)).reshape(-1)
         at = at[(at > k) & (at < len(self.n))]
         at = at[(self.comp[at] != c) & (self.n[at] * num <= n * den)]
-        cover = np.minimum(self.groups[at], g).sum(axis=1)
+        cover = _overlap(self.groups[at], g)
         return at[_can_link(n, self.n[at], cover, num, den)]
 
 
@@ -241,7 +250,7 @@ def residue(routes: DataFrame, roots: DataFrame, classes: DataFrame, threshold:
         order = np.lexsort((turn, token))
         cut = np.flatnonzero(np.r_[True, (np.diff(token[order]) != 0) | (np.diff(turn[order]) != 0), True])
         fp, n, root = (table.column(c).to_numpy() for c in ("fp", "n", "root"))
-        groups = np.frombuffer(b"".join(table.column("groups").to_pylist()), "<u4").reshape(-1, GROUPS).astype("i4")
+        groups = np.frombuffer(b"".join(table.column("groups").to_pylist()), "<u2").reshape(-1, GROUPS)
         tokens = [set(x) for x in table.column("mine").to_pylist()]
         for lo, hi in zip(cut[:-1], cut[1:], strict=True):
             rows = order[lo:hi]
@@ -262,9 +271,9 @@ def residue(routes: DataFrame, roots: DataFrame, classes: DataFrame, threshold:
 def join_components(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) of every row of ``docs``."""
     prof, counts = profiles(docs, words)
-    names = prof.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("any_id"))
+    names = save(prof.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("any_id")), "names")
     rows = save(prefixes(docs, counts, words, threshold), "prefixes")
-    classes = rows.select("fp", "n", "groups").join(names, "fp")
+    points = rows.select("fp", "n", "groups")
     post = rows.select("fp", F.explode(F.arrays_zip("tokens", "salts")).alias("r")).select(
         "fp", F.col("r.tokens").alias("token"), F.col("r.salts").alias("salt"))
     # the star of a route is the class whose id, scrambled by the shingle, is least
@@ -281,10 +290,10 @@ def join_components(docs: DataFrame, words: int = WORDS, threshold: tuple[int, i
         "star", F.col("key").bitwiseXOR(F.col("token")).alias("first"))
     edges = routes.select(F.col("star").alias("a"), F.col("fp").alias("b")).union(meet.select("first", "star"))
     edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = save(verified(save(bounded(edges, classes, threshold), "pairs"), docs, classes, words, threshold), "links")
+    links = save(verified(save(bounded(edges, points, threshold), "pairs"), docs, names, words, threshold), "links")
     roots = components(links)
-    rest = save(residue(routes, roots, classes, threshold), "pairs")
-    more = verified(rest, docs, classes, words, threshold)
+    rest = save(residue(routes, roots, points, threshold), "pairs")
+    more = verified(rest, docs, names, words, threshold)
     merged = more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
         roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left").select(
         F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))

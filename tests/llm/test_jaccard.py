@@ -42,7 +42,7 @@ def test_bound_never_loses_a_link():
         b = np.union1d(a[int(rng.integers(0, 12)):], rng.integers(0, 1 << 60, 4, dtype="u8"))
         over = int(np.minimum(jaccard._group_counts(a), jaccard._group_counts(b)).sum())
         assert over >= len(np.intersect1d(a, b))
-        tree = jaccard.CountTree(np.array([len(a), len(b)]), np.stack([jaccard._group_counts(x).astype("i4") for x in (a, b)]),
+        tree = jaccard.CountTree(np.array([len(a), len(b)]), np.stack([jaccard._group_counts(x) for x in (a, b)]),
                                  np.array([1, 2]))
         both = len(np.intersect1d(a, b))
         if 100 * both >= 85 * (len(a) + len(b) - both):
