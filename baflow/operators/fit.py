@@ -614,7 +614,7 @@ def index_segments(segs: DataFrame) -> DataFrame:
 def fit_copy_number(matched: DataFrame, p: FitParams = FitParams()) -> dict[str, DataFrame]:
     """FIT-21 / FIT-18: ASCAT grid search, clonal refinement, and the rho/psi table per sample.
 
-    ``matched`` is the output of ``match_signals``. Returns frames ``ascat``, ``clonal_distance``,
+    ``matched`` is the output of ``match_signals``. Returns frames ``ascat``, ``distance``, ``clonal_distance``,
     ``run_clonal`` and ``rho_psi`` (3 rows per sample: ASCAT, FRAC_GENOME, REF_SEG).
     """
     p.check()
@@ -664,4 +664,4 @@ def fit_copy_number(matched: DataFrame, p: FitParams = FitParams()) -> dict[str,
     rho_psi = (opt.select("sample_id", "status", F.inline(ascat_row))
                .unionByName(rc.join(opt.select("sample_id", "status"), "sample_id").select(
                    "sample_id", "status", F.inline(clonal_rows))))
-    return {"ascat": opt, "clonal_distance": cd, "run_clonal": rc, "rho_psi": rho_psi}
+    return {"ascat": opt, "distance": dist, "clonal_distance": cd, "run_clonal": rc, "rho_psi": rho_psi}

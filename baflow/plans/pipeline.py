@@ -43,7 +43,8 @@ class RunParams:
 
 def run(tables: dict[str, DataFrame], params: RunParams = RunParams(), side=None) -> dict[str, DataFrame]:
     """PIPE-01. ``tables`` may hold: ``bases`` + ``loci`` (or ``counts``), ``phased`` (or ``het_baf``),
-    ``breakpoints``, ``contig_stats``, ``baf_segmented`` (skips segmentation). Returns every stage."""
+    ``breakpoints``, ``contig_stats``, ``baf_segmented`` (skips segmentation), ``legend`` with or without
+    ``problem_loci`` (adds genotype calls and their VCF columns). Returns every stage."""
     out: dict[str, DataFrame] = {}
     p = params
     if "contig_stats" in tables:                                   # PIPE-05 run defaults
@@ -59,6 +60,12 @@ def run(tables: dict[str, DataFrame], params: RunParams = RunParams(), side=None
     signal = cut_lineage(S.logr_normalised(S.baf_side(pairs, side, p.seed)))
     out["signal"] = signal
     out.update({f"signal_{k}": v for k, v in S.signal_outputs(signal).items()})
+    if "legend" in tables:                                         # PH-01..04: what a phasing solver reads
+        snps = tables["legend"]
+        if "problem_loci" in tables:
+            snps = H.known_snps(snps, tables["problem_loci"])
+        out["genotypes"] = H.call_genotype(H.snp_baf(counts, snps))
+        out["vcf"] = H.vcf_projection(out["genotypes"])
     # PIPE-03 phasing inputs and heterozygous BAF (the phasing solver itself is external)
     het = tables.get("het_baf")
     if het is None:
@@ -77,6 +84,7 @@ def run(tables: dict[str, DataFrame], params: RunParams = RunParams(), side=None
     logr_raw = signal.select("sample_id", "chrom", "position", F.col("mutant_logr").alias("value"))
     matched = cut_lineage(T.match_signals(seg, baf_raw, logr_raw))
     out["matched"] = matched
+    out["logr_segmented"] = matched.select("sample_id", "chrom", "position", F.col("logr_seg").alias("value"))
     fitted = T.fit_copy_number(matched, p.fit)
     out.update(fitted)
     seg_nochr = seg.withColumn("chrom", F.regexp_replace("chrom", "chr", ""))
