@@ -21,8 +21,8 @@ def test_first_value_is_taken_after_nulls_go(spark):
 def test_levels_without_copies_at_full_purity(spark):
     one = spark.range(1).select(fit.baf_level(F.lit(1.0), F.lit(0), F.lit(0), zero_half=False).alias("x")).first()
     assert one["x"] is None
-    segs = spark.createDataFrame([(20, 0.5, 0.1, [(0, 0), (1, 0)])],
-                                 "n long, mean double, sd double, edges array<struct<major:int,minor:int>>")
+    segs = spark.createDataFrame([(20, 0.5, 0.1, 0.5, [(0, 0), (1, 0)])],
+                                 "n long, mean double, sd double, l double, edges array<struct<major:int,minor:int>>")
     row = call_states(segs, F.lit(1.0)).first()
     assert row["test_level"] is None and row["clonal_major"] == 0
 
