@@ -24,7 +24,7 @@ from baflow.llm.common import save, slices
 
 SEQ_LEN = 4096
 END_ID = 2
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 700_000
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -105,7 +105,7 @@ def tokenize(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype=enc.kind)
-        for b in slices(batches, "text", 4_000_000):
+        for b in slices(batches, "text", 2_000_000):
             ids = [np.concatenate([x, end]) for x in enc.encode([t or "" for t in b.column("text").to_pylist()])]
             n = np.array([len(x) for x in ids], dtype="int64")
             yield pa.RecordBatch.from_arrays(
