@@ -9,8 +9,10 @@ around the window (at most ``EDITS`` of its length).
 
 Windows start where an item could lie: long words (``WORD_BYTES``) and long pairs of neighbouring words
 (``PAIR_BYTES``) that occur in some item vote for the start that they imply, and a start needs a sixteenth of the item's
-votes (two at least) within ``NEAR`` words. This places the windows; what is reported is what tables and verification find. Recall on items with
-edited characters is measured in the tests.
+votes (two at least) within ``NEAR`` words. Items with fewer than ``FEW`` such seeds, and texts in scripts without blanks
+(words of ``RUN_BYTES`` on average), vote with all their runs of ``GRAM`` bytes instead (``TINY`` bytes for items of a few bytes): an
+eighth of them (two at least) within ``GRAM_NEAR`` bytes. This places the windows; what is reported is what tables and
+verification find. Recall on items with edited characters is measured in the tests.
 
 Comparison is on lower-cased text with single blanks. The index of the items is sent to all tasks in slices of
 at most ``SLICE_BYTES`` of item text; more slices mean more passes, never fewer items. Null or empty items match
@@ -35,6 +37,9 @@ EDITS = 0.2
 WALKS, TABLES, BITS = 8, 12, 3
 WORD_BYTES, PAIR_BYTES = 7, 10
 NEAR = 2
+FEW, RUN_BYTES = 4, 24
+GRAM, TINY, GRAM_NEAR = 6, 3, 16
+GRAM_SLICE = 500_000
 SLICE_BYTES = 16_000_000
 _BLANK = re.compile(r"[\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -102,7 +107,7 @@ class Walks:
         return out
 
 
-def _seeds(texts: pa.Array, every: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _seeds(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, word place in its text, text) of every seed: long words and pairs of neighbouring words."""
     h, first, start = word_hashes(texts)
     n = np.diff(first)
@@ -117,49 +122,47 @@ def _seeds(texts: pa.Array, every: bool) -> tuple[np.ndarray, np.ndarray, np.nda
     size[first[1:][n > 0] - 1] += 1
     inner = np.flatnonzero((doc[1:] == doc[:-1]) & (size[1:] + size[:-1] > PAIR_BYTES + 1))
     long = np.flatnonzero(size > WORD_BYTES)
-    if every:                                         # an item without long words and pairs votes with all its words
-        bare = np.bincount(np.concatenate([doc[inner], doc[long]]), minlength=len(n)) < 4
-        long = np.flatnonzero((size > WORD_BYTES) | bare[doc])
     return (np.concatenate([pair[inner], h[long]]), np.concatenate([place[inner], place[long]]),
             np.concatenate([doc[inner], doc[long]]))
 
 
+_GRAM_BYTE = np.random.default_rng(17).integers(1, 1 << 63, (GRAM, 256), dtype="u8")
+
+
+def _grams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, byte place, text) of every run of ``n`` bytes of normal texts, a blank on either side included."""
+    raw = [b" %b " % t.encode("utf-8", "replace") for t in texts]
+    data = np.frombuffer(b"".join(raw), "u1")
+    size = np.array([len(r) for r in raw], "i8")
+    doc = np.repeat(np.arange(len(raw)), size)
+    place = np.arange(len(data)) - np.repeat(size.cumsum() - size, size)
+    h = np.full(max(0, len(data) - n + 1), n, "u8")
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            h += _GRAM_BYTE[k][data[k:len(h) + k]]
+        h = mix(h)
+    some = np.flatnonzero(doc[:len(h)] == doc[n - 1:n - 1 + len(h)])
+    return h[some], place[some], doc[some]
+
+
 @dataclass
-class Index:
-    """Items of one slice: their texts, seeds and tables."""
+class Seeds:
+    """Seeds of one kind in order of their keys."""
 
-    ids: list[int]
-    texts: list[str]
     key: np.ndarray
     item: np.ndarray
     place: np.ndarray
-    need: np.ndarray
-    walks: Walks
-    tables: dict[int, list[int]]
     gate: np.ndarray
-    bare: bool
 
     @classmethod
-    def of(cls, ids: list[int], texts: list[str]) -> Index:
-        words = [normal_words(t) for t in texts]
-        texts = [" ".join(w) for w in words]
-        key, place, item = _seeds(pa.array(texts, pa.string()), True)
-        bare = len(_seeds(pa.array(texts, pa.string()), False)[0]) < len(key)
+    def of(cls, key: np.ndarray, place: np.ndarray, item: np.ndarray) -> Seeds:
         order = np.argsort(key, kind="stable")
-        votes = np.bincount(item, minlength=len(texts))
-        walks = Walks(max(map(len, texts), default=1))
-        tables: dict[int, list[int]] = {}
-        for k, row in enumerate(walks.keys(texts, np.array([len(t) for t in texts], "i8"))):
-            for t in row.tolist():
-                tables.setdefault(t, []).append(k)
         gate = np.zeros(1 << 22, bool)
         gate[(key >> np.uint64(42)).astype("i8")] = True
-        return cls(ids, texts, key[order], item[order], place[order], np.minimum(votes, np.maximum(2, votes // 16)),
-                   walks, tables, gate, bare)
+        return cls(key[order], item[order], place[order], gate)
 
-    def windows(self, texts: pa.Array) -> list[tuple[int, int, int]]:
-        """(text, item, first word) of every start with enough votes."""
-        key, place, doc = _seeds(texts, self.bare)
+    def starts(self, key: np.ndarray, place: np.ndarray, doc: np.ndarray, need: np.ndarray, near: int) -> list[tuple[int, int, int]]:
+        """(text, item, start) of every start with ``need`` votes within ``near``."""
         some = np.flatnonzero(self.gate[(key >> np.uint64(42)).astype("i8")])
         lo, hi = (np.searchsorted(self.key, key[some], side) for side in ("left", "right"))
         n = hi - lo
@@ -170,29 +173,87 @@ class Index:
         d, i, start = d[order], i[order], start[order]
         if not len(d):
             return []
-        # votes within NEAR words of each vote, for the same text and item
+        # votes near each vote, for the same text and item
         group = np.r_[0, ((d[1:] != d[:-1]) | (i[1:] != i[:-1])).cumsum()]
         line = group * (1 << 40) + start + (1 << 39)
-        count = np.searchsorted(line, line + NEAR, "right") - np.searchsorted(line, line - NEAR, "left")
-        ok = np.flatnonzero((count >= self.need[i]) & np.r_[True, line[1:] != line[:-1]])
-        return sorted(zip(d[ok].tolist(), i[ok].tolist(), start[ok].tolist(), strict=True))
+        count = np.searchsorted(line, line + near, "right") - np.searchsorted(line, line - near, "left")
+        ok = np.flatnonzero((count >= need[i]) & np.r_[True, line[1:] != line[:-1]])
+        return list(zip(d[ok].tolist(), i[ok].tolist(), start[ok].tolist(), strict=True))
+
+
+@dataclass
+class Index:
+    """Items of one slice: their texts, seeds and tables."""
+
+    ids: list[int]
+    texts: list[str]
+    words: Seeds
+    grams: dict[int, Seeds]
+    need: np.ndarray
+    walks: Walks
+    tables: dict[int, list[int]]
+
+    @classmethod
+    def of(cls, ids: list[int], texts: list[str]) -> Index:
+        words = [normal_words(t) for t in texts]
+        texts = [" ".join(w) for w in words]
+        size = np.array([len(t.encode("utf-8", "replace")) for t in texts], "i8")
+        key, place, item = _seeds(pa.array(texts, pa.string()))
+        bare = (np.bincount(item, minlength=len(texts)) < FEW) | (size > RUN_BYTES * np.array([len(w) for w in words], "i8"))
+        regular = np.flatnonzero(~bare[item])
+        votes = np.bincount(item[regular], minlength=len(texts))
+        need = np.minimum(votes, np.maximum(2, votes // 16))
+        grams = {}
+        for n, some in ((GRAM, bare & (size > GRAM)), (TINY, bare & (size <= GRAM))):
+            at = np.flatnonzero(some & (size > 0))
+            if len(at):
+                k, p, i = _grams([texts[x] for x in at], n)
+                grams[n] = Seeds.of(k, p, at[i])
+                votes = np.bincount(i)
+                need[at] = np.minimum(votes, np.maximum(2, votes // 8)) if n == GRAM else 1
+        walks = Walks(max(map(len, texts), default=1))
+        tables: dict[int, list[int]] = {}
+        for k, row in enumerate(walks.keys(texts, np.array([len(t) for t in texts], "i8"))):
+            for t in row.tolist():
+                tables.setdefault(t, []).append(k)
+        return cls(ids, texts, Seeds.of(key[regular], place[regular], item[regular]), grams, need, walks, tables)
+
+    def windows(self, texts: pa.Array) -> list[tuple[int, int, int, bool]]:
+        """(text, item, first word or byte, whether it is a byte) of every start with enough votes."""
+        out = [(*x, False) for x in self.words.starts(*_seeds(texts), self.need, NEAR)]
+        lo = 0
+        while self.grams and lo < len(texts):
+            plain, size, hi = [], 0, lo
+            while hi < len(texts) and (hi == lo or size < GRAM_SLICE):
+                plain.append(" ".join(normal_words(texts[hi].as_py() or "")))
+                size += len(plain[-1])
+                hi += 1
+            for n, seeds in self.grams.items():
+                out += [(lo + d, i, s, True) for d, i, s in seeds.starts(*_grams(plain, n), self.need, GRAM_NEAR)]
+            lo = hi
+        return sorted(out)
 
     def leaks(self, texts: pa.Array, edits: float) -> list[list[tuple[int, int, int]]]:
         """Per text (item id, edit distance, item length) of every item found in it."""
         found: list[dict] = [{} for _ in range(len(texts))]
         near = self.windows(texts)
         for lo in range(0, len(near), 2000):
-            part, strings, spans = near[lo:lo + 2000], [], []
+            part = [x for x in near[lo:lo + 2000] if self.ids[x[1]] not in found[x[0]]]
+            strings, spans = [], []
             cache: dict[int, tuple[str, list[int]]] = {}
-            for d, i, s in part:
+            for d, i, s, byte in part:
                 if d not in cache:
                     words = normal_words(texts[d].as_py())
                     cache[d] = (" ".join(words), np.r_[0, np.cumsum([len(w) + 1 for w in words])].tolist())
                 text, at = cache[d]
-                a = at[min(max(s, 0), len(at) - 1)]
+                if byte:
+                    a = s if text.isascii() else len(text.encode("utf-8", "replace")[:max(s, 0)].decode("utf-8", "ignore"))
+                    a = min(max(a, 0), len(text))
+                else:
+                    a = at[min(max(s, 0), len(at) - 1)]
                 strings.append(text[a:a + len(self.texts[i])])
                 spans.append((d, a))
-            size = np.array([len(self.texts[i]) for _, i, _ in part], "i8")
+            size = np.array([len(self.texts[i]) for _, i, *_ in part], "i8")
             for (d, a), row, n in zip(spans, self.walks.keys(strings, size).tolist(), size.tolist(), strict=True):
                 for k in {k for t in row for k in self.tables.get(t, ())}:
                     item = self.texts[k]

@@ -77,3 +77,23 @@ def test_odd_rows_slices_and_empty(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - 1
     assert decontam.clean(docs, items.where("false")).count() == docs.count()
     assert decontam.clean(docs.where("false"), items).count() == 0
+
+
+def test_short_words_and_scripts_without_blanks_in_long_documents():
+    rng = random.Random(5)
+    hosts = [t for t in documents()["text"] if len(t) > 800][:20]
+    items = ["How do you get to the sea if it is far to go?", "Is it so? We do not go to encyclopaedia by bus, or do we?",
+             "从北京到上海最快的火车需要多少个小时才能到达终点站", "to be or not", "go up", "海",
+             "在春天里，" * 3 + "人们常常到河边去看花，也会在那里吃饭、唱歌、谈天说地，直到太阳下山才慢慢走回家"]
+    index = decontam.Index.of(list(range(len(items))), items)
+    texts, want = [], []
+    for host in hosts:
+        for k, item in enumerate(items):
+            at = rng.randrange(len(host))
+            texts.append(host[:at] + (f"这里是一段很长的话{item}然后继续说下去" if ord(item[0]) > 1000 else f" {item} ") + host[at:])
+            want.append(k)
+    found = index.leaks(pa.array(texts), decontam.EDITS)
+    assert all(k in [f[0] for f in got] for k, got in zip(want, found, strict=True))
+    edited = [hosts[k % 20] + " " + _edit(rng, items[0], 0.05) + " " + hosts[-1] for k in range(100)]
+    assert sum(bool([f for f in got if f[0] == 0]) for got in index.leaks(pa.array(edited), decontam.EDITS)) >= 95
+    assert not any(f[0] in (0, 1, 2, 6) for got in index.leaks(pa.array(hosts), decontam.EDITS) for f in got)
