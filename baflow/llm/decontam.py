@@ -11,7 +11,9 @@ Windows start where an item could lie: long words (``WORD_BYTES``) and long pair
 (``PAIR_BYTES``) that occur in some item vote for the start that they imply, and a start needs a sixteenth of the item's
 votes (two at least) within ``NEAR`` words. Items with fewer than ``FEW`` such seeds, and texts in scripts without blanks
 (words of ``RUN_BYTES`` on average), vote with all their runs of ``GRAM`` bytes instead (``TINY`` bytes for items of a few bytes): an
-eighth of them (two at least) within ``GRAM_NEAR`` bytes. This places the windows; what is reported is what tables and
+eighth of them (two at least) within ``GRAM_NEAR`` bytes. Inserted words move the implied start, the more the longer an
+item is, so an item of two or more times ``PART`` characters is indexed by parts of about that length, each with votes and keys of its
+own; a part that is retrieved has the whole item verified. This places the windows; what is reported is what tables and
 verification find. Recall on items with edited characters is measured in the tests.
 
 Comparison is on lower-cased text with single blanks. The index of the items is sent to all tasks in slices of
@@ -40,6 +42,7 @@ NEAR = 2
 FEW, RUN_BYTES = 4, 24
 GRAM, TINY, GRAM_NEAR = 6, 3, 16
 GRAM_SLICE = 500_000
+PART = 256
 SLICE_BYTES = 16_000_000
 _BLANK = re.compile(r"[\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -181,12 +184,26 @@ class Seeds:
         return list(zip(d[ok].tolist(), i[ok].tolist(), start[ok].tolist(), strict=True))
 
 
+def _parts(text: str) -> list[tuple[int, str]]:
+    """(place, text) of parts of about ``PART`` characters, cut at blanks where there are any."""
+    n = max(1, len(text) // PART)
+    cuts = [0]
+    for k in range(1, n):
+        at = k * len(text) // n
+        blank = text.rfind(" ", at - PART // 2, at) + 1
+        cuts.append(blank or at)
+    return [(lo, text[lo:hi].rstrip(" ")) for lo, hi in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+
+
 @dataclass
 class Index:
-    """Items of one slice: their texts, seeds and tables."""
+    """Items of one slice: their parts (id, text, item and place in it), seeds and tables."""
 
     ids: list[int]
     texts: list[str]
+    whole: list[str]
+    item: list[int]
+    offset: list[int]
     words: Seeds
     grams: dict[int, Seeds]
     need: np.ndarray
@@ -195,8 +212,11 @@ class Index:
 
     @classmethod
     def of(cls, ids: list[int], texts: list[str]) -> Index:
-        words = [normal_words(t) for t in texts]
-        texts = [" ".join(w) for w in words]
+        whole = [" ".join(normal_words(t)) for t in texts]
+        parts = [(k, at, t) for k, text in enumerate(whole) for at, t in _parts(text)]
+        owner, offset, texts = ([x[c] for x in parts] for c in range(3))
+        ids = [ids[k] for k in owner]
+        words = [t.split(" ") for t in texts]
         size = np.array([len(t.encode("utf-8", "replace")) for t in texts], "i8")
         key, place, item = _seeds(pa.array(texts, pa.string()))
         bare = (np.bincount(item, minlength=len(texts)) < FEW) | (size > RUN_BYTES * np.array([len(w) for w in words], "i8"))
@@ -216,7 +236,7 @@ class Index:
         for k, row in enumerate(walks.keys(texts, np.array([len(t) for t in texts], "i8"))):
             for t in row.tolist():
                 tables.setdefault(t, []).append(k)
-        return cls(ids, texts, Seeds.of(key[regular], place[regular], item[regular]), grams, need, walks, tables)
+        return cls(ids, texts, whole, owner, offset, Seeds.of(key[regular], place[regular], item[regular]), grams, need, walks, tables)
 
     def windows(self, texts: pa.Array) -> list[tuple[int, int, int, bool]]:
         """(text, item, first word or byte, whether it is a byte) of every start with enough votes."""
@@ -241,6 +261,7 @@ class Index:
             part = [x for x in near[lo:lo + 2000] if self.ids[x[1]] not in found[x[0]]]
             strings, spans = [], []
             cache: dict[int, tuple[str, list[int]]] = {}
+            tried: set[tuple[int, int, int, int]] = set()
             for d, i, s, byte in part:
                 if d not in cache:
                     words = normal_words(texts[d].as_py())
@@ -256,12 +277,19 @@ class Index:
             size = np.array([len(self.texts[i]) for _, i, *_ in part], "i8")
             for (d, a), row, n in zip(spans, self.walks.keys(strings, size).tolist(), size.tolist(), strict=True):
                 for k in {k for t in row for k in self.tables.get(t, ())}:
-                    item = self.texts[k]
+                    item = self.whole[self.item[k]]
                     if self.ids[k] in found[d] or not item:
                         continue
                     most = int(edits * len(item))
                     slack = most + 12
-                    dist, _ = infix_distance(item, cache[d][0][max(0, a - slack):a + n + slack], most)
+                    start, stop = a - self.offset[k] - slack, a - self.offset[k] + len(item) + slack
+                    if len(item) >= 2 * PART:                  # parts of one copy share a span: it is looked at once
+                        start, stop = start // slack * slack, -(-stop // slack) * slack
+                    span = (d, self.item[k], max(0, start), max(0, stop))
+                    if span in tried:
+                        continue
+                    tried.add(span)
+                    dist, _ = infix_distance(item, cache[d][0][span[2]:span[3]], most)
                     if dist <= most:
                         found[d][self.ids[k]] = (self.ids[k], dist, len(item))
         return [sorted(f.values()) for f in found]

@@ -97,3 +97,24 @@ def test_short_words_and_scripts_without_blanks_in_long_documents():
     edited = [hosts[k % 20] + " " + _edit(rng, items[0], 0.05) + " " + hosts[-1] for k in range(100)]
     assert sum(bool([f for f in got if f[0] == 0]) for got in index.leaks(pa.array(edited), decontam.EDITS)) >= 95
     assert not any(f[0] in (0, 1, 2, 6) for got in index.leaks(pa.array(hosts), decontam.EDITS) for f in got)
+
+
+def test_recall_on_long_items_with_inserted_words():
+    rng = random.Random(6)
+    pool = sorted({w for t in documents()["text"][:60] for w in decontam.normal_words(t) if w.isalpha()})
+    items = [" ".join(rng.choice(pool) for _ in range(n)) for n in (150, 400, 1000, 2500)] + ["人们常到河边看花" * 200]
+    index = decontam.Index.of(list(range(len(items))), items)
+    host = " ".join(rng.choice(pool) for _ in range(300))
+    texts, want = [], []
+    for k, item in enumerate(items[:4]):
+        for gap in (6, 12, 25):
+            w = item.split(" ")
+            copy = " ".join(x for j in range(0, len(w), gap) for x in [*w[j:j + gap], "q"])
+            texts += [f"{host} {copy} {host}", copy]
+            want += [k, k]
+    texts.append(f"{host}{items[4]}{host}")
+    want.append(4)
+    found = index.leaks(pa.array(texts), decontam.EDITS)
+    assert [k for k, got in zip(want, found, strict=True) if k not in [f[0] for f in got]] == []
+    # a part of a long item alone is no leak
+    assert not any(index.leaks(pa.array([f"{host} {items[2][:1500]} {host}", host]), decontam.EDITS))
