@@ -4,14 +4,16 @@ Every vector is described by its ``NEAREST`` most similar reference vectors (piv
 candidates when they have at least two pivots in common, so the inverted lists are kept by pairs of pivots;
 candidates are verified by their cosine in double precision. Pivots are drawn by hash, ``PIVOTS`` times the root
 of the number of vectors and ``MOST_PIVOTS`` at most, without those more similar than ``APART`` to an earlier one (pivots
-out of one group of near copies would order its members at random); every vector is indexed and every
+out of one group of near copies would order its members at random). Where fewer than ``2 * NEAREST - 2`` are left, the
+drawn vectors farthest from the chosen ones are added: with so few pivots any two vectors have two of their nearest in
+common, so all pairs are candidates. Vectors are compared with those of their own length; a length of at most
+``FEW_VECTORS`` vectors is compared in one piece, every other has an index of its own. Every vector is indexed and every
 list is searched whole. A list longer than ``BLOCK`` is cut into blocks and every pair of blocks is a unit of its own, so
 no task holds a long list. A pair is counted in the list of its two least common pivots only, and a unit
 puts out counts and a spanning forest of its links, never the pairs.
 
 Equal vectors are one class: they link with each other without a search, unless they link with nothing.
-Vectors that are null, empty, zero, or hold null or non-finite numbers, or whose length is not the most
-frequent one, link with nothing (n_links 0, own component). Null ids take part and never name a component
+Vectors that are null, empty, zero, or hold null or non-finite numbers link with nothing (n_links 0, own component). Null ids take part and never name a component
 while another id is in it. An empty table gives an empty result.
 """
 
@@ -30,6 +32,7 @@ PIVOTS = 2.0
 MOST_PIVOTS = 1024
 APART = 0.8
 NEAREST = 5
+FEW_VECTORS = 1000
 BLOCK = 256
 UNIT_ROWS = 20_000
 
@@ -63,18 +66,67 @@ def classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     e = F.col("embedding")
     sound = e.isNotNull() & (F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select("vec_id", F.when(sound & F.exists(e, lambda x: x != 0), e).alias("embedding"))
-    rows = rows.withColumn("dim", F.size("embedding"))
-    sizes = rows.where("embedding is not null").groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    dim = sizes[0]["dim"] if sizes else 0
-    rows = rows.select("vec_id", "embedding", F.when(F.col("dim") == dim, F.xxhash64("embedding", F.lit(3))).alias("cls"))
+    rows = rows.select("vec_id", "embedding", F.when(F.col("embedding").isNotNull(), F.xxhash64("embedding", F.lit(3))).alias("cls"))
     found = rows.where("cls is not null").groupBy("cls").agg(
         F.first("embedding").alias("embedding"), F.count("*").alias("copies"), F.min("vec_id").alias("low"))
     return rows.select("vec_id", "cls"), save(found, "vectors")
 
 
+def choose(drawn: np.ndarray, m: int, nearest: int = NEAREST) -> np.ndarray:
+    """At most ``m`` pivots out of unit vectors: in their order those apart from earlier ones, then the farthest up to the floor."""
+    taken = [0]
+    most = drawn @ drawn[0]                              # similarity to the most similar pivot
+    for k in range(1, len(drawn)):
+        if len(taken) < m and most[k] < APART:
+            taken.append(k)
+            most = np.maximum(most, drawn @ drawn[k])
+    most[taken] = np.inf
+    while len(taken) < min(2 * nearest - 2, len(drawn)):
+        k = int(np.argmin(most))
+        taken.append(k)
+        most = np.maximum(most, drawn @ drawn[k])
+        most[taken] = np.inf
+    return drawn[taken]
+
+
 def links(found: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST,
           pivots: float = PIVOTS, most: int = MOST_PIVOTS) -> DataFrame:
-    """(cls, other, n): link counts (other null) and edges (n null) of the classes, by the index."""
+    """(cls, other, n): link counts (other null) and edges (n null) of the classes, length by length."""
+    sized = found.withColumn("dim", F.size("embedding"))
+    sizes = sized.groupBy("dim").count().where("count > 1").orderBy(F.desc("count"), "dim").collect()
+    large = [r["dim"] for k, r in enumerate(sizes) if k == 0 or r["count"] > FEW_VECTORS]
+    out = found.sparkSession.createDataFrame([], "cls long, other long, n long")
+    for dim in large:
+        out = out.union(indexed(sized.where(F.col("dim") == dim).drop("dim"), threshold, nearest, pivots, most))
+    small = [r["dim"] for r in sizes if r["dim"] not in large]
+    if small:
+        out = out.union(compared(sized.where(F.col("dim").isin(small)), threshold))
+    return out
+
+
+def compared(sized: DataFrame, threshold: float) -> DataFrame:
+    """Like ``indexed`` for lengths (column dim) of ``FEW_VECTORS`` vectors at most: all pairs of a length."""
+
+    def search(key, table):
+        t = table.combine_chunks()
+        cls, copies = (t.column(c).to_numpy() for c in ("cls", "copies"))
+        x = _matrix(t.column("embedding").chunk(0), key[0].as_py())
+        linked = x @ x.T >= threshold
+        np.fill_diagonal(linked, False)
+        src, dst = _forest(linked)
+        n = linked @ copies
+        some = np.flatnonzero(n)
+        edge = np.arange(len(src) + len(some)) < len(src)
+        return pa.table({"cls": np.concatenate([cls[src], cls[some]]),
+                         "other": pa.array(np.concatenate([cls[dst], some]).astype("i8"), mask=~edge),
+                         "n": pa.array(np.concatenate([src, n[some]]).astype("i8"), mask=edge)})
+
+    return sized.select("dim", "cls", "embedding", "copies").groupBy("dim").applyInArrow(search, "cls long, other long, n long")
+
+
+def indexed(found: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST,
+            pivots: float = PIVOTS, most: int = MOST_PIVOTS) -> DataFrame:
+    """(cls, other, n): link counts (other null) and edges (n null) of classes of one length, by the index."""
     spark = found.sparkSession
     total = found.count()
     m = int(min(most, max(32, pivots * total ** 0.5)))
@@ -82,11 +134,7 @@ def links(found: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST
     if total < 2:
         return spark.createDataFrame([], "cls long, other long, n long")
     dim = len(drawn[0]["embedding"])
-    drawn = _matrix(pa.array([r["embedding"] for r in drawn]), dim)
-    chosen = drawn[:1]
-    for v in drawn[1:]:
-        if len(chosen) < m and (chosen @ v).max() < APART:
-            chosen = np.vstack([chosen, v])
+    chosen = choose(_matrix(pa.array([r["embedding"] for r in drawn]), dim), m, nearest)
     ref = spark.sparkContext.broadcast(chosen)           # MOST_PIVOTS rows at most
     k, width = min(nearest, len(chosen)), len(chosen)
 

@@ -51,3 +51,34 @@ def test_odd_rows(spark):
     linked = {(v, 4, 1) for v in (1, 2, 3, None)}
     assert got == linked | {(v, 0, v) for v in (4, 5, 6, 7, 8, 9, 10, 11)}
     assert pivots.near_duplicates(df.where("false")).count() == 0
+
+
+def _against_brute(spark, x):
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = pivots.near_duplicates(df).toPandas().sort_values("vec_id")
+    n, comp = brute(list(range(len(x))), x)
+    assert n.sum() and got["n_links"].tolist() == n.tolist() and got["component_id"].tolist() == comp.tolist()
+
+
+def test_one_group_and_common_direction(spark, monkeypatch):
+    monkeypatch.setattr(pivots, "BLOCK", 32)
+    rng = np.random.default_rng(8)
+    c = rng.normal(size=16)
+    _against_brute(spark, c + 0.1 * rng.normal(size=(150, 16)))           # one group of near copies
+    _against_brute(spark, np.array([[1.0, 0.0], [0.99, 0.14]]))
+    common = 4 * c + rng.normal(size=(120, 16))                           # all cosines over 0.8
+    _against_brute(spark, np.vstack([common, common[:40] + 0.1 * rng.normal(size=(40, 16))]))
+
+
+def test_every_length_is_searched(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = [rng.normal(size=(40, d)) for d in (8, 12, 4)] + [rng.normal(size=(3, 6))]
+    x = [np.vstack([v, v[:n] + 0.01 * rng.normal(size=(n, v.shape[1]))]) for v, n in zip(x, (20, 15, 10, 1), strict=True)]
+    df = spark.createDataFrame([(100 * k + j, v.tolist()) for k, m in enumerate(x) for j, v in enumerate(m)],
+                               "vec_id long, embedding array<double>")
+    for few in (52, 1000):                              # two lengths with an index, then one
+        monkeypatch.setattr(pivots, "FEW_VECTORS", few)
+        got = pivots.near_duplicates(df).toPandas().sort_values("vec_id")
+        want = [brute([100 * k + j for j in range(len(m))], m) for k, m in enumerate(x)]
+        assert got["n_links"].tolist() == np.concatenate([w[0] for w in want]).tolist()
+        assert got["component_id"].tolist() == np.concatenate([w[1] for w in want]).tolist()
