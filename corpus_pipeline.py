@@ -19,8 +19,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents stays, that of least id."""
-    return jaccard.keep_one(docs)
+    """One document of each group stays, that of least id; links are five-word Jaccard similarities of 0.8 or more."""
+    return jaccard.keep_one(docs, words=5, threshold=(80, 100))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 import corpus_pipeline
 from baflow.llm import decontam, pii
 from baflow.llm.common import save
-from tests.llm.helpers import SMALL, documents, jaccard_components, odd_documents
+from tests.llm.helpers import SMALL, Forest, documents, jaccard_components, odd_documents, words
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -50,3 +50,34 @@ def test_odd_rows_and_empty_table(spark):
         for name, stage in corpus_pipeline.STAGES:
             docs = save(stage(spark, docs, SMALL), "test")
             assert name == "packing" or docs.columns == columns
+
+
+def test_near_duplicates_at_five_words(spark):
+    plain = [f"w{k}" for k in range(100)]
+    near, far = list(plain), list(plain)
+    near[30] = near[70] = "x"                          # 86 of 106 shingles of five words: 0.811
+    far[20] = far[40] = far[60] = "x"                  # 81 of 111: 0.730
+    rows = [(1, plain), (2, near), (3, far)] + [(k, [f"a{k}", "b", "c", "d", f"e{k}"]) for k in (4, 5)]
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "s", 1) for i, w in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, SMALL).collect()) == [1, 3, 4, 5]
+
+
+def test_near_duplicates_against_brute_force(spark):
+    docs = documents()
+    text = [" ".join(t.split()[:60]) for t in docs["text"].fillna("")]
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} or {tuple(w)} - {()} for w in map(words, text)]
+    forest = Forest(len(sets))
+    for i, s in enumerate(sets):
+        for j, t in enumerate(sets[:i]):
+            if s and 10 * len(s & t) >= 8 * len(s | t):
+                forest.join(i, j)
+    ids, low = docs["doc_id"].tolist(), {}
+    for k, i in enumerate(ids):
+        low[forest.find(k)] = min(i, low.get(forest.find(k), i))
+    want = {i for k, i in enumerate(ids) if not sets[k] or low[forest.find(k)] == i}
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in zip(ids, text, strict=True)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    assert {r["doc_id"] for r in stage(spark, rows, SMALL).collect()} == want
