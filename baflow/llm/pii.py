@@ -6,8 +6,9 @@ dots, slashes or brackets. Gradient-boosted trees score each from its format and
 margin is calibrated on spans kept back and a proposal is accepted from the threshold on that reaches
 ``PRECISION`` on those, unless it overlaps a base span or a better proposal.
 
-There are no labelled spans, so the trees learn from the base spans of at most ``TRAIN_DOCS`` documents (drawn
-by a hash of the text): each is a positive, also rewritten in place into a looser form; its spoiled forms
+There are no labelled spans, so the trees learn from base spans: those of at most ``TRAIN_DOCS`` documents drawn by a hash
+of the text from all, and, however rare a kind is, of ``KIND_DOCS`` different texts of each kind drawn from all that hold
+one (fewer only if there are no more). Each is a positive, also rewritten in place into a looser form; its spoiled forms
 (wrong checksum, parts out of range, too few digits, text joined on) and the proposals that lie inside longer
 words are negatives. Without any base span nothing is added.
 
@@ -25,11 +26,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from baflow.llm.common import hash_share, map_texts, sample_rate
+from baflow.llm.common import hash_share, map_texts, sample_rate, save
 from baflow.llm.trees import Boosted, boost, calibrate
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 6000
+KIND_DOCS = 500
 PRECISION = 0.99
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -199,10 +201,27 @@ class Model:
         return base, _ordered(base + taken)
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
-    """Fit on the rewritten base spans of a bounded, hash-drawn sample of documents."""
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, kind_docs: int = KIND_DOCS) -> Model:
+    """Fit on the rewritten base spans of bounded, hash-drawn samples: of all documents, and of those that hold each kind."""
     texts = docs.where(F.col("text").isNotNull()).select(F.col("text").cast("string").alias("text"))
-    sample = texts.where(hash_share(sample_rate(texts.count(), train_docs), "text"))
+    drawn = hash_share(sample_rate(texts.count(), train_docs), "text")
+    sample = texts.where(drawn)
+
+    def kinds(b):
+        return {"kinds": [sorted({s[0] for s in base_spans(t)}) for t in b.column("text").to_pylist()]}
+
+    named = texts.withColumn("name", F.xxhash64(F.lit(5), "text")).withColumn("drawn", drawn)
+    holds = save(map_texts(named, kinds, "kinds array<string>", ("name", "drawn")).where("size(kinds) > 0").groupBy("name").agg(
+        F.first("kinds").alias("kinds"), F.first("drawn").alias("drawn")), "kinds")
+    names = {}
+    for kind in KINDS:                                             # KIND_DOCS names each; many are drawn already in small tables
+        for r in holds.where(F.array_contains("kinds", kind)).orderBy("name").limit(kind_docs).collect():
+            names[r["name"]] = r["drawn"]
+    more = [(n,) for n, known in names.items() if not known]
+    if more:
+        few = named.where(~F.col("drawn")).join(
+            F.broadcast(docs.sparkSession.createDataFrame(more, "name long")), "name")
+        sample = sample.union(few.dropDuplicates(["name"]).select("text"))
 
     def rows(b):
         return {"rows": [[[y, *x] for y, x in training_rows(t)] for t in b.column("text").to_pylist()]}

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from hypothesis import given, settings
@@ -66,3 +67,16 @@ def test_odd_rows(spark):
     assert out.where("doc_id is null").first()["text"].startswith("mail me at [EMAIL] or [PHONE] now")
     assert out.where("text is null").count() == 1
     assert pii.find(docs.where("false"), pii.train(docs.where("false"))).count() == 0
+
+
+def test_rare_kinds_are_learned_at_any_size(spark):
+    rng = random.Random(2)
+    some = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows = [f"plain words number {k} and 12-11-20{k % 90 + 10} or v1.{k}.3 here" for k in range(800)]
+    rows += [f"write to ann{k}.{some(2)}@mail{k}.example.com or call +1 415 {some(3)} {some(4)} today" for k in range(60)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "doc_id long, text string")
+    for bound in (6000, 2):                             # a sample of two documents would have no span
+        model = pii.train(docs, bound)
+        assert model.trees is not None
+        text = "mail john at example dot com now"
+        assert [text[a:b] for _, a, b in model.spans(text)[1]] == ["john at example dot com"]
