@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from baflow.llm import decontam, jaccard, langid, lm, packing, pii, pivots, secret_scan, toxicity, url_filter
+from baflow.llm import decontam, jaccard, langid, lm, mixing, packing, pii, pivots, secret_scan, toxicity, url_filter
 from baflow.llm.common import fold, read
 
 
@@ -65,6 +65,10 @@ def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op12_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.decisions(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subsequence_svm": op1_subsequence_svm,
     "op2_concat_packing": op2_concat_packing,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_count_vector_join": op8_count_vector_join,
     "op9_bloom_cascade": op9_bloom_cascade,
     "op10_pivot_permutations": op10_pivot_permutations,
+    "op12_hash_threshold_mix": op12_hash_threshold_mix,
 }
 
 OP9_SQL = """
@@ -101,4 +106,35 @@ SELECT page_id, host, path, rule,
        ELSE 'allow' END AS verdict
 FROM ruled"""
 
-ORACLES: dict[str, str] = {"op9_bloom_cascade": OP9_SQL}
+# sources by code point are compared as bytes; a source is capped if the level at which it and all fuller ones
+# share what the emptier ones leave is at or above its cap
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [3, 1, 2][(row_number() OVER (ORDER BY source COLLATE "binary" ASC NULLS LAST) - 1) % 3 + 1] AS weight FROM docs GROUP BY source),
+levels AS (
+  SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources WINDOW w AS (ORDER BY 2.0 * source_size / weight, source NULLS LAST)),
+capped AS (SELECT *, weight * level >= 2 * source_size AS stops FROM levels),
+told AS (
+  SELECT source, source_size, weight,
+         least((2 * source_size)::DOUBLE, weight * ((1.5 * sum(source_size) OVER () - coalesce(sum(CASE WHEN stops THEN 2 * source_size END) OVER (), 0))::DOUBLE
+               / sum(CASE WHEN NOT stops THEN weight END) OVER ())) AS target FROM capped),
+goals AS (
+  SELECT source, source_size, target, CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS copies,
+         floor(target + 0.5)::BIGINT AS goal FROM told),
+ties AS (
+  SELECT source, h, sum(size)::BIGINT AS held, (sum(sum(size)) OVER (PARTITION BY source ORDER BY h))::BIGINT AS upto
+  FROM docs GROUP BY source, h)
+SELECT d.doc_id, d.size, g.source_size, g.target,
+       (d.size * g.copies + CASE WHEN t.upto <= g.goal - g.copies * g.source_size THEN d.size
+          WHEN t.upto - t.held < g.goal - g.copies * g.source_size
+            THEN floor(d.size * ((g.goal - g.copies * g.source_size - t.upto + t.held)::DOUBLE / t.held)) ELSE 0 END)::BIGINT AS taken
+FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
+JOIN ties t ON d.source IS NOT DISTINCT FROM t.source AND d.h = t.h"""
+
+ORACLES: dict[str, str] = {"op9_bloom_cascade": OP9_SQL, "op12_hash_threshold_mix": OP12_SQL}
