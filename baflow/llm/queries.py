@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from baflow.llm import decontam, jaccard, langid, lm, mixing, packing, pii, pivots, secret_scan, toxicity, url_filter
+from baflow.llm import decontam, jaccard, langid, lm, mixing, packing, pii, pivots, resampling, secret_scan, toxicity, url_filter
 from baflow.llm.common import fold, read
 
 
@@ -69,6 +69,11 @@ def op12_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decisions(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_bit_sliced_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subsequence_svm": op1_subsequence_svm,
     "op2_concat_packing": op2_concat_packing,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bloom_cascade": op9_bloom_cascade,
     "op10_pivot_permutations": op10_pivot_permutations,
     "op12_hash_threshold_mix": op12_hash_threshold_mix,
+    "op13_bit_sliced_resampling": op13_bit_sliced_resampling,
 }
 
 OP9_SQL = """
@@ -137,4 +143,31 @@ SELECT d.doc_id, d.size, g.source_size, g.target,
 FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
 JOIN ties t ON d.source IS NOT DISTINCT FROM t.source AND d.h = t.h"""
 
-ORACLES: dict[str, str] = {"op9_bloom_cascade": OP9_SQL, "op12_hash_threshold_mix": OP12_SQL}
+# crc32 of each different word from the table of its polynomial
+OP13_SQL = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t),
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+goal AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+tokens AS (SELECT r, unnest(w) AS word FROM docs),
+s_words AS (SELECT word, count(*) AS n FROM tokens GROUP BY word),
+t_words AS (SELECT word, count(*) AS n FROM goal GROUP BY word),
+hexed AS (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM s_words UNION SELECT word FROM t_words)),
+bucketed AS (SELECT word, xor(list_reduce(list_transform(range(1, len(x) + 1, 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM hexed, crc),
+s AS (SELECT bucket, sum(n) AS n FROM s_words JOIN bucketed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM t_words JOIN bucketed USING (word) GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket)),
+sums AS (SELECT r, sum(gain) AS g FROM tokens JOIN bucketed USING (word) JOIN gains USING (bucket) GROUP BY r),
+weighed AS (SELECT doc_id, len(w) AS n_features, CASE WHEN len(w) = 0 THEN 0 ELSE floor(g::DOUBLE / len(w)) END::BIGINT AS weight,
+    ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM docs LEFT JOIN sums USING (r)),
+scored AS (SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score FROM weighed),
+ranked AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) END AS place,
+    count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END::BIGINT AS rank FROM ranked"""
+
+ORACLES: dict[str, str] = {"op9_bloom_cascade": OP9_SQL, "op12_hash_threshold_mix": OP12_SQL, "op13_bit_sliced_resampling": OP13_SQL}
