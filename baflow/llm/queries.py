@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from baflow.llm import decontam, jaccard, langid, lm, mixing, packing, pii, pivots, resampling, secret_scan, toxicity, url_filter
+from baflow.llm import decontam, jaccard, langid, lm, mixing, negatives, packing, pii, pivots, resampling, secret_scan, toxicity, url_filter
 from baflow.llm.common import fold, read
 
 
@@ -65,6 +65,11 @@ def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op11_shared_list_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op12_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decisions(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_count_vector_join": op8_count_vector_join,
     "op9_bloom_cascade": op9_bloom_cascade,
     "op10_pivot_permutations": op10_pivot_permutations,
+    "op11_shared_list_negatives": op11_shared_list_negatives,
     "op12_hash_threshold_mix": op12_hash_threshold_mix,
     "op13_bit_sliced_resampling": op13_bit_sliced_resampling,
 }
@@ -112,6 +118,24 @@ SELECT page_id, host, path, rule,
        ELSE 'allow' END AS verdict
 FROM ruled"""
 
+OP11_SQL = """
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM sound a JOIN sound b ON len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= 10"""
+
 # sources by code point are compared as bytes; a source is capped if the level at which it and all fuller ones
 # share what the emptier ones leave is at or above its cap
 OP12_SQL = r"""
@@ -170,4 +194,5 @@ ranked AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITIO
     count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
 SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END::BIGINT AS rank FROM ranked"""
 
-ORACLES: dict[str, str] = {"op9_bloom_cascade": OP9_SQL, "op12_hash_threshold_mix": OP12_SQL, "op13_bit_sliced_resampling": OP13_SQL}
+ORACLES: dict[str, str] = {"op9_bloom_cascade": OP9_SQL, "op11_shared_list_negatives": OP11_SQL, "op12_hash_threshold_mix": OP12_SQL,
+                           "op13_bit_sliced_resampling": OP13_SQL}
