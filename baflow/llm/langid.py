@@ -2,13 +2,14 @@
 
 Texts are lower-cased; every run of non-letters is one space. Character n-grams (1 to 3) are hashed into
 ``DIM`` columns. Document frequencies come from all training documents (a Spark aggregate). The weights are
-fitted with follow-the-regularised-leader (proximal, per-coordinate rates, L1 and L2 penalties) on at most
-``TRAIN_DOCS`` training documents, drawn by a hash of the id; ``CALIBRATE`` of them are kept back to fit
-the temperature of the softmax. Prediction is one pass over whole texts.
+fitted with follow-the-regularised-leader (proximal, per-coordinate rates, L1 and L2 penalties) on about ``TRAIN_DOCS``
+different training texts at most, the same share of them for each language and ``LEAST_DOCS`` of each at least, drawn from all by a hash of the text,
+so that rare languages are learned at any size; ``CALIBRATE`` of them are kept back to fit the temperature of the softmax. Prediction
+is one pass over whole texts.
 
 Null texts and texts without letters get ``und`` with score 0. With no training documents every text gets
-``und``; with one language that language gets score 1. Repeated rows and null ids are rows like any other;
-only the listed columns are read, so extra columns cannot clash.
+``und``; with one language that language gets score 1. Training texts without letters teach nothing. Repeated texts of a language count
+once in the draw; otherwise repeated rows and null ids are rows like any other; only the listed columns are read, so extra columns cannot clash.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from baflow.llm.common import hash_share, map_texts, sample_rate
+from baflow.llm.common import map_texts, sample_rate
 
 DIM = 1 << 14
 ORDERS = (1, 2, 3)
 TRAIN_DOCS = 4000
+LEAST_DOCS = 50
 CALIBRATE = 0.2
 UNDETERMINED = "und"
 _LETTER: list[np.ndarray] = []
@@ -147,6 +149,19 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return best[1]
 
 
+def draw(rows: DataFrame, train_docs: int) -> DataFrame:
+    """Of ``rows`` (text, label) about ``train_docs`` different texts, by language, drawn by a hash of the text."""
+    letters = rows.where(F.col("text").rlike("\\p{L}"))
+    counts = letters.groupBy("label").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n"))
+    told = counts.collect()                         # one row for each language
+    each = max(LEAST_DOCS, train_docs // max(1, len(told)))
+    share = F.lit(1.0)
+    for r in told:
+        share = F.when(F.col("label") == r["label"], F.lit(sample_rate(r["n"], each))).otherwise(share)
+    place = F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(1 << 20))
+    return letters.where(place < F.ceil(share * (1 << 20))).dropDuplicates(["label", "text"])
+
+
 def train(docs: DataFrame, label: str = "lang", may_learn: Column | None = None,
           train_docs: int = TRAIN_DOCS) -> Model:
     """Fit on the rows of ``docs`` that ``may_learn`` allows and that have a text and a label."""
@@ -160,11 +175,13 @@ def train(docs: DataFrame, label: str = "lang", may_learn: Column | None = None,
         for b in batches:
             got = [(lab, gram_counts(t)) for lab, t in zip(b["label"], b["text"], strict=True)]
             got = [(lab, c, np.flatnonzero(c)) for lab, c in got if c is not None]
+            if not got:                             # a batch of texts without letters
+                continue
             yield pd.DataFrame({"label": [g[0] for g in got], "at": [g[2].astype("<i4").tobytes() for g in got],
                                 "tf": [(1.0 + np.log(g[1][g[2]])).astype("<f4").tobytes() for g in got]})
 
-    sample = rows.where(hash_share(sample_rate(n, train_docs), "text")).mapInPandas(
-        features, "label string, at binary, tf binary").toPandas().sort_values(["label", "at", "tf"])
+    drawn = draw(rows, train_docs)
+    sample = drawn.mapInPandas(features, "label string, at binary, tf binary").toPandas().sort_values(["label", "at", "tf"])
     langs = sorted(sample["label"].unique().tolist())
     y = sample["label"].map({v: k for k, v in enumerate(langs)}).to_numpy(dtype="i8")
     vectors = []

@@ -28,3 +28,22 @@ def test_no_training_rows(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, model).collect()} == {"und"}
     one = langid.train(docs.where("lang = 'fr'"))
     assert {r["lang_pred"] for r in langid.identify(docs.where("doc_id = 8"), one).collect()} == {"fr"}
+
+
+def test_training_rows_without_letters(spark):
+    """Junk among the labelled rows, one row to a task: batches without a letter, and nothing but junk."""
+    junk = [(k, t, lab) for k, (t, lab) in enumerate([("", "en"), (" ", "de"), ("12 345 ...", "en"), (None, "fr"), ("!!", "xx")])]
+    good = [(100 + k, f"the cat and the dog number {k}", "en") for k in range(6)] + [
+        (200 + k, f"der hund und die katze zahl {k}", "de") for k in range(6)]
+    rows = spark.createDataFrame(junk + good, "doc_id long, text string, lang string").repartition(17)
+    model = langid.train(rows)
+    assert model.langs == ["de", "en"] and model.predict("the dog and the cat")[0] == "en"
+    assert langid.train(rows.where("doc_id < 100")).langs == []
+
+
+def test_rare_languages_are_drawn(spark):
+    many = [(f"the cat sat on the mat and saw dog {k}", "en") for k in range(3000)] + [("the same text again", "en")] * 1000
+    rare = [(f"il gatto dorme sul tetto della casa {k}", "it") for k in range(12)]
+    rows = spark.createDataFrame(many + rare, "text string, label string")
+    got = {r["label"]: r["count"] for r in langid.draw(rows, 200).groupBy("label").count().collect()}
+    assert got["it"] == 12 and 60 <= got["en"] <= 150
