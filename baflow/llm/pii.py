@@ -10,14 +10,15 @@ There are no labelled spans, so the trees learn from base spans: those of at mos
 of the text from all, and, however rare a kind is, of ``KIND_DOCS`` different texts of each kind drawn from all that hold
 one (fewer only if there are no more). Each is a positive, also rewritten in place into a looser form; its spoiled forms
 (wrong checksum, parts out of range, too few digits, text joined on) and the proposals that lie inside longer
-words are negatives. Without any base span nothing is added.
+words are negatives, ``TEXT_SPANS`` of either sort from one text at most. Without any base span nothing is added.
 
-Null and empty texts have no spans. Offsets are code points, end exclusive. Rows are judged one by one, so
+Null and empty texts have no spans. Very long texts, also without blanks, take time in proportion to their length. Offsets are code points, end exclusive. Rows are judged one by one, so
 repeated rows, null ids and extra columns change nothing.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from dataclasses import dataclass
@@ -33,15 +34,18 @@ KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 6000
 KIND_DOCS = 500
 PRECISION = 0.99
+TEXT_SPANS = 200       # training spans of one text
+PART = 20_000          # proposals of a text that are scored at once
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
-_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+# every pattern starts at the beginning of a run and gives nothing back, so long unbroken texts take linear time
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOOSE_AT = (
-    re.compile(r"([A-Za-z0-9._%+-]+)(?: ?[(\[{]at[)\]}] ?| ?@ ?)"
-               r"([A-Za-z0-9-]+(?:(?: ?[(\[{]dot[)\]}] ?| dot |\.)[A-Za-z0-9-]+)+)"),
-    re.compile(r"([A-Za-z0-9._%+-]+) at ([A-Za-z0-9-]+(?:(?: ?[(\[{]dot[)\]}] ?| dot )[A-Za-z0-9-]+)+)"))
+    re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++)(?: ?[(\[{]at[)\]}] ?| ?@ ?)"
+               r"([A-Za-z0-9-]++(?:(?: ?[(\[{]dot[)\]}] ?| dot |\.)[A-Za-z0-9-]++)+)"),
+    re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++) at ([A-Za-z0-9-]++(?:(?: ?[(\[{]dot[)\]}] ?| dot )[A-Za-z0-9-]++)+)"))
 _LOOSE_NUMBER = re.compile(r"(?<![0-9.])\(?[0-9][0-9 ().\-/]{6,30}[0-9](?![0-9])")
 _WORDS = {"email": ("mail", "contact", "write"), "ip": ("ip", "host", "addr"), "card": ("card", "visa", "pay"),
           "phone": ("tel", "phone", "call", "fax", "mobile")}
@@ -112,6 +116,27 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+class Cover:
+    """Spans that do not overlap, kept in order, and the question whether a further span meets one of them."""
+
+    def __init__(self, spans=()):
+        self.starts, self.ends = [], []
+        for _, lo, hi in sorted(spans, key=lambda s: s[1]):
+            if self.ends and lo < self.ends[-1]:             # spans of two kinds: one covered stretch
+                self.ends[-1] = max(self.ends[-1], hi)
+            else:
+                self.starts.append(lo)
+                self.ends.append(hi)
+
+    def meets(self, lo: int, hi: int) -> bool:
+        return bisect.bisect_right(self.ends, lo) < bisect.bisect_left(self.starts, hi)
+
+    def add(self, lo: int, hi: int) -> None:
+        k = bisect.bisect_left(self.starts, lo)
+        self.starts.insert(k, lo)
+        self.ends.insert(k, hi)
+
+
 def features(text: str, kind: str, lo: int, hi: int) -> list[float]:
     """Format of the span and of what stands around it."""
     s, before, after = text[lo:hi], text[max(0, lo - 30):lo], text[hi:hi + 15]
@@ -162,21 +187,24 @@ def training_rows(text: str) -> list[tuple[float, list[float]]]:
     rng = np.random.default_rng(int.from_bytes(hashlib.sha256(text.encode()).digest()[:4], "little"))
     out = []
     spans = base_spans(text)
-    for kind, lo, hi in spans:
-        s, head, tail = text[lo:hi], text[:lo], text[hi:]
+    cover = Cover(spans)
+    for kind, lo, hi in _some(spans):
+        s, head, tail = text[lo:hi], text[max(0, lo - 60):lo], text[hi:hi + 60]
         out.append((1.0, features(text, kind, lo, hi)))
         for label, forms in ((1.0, _loosened(rng, kind, s)), (0.0, _spoiled(rng, kind, s))):
             for form in forms:
-                new = head[-60:] + form + tail[:60]
-                a = len(head[-60:])
+                new, a = head + form + tail, len(head)
                 found = [p for p in proposals(new) if p[1] < a + len(form) and p[2] > a]
                 for k, x, y in found:
                     out.append((label if k == kind else 0.0, features(new, k, x, y)))
-    for kind, lo, hi in proposals(text):
-        inside = text[max(0, lo - 1):lo].isalnum() or text[hi:hi + 1].isalnum()
-        if inside and all(hi <= b or lo >= c for _, b, c in spans):
-            out.append((0.0, features(text, kind, lo, hi)))
-    return out
+    inside = [(kind, lo, hi) for kind, lo, hi in proposals(text)
+              if (text[max(0, lo - 1):lo].isalnum() or text[hi:hi + 1].isalnum()) and not cover.meets(lo, hi)]
+    return out + [(0.0, features(text, *p)) for p in _some(inside)]
+
+
+def _some(spans: list) -> list:
+    """At most ``TEXT_SPANS`` of one text's spans, evenly spaced: one text does not fill the training sample."""
+    return [spans[k] for k in np.linspace(0, len(spans) - 1, min(len(spans), TEXT_SPANS)).astype(int)]
 
 
 @dataclass
@@ -189,15 +217,18 @@ class Model:
         base = base_spans(text)
         if self.trees is None:
             return base, base
-        free = [p for p in proposals(text) if all(p[2] <= b or p[1] >= c for _, b, c in base)]
+        cover = Cover(base)
+        free = [p for p in proposals(text) if not cover.meets(*p[1:])]
         if not free:
             return base, base
-        score = self.trees.predict(np.array([features(text, *p) for p in free]))
-        taken: list = []
+        score = np.concatenate([self.trees.predict(np.array([features(text, *p) for p in free[k:k + PART]]))
+                                for k in range(0, len(free), PART)])
+        taken, cover = [], Cover()
         for k in np.argsort(-score, kind="stable"):
             p = free[k]
-            if score[k] >= self.threshold and all(p[2] <= b or p[1] >= c for _, b, c in taken):
+            if score[k] >= self.threshold and not cover.meets(*p[1:]):
                 taken.append(p)
+                cover.add(*p[1:])
         return base, _ordered(base + taken)
 
 

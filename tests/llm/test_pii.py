@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -58,6 +59,35 @@ def test_loose_forms_are_added(spark):
         assert base == every
 
 
+def test_long_runs_take_linear_time(spark):
+    from baflow.llm.common import read
+    model = pii.train(read(spark, "/root/testdata/sf0.01", "documents"))
+    size = 2_000_000
+    for run in ("a", "7", "ab.", "1 ", "1.", "+1", "a@", "@a.", "a at ", " dot ", "(at) ", "+1(", "1-", "a@b.c ", "a dot b ", "5555 "):
+        for head in ("", "x (at ", " dot ", "@ ", "+"):
+            text = head + run * (size // len(run))
+            t0 = time.time()
+            base = pii.base_spans(text)
+            found = pii.proposals(text)
+            assert time.time() - t0 < 8, (head, run)
+            assert all(lo < hi <= len(text) for _, lo, hi in base + found)
+    for run in ("1 ", "4111 1111 1111 1111 ", "a@b.c ", "a at b dot c "):
+        t0 = time.time()
+        assert model.spans(run * (400_000 // len(run)))
+        assert len(pii.training_rows(run * (400_000 // len(run)))) <= 20 * pii.TEXT_SPANS
+        assert time.time() - t0 < 20, run
+
+
+def test_cover():
+    rng = random.Random(4)
+    for _ in range(300):
+        spans = [("x", a, a + rng.randint(1, 9)) for a in (rng.randint(0, 60) for _ in range(rng.randint(0, 8)))]
+        cover = pii.Cover(spans)
+        for lo in range(70):
+            for hi in (lo + 1, lo + 5):
+                assert cover.meets(lo, hi) == any(lo < c and hi > b for _, b, c in spans)
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     model = pii.train(docs)
