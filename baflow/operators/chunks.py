@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from baflow.session import cut_lineage
 
-CHUNK = 50_000         # rows of a chunk, without its halo
+CHUNK = 1024           # rows of a chunk, without its halo
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
@@ -75,6 +75,16 @@ def with_halo(df: DataFrame, before: int, after: int, rn: str = "rn", size: int
             .withColumn("own", F.col("chunk") == F.col("__home")).drop("__home"))
 
 
+def windowed(df: DataFrame, keys, before: int, after: int, fn, rn: str = "rn", size: int = CHUNK) -> DataFrame:
+    """``fn(rows, window)`` on chunks with their halo; the window is (keys, chunk) in the order of ``rn``.
+
+    What ``fn`` adds to a row may depend on rows from ``before`` places ahead of it to ``after`` places behind it.
+    """
+    d = with_halo(df, before, after, rn, size)
+    d = fn(d, Window.partitionBy(*keys, "chunk").orderBy(rn))
+    return d.where("own").drop("own", "chunk")
+
+
 def prefix_sums(df: DataFrame, keys, sums: dict[str, Column], rn: str = "rn", size: int = CHUNK) -> DataFrame:
     """Running sums of the expressions ``sums`` (by output name) from the start of each series up to the row."""
     keys = list(keys)

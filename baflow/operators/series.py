@@ -1,15 +1,24 @@
-"""Ordered-series operators over (group keys, order) with window functions (WN-02..11, SEG-01..06).
+"""Ordered-series operators over (group keys, order), in chunks (WN-02..11, SEG-01..06).
 
-A *series* is the rows of one group (e.g. sample, chromosome, presegment) in position order. Every
-operator is a window on ``partitionBy(keys)``: rows of one series are sorted inside one task, no
-series is ever collected. Offsets (``lag``/``lead``) replace the vector index arithmetic of the
-reference; cumulative sums are window sums from the start of the series.
+A *series* is the rows of one group (e.g. sample, chromosome, presegment) in position order. It may be larger
+than a task: rows are numbered over range partitions, windows run on chunks of ``size`` rows with a halo as wide as the filter's
+reach, running sums are chunk sums plus what lies before the chunk, and quantiles are found by refinement
+(``chunks``, ``quantiles``). No window is wider than a chunk with its halo. The filters are differences of running sums in
+which everything before the halo cancels, so they need no sum over the whole series.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.window import Window
+
+from baflow.operators.chunks import CHUNK, null_safe, prefix_sums, ranked, windowed, with_halo
+from baflow.operators.quantiles import grouped_quantiles
+from baflow.session import cut_lineage, ship_package
 
 # Fixed values of the mark filter (reference defaults).
 L1, L2 = 8, 1          # half-widths of the two high-pass filters
@@ -17,147 +26,87 @@ THRES = 0.9            # local-maximum tolerance
 MAD_SCALE = 1.4826     # consistency constant of the median absolute deviation
 SD_FLOOR = 0.09        # lower bound of the noise estimate
 RUNMED_HALF = 25       # running-median half width k (width 2k+1 = 51)
-
-
-def _w(keys, order=None, frame=None):
-    w = Window.partitionBy(*keys)
-    if order is not None:
-        w = w.orderBy(*order)
-    if frame is not None:
-        w = w.rowsBetween(*frame)
-    return w
+PEAK_HALF = 3          # half width of the rolling maximum
 
 
 def index_series(df: DataFrame, keys, order) -> DataFrame:
     """Add ``rn`` (1-based row number in the series) and ``n`` (series length)."""
-    return (df.withColumn("rn", F.row_number().over(_w(keys, order)))
-            .withColumn("n", F.count("*").over(_w(keys))))
+    return ranked(df, keys, order)
 
 
-def cumsum(df: DataFrame, keys, value: str, out: str = "S", square: bool = False) -> DataFrame:
+def cumsum(df: DataFrame, keys, value: str, out: str = "S", square: bool = False, size: int = CHUNK) -> DataFrame:
     """WN-04: running sum (or sum of squares) from the start of the series, ordered by ``rn``."""
     v = F.col(value) * F.col(value) if square else F.col(value)
-    return df.withColumn(out, F.sum(v).over(_w(keys, ["rn"], (Window.unboundedPreceding, 0))))
-
-
-def _S(keys, k: int) -> Column:
-    """S at row rn + k (k may be negative; S_0 = 0)."""
-    w = _w(keys, ["rn"])
-    if k == 0:
-        return F.col("S")
-    if k > 0:
-        return F.lead("S", k).over(w)
-    return F.lag("S", -k, 0.0).over(w)
-
-
-def highpass(df: DataFrame, keys, L: int, out: str) -> DataFrame:
-    """WN-05: |4 S(r) - S(r-3L) - S(r-2L) - S(r+2L) - S(r+3L)| for 3L <= r <= n-3L, else 0."""
-    c = F.abs(4 * _S(keys, 0) - _S(keys, -3 * L) - _S(keys, -2 * L) - _S(keys, 2 * L) - _S(keys, 3 * L))
-    inside = (F.col("rn") >= 3 * L) & (F.col("rn") <= F.col("n") - 3 * L)
-    return df.withColumn(out, F.when(inside, c).otherwise(F.lit(0.0)))
-
+    return prefix_sums(df, keys, {out: v}, size=size)
 
-def rolling_max7(df: DataFrame, keys, value: str, out: str, last: Column | None = None) -> DataFrame:
-    """WN-06: centred max of width 7 for 4 <= r <= last-3 (default last = n), 0 elsewhere."""
-    last = F.col("n") if last is None else last
-    m = F.max(value).over(_w(keys, ["rn"], (-3, 3)))
-    return df.withColumn(out, F.when((F.col("rn") >= 4) & (F.col("rn") <= last - 3), m).otherwise(F.lit(0.0)))
 
+def _highpass(S, width: int) -> Column:
+    return F.abs(4 * S(0) - S(-3 * width) - S(-2 * width) - S(2 * width) - S(3 * width))
 
-def short_segment_cost(df: DataFrame, keys, kmin: int, out: str = "short_ab") -> DataFrame:
-    """WN-08: |3(S(t+2k-1) - S(t+k-1)) - (S(t+3k-1) - S(t-1))| for t <= n-3k+1 (null beyond)."""
-    k = kmin
-    c = F.abs(3 * (_S(keys, 2 * k - 1) - _S(keys, k - 1)) - (_S(keys, 3 * k - 1) - _S(keys, -1)))
-    return df.withColumn(out, F.when(F.col("rn") <= F.col("n") - 3 * k + 1, c))
 
+def filters(df: DataFrame, keys, value: str, kmin: int, size: int = CHUNK) -> DataFrame:
+    """The four filters of one pass over chunks, added as columns (rows carry ``rn``, ``n``):
 
-def quantiles7(df: DataFrame, keys, specs) -> DataFrame:
-    """AG-17: R type-7 quantiles per series, several at once.
-
-    ``specs``: list of (value column, row-set condition, probability column, output name). The
-    probability may differ per series (Spark's ``percentile`` needs a constant), so each quantile is
-    read from ranks: x[lo] interpolated to x[lo+1], h = 1 + (cnt-1) p. Batched so the plan keeps
-    one window stage per window specification.
+    * ``cost1``, ``cost2`` (WN-05): ``|4 S(r) - S(r-3L) - S(r-2L) - S(r+2L) - S(r+3L)|`` for ``3L <= r <= n-3L``, else 0,
+      for ``L1`` and ``L2``;
+    * ``short_ab`` (WN-08): ``|3(S(t+2k-1) - S(t+k-1)) - (S(t+3k-1) - S(t-1))|`` for ``t <= n-3k+1``, else null;
+    * ``test1``, ``test2`` (WN-06): their centred maxima of width 7, 0 where the window does not fit;
+    * ``short_b``, ``test_b``, ``short_c``, ``test_c``: the short-segment filter ``k-1`` and ``2k-1`` rows before.
     """
-    keys = list(keys)
-    wk = _w(keys)
-    d = df.withColumns({f"__in{i}": cond for i, (_, cond, _, _) in enumerate(specs)})
-    d = d.withColumns({
-        **{f"__cnt{i}": F.sum(F.when(F.col(f"__in{i}"), 1).otherwise(0)).over(wk) for i in range(len(specs))},
-        **{f"__rk{i}": F.row_number().over(_w(keys + [f"__in{i}"], [v])) for i, (v, _, _, _) in enumerate(specs)}})
-    d = d.withColumns({f"__h{i}": F.lit(1.0) + (F.col(f"__cnt{i}") - 1) * p for i, (_, _, p, _) in enumerate(specs)})
-    d = d.withColumns({f"__lo{i}": F.floor(F.col(f"__h{i}")) for i in range(len(specs))})
-    xs = {}
-    for i, (v, _, _, _) in enumerate(specs):
-        sel = F.col(f"__in{i}")
-        xs[f"__xlo{i}"] = F.max(F.when(sel & (F.col(f"__rk{i}") == F.col(f"__lo{i}")), F.col(v))).over(wk)
-        xs[f"__xhi{i}"] = F.max(F.when(sel & (F.col(f"__rk{i}") == F.col(f"__lo{i}") + 1), F.col(v))).over(wk)
-    d = d.withColumns(xs)
-    outs = {}
-    for i, (_, _, _, out) in enumerate(specs):
-        fr = F.col(f"__h{i}") - F.col(f"__lo{i}")
-        lo, hi = F.col(f"__xlo{i}"), F.col(f"__xhi{i}")
-        outs[out] = F.when((fr > 0) & (hi != lo), (1 - fr) * lo + fr * hi).otherwise(lo)
-    d = d.withColumns(outs)
-    tmp = [f"__{p}{i}" for i in range(len(specs)) for p in ("in", "cnt", "rk", "h", "lo", "xlo", "xhi")]
-    return d.drop(*tmp)
-
-
-def quantile7(df: DataFrame, keys, value: str, inset: Column, prob: Column, out: str) -> DataFrame:
-    """Single type-7 quantile (see ``quantiles7``)."""
-    return quantiles7(df, keys, [(value, inset, prob, out)])
-
-
-def _hp(S, L: int) -> Column:
-    return F.abs(4 * S(0) - S(-3 * L) - S(-2 * L) - S(2 * L) - S(3 * L))
+    k, rn, n = kmin, F.col("rn"), F.col("n")
+    reach = max(3 * L1, 3 * L2, 3 * k - 1) + PEAK_HALF
+    last = n - 3 * k + 1
+    offsets = sorted({s * m * w for w in (L1, L2) for m in (2, 3) for s in (-1, 1)} | {2 * k - 1, k - 1, 3 * k - 1, -1} - {0})
+
+    def run(d: DataFrame, w) -> DataFrame:
+        d = d.withColumn("__S", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        name = lambda o: f"__S{'m' if o < 0 else 'p'}{abs(o)}"
+        d = d.withColumns({name(o): F.lead("__S", o).over(w) if o > 0 else F.lag("__S", -o, 0.0).over(w) for o in offsets if o})
+        S = lambda o: F.col("__S") if o == 0 else F.col(name(o))
+        d = d.withColumns({
+            "cost1": F.when((rn >= 3 * L1) & (rn <= n - 3 * L1), _highpass(S, L1)).otherwise(F.lit(0.0)),
+            "cost2": F.when((rn >= 3 * L2) & (rn <= n - 3 * L2), _highpass(S, L2)).otherwise(F.lit(0.0)),
+            "short_ab": F.when(rn <= last, F.abs(3 * (S(2 * k - 1) - S(k - 1)) - (S(3 * k - 1) - S(-1))))})
+        d = d.drop("__S", *[name(o) for o in offsets if o])
+        around = w.rowsBetween(-PEAK_HALF, PEAK_HALF)
+        d = d.withColumns({
+            "test1": F.when((rn > PEAK_HALF) & (rn <= n - PEAK_HALF), F.max("cost1").over(around)).otherwise(F.lit(0.0)),
+            "test2": F.when((rn > PEAK_HALF) & (rn <= last - PEAK_HALF), F.max("short_ab").over(around)).otherwise(F.lit(0.0))})
+        ahead = lambda c, o: F.lag(c, o).over(w) if o else F.col(c)
+        return d.withColumns({"short_b": ahead("short_ab", k - 1), "test_b": ahead("test2", k - 1),
+                              "short_c": ahead("short_ab", 2 * k - 1), "test_c": ahead("test2", 2 * k - 1)})
+
+    return windowed(df, keys, reach + 2 * k - 1, reach, run, size=size)
 
 
 def mark_breakpoints(df: DataFrame, keys, value: str, kmin: int, wide: float = 0.15, narrow: float = 0.15,
-                     short: float = 0.02, most: float = 0.8) -> DataFrame:
+                     short: float = 0.02, most: float = 0.8, size: int = CHUNK) -> DataFrame:
     """SEG-05: candidate breakpoint marks of one series (the reference's four-filter rule).
 
     Expects ``rn`` and ``n`` (``index_series``). Adds cost1, test1, cost2, short_ab, test2, the three
     limits and ``mark``. ``wide``, ``narrow`` and ``short`` are the shares of positions that the wide filter, the
     narrow filter and the short-segment filter put forward, ``most`` bounds the share of a filter's own peaks;
-    they are the same for series of every length. Columns are added in batches, one stage per window specification.
+    they are the same for series of every length.
     """
     keys = list(keys)
-    k = kmin
-    rn, n = F.col("rn"), F.col("n")
-    w = _w(keys, ["rn"])
-    d = cumsum(df, keys, value)
-    offsets = sorted({-3 * L1, -2 * L1, 2 * L1, 3 * L1, -3 * L2, -2 * L2, 2 * L2, 3 * L2, 2 * k - 1, k - 1, 3 * k - 1, -1}
-                     - {0})
-    name = lambda o: f"__S{'m' if o < 0 else 'p'}{abs(o)}"
-    d = d.withColumns({name(o): (F.lead("S", o).over(w) if o > 0 else F.lag("S", -o, 0.0).over(w)) for o in offsets})
-    S = lambda o: F.col("S") if o == 0 else F.col(name(o))
-    m_len = n - 3 * k + 1
-    d = d.withColumns({
-        "cost1": F.when((rn >= 3 * L1) & (rn <= n - 3 * L1), _hp(S, L1)).otherwise(F.lit(0.0)),
-        "cost2": F.when((rn >= 3 * L2) & (rn <= n - 3 * L2), _hp(S, L2)).otherwise(F.lit(0.0)),
-        "short_ab": F.when(rn <= m_len, F.abs(3 * (S(2 * k - 1) - S(k - 1)) - (S(3 * k - 1) - S(-1))))})
-    d = d.drop(*[name(o) for o in offsets])
-    wf = _w(keys, ["rn"], (-3, 3))
-    d = d.withColumns({
-        "test1": F.when((rn >= 4) & (rn <= n - 3), F.max("cost1").over(wf)).otherwise(F.lit(0.0)),
-        "test2": F.when((rn >= 4) & (rn <= m_len - 3), F.max("short_ab").over(wf)).otherwise(F.lit(0.0))})
+    k, rn, n = kmin, F.col("rn"), F.col("n")
+    last = n - 3 * k + 1
+    d = cut_lineage(filters(df, keys, value, kmin, size))        # read by the quantiles and by the marks
     in1 = F.col("cost1") >= THRES * F.col("test1")
     in2 = (rn >= 3 * L2) & (rn <= n - 3 * L2)
-    in3 = (rn <= m_len) & (F.col("short_ab") >= THRES * F.col("test2"))
-    wk = _w(keys)
-    d = d.withColumns({"__c1": F.sum(F.when(in1, 1).otherwise(0)).over(wk),
-                       "__c3": F.sum(F.when(in3, 1).otherwise(0)).over(wk)})
-    p1 = 1 - F.least(F.lit(most), F.try_divide(wide * n, F.col("__c1")))
-    p3 = 1 - F.least(F.lit(most), F.try_divide(short * m_len, F.col("__c3")))
-    d = quantiles7(d, keys, [("cost1", in1, p1, "limit1"), ("cost2", in2, F.lit(1 - narrow), "limit2"),
-                             ("short_ab", in3, p3, "limit3")]).drop("__c1", "__c3")
-    d = d.withColumn("__h1", (rn <= m_len) & (F.col("short_ab") > F.col("limit3"))
-                     & (F.col("short_ab") > THRES * F.col("test2")))
-    m1 = (F.col("cost1") > F.col("limit1")) & (F.col("cost1") > THRES * F.col("test1"))
-    m2 = in2 & (F.col("cost2") > F.col("limit2"))
-    mh2 = F.coalesce(F.lag("__h1", k - 1).over(w), F.lit(False)) if k > 1 else F.lit(False)
-    mh3 = F.coalesce(F.lag("__h1", 2 * k - 1).over(w), F.lit(False)) if k > 1 else F.lit(False)
-    mark = F.coalesce(m1, F.lit(False)) | F.coalesce(m2, F.lit(False)) | mh2 | mh3
+    in3 = (rn <= last) & (F.col("short_ab") >= THRES * F.col("test2"))
+    limits = grouped_quantiles(d, keys, [
+        ("cost1", in1, lambda cnt: 1 - F.least(F.lit(most), wide * n / cnt), "limit1"),
+        ("cost2", in2, 1 - narrow, "limit2"),
+        ("short_ab", in3, lambda cnt: 1 - F.least(F.lit(most), short * last / cnt), "limit3")], carry=["n"])
+    d = null_safe(d, limits, keys, "left")
+    short_mark = lambda at, v, t: (at >= 1) & (at <= last) & (F.col(v) > F.col("limit3")) & (F.col(v) > THRES * F.col(t))
+    marks = [(F.col("cost1") > F.col("limit1")) & (F.col("cost1") > THRES * F.col("test1")), in2 & (F.col("cost2") > F.col("limit2"))]
+    if k > 1:
+        marks += [short_mark(rn - k + 1, "short_b", "test_b"), short_mark(rn - 2 * k + 1, "short_c", "test_c")]
+    mark = F.lit(False)
+    for m in marks:
+        mark = mark | F.coalesce(m, F.lit(False))
     if 3 * L1 > k:
         forced = ((rn >= k) & (rn <= 3 * L1 - 1)) | ((rn >= n - 3 * L1 + 1) & (rn <= n - k))
         dropped = (rn <= k - 1) | ((rn >= n - k + 1) & (rn <= n - 1))
@@ -165,13 +114,13 @@ def mark_breakpoints(df: DataFrame, keys, value: str, kmin: int, wide: float = 0
     else:
         mark = (F.when(rn == n, True).when((rn == k) | (rn == n - k), True)
                 .when((rn <= k - 1) | ((rn >= n - k + 1) & (rn <= n - 1)), False).otherwise(mark))
-    return d.withColumn("mark", mark).drop("__h1")
+    return d.withColumn("mark", mark).drop("short_b", "test_b", "short_c", "test_c")
 
 
-def block_ids(df: DataFrame, keys, mark: str = "mark") -> DataFrame:
+def block_ids(df: DataFrame, keys, mark: str = "mark", size: int = CHUNK) -> DataFrame:
     """WN-10: block number = marks strictly before the row (the last row of a series is a mark)."""
-    w = _w(keys, ["rn"], (Window.unboundedPreceding, -1))
-    return df.withColumn("block_id", F.coalesce(F.sum(F.col(mark).cast("int")).over(w), F.lit(0)))
+    own = F.col(mark).cast("int")
+    return prefix_sums(df, keys, {"__marks": own}, size=size).withColumn("block_id", F.col("__marks") - own).drop("__marks")
 
 
 def compact(df: DataFrame, keys, value: str) -> DataFrame:
@@ -184,16 +133,16 @@ def compact(df: DataFrame, keys, value: str) -> DataFrame:
 
 # ----------------------------------------------------------------- holes and presegments
 
-def big_holes(df: DataFrame, keys, order, limit: int) -> DataFrame:
+def big_holes(df: DataFrame, keys, order, limit: int, size: int = CHUNK) -> DataFrame:
     """SEG-01 / WN-02: ``gap`` to the previous point and ``hole_id`` (count of gaps >= limit so far)."""
-    w = _w(keys, order)
-    gap = F.col("position") - F.lag("position", 1).over(w)
-    d = df.withColumn("gap", gap)
-    return d.withColumn("hole_id", F.sum(F.when(F.col("gap") >= limit, 1).otherwise(0))
-                        .over(_w(keys, order, (Window.unboundedPreceding, 0))))
+    def gaps(d, w):
+        return d.withColumn("gap", F.col("position") - F.lag("position", 1).over(w))
 
+    d = windowed(ranked(df, keys, order, total=None), keys, 1, 0, gaps, size=size)
+    return prefix_sums(d, keys, {"hole_id": F.when(F.col("gap") >= limit, 1).otherwise(0)}, size=size).drop("rn")
 
-def presegments(points: DataFrame, breakpoints: DataFrame | None, keys, order, limit: int = 3_000_000):
+
+def presegments(points: DataFrame, breakpoints: DataFrame | None, keys, order, limit: int = 3_000_000, size: int = CHUNK):
     """SEG-02/03: presegment id per point (with the point's other columns), and the presegment
     table (keys, preseg, start, end, n_points).
 
@@ -202,122 +151,107 @@ def presegments(points: DataFrame, breakpoints: DataFrame | None, keys, order, l
     at a breakpoint (and the whole series when there are no breakpoints), but not the remainder
     after the last breakpoint -- as in the reference. A breakpoint at or before the first point is
     not used as an interval end (unless it is the only one), and the first interval then starts at it.
+
+    Points and breakpoints are put in one order; a point starts a presegment if the row before it is a breakpoint
+    (or nothing) or lies beyond a hole, and the presegment's number is the running count of such starts.
     """
     keys = list(keys)
     extra = [c for c in points.columns if c not in keys and c not in order]
-    pts = points.withColumn("__is_bp", F.lit(0))
     if breakpoints is None:
-        from pyspark.sql.types import StructType
-        empty = StructType([points.schema[c] for c in keys + ["position"]])
+        empty = StructType([points.schema[c] for c in [*keys, "position"]])
         bps = points.sparkSession.createDataFrame([], empty)
     else:
         bps = breakpoints.select(*keys, "position")
-    first_pt = pts.groupBy(*keys).agg(F.min("position").alias("__p1"))
+    first_pt = points.groupBy(*keys).agg(F.min("position").alias("__p1"))
     bstat = bps.groupBy(*keys).agg(F.min("position").alias("__b1"), F.count("*").alias("__m"))
-    info = first_pt.join(bstat, keys, "left")
+    info = cut_lineage(null_safe(first_pt, bstat, keys, "left"))
     # breakpoints used as interval ends
-    used = (bps.join(info, keys)
-            .filter(~((F.col("__p1") >= F.col("__b1")) & (F.col("__m") > 1) & (F.col("position") == F.col("__b1"))))
-            .select(*keys, "position"))
+    skip = (F.col("__p1") >= F.col("__b1")) & (F.col("__m") > 1) & (F.col("position") == F.col("__b1"))
+    used = null_safe(bps, info, keys).where(~F.coalesce(skip, F.lit(False))).select(*keys, "position")
     n_used = used.groupBy(*keys).agg(F.count("*").alias("__m_used"))
     # order: points before a breakpoint at the same position (a point at a breakpoint ends that interval)
-    u = (pts.select(*keys, "position", *[c for c in order if c != "position"], *extra, F.lit(1).alias("__kind"))
-         .unionByName(used.select(*keys, "position", *[F.lit(None).cast(points.schema[c].dataType).alias(c)
-                                                       for c in order + extra if c != "position"],
-                                  F.lit(2).alias("__kind"))))
-    wo = _w(keys, ["position", "__kind"] + [c for c in order if c != "position"],
-            (Window.unboundedPreceding, -1))
-    u = u.withColumn("bp_group", F.coalesce(F.sum(F.when(F.col("__kind") == 2, 1).otherwise(0)).over(wo), F.lit(0)))
-    grp = u.filter(F.col("__kind") == 1).drop("__kind")
-    grp = grp.join(n_used, keys, "left").withColumn("__m_used", F.coalesce(F.col("__m_used"), F.lit(0)))
-    gkeys = keys + ["bp_group"]
-    w = _w(gkeys, order)
-    gap = F.col("position") - F.lag("position", 1).over(w)
-    splits = (F.col("__m_used") == 0) | (F.col("bp_group") < F.col("__m_used"))
-    hole = F.when(splits & (gap >= limit), 1).otherwise(0)
-    grp = grp.withColumn("hole_id", F.sum(hole).over(_w(gkeys, order, (Window.unboundedPreceding, 0))))
-    pid = F.dense_rank().over(_w(keys, ["bp_group", "hole_id"]))
-    assigned = grp.withColumn("preseg", pid - 1).select(*keys, *order, *extra, "preseg")
-    table = (assigned.groupBy(*keys, "preseg").agg(F.min("position").alias("start"), F.max("position").alias("end"),
-                                                     F.count("*").alias("n_points"))
-             .join(info, keys, "left")
-             .withColumn("start", F.when((F.col("preseg") == 0) & (F.col("__p1") >= F.col("__b1")), F.col("__b1"))
-                         .otherwise(F.col("start")))
-             .drop("__p1", "__b1", "__m"))
-    return assigned, table
+    rest = [c for c in order if c != "position"]
+    rows = points.select(*keys, "position", *rest, *extra, F.lit(1).alias("__kind")).unionByName(used.select(
+        *keys, "position", *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in rest + extra], F.lit(2).alias("__kind")))
+
+    def before(d, w):
+        return d.withColumns({"__last": F.lag("__kind", 1).over(w), "__gap": F.col("position") - F.lag("position", 1).over(w)})
+
+    u = windowed(ranked(rows, keys, ["position", "__kind", *rest], total=None), keys, 1, 0, before, size=size)
+    u = null_safe(prefix_sums(u, keys, {"__bps": F.when(F.col("__kind") == 2, 1).otherwise(0)}, size=size), n_used, keys, "left")
+    splits = F.col("__m_used").isNull() | (F.col("__bps") < F.col("__m_used"))
+    starts = F.col("__last").isNull() | (F.col("__last") == 2) | (splits & (F.col("__gap") >= limit))
+    u = prefix_sums(u, keys, {"preseg": F.when((F.col("__kind") == 1) & starts, 1).otherwise(0)}, size=size)
+    assigned = u.where(F.col("__kind") == 1).select(*keys, *order, *extra, (F.col("preseg") - 1).cast("int").alias("preseg"))
+    table = assigned.groupBy(*keys, "preseg").agg(
+        F.min("position").alias("start"), F.max("position").alias("end"), F.count("*").alias("n_points"))
+    table = null_safe(table, info, keys, "left")
+    moved = (F.col("preseg") == 0) & (F.col("__p1") >= F.col("__b1"))
+    return assigned, table.withColumn("start", F.when(moved, F.col("__b1")).otherwise(F.col("start"))).drop("__p1", "__b1", "__m")
 
 
 # ----------------------------------------------------------------- running median and MAD
 
-def running_median(df: DataFrame, keys, value: str, out: str = "runmed", half: int = RUNMED_HALF) -> DataFrame:
+def _medians(x: np.ndarray, rn: np.ndarray, n: int, half: int) -> np.ndarray:
+    """Running medians with the end rule for rows ``rn`` of a series of ``n`` (consecutive, with all that their own rows need)."""
+    h = (min(2 * half + 1, n - 1 if n % 2 == 0 else n) - 1) // 2
+    out = x.copy()
+    if h < 1:
+        return out
+    first = int(rn[0])
+    if len(x) > 2 * h:
+        out[h:len(x) - h] = np.median(np.lib.stride_tricks.sliding_window_view(x, 2 * h + 1), axis=1)
+    smooth = out.copy()
+    median3 = lambda a, b, c: sorted((a, b, c))[1]
+    # the ends: medians of the first 1, 3, 5, ... values, and Tukey's rule for the outermost
+    for at_end, ends in ((first == 1, range(len(x))), (first + len(x) - 1 == n, range(len(x) - 1, -1, -1))):
+        if not at_end:
+            continue
+        order = np.array(ends)
+        kept = out[order[:2 * h - 1]]
+        kept[:h] = x[order[:h]]
+        for i in range(2, min(h, len(order)) + 1):
+            smooth[order[i - 1]] = np.median(kept[:2 * i - 1])
+    for at_end, a, b, c in ((first == 1, 0, 1, 2), (first + len(x) - 1 == n, -1, -2, -3)):
+        if at_end and len(x) >= 3:
+            smooth[a] = median3(x[a], smooth[b], 3 * smooth[b] - 2 * smooth[c])
+    return smooth
+
+
+def running_median(df: DataFrame, keys, value: str, out: str = "runmed", half: int = RUNMED_HALF, size: int = CHUNK) -> DataFrame:
     """WN-07: R ``runmed(x, 2k+1, endrule = "median")`` per series (rows must carry rn, n).
 
     Width is cut to n (n odd) or n-1 (n even) for short series. Interior points take the centred
     median; the ends are smoothed as R's ``smoothEnds``: point i (2 <= i <= h) takes the median of the
     first 2i-1 values of the kept-ends vector, and the extreme point uses Tukey's rule
-    median(y1, s2, 3 s2 - 2 s3).
+    median(y1, s2, 3 s2 - 2 s3). A task holds one chunk and a halo of 3 k rows, in which the medians of an end's 2 h - 1 rows lie.
     """
-    rn, n = F.col("rn"), F.col("n")
-    width = F.least(F.lit(2 * half + 1), F.when(n % 2 == 0, n - 1).otherwise(n))
-    h = F.floor((width - 1) / 2).cast("int")
-    d = df.withColumn("__h", h)
-    # centred median for long series (constant half width) and for short ones (whole series or
-    # all but one end, since there the width is n or n-1)
-    med_full = F.percentile(F.col(value), 0.5).over(_w(keys, ["rn"], (-half, half)))
-    med_all = F.percentile(F.col(value), 0.5).over(_w(keys))
-    med_head = F.percentile(F.when(rn <= n - 1, F.col(value)), 0.5).over(_w(keys))
-    med_tail = F.percentile(F.when(rn >= 2, F.col(value)), 0.5).over(_w(keys))
-    centred = (F.when(F.col("__h") == half, med_full)
-               .when(n % 2 == 1, med_all)
-               .when(rn == F.col("__h") + 1, med_head)
-               .otherwise(med_tail))
-    interior = (rn > F.col("__h")) & (rn <= n - F.col("__h"))
-    d = d.withColumn("__res", F.when(interior, centred).otherwise(F.col(value)))
-    # end smoothing needs the first / last 2h-1 values of the kept-ends vector: one partition-level
-    # collect over just those rows (nulls are skipped), sorted by distance from the end -- no join back
-    w = _w(keys, ["rn"])
-    wk = _w(keys)
-    span = 2 * F.col("__h") - 1
-    rev = n - rn + 1
-    hl = F.collect_list(F.when(rn <= span, F.struct(rn.alias("k"), F.col("__res").alias("v")))).over(wk)
-    tl = F.collect_list(F.when(rev <= span, F.struct(rev.alias("k"), F.col("__res").alias("v")))).over(wk)
-    d = d.withColumns({"__hl": F.transform(F.array_sort(hl), lambda e: e["v"]),
-                       "__tl": F.transform(F.array_sort(tl), lambda e: e["v"])})
-    d = d.withColumns({
-        "__sm_head": F.try_element_at(F.array_sort(F.slice("__hl", F.lit(1), 2 * rn - 1)), rn.cast("int")),
-        "__sm_tail": F.try_element_at(F.array_sort(F.slice("__tl", F.lit(1), 2 * rev - 1)), rev.cast("int"))})
-    sm = (F.when((rn >= 2) & (rn <= F.col("__h")) & (F.col("__h") >= 2), F.col("__sm_head"))
-          .when((rn >= n - F.col("__h") + 1) & (rn <= n - 1) & (F.col("__h") >= 2), F.col("__sm_tail"))
-          .otherwise(F.col("__res")))
-    d = d.withColumn("__sm", sm)
-    s2, s3 = F.lead("__sm", 1).over(w), F.lead("__sm", 2).over(w)
-    t2, t3 = F.lag("__sm", 1).over(w), F.lag("__sm", 2).over(w)
-
-    def med3(a, b, c):
-        return F.greatest(F.least(a, b), F.least(F.greatest(a, b), c))
-
-    first = med3(F.col(value), s2, 3 * s2 - 2 * s3)
-    last = med3(F.col(value), t2, 3 * t2 - 2 * t3)
-    res = (F.when((F.col("__h") >= 1) & (rn == 1), first)
-           .when((F.col("__h") >= 1) & (rn == n), last)
-           .otherwise(F.col("__sm")))
-    d = d.withColumn(out, res)
-    return d.drop("__h", "__res", "__sm", "__hl", "__tl", "__sm_head", "__sm_tail")
-
-
-def noise_sd(points: DataFrame, keys, order, value: str = "baf") -> DataFrame:
+    ship_package(df.sparkSession)
+    d = with_halo(df, 3 * half + 1, 3 * half + 1, size=size)
+    schema = StructType([*df.schema.fields, StructField(out, DoubleType())])
+    names = df.columns
+
+    def run(table: pa.Table) -> pa.Table:
+        t = table.sort_by("rn")
+        x, rn = t.column(value).to_numpy().astype("f8"), t.column("rn").to_numpy()
+        got = _medians(x, rn, int(t.column("n")[0].as_py()), half)
+        t = t.select(names).append_column(out, pa.array(got)).filter(t.column("own"))
+        return t
+
+    return d.groupBy(*keys, "chunk").applyInArrow(run, schema)
+
+
+def noise_sd(points: DataFrame, keys, order, value: str = "baf", size: int = CHUNK) -> DataFrame:
     """SEG-04: per series, MAD x 1.4826 of (folded BAF - running median), zeros dropped; null -> 0;
     floored at 0.09. Returns (keys, sd)."""
     keys = list(keys)
     v = F.col(value)
     folded = points.select(*keys, *order, F.when(v < 0.5, v).otherwise(1 - v).alias("__x")).filter(F.col("__x") != 0)
-    d = index_series(folded, keys, order)
-    d = running_median(d, keys, "__x", "__rm")
-    d = d.withColumn("__dif", F.col("__x") - F.col("__rm"))
-    d = d.withColumn("__md", F.percentile("__dif", 0.5).over(_w(keys)))
-    mad = d.groupBy(*keys).agg((F.lit(MAD_SCALE) * F.percentile(F.abs(F.col("__dif") - F.col("__md")), 0.5))
-                               .alias("mad"))
-    all_keys = points.select(*keys).distinct()
-    out = all_keys.join(mad, keys, "left")
-    return out.select(*keys, F.greatest(F.coalesce(F.col("mad"), F.lit(0.0)), F.lit(SD_FLOOR)).alias("sd"),
-                      F.col("mad").alias("mad_raw"))
+    d = running_median(index_series(folded, keys, order).drop(*order), keys, "__x", "__rm", size=size)
+    d = cut_lineage(d.select(*keys, (F.col("__x") - F.col("__rm")).alias("__dif")))
+    every = F.lit(True)
+    d = null_safe(d, grouped_quantiles(d, keys, [("__dif", every, 0.5, "__md")]), keys)
+    mad = grouped_quantiles(d.withColumn("__off", F.abs(F.col("__dif") - F.col("__md"))), keys, [("__off", every, 0.5, "__mad")])
+    out = null_safe(points.select(*keys).distinct(), mad, keys, "left").withColumn("__mad", F.lit(MAD_SCALE) * F.col("__mad"))
+    return out.select(*keys, F.greatest(F.coalesce(F.col("__mad"), F.lit(0.0)), F.lit(SD_FLOOR)).alias("sd"),
+                      F.col("__mad").alias("mad_raw"))

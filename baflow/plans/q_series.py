@@ -26,6 +26,10 @@ def indexed(spark, d):
     return R.index_series(s, KEYS, ORDER)
 
 
+def filtered(spark, d):
+    return R.filters(indexed(spark, d), KEYS, "x", KMIN)
+
+
 def marked(spark, d):
     return R.mark_breakpoints(indexed(spark, d), KEYS, "x", KMIN)
 
@@ -95,24 +99,27 @@ def q_running_median(spark, d):
 @register("highpass_costs", doubles=["cost1", "cost2"], ctes=MARKS[:3],
           sql="SELECT sample_id, chrom, event_id, rn, cost1, cost2 FROM m_hp")
 def q_highpass_costs(spark, d):
-    x = R.cumsum(indexed(spark, d), KEYS, "x")
-    x = R.highpass(R.highpass(x, KEYS, R.L1, "cost1"), KEYS, R.L2, "cost2")
-    return x.select(*KEYS, "event_id", "rn", "cost1", "cost2")
+    return filtered(spark, d).select(*KEYS, "event_id", "rn", "cost1", "cost2")
 
 
 @register("rolling_max7", doubles=["cost1", "test1"], ctes=MARKS[:4],
           sql="SELECT sample_id, chrom, event_id, rn, cost1, test1 FROM m_rm")
 def q_rolling_max7(spark, d):
-    x = R.highpass(R.cumsum(indexed(spark, d), KEYS, "x"), KEYS, R.L1, "cost1")
-    return R.rolling_max7(x, KEYS, "cost1", "test1").select(*KEYS, "event_id", "rn", "cost1", "test1")
+    return filtered(spark, d).select(*KEYS, "event_id", "rn", "cost1", "test1")
 
 
 @register("short_seg_filter", doubles=["short_ab", "test2"], ctes=MARKS[:4],
           sql="SELECT sample_id, chrom, event_id, rn, short_ab, test2 FROM m_rm")
 def q_short_seg_filter(spark, d):
-    x = R.short_segment_cost(R.cumsum(indexed(spark, d), KEYS, "x"), KEYS, KMIN)
-    x = R.rolling_max7(x, KEYS, "short_ab", "test2", last=F.col("n") - 3 * KMIN + 1)
-    return x.select(*KEYS, "event_id", "rn", "short_ab", "test2")
+    return filtered(spark, d).select(*KEYS, "event_id", "rn", "short_ab", "test2")
+
+
+@register("running_sums", doubles=["s", "sq"], ctes=[("idx", IDX_SQL)], sql=f"""SELECT sample_id, chrom, event_id, rn,
+  sum(x) OVER w AS s, sum(x * x) OVER w AS sq FROM idx
+WINDOW w AS (PARTITION BY {KS} ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def q_running_sums(spark, d):
+    x = R.cumsum(R.cumsum(indexed(spark, d), KEYS, "x", "s"), KEYS, "x", "sq", square=True)
+    return x.select(*KEYS, "event_id", "rn", "s", "sq")
 
 
 @register("breakpoint_marks", doubles=["limit1", "limit2", "limit3"], ctes=MARKS,
