@@ -1,59 +1,113 @@
 """Phased-BAF segmentation as Spark jobs (SEG-07..14).
 
 Per series (sample, chrom, presegment): candidate marks come from window filters, the points are
-compacted to blocks with one ``groupBy``, and only the blocks enter a grouped pandas UDF that runs
-the Potts dynamic programme; its per-block fitted mean is joined back on (keys, block_id).
+compacted to blocks with one ``groupBy``, and only the blocks enter the Potts dynamic programme. It goes through a series in parts
+of ``BLOCKS`` blocks, all series at once: a part gets the live starts of the part before and hands on its own, so no task
+holds more than one part and the live starts. The breaks are then traced back through the tables of the parts.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import logging
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from baflow.operators import potts
 from baflow.operators import series as R
+from baflow.operators.chunks import null_safe, prefix_sums, windowed
+from baflow.operators.quantiles import grouped_quantiles
 from baflow.session import cut_lineage, ship_package
 
-def _blocks(indexed: DataFrame, keys, value: str, kmin: int) -> DataFrame:
-    """Candidate marks and the numbers of the blocks between them; the end of a series is a mark."""
-    return R.block_ids(R.mark_breakpoints(indexed, keys, value, kmin), keys, "mark")
+BLOCKS = 20_000        # blocks of a series that one task takes at a time
+OPTIONS = (1, 2, 3)    # values of the segment value rule
+
 
+def _keyed(keys, table: pa.Table, n: int) -> list[pa.Array]:
+    """The key columns of one group, ``n`` times."""
+    return [table.column(k).combine_chunks().take(pa.array(np.zeros(n, "i8"))) for k in keys]
 
-def _fit_schema(keys_schema) -> StructType:
-    return StructType(list(keys_schema) + [StructField("block_id", LongType()), StructField("seg_idx", LongType()),
-                                           StructField("fit", DoubleType())])
 
+def segment_ends(blocks: DataFrame, keys, kmin: int, part: int = BLOCKS) -> DataFrame:
+    """(keys, end_block): last block of every segment of the cheapest partition of each series.
 
-def potts_fit(indexed: DataFrame, keys, value: str, kmin: int, penalty_col: str) -> DataFrame:
+    ``blocks``: keys, block_id (0, 1, ...), nr, sm, sq, penalty (constant per series). A part forward and a part
+    back are one cogroup each over all series that reach it; what it puts out is written before the next.
+    """
+    keys = list(keys)
+    ship_package(blocks.sparkSession)
+    fields = [blocks.schema[k] for k in keys]
+    told = StructType([*fields, StructField("block_id", LongType()), StructField("before", LongType()), StructField("starts", BinaryType())])
+    names = told.fieldNames()
+    cut = cut_lineage(blocks.withColumn("part", F.floor(F.col("block_id") / part)))
+    last = cut.agg(F.max("part")).first()[0]
+    if last is None:
+        return blocks.select(*keys, F.col("block_id").cast("long").alias("end_block")).limit(0)
+
+    def forward(rows: pa.Table, state: pa.Table) -> pa.Table:
+        n = rows.num_rows
+        if n == 0:                                             # the series ended in an earlier part
+            return told_schema.empty_table()
+        rows = rows.sort_by("block_id")
+        starts = potts.Starts.unpacked(state.column("starts")[0].as_py()) if state.num_rows else potts.Starts()
+        nr, sm, sq = (rows.column(c).to_numpy().astype("f8") for c in ("nr", "sm", "sq"))
+        before = potts.advance(starts, nr, sm, sq, kmin, float(rows.column("penalty")[0].as_py()))
+        ids = np.r_[rows.column("block_id").to_numpy(), -1]
+        return pa.table([*_keyed(keys, rows, n + 1), pa.array(ids.astype("i8")), pa.array(np.r_[before, -1].astype("i8")),
+                         pa.array([None] * n + [starts.packed()], pa.binary())], names=names)
+
+    def back(rows: pa.Table, state: pa.Table) -> pa.Table:
+        if rows.num_rows == 0:                                 # not reached: its end stays as it is
+            return state.select(names)
+        rows = rows.sort_by("block_id")
+        ids = rows.column("block_id").to_numpy()
+        ends, rest = potts.trace(rows.column("before").to_numpy(), int(ids[0]) + 1, int(state.column("before")[0].as_py()))
+        out = np.array([*ends, -1], "i8")
+        return pa.table([*_keyed(keys, rows, len(out)), pa.array(np.where(out < 0, -1, out - 1)),
+                         pa.array(np.where(out < 0, rest, 0).astype("i8")), pa.nulls(len(out), pa.binary())], names=names)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    told_schema = to_arrow_schema(told)
+    state = blocks.sparkSession.createDataFrame([], told)
+    parts = []
+    for k in range(last + 1):
+        done = cut_lineage(cut.where(F.col("part") == k).groupBy(*keys).cogroup(state.groupBy(*keys)).applyInArrow(forward, told))
+        parts.append(done.where(F.col("block_id") >= 0))
+        state = done.where(F.col("block_id") < 0)
+    state = cut.groupBy(*keys).agg((F.max("block_id") + 1).alias("before")).select(
+        *keys, F.lit(-1).cast("long").alias("block_id"), F.col("before").cast("long").alias("before"), F.lit(None).cast("binary").alias("starts"))
+    found = None
+    for rows in reversed(parts):
+        done = cut_lineage(rows.groupBy(*keys).cogroup(state.groupBy(*keys)).applyInArrow(back, told))
+        ends = done.where(F.col("block_id") >= 0).select(*keys, F.col("block_id").alias("end_block"))
+        found = ends if found is None else found.unionByName(ends)
+        state = done.where(F.col("block_id") < 0)
+    return found
+
+
+def potts_fit(indexed: DataFrame, keys, value: str, kmin: int, penalty_col: str, part: int = BLOCKS) -> DataFrame:
     """Fitted value per point (column ``fit``) and segment index (``seg_idx``).
 
     ``indexed`` carries keys, rn, n, value and ``penalty_col`` (gamma, constant per series).
     """
     keys = list(keys)
-    ship_package(indexed.sparkSession)
     # the marked points feed both the compaction and the join back: materialise them once
-    blk = cut_lineage(_blocks(indexed, keys, value, kmin))
+    points = cut_lineage(R.block_ids(R.mark_breakpoints(indexed, keys, value, kmin), keys, "mark"))
     v = F.col(value)
-    compacted = blk.groupBy(*keys, "block_id").agg(
+    blocks = cut_lineage(points.groupBy(*keys, "block_id").agg(
         F.count("*").cast("double").alias("nr"), F.sum(v).alias("sm"), F.sum(v * v).alias("sq"),
-        F.max("rn").cast("long").alias("end_rn"), F.first(penalty_col).alias("penalty"))
-    key_fields = [f for f in indexed.schema.fields if f.name in keys]
-    schema = _fit_schema(key_fields)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("end_rn")
-        seg, mean = potts.fit_blocks(pdf["nr"].to_numpy(), pdf["sm"].to_numpy(), pdf["sq"].to_numpy(), kmin,
-                                     float(pdf["penalty"].iloc[0]))
-        out = pdf[keys + ["block_id"]].copy()
-        out["block_id"] = out["block_id"].astype("int64")
-        out["seg_idx"] = seg.astype("int64")
-        out["fit"] = mean.astype(float)
-        return out
-
-    fitted = compacted.groupBy(*keys).applyInPandas(run, schema)
-    return blk.join(fitted, keys + ["block_id"])
+        F.first(penalty_col).alias("penalty")))
+    ends = segment_ends(blocks, keys, kmin, part).select(*keys, F.col("end_block").alias("block_id"), F.lit(1).alias("__end"))
+    cut = null_safe(blocks, ends, [*keys, "block_id"], "left").withColumn("__at", F.col("block_id") + 1)
+    own = F.coalesce(F.col("__end"), F.lit(0))
+    cut = prefix_sums(cut, keys, {"__ends": own}, rn="__at").withColumn("seg_idx", (F.col("__ends") - own).cast("long"))
+    cut = cut_lineage(cut.select(*keys, "block_id", "seg_idx", "nr", "sm"))
+    means = cut.groupBy(*keys, "seg_idx").agg((F.sum("sm") / F.sum("nr")).alias("fit"))
+    fitted = null_safe(cut.select(*keys, "block_id", "seg_idx"), means, [*keys, "seg_idx"])
+    return null_safe(points, fitted, [*keys, "block_id"])
 
 
 def segment_series(points: DataFrame, keys, value: str, kmin: int, penalty_col: str, out: str,
@@ -61,31 +115,34 @@ def segment_series(points: DataFrame, keys, value: str, kmin: int, penalty_col:
     """One Potts pass over every series (rows carry rn, n); with ``skip``, and for series of fewer than
     ``2 * kmin`` points, which cannot hold a break, the value is the series' mean."""
     keys = list(keys)
-    mean = F.avg(value).over(Window.partitionBy(*keys))
-    idx = points.withColumn("__mean", mean)
+    short = points if skip else points.where(F.col("n") < 2 * kmin)
+    whole = null_safe(short, short.groupBy(*keys).agg(F.avg(value).alias(out)), keys)
     if skip:
-        return idx.withColumn(out, F.col("__mean")).drop("__mean")
-    whole = idx.filter(F.col("n") < 2 * kmin).withColumn(out, F.col("__mean"))
-    fitted = potts_fit(idx.filter(F.col("n") >= 2 * kmin), keys, value, kmin, penalty_col).withColumnRenamed("fit", out)
-    cols = idx.columns + [out]
-    return whole.select(*cols).unionByName(fitted.select(*cols)).drop("__mean")
+        return whole
+    fitted = potts_fit(points.where(F.col("n") >= 2 * kmin), keys, value, kmin, penalty_col).withColumnRenamed("fit", out)
+    cols = [*points.columns, out]
+    return whole.select(*cols).unionByName(fitted.select(*cols))
 
 
 def segment_value_rule(df: DataFrame, keys, option: int = 3, seg: str = "baf_seg", phased: str = "baf_phased") -> DataFrame:
     """SEG-13/14: value of each run of equal ``seg`` values: 1 median, 2 mean, 3 median unless it is
-    exactly 0 or 1 (then mean); anything else keeps the mean."""
+    exactly 0 or 1 (then mean); anything else keeps the mean, with a warning."""
+    if option not in OPTIONS:
+        logging.getLogger(__name__).warning("unknown segment value option %r: the mean is kept", option)
     if option not in (1, 3):
         return df
-    w = Window.partitionBy(*keys).orderBy("rn")
-    change = F.when(F.lag(seg).over(w).isNull() | (F.lag(seg).over(w) != F.col(seg)), 1).otherwise(0)
-    d = df.withColumn("__run", F.sum(change).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    med = F.percentile(F.col(phased), 0.5).over(Window.partitionBy(*keys, "__run"))
-    d = d.withColumn("__med", med)
-    if option == 1:
-        val = F.col("__med")
-    else:
-        val = F.when(F.col("__med").isin(0.0, 1.0), F.col(seg)).otherwise(F.col("__med"))
-    return d.withColumn(seg, val).drop("__run", "__med")
+    keys = list(keys)
+
+    def changes(d, w):
+        prev = F.lag(seg, 1).over(w)
+        return d.withColumn("__chg", F.when(prev.isNull() | (prev != F.col(seg)), 1).otherwise(0))
+
+    d = prefix_sums(windowed(df, keys, 1, 0, changes), keys, {"__run": F.col("__chg")}).drop("__chg")
+    d = cut_lineage(d)
+    medians = grouped_quantiles(d, [*keys, "__run"], [(phased, F.lit(True), 0.5, "__med")])
+    d = null_safe(d, medians, [*keys, "__run"])
+    value = F.col("__med") if option == 1 else F.when(F.col("__med").isin(0.0, 1.0), F.col(seg)).otherwise(F.col("__med"))
+    return d.withColumn(seg, value).drop("__run", "__med")
 
 
 def segment_baf_phased(het: DataFrame, breakpoints: DataFrame | None = None, gamma: float = 10.0,
@@ -104,14 +161,18 @@ def segment_baf_phased(het: DataFrame, breakpoints: DataFrame | None = None, gam
     # points with their presegment feed both the noise estimate and the index: materialise once
     pts = cut_lineage(R.index_series(assigned, skeys, order))
     sd = R.noise_sd(pts.drop("rn", "n"), skeys, order, "baf")
-    idx = cut_lineage(pts.join(sd.select(*skeys, "sd"), skeys)
-                      .withColumn("pen1", F.lit(phasegamma) * F.col("sd"))
-                      .withColumn("pen2", F.lit(gamma) * F.col("sd")))
+    idx = (null_safe(pts, sd.select(*skeys, "sd"), skeys)
+           .withColumn("pen1", F.lit(phasegamma) * F.col("sd")).withColumn("pen2", F.lit(gamma) * F.col("sd")))
+    idx = cut_lineage(idx)
     p1 = segment_series(idx, skeys, "baf", phasekmin, "pen1", "temp_baf_segm")
-    p1 = p1.select(*skeys, *order, "rn", "n", "baf", "pen2", "temp_baf_segm")
-    p1 = cut_lineage(p1.withColumn("baf_phased", F.when(F.col("temp_baf_segm") > 0.5, F.col("baf"))
-                                   .otherwise(1 - F.col("baf"))))
+    p1 = phase_flip(p1.select(*skeys, *order, "rn", "n", "baf", "pen2", "temp_baf_segm"))
+    p1 = cut_lineage(p1)
     p2 = segment_series(p1, skeys, "baf_phased", kmin, "pen2", "baf_seg", skip=no_segmentation)
     p2 = p2.select(*skeys, *order, "rn", "baf", "baf_phased", "baf_seg", "temp_baf_segm")
     p2 = segment_value_rule(p2, skeys, calc_seg_baf_option)
     return p2.select(*keys, *order, "preseg", "baf", "baf_phased", "baf_seg", "temp_baf_segm")
+
+
+def phase_flip(df: DataFrame, seg: str = "temp_baf_segm", baf: str = "baf", out: str = "baf_phased") -> DataFrame:
+    """SEG-11: BAF as it is where the first pass' segment lies above one half, mirrored elsewhere."""
+    return df.withColumn(out, F.when(F.col(seg) > 0.5, F.col(baf)).otherwise(1 - F.col(baf)))

@@ -77,3 +77,46 @@ def test_segmentation_recovers_planted_levels(spark):
     assert abs(np.median(got[:200]) - 0.5) < 0.03
     assert abs(np.median(got[220:430]) - 0.75) < 0.03
     assert abs(np.median(got[470:]) - 0.6) < 0.03
+
+
+def test_parts_hand_on_their_live_starts():
+    from baflow.operators.potts import Starts, advance
+    rng = np.random.default_rng(9)
+    for k in range(15):
+        y = _series(k, tuple(rng.integers(1, 60, 5)), (0.3, 0.6, 0.4, 0.5, 0.45), 0.12)
+        kmin, gamma = int(rng.integers(1, 6)), float(rng.choice([0.005, 0.05, 0.3]))
+        whole = advance(Starts(), np.ones(len(y)), y, y * y, kmin, gamma)
+        for part in (1, 7, 50):
+            starts, got = Starts(), []
+            for a in range(0, len(y), part):
+                got.append(advance(starts, np.ones(len(y[a:a + part])), y[a:a + part], y[a:a + part] ** 2, kmin, gamma))
+                starts = Starts.unpacked(starts.packed())
+            assert (np.concatenate(got) == whole).all()
+
+
+def test_segment_ends_do_not_depend_on_the_part(spark):
+    from baflow.operators.segment import segment_ends
+    rows, want = [], {}
+    for k, name in enumerate(["a", "b", None]):
+        y = _series(k, (37, 51, 40 + 30 * k), sd=0.08)
+        rows += [(name, p, 1.0, float(v), float(v * v), 0.1) for p, v in enumerate(y)]
+        want[name] = [int(e) - 1 for e in optimal_breaks(np.ones(len(y)), y, y * y, 3, 0.1)]
+        assert len(want[name]) >= 3
+    df = spark.createDataFrame(rows, "chrom string, block_id long, nr double, sm double, sq double, penalty double").repartition(5)
+    for part in (50, 1000):
+        got = {}
+        for r in segment_ends(df, ["chrom"], 3, part).collect():
+            got.setdefault(r["chrom"], []).append(r["end_block"])
+        assert {k: sorted(v) for k, v in got.items()} == want
+    assert segment_ends(df.limit(0), ["chrom"], 3).count() == 0
+
+
+def test_segment_value_options(spark, caplog):
+    from baflow.operators.segment import segment_value_rule
+    rows = [("s", k + 1, s, v) for k, (s, v) in enumerate([(0.6, 0.5), (0.6, 0.9), (0.6, 0.4), (0.2, 0.0), (0.2, 0.0), (0.2, 0.6), (0.6, 0.8)])]
+    df = spark.createDataFrame(rows, "sample_id string, rn int, baf_seg double, baf_phased double")
+    value = lambda o: [r["baf_seg"] for r in segment_value_rule(df, ["sample_id"], o).orderBy("rn").collect()]
+    assert value(1) == [0.5] * 3 + [0.0] * 3 + [0.8]
+    assert value(3) == [0.5] * 3 + [0.2] * 3 + [0.8]
+    assert value(2) == [r[2] for r in rows] and not caplog.records
+    assert value(9) == [r[2] for r in rows] and "unknown" in caplog.text
