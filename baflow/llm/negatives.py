@@ -39,10 +39,10 @@ POSITIVES, NEGATIVES = 5, 10
 LOW, HIGH = 30, 90
 BLOCK_ANCHORS = 4096
 FIT_ANCHORS = 4000
-CLUSTER_ANCHORS = 32      # members of a cluster that the number of centres aims at
+CLUSTER_ANCHORS = 64      # members of a cluster that the number of centres aims at
 MOST_CLUSTERS = 64        # for each vector length
 SEED_ROWS = 4000
-STEP = 256                # candidates of a list that are scored at once
+STEP = 1024               # candidates of a list that are scored at once
 NONE = np.iinfo("i8").min
 NEVER = np.iinfo("i8").max
 
@@ -116,21 +116,29 @@ class Lists:
 
     def __init__(self, n: int, k: int, least: np.ndarray):
         self.k, self.need = k, least.copy()
-        self.place, self.score, self.id = (np.zeros(0, "i8") for _ in range(3))
+        self.score, self.id = np.full((n, k), NONE), np.zeros((n, k), "i8")
 
     def offer(self, place: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         if not len(place):
             return
-        p, s, i = (np.concatenate(x) for x in ((self.place, place), (self.score, score), (self.id, ids)))
+        held = np.unique(place)
+        old, col = np.nonzero(self.score[held] != NONE)
+        old = held[old]
+        p, s, i = (np.concatenate(x) for x in ((old, place), (self.score[old, col], score), (self.id[old, col], ids)))
         order = np.lexsort((i, -s, p))
         p, s, i = p[order], s[order], i[order]
         head = np.flatnonzero(np.r_[True, np.diff(p) != 0])
         rank = np.arange(len(p)) - np.repeat(head, np.diff(np.r_[head, len(p)]))
         keep = rank < self.k
-        self.place, self.score, self.id = p[keep], s[keep], i[keep]
+        self.score[p[keep], rank[keep]], self.id[p[keep], rank[keep]] = s[keep], i[keep]
         full = rank == self.k - 1
         self.need[p[full]] = np.maximum(self.need[p[full]], s[full])
 
+    def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, id, score) of all lists."""
+        place, col = np.nonzero(self.score != NONE)
+        return place, self.id[place, col], self.score[place, col]
+
 
 def walk(clusters: list[Cluster], lists: Lists, slots: int, same_label: bool, most: np.ndarray,
          ids: np.ndarray, labels: np.ndarray, x: np.ndarray) -> int:
@@ -151,10 +159,10 @@ def walk(clusters: list[Cluster], lists: Lists, slots: int, same_label: bool, mo
             got = products(c.x[walking], x[r])
             done += got.size
             fits = (c.ids[walking][:, None] != ids[r]) & ((c.labels[walking][:, None] == labels[r]) == same_label)
-            for slot in range(slots):
-                place = mine[walking, slot]
-                a, b = np.nonzero(fits & (got >= lists.need[place][:, None]) & (got <= most[place][:, None]))
-                lists.offer(place[a], got[a, b], ids[r[b]])
+            a, b = np.nonzero(fits & (got >= lists.need[mine[walking]].min(axis=1)[:, None]))
+            place, score = mine[walking[a]], got[a, b][:, None]
+            fit, slot = np.nonzero((score >= lists.need[place]) & (score <= most[place]))
+            lists.offer(place[fit, slot], score[fit, 0], ids[r[b[fit]]])
     return done
 
 
@@ -170,8 +178,7 @@ def search(table: DataFrame, clusters, least: np.ndarray, most: np.ndarray, slot
             for d, r, x in _rows(b) if b.num_rows else ():
                 if d in by_length:
                     walk(by_length[d], lists, slots, same_label, high, ids[r], labels[r], x)
-        yield pa.RecordBatch.from_arrays([pa.array(lists.place), pa.array(lists.id), pa.array(lists.score)],
-                                         names=["place", "vec_id", "score"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in lists.entries()], names=["place", "vec_id", "score"])
 
     told = table.select("vec_id", "label", "vector").mapInArrow(run, "place long, vec_id long, score long")
     w = Window.partitionBy("place").orderBy(F.desc("score"), "vec_id")

@@ -64,9 +64,10 @@ def test_walks_end_early():
     lists = negatives.Lists(10, 5, np.full(10, negatives.NONE))
     done = negatives.walk([c], lists, 1, True, np.full(10, negatives.NEVER), np.arange(n), labels, x)
     assert done < 0.3 * 10 * n
+    place, ids, score = lists.entries()
     for p, a in enumerate(anchors):
         full = sorted((-int(x[a] @ x[j]), j) for j in range(n) if j != a and labels[j] == labels[a])[:5]
-        assert [(-s, j) for s, j in zip(lists.score[lists.place == p], lists.id[lists.place == p])] == full
+        assert [(-s, j) for s, j in zip(score[place == p], ids[place == p])] == full
 
 
 def test_large_numbers_are_exact():
