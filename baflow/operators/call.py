@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from baflow.functions.rmath import t_pvalue_two_sided, t_statistic
-from baflow.operators.fit import baf_level
+from baflow.operators.chunks import null_safe, prefix_sums, ranked
+from baflow.operators.fit import MANY_COPIES, MINOR_FLOOR, baf_level
+from baflow.operators.series import run_ids
+
+KEYS = ["sample_id", "chrom"]
 
 # The six candidate states of a segment, as (major, minor) offsets from
 # (y, x) = (floor(nMajor), floor(nMinor)), per BAF case and LogR-priority case, in priority order.
@@ -24,12 +28,9 @@ def baf_segments(baf_seg: DataFrame, chrom_order: DataFrame | None = None) -> Da
     """CALL-01: segments = runs of equal BAFseg inside a chromosome (position order).
 
     Returns per segment: sample_id, chrom, seg_id, start, end, l (BAFseg of the run, folded to >= 0.5),
-    n, mean / sd of phased BAF (for the t-test). One window per (sample, chrom).
+    n, mean / sd of phased BAF (for the t-test).
     """
-    w = Window.partitionBy("sample_id", "chrom").orderBy("position")
-    prev = F.lag("baf_seg").over(w)
-    d = baf_seg.withColumn("__chg", F.when(prev.isNull() | (prev != F.col("baf_seg")), 1).otherwise(0))
-    d = d.withColumn("seg_id", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    d = run_ids(baf_seg, KEYS, ["position"], ["baf_seg"], "seg_id")
     seg = d.groupBy("sample_id", "chrom", "seg_id").agg(
         F.min("position").alias("start"), F.max("position").alias("end"),
         F.max_by("baf_seg", "position").alias("__l"), F.count("*").alias("n"),
@@ -37,36 +38,37 @@ def baf_segments(baf_seg: DataFrame, chrom_order: DataFrame | None = None) -> Da
     return seg.withColumn("l", F.greatest(F.col("__l"), 1 - F.col("__l"))).drop("__l")
 
 
-def segment_range_mean(segs: DataFrame, points: DataFrame, value: str = "logr", bucket: int = 1_000_000,
-                       out: str = "logr") -> DataFrame:
+def segment_range_mean(segs: DataFrame, points: DataFrame, value: str = "logr", out: str = "logr") -> DataFrame:
     """CALL-02 / JN-10: mean of finite point values with start <= position <= end, per segment; null -> 0.
 
-    Bucketed range join: every segment is exploded into the position buckets it covers, points are
-    keyed by their bucket, equi-join on (sample, chrom, bucket), then the ``between`` filter.
+    Segment starts (before the points of their position) and ends (behind them) are put in one order with the points; the sum and
+    count of a segment's points are the differences of the running sums at its two rows. The work is that of ordering points and
+    segments once, however long the segments are and whether or not they overlap.
     """
-    s = segs.select("sample_id", "chrom", "seg_id", "start", "end").withColumn(
-        "bucket", F.explode(F.sequence((F.col("start") / bucket).cast("long"), (F.col("end") / bucket).cast("long"))))
     v = F.col(value)
-    p = (points.filter(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
-         .select("sample_id", "chrom", "position", v.alias("__v"),
-                 (F.col("position") / bucket).cast("long").alias("bucket")))
-    j = s.join(p, ["sample_id", "chrom", "bucket"]).filter(F.col("position").between(F.col("start"), F.col("end")))
-    means = j.groupBy("sample_id", "chrom", "seg_id").agg(F.avg("__v").alias("__mean_v"))
-    return (segs.join(means, ["sample_id", "chrom", "seg_id"], "left")
-            .withColumn(out, F.coalesce(F.col("__mean_v"), F.lit(0.0))).drop("__mean_v"))
+    fine = points.filter(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
+    rows = fine.select(*KEYS, F.col("position").cast("long").alias("position"), F.lit(1).alias("__kind"), v.alias("__v"), F.lit(None).cast("long").alias("seg_id"))
+    for kind, at in ((0, "start"), (2, "end")):
+        rows = rows.unionByName(segs.select(*KEYS, F.col(at).cast("long").alias("position"), F.lit(kind).alias("__kind"),
+                                            F.lit(0.0).alias("__v"), F.col("seg_id").cast("long").alias("seg_id")))
+    u = prefix_sums(ranked(rows, KEYS, ["position", "__kind"], "__rn", None), KEYS,
+                    {"__s": F.col("__v"), "__c": F.when(F.col("__kind") == 1, 1).otherwise(0)}, rn="__rn")
+    part = lambda c: F.max(F.when(F.col("__kind") == 2, F.col(c))) - F.max(F.when(F.col("__kind") == 0, F.col(c)))
+    means = u.where("__kind <> 1").groupBy(*KEYS, "seg_id").agg(F.try_divide(part("__s"), part("__c")).alias("__mean_v"))
+    return null_safe(segs, means, [*KEYS, "seg_id"], "left").withColumn(out, F.coalesce(F.col("__mean_v"), F.lit(0.0))).drop("__mean_v")
 
 
 def continuous_cn(segs: DataFrame, rho: Column, psi: Column, gamma: float = 1.0) -> DataFrame:
-    """CALL-03: continuous nMajor / nMinor; nMinor < 0 is raised to 0.01 with nMajor (1000 when l = 1)."""
+    """CALL-03: continuous nMajor / nMinor; nMinor < 0 is raised to ``MINOR_FLOOR`` with nMajor (``MANY_COPIES`` when l = 1)."""
     f = F.pow(F.lit(2.0), F.col("logr") / F.lit(gamma))
     l = F.col("l")
     maj = (rho - 1 + l * psi * f) / rho
     mn = (rho - 1 + (1 - l) * psi * f) / rho
     d = segs.withColumns({"__cmaj": maj, "__cmin": mn})
-    raised = F.when(l == 1, F.lit(1000.0)).otherwise(F.col("__cmaj") + l * (F.lit(0.01) - F.col("__cmin")) / (1 - l))
+    raised = F.when(l == 1, F.lit(MANY_COPIES)).otherwise(F.col("__cmaj") + l * (F.lit(MINOR_FLOOR) - F.col("__cmin")) / (1 - l))
     return d.withColumns({
         "n_major": F.when(F.col("__cmin") < 0, raised).otherwise(F.col("__cmaj")),
-        "n_minor": F.when(F.col("__cmin") < 0, F.lit(0.01)).otherwise(F.col("__cmin"))}).drop("__cmaj", "__cmin")
+        "n_minor": F.when(F.col("__cmin") < 0, F.lit(MINOR_FLOOR)).otherwise(F.col("__cmin"))}).drop("__cmaj", "__cmin")
 
 
 def edge_candidates(segs: DataFrame, rho: Column) -> DataFrame:
@@ -123,7 +125,7 @@ def call_states(segs: DataFrame, rho: Column, siglevel: float = 0.05, maxdist: f
 
 
 def call_subclones(baf_seg: DataFrame, logr: DataFrame, rho_psi: DataFrame, gamma: float = 1.0,
-                   siglevel: float = 0.05, maxdist: float = 0.01, bucket: int = 1_000_000) -> DataFrame:
+                   siglevel: float = 0.05, maxdist: float = 0.01) -> DataFrame:
     """CALL-09: copy-number table per segment, 9 columns (+ sample_id, is_subclonal).
 
     ``rho_psi`` carries (sample_id, method, rho, psi); the FRAC_GENOME row gives rho and the tumour
@@ -131,13 +133,8 @@ def call_subclones(baf_seg: DataFrame, logr: DataFrame, rho_psi: DataFrame, gamm
     """
     fg = rho_psi.filter(F.col("method") == "FRAC_GENOME").select(
         "sample_id", F.col("rho").alias("__rho"), (F.col("rho") * F.col("psi") + 2 * (1 - F.col("rho"))).alias("__psi"))
-    segs = segment_range_mean(baf_segments(baf_seg), logr, "value" if "value" in logr.columns else "logr",
-                              bucket=bucket)
-    segs = segs.join(fg, "sample_id")
-    rho, psi = F.col("__rho"), F.col("__psi")
-    segs = continuous_cn(segs, rho, psi, gamma)
-    segs = edge_candidates(segs, rho)
-    segs = call_states(segs, rho, siglevel, maxdist)
+    segs = segment_range_mean(baf_segments(baf_seg), logr, "value" if "value" in logr.columns else "logr")
+    segs = called(segs.join(fg, "sample_id"), gamma, siglevel, maxdist)
     return segs.select(
         "sample_id", F.col("chrom").alias("Chromosome"), F.col("start").alias("Start_Pos"),
         F.col("end").alias("End_Pos"), F.col("l").alias("BAF"), "pval", F.col("logr").alias("LogR"),
@@ -145,10 +142,15 @@ def call_subclones(baf_seg: DataFrame, logr: DataFrame, rho_psi: DataFrame, gamm
         F.col("minor").cast("double").alias("Minor_Copy_Number"), "is_subclonal")
 
 
+def called(segs: DataFrame, gamma: float = 1.0, siglevel: float = 0.05, maxdist: float = 0.01) -> DataFrame:
+    """CALL-03..07: states and p-values of segments that carry ``__rho`` and ``__psi`` of their sample."""
+    rho, psi = F.col("__rho"), F.col("__psi")
+    segs = continuous_cn(segs, rho, psi, gamma)
+    segs = edge_candidates(segs, rho)
+    return call_states(segs, rho, siglevel, maxdist)
+
+
 def snp_pvalues(baf_seg: DataFrame, calls: DataFrame) -> DataFrame:
-    """CALL-08: per-SNP p-value of its segment (join on the segment id)."""
-    w = Window.partitionBy("sample_id", "chrom").orderBy("position")
-    prev = F.lag("baf_seg").over(w)
-    d = baf_seg.withColumn("__chg", F.when(prev.isNull() | (prev != F.col("baf_seg")), 1).otherwise(0))
-    d = d.withColumn("seg_id", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__chg")
-    return d.join(calls.select("sample_id", "chrom", "seg_id", "pval"), ["sample_id", "chrom", "seg_id"])
+    """CALL-08: per-SNP p-value of its segment: ``calls`` (sample_id, chrom, seg_id, pval) joined on the segment's number."""
+    d = run_ids(baf_seg, KEYS, ["position"], ["baf_seg"], "seg_id")
+    return null_safe(d, calls.select(*KEYS, "seg_id", "pval"), [*KEYS, "seg_id"])

@@ -53,9 +53,9 @@ def ranked(df: DataFrame, keys, order, out: str = "rn", total: str | None = "n")
     ahead = before_parts(counts, keys, "__part", {"__rows": "__before"})
     if total:
         ahead = null_safe(ahead, counts.groupBy(*keys).agg(F.sum("__rows").alias(total)), keys)
-    d = dealt.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(*sort)))
+    d = dealt.withColumn("__at_part", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(*sort)))
     d = null_safe(d, ahead, [*keys, "__part"])
-    return d.withColumn(out, F.col("__before") + F.col("__rn")).drop("__part", "__rn", "__before", "__all")
+    return d.withColumn(out, F.col("__before") + F.col("__at_part")).drop("__part", "__at_part", "__before", "__all")
 
 
 def chunk_of(rn: str = "rn", size: int = CHUNK) -> Column:

@@ -1,8 +1,7 @@
 """Purity (rho) / ploidy (psi) fit as Spark jobs (FIT-01..21).
 
-Segments are small per sample (one row per run of constant BAF/LogR). A grid search is expressed as
-segments x cells generated with ``explode(sequence(...))`` -- linear in the number of segments, no
-join and no broadcast -- followed by one ``groupBy(sample, i, j)`` with map-side combine. Grid
+Segments are few per sample (one row per run of constant BAF/LogR). A grid search adds each segment's terms into one
+array of cells per sample and task, and then the arrays of the tasks (``grids``). Grid
 neighbourhoods use framed windows along grid rows and columns (at most ~100 cells each).
 """
 
@@ -10,12 +9,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from baflow.functions.chrom import chrom_ord
-from baflow.functions.rmath import (dbinom_clamped, r_round, t_critical_values, t_pvalue_two_sided, t_statistic,
-                                    with_t_pvalue)
+from baflow.functions.rmath import dbinom_clamped, r_round, t_critical_values, t_pvalue_two_sided, t_statistic
+from baflow.operators.chunks import null_safe
+from baflow.operators.grids import cell_sums, with_spec
+from baflow.operators.series import run_ids
 from baflow.session import cut_lineage, ship_package
 
 
@@ -41,6 +43,11 @@ class FitParams:
             raise ValueError(f"rho range must be larger than 0.01: {self.min_rho}-{self.max_rho}")
 
 
+# Fixed values of the clonal test.
+MINOR_FLOOR = 0.01     # a negative minor copy number is raised to it
+MANY_COPIES = 1000.0   # major copy number where raising fails
+READ_DEPTH = 30        # reads that a point stands for in the likelihood
+
 # ------------------------------------------------------------------ scalar helpers (FIT-20)
 
 def copy_numbers(b: Column, r: Column, rho: Column, psi: Column, gamma: float) -> tuple[Column, Column]:
@@ -86,54 +93,44 @@ def nearest_corner(b: Column, ntot: Column, rho: Column, nmajor: Column, nminor:
 
 # ------------------------------------------------------------------ signal alignment (FIT-01..03)
 
-def _dedupe(df: DataFrame, keys, tiebreak) -> DataFrame:
-    """AG-05: one row per key, the first by ``tiebreak``, else the least by value (an aggregate, no window)."""
-    others = [c for c in df.columns if c not in keys]
-    row = F.struct(*others)
-    agg = df.groupBy(*keys).agg((F.min_by(row, F.col(tiebreak)) if tiebreak else F.min(row)).alias("__r"))
-    return agg.select(*keys, "__r.*")
-
-
 def match_signals(baf_seg: DataFrame, baf: DataFrame, logr: DataFrame, tiebreak: str | None = None) -> DataFrame:
     """FIT-01: align segmented BAF, raw BAF and raw LogR on (sample, chrom without ``chr``, position).
 
     Inputs: baf_seg (sample_id, chrom, position, baf_phased, baf_seg), baf / logr (sample_id, chrom,
-    position, value). Duplicated positions keep the first row (``tiebreak`` order); null values are
-    dropped. Adds ``logr_seg`` = mean LogR over each run of equal ``baf_seg`` in a chromosome (AG-06).
+    position, value). Duplicated positions keep the first row, by ``tiebreak`` or else in the order in which the
+    input is read; null values are dropped before (AG-05). Adds ``run_id`` and ``logr_seg`` = mean LogR over each run of equal ``baf_seg`` in a
+    chromosome (AG-06).
+
+    The three inputs are one table with a source column, reduced by one grouped aggregate: one shuffle and no join.
     """
     keys = ["sample_id", "chrom", "position"]
 
-    def prep(df, cols):
-        d = df.withColumn("chrom", F.regexp_replace("chrom", "chr", ""))
-        if cols == ["value"]:                # rows without a value go first, then the first of a position stays
-            d = d.dropna(subset=cols)
-        if tiebreak and tiebreak in d.columns:
-            return _dedupe(d.select(*keys, tiebreak, *cols), keys, tiebreak).drop(tiebreak)
-        return _dedupe(d.select(*keys, *cols), keys, None)
-
-    s = prep(baf_seg, ["baf_phased", "baf_seg"])
-    b = prep(baf, ["value"]).withColumnRenamed("value", "baf")
-    lr = prep(logr, ["value"]).withColumnRenamed("value", "logr")
-    m = s.join(b, keys).join(lr, keys)
-    w = Window.partitionBy("sample_id", "chrom").orderBy("position")
-    prev = F.lag("baf_seg").over(w)
-    m = m.withColumn("__chg", F.when(prev.isNull() | (prev != F.col("baf_seg")), 1).otherwise(0))
-    m = m.withColumn("run_id", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__chg")
-    m = m.withColumn("logr_seg", F.avg("logr").over(Window.partitionBy("sample_id", "chrom", "run_id")))
-    return m
+    def prep(df, source, a, b):
+        first = F.col(tiebreak).cast("long") if tiebreak and tiebreak in df.columns else F.monotonically_increasing_id()
+        d = df.withColumn("__first", first).withColumn("chrom", F.regexp_replace("chrom", "chr", ""))
+        if source:                               # rows without a value go first, then the first of a position stays
+            d = d.dropna(subset=[a])
+        return d.select(*keys, "__first", F.lit(source).alias("__source"), F.col(a).alias("__a"),
+                        (F.col(b) if b else F.lit(None).cast("double")).alias("__b"))
+
+    rows = prep(baf_seg, 0, "baf_phased", "baf_seg").unionByName(prep(baf, 1, "value", None)).unionByName(prep(logr, 2, "value", None))
+    of = lambda source, c: F.min_by(F.when(F.col("__source") == source, F.col(c)), F.when(F.col("__source") == source, F.col("__first")))
+    m = rows.groupBy(*keys).agg(of(0, "__a").alias("baf_phased"), of(0, "__b").alias("baf_seg"), of(1, "__a").alias("baf"),
+                                of(2, "__a").alias("logr"), F.max((F.col("__source") == 0).cast("int")).alias("__seen"))
+    m = m.where((F.col("__seen") == 1) & F.col("baf").isNotNull() & F.col("logr").isNotNull()).drop("__seen")
+    m = cut_lineage(run_ids(m, ["sample_id", "chrom"], ["position"], ["baf_seg"], "run_id"))
+    means = m.groupBy("sample_id", "chrom", "run_id").agg(F.avg("logr").alias("logr_seg"))
+    return null_safe(m, means, ["sample_id", "chrom", "run_id"])
 
 
 def genome_runs(df: DataFrame, r: str, b: str) -> DataFrame:
     """FIT-02: runs of equal (r, b) along the genome, ignoring chromosome ends (as the reference).
 
-    Runs are found inside each chromosome by windows, then joined across consecutive chromosomes
+    Runs are found inside each chromosome in chunks, then joined across consecutive chromosomes
     with a window over the small per-chromosome table -- no whole-genome window. Adds ``seg_id``.
     """
-    w = Window.partitionBy("sample_id", "chrom").orderBy("position")
     d = df.withColumn("__rb", F.struct(F.col(r).alias("r"), F.col(b).alias("b")))
-    prev = F.lag("__rb").over(w)
-    d = d.withColumn("__chg", F.when(prev.isNull() | (prev != F.col("__rb")), 1).otherwise(0))
-    d = d.withColumn("__local", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    d = cut_lineage(run_ids(d, ["sample_id", "chrom"], ["position"], ["__rb"], "__local"))
     per = (d.groupBy("sample_id", "chrom")
            .agg(F.min_by("__rb", "position").alias("__first"), F.max_by("__rb", "position").alias("__last"),
                 F.max("__local").alias("__nruns"))
@@ -145,8 +142,7 @@ def genome_runs(df: DataFrame, r: str, b: str) -> DataFrame:
     merges = F.sum("__joined").over(wc.rowsBetween(Window.unboundedPreceding, 0))
     per = per.withColumn("__offset", before - merges).select("sample_id", "chrom", "__offset")
     d = d.join(per, ["sample_id", "chrom"])
-    return d.withColumn("seg_id", (F.col("__local") + F.col("__offset")).cast("long")).drop(
-        "__rb", "__chg", "__local", "__offset")
+    return d.withColumn("seg_id", (F.col("__local") + F.col("__offset")).cast("long")).drop("__rb", "__local", "__offset")
 
 
 def make_segments(df: DataFrame, r: str, b: str) -> DataFrame:
@@ -167,11 +163,6 @@ def segment_info(matched: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ grids (FIT-05, FIT-14)
 
-def seq_len(lo: Column, hi: Column, by: Column) -> Column:
-    """Number of points of R ``seq(lo, hi, by)``."""
-    return (F.floor((hi - lo) / by + F.lit(1e-10)) + 1).cast("int")
-
-
 def coarse_grid_spec(p: FitParams) -> dict:
     """FIT-05 bounds widened for the neighbourhood search; psi step 0.05, rho step 0.01."""
     return {"psi_min": max(p.min_ploidy - 0.6, 0.0), "psi_max": p.max_ploidy + 0.6, "psi_by": 0.05,
@@ -179,24 +170,42 @@ def coarse_grid_spec(p: FitParams) -> dict:
 
 
 def with_grid(segs: DataFrame, spec) -> DataFrame:
-    """Attach grid cells to every segment row: columns i, j, psi, rho, n_psi, n_rho.
-
-    ``spec`` is either a dict of constants or a DataFrame with one row per sample (psi_min, psi_max,
-    psi_by, rho_min, rho_max, rho_by) joined on sample_id (one row per sample; Spark broadcasts it when
-    its measured size is under the threshold).
-    """
-    if isinstance(spec, dict):
-        d = segs.withColumns({k: F.lit(float(v)) for k, v in spec.items()})
-    else:
-        d = segs.join(spec, "sample_id")
-    d = d.withColumns({"n_psi": seq_len(F.col("psi_min"), F.col("psi_max"), F.col("psi_by")),
-                       "n_rho": seq_len(F.col("rho_min"), F.col("rho_max"), F.col("rho_by"))})
+    """Attach grid cells to every row: columns i, j, psi, rho, n_psi, n_rho (``spec`` as in ``with_spec``)."""
+    d = with_spec(segs, spec)
     d = d.withColumn("__cell", F.explode(F.sequence(F.lit(0), F.col("n_psi") * F.col("n_rho") - 1)))
     i = (F.col("__cell") / F.col("n_rho")).cast("int")
     j = (F.col("__cell") % F.col("n_rho")).cast("int")
     d = d.withColumns({"i": i, "j": j})
     return d.withColumns({"psi": F.col("psi_min") + F.col("i") * F.col("psi_by"),
-                          "rho": F.col("rho_min") + F.col("j") * F.col("rho_by")}).drop("__cell")
+                          "rho": F.col("rho_min") + F.col("j") * F.col("rho_by")}).drop("__cell", "psi_min", "psi_by", "rho_min", "rho_by")
+
+
+def _copies(b, r, rho, psi, gamma):
+    """(nA, nB) as in ``copy_numbers``, on arrays."""
+    k = np.power(2.0, r / gamma) * ((1 - rho) * 2 + rho * psi)
+    return (rho - 1 - (b - 1) * k) / rho, (rho - 1 + b * k) / rho
+
+
+def _distance_terms(gamma: float, thr: float):
+    """Terms of one segment (b, r, __len, __cnt) in the sums of ``distance_grid``."""
+    def terms(row, psi, rho):
+        b, r, w, cnt = (row[c] for c in ("b", "r", "__len", "__cnt"))
+        na, nb = _copies(b, r, rho, psi, gamma)
+        dev = [x - np.maximum(np.rint(x), 0.0) for x in (na, nb)]
+        half = [(0.5 - np.abs(x)) ** 2 for x in dev]
+        both = half[0] + half[1]
+        hom = (na < 0.5) & (nb < 0.5) & (na >= 0) & (nb >= 0)
+        info = np.where(b <= thr, 0.05, 1.0)
+        zero = np.where(np.rint(na) == 0, w, 0.0) + np.where(np.rint(nb) == 0, w, 0.0)
+        not_half = np.where(b == 0.5, 0.0, 1.0)
+        return {"__sa": na * cnt, "__sb": nb * cnt, "__d0a": dev[0] ** 2 * w * info, "__d0b": dev[1] ** 2 * w * info,
+                "__d1a": half[0] * w, "__d1b": half[1] * w, "__d2": 0.5 * both * w,
+                "__d3": 0.5 * np.where(hom, both * 4 * w * 2, both * w), "__cn_w": (na + nb) * w, "__w": w, "__z": zero,
+                "__zab": zero * not_half, "__wab": w * not_half, "max_dist": 0.25 * w}
+    return terms
+
+
+DISTANCE_SUMS = ("__sa", "__sb", "__d0a", "__d0b", "__d1a", "__d1b", "__d2", "__d3", "__cn_w", "__w", "__z", "__zab", "__wab", "max_dist")
 
 
 def distance_grid(segs: DataFrame, spec, choice: int, gamma: float = 1.0, thr: float = 0.51) -> DataFrame:
@@ -207,39 +216,10 @@ def distance_grid(segs: DataFrame, spec, choice: int, gamma: float = 1.0, thr: f
     candidate sums are aggregated in the same pass and the choice is made afterwards.
     """
     # segments with the same (b, r) contribute identical terms: fold them into one weighted row before
-    # the fan-out to cells (every term below is linear in the length or a plain count)
-    folded = segs.groupBy("sample_id", "b", "r").agg(F.count("*").alias("__cnt"),
+    # they are spread over the cells (every term is linear in the length or a plain count)
+    folded = segs.groupBy("sample_id", "b", "r").agg(F.count("*").cast("double").alias("__cnt"),
                                                     F.sum("length").cast("double").alias("__len"))
-    g = with_grid(folded, spec)
-    b, r, w, cnt = F.col("b"), F.col("r"), F.col("__len"), F.col("__cnt")
-    na, nb = copy_numbers(b, r, F.col("rho"), F.col("psi"), gamma)
-    g = g.withColumns({"__na": na, "__nb": nb})
-    na, nb = F.col("__na"), F.col("__nb")
-
-    def dev(x):
-        return x - F.greatest(r_round(x), F.lit(0.0))
-
-    def half_term(x):
-        return F.pow(F.lit(0.5) - F.abs(dev(x)), 2)
-
-    info = F.when(b <= thr, F.lit(0.05)).otherwise(F.lit(1.0))
-    both = (half_term(na) + half_term(nb))
-    hom = (na < 0.5) & (nb < 0.5) & (na >= 0) & (nb >= 0)
-    not_half = F.when(b == 0.5, F.lit(0.0)).otherwise(F.lit(1.0))
-    aggs = [F.sum(na * cnt).alias("__sa"), F.sum(nb * cnt).alias("__sb"),
-            F.sum(F.pow(dev(na), 2) * w * info).alias("__d0a"), F.sum(F.pow(dev(nb), 2) * w * info).alias("__d0b"),
-            F.sum(half_term(na) * w).alias("__d1a"), F.sum(half_term(nb) * w).alias("__d1b"),
-            (0.5 * F.sum(both * w)).alias("__d2"),
-            (0.5 * F.sum(F.when(hom, both * 4 * w * 2).otherwise(both * w))).alias("__d3"),
-            F.sum((na + nb) * w).alias("__cn_w"), F.sum(w).alias("__w"),
-            F.sum(F.when(r_round(na) == 0, w).otherwise(0.0) + F.when(r_round(nb) == 0, w).otherwise(0.0)).alias("__z"),
-            F.sum((F.when(r_round(na) == 0, w).otherwise(0.0) + F.when(r_round(nb) == 0, w).otherwise(0.0))
-                  * not_half).alias("__zab"),
-            F.sum(w * not_half).alias("__wab"),
-            F.sum(F.lit(0.25) * w).alias("max_dist"),
-            F.first("psi").alias("psi"), F.first("rho").alias("rho"), F.first("n_psi").alias("n_psi"),
-            F.first("n_rho").alias("n_rho")]
-    a = g.groupBy("sample_id", "i", "j").agg(*aggs)
+    a = cell_sums(with_spec(folded, spec), ["b", "r", "__len", "__cnt"], _distance_terms(gamma, thr), DISTANCE_SUMS)
     a_minor = F.col("__sa") < F.col("__sb")
     d = {0: F.when(a_minor, F.col("__d0a")).otherwise(F.col("__d0b")),
          1: F.when(a_minor, F.col("__d1a")).otherwise(F.col("__d1b")),
@@ -255,27 +235,23 @@ def distance_grid(segs: DataFrame, spec, choice: int, gamma: float = 1.0, thr: f
 
 # ------------------------------------------------------------------ local minima (FIT-06/07)
 
-def strict_local_minima(grid: DataFrame, value: str = "dm", radius: int = 3, out: str = "is_local_min") -> DataFrame:
-    """WN-09: cells strictly below all other cells of their (2r+1)^2 block; border of r skipped.
+def strict_local_minima(grid: DataFrame, values: dict[str, str], radius: int = 3) -> DataFrame:
+    """WN-09: for each column in ``values`` the flag (named by its value) of cells strictly below all other cells of their
+    (2r+1)^2 block; border of r skipped.
 
-    Four framed windows: column minima along i, then their minima along j on both sides, and the
-    own column above/below -- each window spans one grid row or column of one sample.
+    Column minima along i, then their minima along j on both sides, and the own column above and below: two window
+    specifications (one grid column, one grid row of a sample), in which all columns are carried together.
     """
     wi = Window.partitionBy("sample_id", "j").orderBy("i")
     wj = Window.partitionBy("sample_id", "i").orderBy("j")
-    v = F.col(value)
-    t = f"__{out}"
-    g = grid.withColumns({
-        t + "_all": F.min(v).over(wi.rowsBetween(-radius, radius)),
-        t + "_up": F.min(v).over(wi.rowsBetween(-radius, -1)),
-        t + "_dn": F.min(v).over(wi.rowsBetween(1, radius))})
-    g = g.withColumns({
-        t + "_l": F.min(t + "_all").over(wj.rowsBetween(-radius, -1)),
-        t + "_r": F.min(t + "_all").over(wj.rowsBetween(1, radius))})
-    nb_min = F.least(t + "_l", t + "_r", t + "_up", t + "_dn")
+    frames = {"all": (-radius, radius), "up": (-radius, -1), "dn": (1, radius)}
+    g = grid.withColumns({f"__{v}_{k}": F.min(v).over(wi.rowsBetween(*f)) for v in values for k, f in frames.items()})
+    g = g.withColumns({f"__{v}_{k}": F.min(f"__{v}_all").over(wj.rowsBetween(*f))
+                       for v in values for k, f in (("l", (-radius, -1)), ("r", (1, radius)))})
     inside = ((F.col("i") >= radius) & (F.col("i") <= F.col("n_psi") - 1 - radius)
               & (F.col("j") >= radius) & (F.col("j") <= F.col("n_rho") - 1 - radius))
-    return g.withColumn(out, inside & (nb_min > v)).drop(t + "_all", t + "_up", t + "_dn", t + "_l", t + "_r")
+    g = g.withColumns({out: inside & (F.least(*[F.col(f"__{v}_{k}") for k in ("l", "r", "up", "dn")]) > F.col(v)) for v, out in values.items()})
+    return g.drop(*[f"__{v}_{k}" for v in values for k in ("all", "up", "dn", "l", "r")])
 
 
 def _goodness(dm: str) -> Column:
@@ -289,8 +265,7 @@ def _minima_flags(dist: DataFrame, p: FitParams) -> DataFrame:
     and makes the ploidy bounds strict."""
     dm = F.when(F.col("minimise"), F.col("d")).otherwise(-F.col("d"))
     g = dist.withColumns({"dm": dm, "dm_fb": F.when(F.col("rho") > 1, F.lit(1e20)).otherwise(dm)})
-    g = strict_local_minima(g, "dm", out="min_strict")
-    g = strict_local_minima(g, "dm_fb", out="min_fb")
+    g = strict_local_minima(g, {"dm": "min_strict", "dm_fb": "min_fb"})
     g = g.withColumns({"goodness": _goodness("dm"), "goodness_fb": _goodness("dm_fb")})
     ok = ((F.col("ploidy") >= p.min_ploidy) & (F.col("ploidy") <= p.max_ploidy) & (F.col("rho") >= p.min_rho)
           & (F.col("goodness") >= p.min_goodness) & ((F.col("percentzero") > 0.01) | (F.col("perczero_abb") > 0.1)))
@@ -364,12 +339,12 @@ def clonal_grid_spec(bounds: DataFrame) -> DataFrame:
 
 
 def _adjusted(nmajor: Column, nminor: Column, b: Column, big_if_negative: bool) -> tuple[Column, Column]:
-    """Raise nMajor with nMinor when nMinor < 0 (App. B); b == 1 gives 1000."""
-    raised = nmajor + b * (F.lit(0.01) - nminor) / (1 - b)
+    """Raise nMajor with nMinor when nMinor < 0 (App. B); b == 1 gives ``MANY_COPIES``."""
+    raised = nmajor + b * (F.lit(MINOR_FLOOR) - nminor) / (1 - b)
     if big_if_negative:
-        raised = F.when(raised < 0, F.lit(1000.0)).otherwise(raised)
-    maj = F.when(nminor < 0, F.when(b == 1, F.lit(1000.0)).otherwise(raised)).otherwise(nmajor)
-    mn = F.when(nminor < 0, F.lit(0.01)).otherwise(nminor)
+        raised = F.when(raised < 0, F.lit(MANY_COPIES)).otherwise(raised)
+    maj = F.when(nminor < 0, F.when(b == 1, F.lit(MANY_COPIES)).otherwise(raised)).otherwise(nmajor)
+    mn = F.when(nminor < 0, F.lit(MINOR_FLOOR)).otherwise(nminor)
     return maj, mn
 
 
@@ -423,8 +398,8 @@ def standardised_error(rows: DataFrame, gamma: float) -> DataFrame:
     f = F.pow(F.lit(2.0), r0 / F.lit(gamma))
     M = (rho - 1 + b * psi * f) / rho
     m = (rho - 1 + (1 - b) * psi * f) / rho
-    d = rows.withColumns({"__se_maj": F.when((M < 0) | M.isNull() | F.isnan(M), F.lit(0.01)).otherwise(M),
-                          "__se_min_cn": F.when((m < 0) | m.isNull() | F.isnan(m), F.lit(0.01)).otherwise(m)})
+    d = rows.withColumns({"__se_maj": F.when((M < 0) | M.isNull() | F.isnan(M), F.lit(MINOR_FLOOR)).otherwise(M),
+                          "__se_min_cn": F.when((m < 0) | m.isNull() | F.isnan(m), F.lit(MINOR_FLOOR)).otherwise(m)})
     M, m = F.col("__se_maj"), F.col("__se_min_cn")
     corners = [(F.floor(M), F.ceil(m)), (F.ceil(M), F.ceil(m)), (F.floor(M), F.floor(m)), (F.ceil(M), F.floor(m))]
     cols = {}
@@ -461,42 +436,104 @@ def standardised_error(rows: DataFrame, gamma: float) -> DataFrame:
     return d.drop(*[c for c in d.columns if c.startswith("__se_")])
 
 
+def _level(rho, major, minor):
+    """``baf_level`` on arrays."""
+    return np.where((major == 0) & (minor == 0), 0.5, (1 - rho + rho * major) / (2 - 2 * rho + rho * (major + minor)))
+
+
+def _is_clonal(row, psi, rho, gamma: float, maxdist: float):
+    """The test of ``segment_clonal`` on arrays: |t| below the critical value (column ``__tcrit``)."""
+    b, sd = row["b"], row["sd"]
+    r = np.where(np.isnan(row["r"]), 0.0, row["r"])
+    na, nb = _copies(b, r, rho, psi, gamma)
+    major0, minor0 = np.maximum(na, nb), np.minimum(na, nb)
+    raised = major0 + b * (MINOR_FLOOR - minor0) / (1 - b)
+    raised = np.where((b == 1) | (raised < 0), MANY_COPIES, raised)
+    major, minor = np.where(minor0 < 0, raised, major0), np.where(minor0 < 0, MINOR_FLOOR, minor0)
+    x, y = np.floor(minor), np.floor(major)
+    by_logr = major + minor < x + y + 1
+    low = (b <= _level(rho, y, x)) & (b <= _level(rho, np.ceil(major), np.ceil(minor)))
+    to_major = np.where(low | by_logr, y, y + 1)
+    to_minor = np.where(low & ~by_logr, x + 1, x)
+    level = np.where((to_major < 0) | (to_minor < 0), np.nan, _level(rho, to_major, to_minor))
+    off = np.abs(b - level)
+    passed = (sd != 0) & ((off < maxdist) | (off * np.sqrt(row["size"]) / sd < row["__tcrit"]))
+    return passed & (major - major0 < 1)
+
+
+def _t_variance(row, psi, rho, gamma: float):
+    """``standardised_error`` on arrays: (t, included)."""
+    b, sd = row["b"], row["sd"]
+    f = np.power(2.0, np.where(np.isnan(row["r"]), 0.0, row["r"]) / gamma)
+    major, minor = (rho - 1 + b * psi * f) / rho, (rho - 1 + (1 - b) * psi * f) / rho
+    major, minor = (np.where((x < 0) | np.isnan(x), MINOR_FLOOR, x) for x in (major, minor))
+    corners = [(np.floor(major), np.ceil(minor)), (np.ceil(major), np.ceil(minor)),
+               (np.floor(major), np.floor(minor)), (np.ceil(major), np.floor(minor))]
+    kept = [2 - 2 * rho + rho * (x + y) != 0 for x, y in corners]
+    levels = [(1 - rho + rho * x) / (2 - 2 * rho + rho * (x + y)) for x, y in corners]
+    off = np.stack([np.where(k, np.abs(v - b), np.inf) for k, v in zip(kept, levels, strict=True)])
+    best = np.choose(np.argmin(off, axis=0), levels)
+    place = np.cumsum(np.stack(kept), axis=0)
+    half = [sum(k & (at == p) & (v == 0.5) for k, at, v in zip(kept, place, levels, strict=True)) for p in (2, 3)]
+    best = np.where((place[3] >= 3) & (best == 0.5) & half[0].astype(bool) & half[1].astype(bool), 0.5, best)
+    has = (row["size"] > 0) & (sd != 0) & ~np.isnan(sd) & (place[3] > 0)
+    return np.where(has, (row["mean"] - best) * np.sqrt(row["size"]) / sd, 0.0), has
+
+
+def _clonal_terms(choice: int, p: FitParams):
+    """Terms of one segment in the numerator (``part``) and denominator (``total``) of a clonal distance."""
+    def terms(row, psi, rho):
+        size = row["size"]
+        residual = (row["b"] - row["mean"]) ** 2
+        if choice == 0:
+            return {"total": size, "part": np.where(_is_clonal(row, psi, rho, p.gamma, p.maxdist_baf), size, 0.0)}
+        if choice == 1:
+            t, included = _t_variance(row, psi, rho, p.gamma)
+            return {"total": included.astype("f8"), "part": t * t}
+        return {"total": np.ones_like(size) if choice == 2 else size, "part": residual if choice == 2 else size * residual}
+    return terms
+
+
 def clonal_distance(segs: DataFrame, spec, choice: int, p: FitParams) -> DataFrame:
-    """FIT-12: clonal distance per cell over informative segments (b > threshold), with the reference
-    segment: the largest clonal unbalanced segment (first in segment order wins ties) and its state.
+    """FIT-12: clonal distance per cell over informative segments (b > threshold).
 
-    choice 0 clonal share (maximise), 1 mean t^2, 2 mean squared residual, 3 size-weighted residual
-    (minimise), 4 summed log likelihood ratio, which is 0 as the nearest-corner rule yields one
-    candidate (App. A-14).
+    choice 0 clonal share (maximise), 1 mean t^2, 2 mean squared residual, 3 size-weighted residual (minimise). Choice 4, the summed
+    log likelihood ratio of the two best states, is ``likelihood_distance``. Critical values of the t test
+    are joined to the segments, once per distinct size, before they are spread over the cells. The reference segment is found
+    later, at the chosen cell only (``reference_segment``).
     """
-    rows = with_grid(segs.filter(F.col("b") > p.uninformative_baf), spec)
+    if choice == 4:
+        return likelihood_distance(segs, spec, p)
+    rows = segs.filter(F.col("b") > p.uninformative_baf)
+    if choice == 0:
+        rows = rows.join(t_critical_values(rows.select("size"), "size", p.siglevel_baf, "__tcrit"), "size", "left")
+    columns = ["b", "r", "size", "sd", "mean"] + (["__tcrit"] if choice == 0 else [])
+    a = cell_sums(with_spec(rows, spec), columns, _clonal_terms(choice, p), ("total", "part"))
+    d = F.when(F.col("total") > 0, F.col("part") / F.col("total")).otherwise(F.lit(0.0))
+    return a.select("sample_id", "i", "j", "psi", "rho", "n_psi", "n_rho", d.alias("d"), F.lit(choice != 0).alias("minimise"))
+
+
+def reference_segment(segs: DataFrame, cell: DataFrame, p: FitParams) -> DataFrame:
+    """AG-21: ``cell`` (sample_id, psi, rho, ...) with ref_seg, ref_maj, ref_min: the largest clonal unbalanced segment at the
+    cell, the first in segment order on ties, and its state; ref_seg is 0 where there is none."""
+    at = cell.select("sample_id", F.col("psi").alias("__psi"), F.col("rho_raw" if "rho_raw" in cell.columns else "rho").alias("__rho"))
+    rows = segs.where(F.col("b") > p.uninformative_baf).join(at, "sample_id").withColumnsRenamed({"__psi": "psi", "__rho": "rho"})
     rows = segment_clonal(rows, p.gamma, p.siglevel_baf, p.maxdist_baf, materialise=True)
-    rows = standardised_error(rows, p.gamma)
-    size = F.col("size").cast("double")
-    resid2 = F.pow(F.col("b") - F.col("mean"), 2)
-    ref_ok = F.col("is_clonal") & ~F.col("balanced")
-    a = rows.groupBy("sample_id", "i", "j", "psi", "rho", "n_psi", "n_rho").agg(
-        F.sum(size).alias("genome_size"), F.sum(F.when(F.col("is_clonal"), size).otherwise(0.0)).alias("clonal_size"),
-        F.count("*").alias("seg_count"), F.sum("included").alias("n_included"),
-        F.sum(F.pow(F.col("tvar"), 2)).alias("sum1"), F.sum(resid2).alias("sum2"), F.sum(size * resid2).alias("sum3"),
-        F.max_by(F.when(ref_ok, F.struct(F.col("seg_idx").alias("ref_seg"), F.col("nmaj_test").alias("ref_maj"),
-                                         F.col("nmin_test").alias("ref_min"))),
-                 F.when(ref_ok, F.struct(size, -F.col("seg_idx")))).alias("ref"))
-    dist = {0: F.when(F.col("genome_size") > 0, F.col("clonal_size") / F.col("genome_size")).otherwise(0.0),
-            1: F.when(F.col("n_included") > 0, F.col("sum1") / F.col("n_included")).otherwise(0.0),
-            2: F.when(F.col("seg_count") > 0, F.col("sum2") / F.col("seg_count")).otherwise(0.0),
-            3: F.when(F.col("genome_size") > 0, F.col("sum3") / F.col("genome_size")).otherwise(0.0),
-            4: F.lit(0.0)}[choice]
-    return a.select("sample_id", "i", "j", "psi", "rho", "n_psi", "n_rho", dist.alias("d"),
-                    F.lit(choice in (1, 2, 3)).alias("minimise"),
-                    F.coalesce(F.col("ref.ref_seg"), F.lit(0)).alias("ref_seg"),
-                    F.col("ref.ref_maj").alias("ref_maj"), F.col("ref.ref_min").alias("ref_min"))
+    fit = F.col("is_clonal") & ~F.col("balanced")
+    rows = rows.select("sample_id", "seg_idx", "size", "nmaj_test", "nmin_test", F.coalesce(fit, F.lit(False)).alias("__fit"))
+    rows = cut_lineage(rows)
+    largest = rows.groupBy("sample_id").agg(F.max(F.when(F.col("__fit"), F.col("size"))).alias("__top"))
+    first = rows.join(largest, "sample_id").groupBy("sample_id").agg(
+        F.min(F.when(F.col("__fit") & (F.col("size") == F.col("__top")), F.col("seg_idx"))).alias("ref_seg"))
+    state = rows.select("sample_id", F.col("seg_idx").alias("ref_seg"), F.col("nmaj_test").alias("ref_maj"), F.col("nmin_test").alias("ref_min"))
+    found = first.join(state, ["sample_id", "ref_seg"])
+    return cell.join(found, "sample_id", "left").withColumn("ref_seg", F.coalesce("ref_seg", F.lit(0)))
 
 
 def centroid_optimum(cd: DataFrame) -> DataFrame:
     """FIT-15: all cells at the global optimum -> median (i, j) -> the optimum nearest to it (last wins).
 
-    Returns (sample_id, i, j, psi, rho (capped at 1), goodness, ref_seg, ref_maj, ref_min, n_optima).
+    Returns (sample_id, i, j, psi, rho (capped at 1), rho_raw, goodness, n_optima).
     """
     dm = F.when(F.col("minimise"), F.col("d")).otherwise(-F.col("d"))
     ws = Window.partitionBy("sample_id")   # one sample's grid (about 10^4 cells)
@@ -509,12 +546,12 @@ def centroid_optimum(cd: DataFrame) -> DataFrame:
                          "n_optima": F.count("*").over(ws)})
     o = o.withColumn("sq", F.pow(F.col("i") - F.col("ci"), 2) + F.pow(F.col("j") - F.col("cj"), 2))
     best = o.groupBy("sample_id").agg(
-        F.max_by(F.struct("i", "j", "psi", "rho", "gmin", "minimise", "ref_seg", "ref_maj", "ref_min", "n_optima"),
+        F.max_by(F.struct("i", "j", "psi", "rho", "gmin", "minimise", "n_optima"),
                  F.struct(-F.col("sq"), F.col("i"), F.col("j"))).alias("o"))
     return best.select("sample_id", "o.i", "o.j", "o.psi", F.when(F.col("o.rho") > 1, F.lit(1.0)).otherwise(F.col("o.rho")).alias("rho"),
                        F.col("o.rho").alias("rho_raw"),
                        F.when(F.col("o.minimise"), F.col("o.gmin")).otherwise(-F.col("o.gmin")).alias("goodness"),
-                       "o.ref_seg", "o.ref_maj", "o.ref_min", "o.n_optima")
+                       "o.n_optima")
 
 
 def ploidy_at(segs: DataFrame, point: DataFrame, gamma: float) -> DataFrame:
@@ -543,7 +580,7 @@ def ref_segment_refine(segs: DataFrame, centroid: DataFrame, p: FitParams) -> Da
 
 
 def distance_at_point(segs: DataFrame, point: DataFrame, p: FitParams) -> DataFrame:
-    """FIT-12 at one (rho, psi) per sample (a one-cell grid)."""
+    """FIT-12 at one (rho, psi) per sample (a grid of one cell)."""
     spec = point.filter(F.col("rho").isNotNull()).select(
         "sample_id", F.col("psi").alias("psi_min"), F.col("psi").alias("psi_max"), F.lit(1.0).alias("psi_by"),
         F.col("rho").alias("rho_min"), F.col("rho").alias("rho_max"), F.lit(1.0).alias("rho_by"))
@@ -585,25 +622,65 @@ def reliability(points: DataFrame, point: DataFrame, gamma: float, b: str = "b",
                           "segmentedBAF": bb, "segmentedR": rr})
 
 
-def ln_likelihood_ratio(rows: DataFrame, gamma: float, read_depth: int = 30) -> DataFrame:
-    """FIT-10: binomial likelihood of the pooled BAF mean at the nearest corner's level, and the log ratio
-    of the two best candidate levels. The nearest-corner rule yields a single candidate, so the ratio
-    is 0 (App. A-14); the likelihood of that candidate is still reported."""
+def ln_likelihood_ratio(rows: DataFrame, gamma: float, read_depth: int = READ_DEPTH, candidates: str = "nearest") -> DataFrame:
+    """FIT-10: binomial likelihood of the pooled BAF mean at the best of the candidate states, and the log ratio
+    of the best two; 0 for a list of one. ``candidates`` is ``nearest``, the nearest corner alone, as the reference
+    lists them (App. A-14: the ratio is then 0 for every segment), or ``corners``, the four integer states around the copy numbers."""
     ship_package(rows.sparkSession)
     b, r0, rho, psi = F.col("b"), F.coalesce(F.col("r"), F.lit(0.0)), F.col("rho"), F.col("psi")
     f = F.pow(F.lit(2.0), r0 / F.lit(gamma))
     d = rows.withColumns({"__cmaj0": (rho - 1 + b * psi * f) / rho, "__cmin0": (rho - 1 + (1 - b) * psi * f) / rho})
     bad = (F.col("__cmin0") < 0) | F.col("__cmin0").isNull() | F.isnan(F.col("__cmin0"))
-    raised = F.col("__cmaj0") + b * (F.lit(0.01) - F.col("__cmin0")) / (1 - b)
-    maj = F.when(bad, F.when(b == 1, F.lit(1000.0)).otherwise(F.when(raised < 0, F.lit(1000.0)).otherwise(raised)))
-    maj = maj.otherwise(F.col("__cmaj0"))
-    d = d.withColumns({"__cmaj": maj, "__cmin": F.when(bad, F.lit(0.01)).otherwise(F.col("__cmin0"))})
-    d = d.withColumn("__cmaj", F.when(F.abs(F.col("__cmaj")) == float("inf"), F.lit(0.01)).otherwise(F.col("__cmaj")))
-    cmaj, cmin = nearest_corner(b, F.col("__cmaj") + F.col("__cmin"), rho, F.col("__cmaj"), F.col("__cmin"))
-    lev = baf_level(rho, cmaj, cmin, zero_half=False)
-    pooled = F.lit(read_depth) * F.col("size")
-    d = d.withColumn("likelihood", dbinom_clamped(F.col("mean"), pooled, lev))
-    return d.withColumn("ln_ratio", F.lit(0.0)).drop("__cmaj0", "__cmin0", "__cmaj", "__cmin")
+    raised = F.col("__cmaj0") + b * (F.lit(MINOR_FLOOR) - F.col("__cmin0")) / (1 - b)
+    maj = F.when(bad, F.when((b == 1) | (raised < 0), F.lit(MANY_COPIES)).otherwise(raised)).otherwise(F.col("__cmaj0"))
+    d = d.withColumns({"__cmaj": maj, "__cmin": F.when(bad, F.lit(MINOR_FLOOR)).otherwise(F.col("__cmin0"))})
+    d = d.withColumn("__cmaj", F.when(F.abs(F.col("__cmaj")) == float("inf"), F.lit(MINOR_FLOOR)).otherwise(F.col("__cmaj")))
+    major, minor = F.col("__cmaj"), F.col("__cmin")
+    states = {"nearest": [nearest_corner(b, major + minor, rho, major, minor)],
+              "corners": [(x, y) for x in (F.floor(major), F.ceil(major)) for y in (F.floor(minor), F.ceil(minor))]}[candidates]
+    n = (F.lit(read_depth) * F.col("size")).cast("double")
+    k = F.least(F.greatest(r_round(F.col("mean") * n), F.lit(0.0)), n)
+    d = d.withColumns({f"__lev{i}": F.least(F.greatest(baf_level(rho, x, y, zero_half=False), F.lit(0.0)), F.lit(1.0))
+                       for i, (x, y) in enumerate(states)})
+    levels = [F.col(f"__lev{i}") for i in range(len(states))]
+    # what the level changes in the log likelihood; a count of 0 adds nothing whatever the level
+    log_term = lambda c, x: F.when(c == 0, F.lit(0.0)).when(x <= 0, F.lit(float("-inf"))).otherwise(c * F.log(x))
+    d = d.withColumns({f"__ll{i}": F.when(x.isNotNull(), log_term(k, x) + log_term(n - k, 1 - x)) for i, x in enumerate(levels)})
+    lls = [F.col(f"__ll{i}") for i in range(len(states))]
+    top = F.greatest(*lls) if len(lls) > 1 else lls[0]
+    best = F.coalesce(*[F.when(ll == top, x) for ll, x in zip(lls, levels, strict=True)])
+    ranked = F.sort_array(F.array(*lls), asc=False)
+    second = F.try_element_at(ranked, F.lit(2))
+    ratio = F.when(second.isNull() | (top == float("-inf")), F.lit(0.0)).otherwise(top - second)
+    d = d.withColumns({"likelihood": dbinom_clamped(F.col("mean"), n, best), "ln_ratio": ratio})
+    return d.drop("__cmaj0", "__cmin0", "__cmaj", "__cmin", *[f"__{c}{i}" for c in ("lev", "ll") for i in range(len(states))])
+
+
+def likelihood_distance(segs: DataFrame, spec, p: FitParams, candidates: str = "nearest") -> DataFrame:
+    """FIT-12, choice 4: per cell the sum of the log likelihood ratios of ``ln_likelihood_ratio`` over the informative segments."""
+    def terms(row, psi, rho):
+        if candidates == "nearest":                    # lists of one state
+            return {"part": np.zeros(np.broadcast_shapes(row["b"].shape, psi.shape, rho.shape))}
+        b, f = row["b"], np.power(2.0, np.where(np.isnan(row["r"]), 0.0, row["r"]) / p.gamma)
+        major, minor = (rho - 1 + b * psi * f) / rho, (rho - 1 + (1 - b) * psi * f) / rho
+        bad = (minor < 0) | np.isnan(minor)
+        raised = major + b * (MINOR_FLOOR - minor) / (1 - b)
+        major = np.where(bad, np.where((b == 1) | (raised < 0), MANY_COPIES, raised), major)
+        major, minor = np.where(np.isinf(major), MINOR_FLOOR, major), np.where(bad, MINOR_FLOOR, minor)
+        n = READ_DEPTH * row["size"]
+        k = np.minimum(np.maximum(np.rint(row["mean"] * n), 0.0), n)
+        lls = []
+        for x in (np.floor(major), np.ceil(major)):
+            for y in (np.floor(minor), np.ceil(minor)):
+                level = np.clip((1 - rho + rho * x) / (2 - 2 * rho + rho * (x + y)), 0.0, 1.0)
+                ll = np.where(k == 0, 0.0, k * np.log(level)) + np.where(n - k == 0, 0.0, (n - k) * np.log(1 - level))
+                lls.append(np.where(np.isnan(level), -np.inf, ll))
+        lls = np.sort(np.stack(lls), axis=0)
+        return {"part": np.where(np.isinf(lls[-1]) | np.isinf(lls[-2]), 0.0, lls[-1] - lls[-2])}
+
+    rows = segs.filter(F.col("b") > p.uninformative_baf)
+    a = cell_sums(with_spec(rows, spec), ["b", "r", "size", "mean"], terms, ("part",))
+    return a.select("sample_id", "i", "j", "psi", "rho", "n_psi", "n_rho", F.col("part").alias("d"), F.lit(False).alias("minimise"))
 
 
 def index_segments(segs: DataFrame) -> DataFrame:
@@ -626,7 +703,7 @@ def fit_copy_number(matched: DataFrame, p: FitParams = FitParams()) -> dict[str,
     cd = cut_lineage(clonal_distance(s_cl, spec, p.clonal_dist_choice, p))
     minimise = p.clonal_dist_choice in (1, 2, 3)
     best = cd.groupBy("sample_id").agg((F.min("d") if minimise else F.max("d")).alias("distance_without_ref"))
-    cen = cut_lineage(centroid_optimum(cd))
+    cen = cut_lineage(reference_segment(s_cl, centroid_optimum(cd), p))
     pl_wo = ploidy_at(s_cl, cen.select("sample_id", F.col("rho_raw").alias("rho"), "psi"), p.gamma)
     ref = ref_segment_refine(s_cl, cen, p)
     d_ref = distance_at_point(s_cl, ref.filter(F.col("rho").isNotNull()), p).withColumnRenamed("d", "__dref")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from baflow.functions.chrom import AUTOSOMES
+from baflow.session import cut_lineage
 
 COUNT_COLS = ["count_a", "count_c", "count_g", "count_t"]
 # The four base letters in allele-index order 1..4.
@@ -13,22 +14,25 @@ BASES = ["A", "C", "G", "T"]
 
 
 def pileup_counts(bases: DataFrame, loci: DataFrame, min_baseq: int = 20, min_mapq: int = 35,
-                  keys=("sample_id", "sample_kind")) -> DataFrame:
+                  keys=("sample_id", "sample_kind"), samples: DataFrame | None = None) -> DataFrame:
     """Per-locus A/C/G/T counts and good depth over observations passing both quality limits.
 
     ``bases``: (sample_id, sample_kind, chrom, position, base, baseq, mapq), one row per observed base.
-    ``loci``: (chrom, position, ...). The quality filter is pushed into the scan and the observations are
-    reduced before anything is joined (one conditional aggregate with map-side combine). Every locus of every
+    ``loci``: (chrom, position, ...). Observations are read once and reduced before anything is joined (one conditional aggregate
+    with map-side combine); the samples are those of the reduced rows, or those of ``samples`` (``keys``). Every locus of every
     sample is put out: loci without a good observation have zero counts.
     """
     keys = list(keys)
-    obs = bases.filter((F.col("baseq") >= min_baseq) & (F.col("mapq") >= min_mapq))
-    aggs = [F.count_if(F.col("base") == b).cast("int").alias(c) for b, c in zip(BASES, COUNT_COLS)]
-    aggs.append(F.count("*").cast("int").alias("good_depth"))
-    counted = obs.groupBy(*keys, "chrom", "position").agg(*aggs)
+    good = (F.col("baseq") >= min_baseq) & (F.col("mapq") >= min_mapq)
+    aggs = [F.count_if(good & (F.col("base") == b)).cast("int").alias(c) for b, c in zip(BASES, COUNT_COLS)]
+    aggs.append(F.count_if(good).cast("int").alias("good_depth"))
+    counted = bases.groupBy(*keys, "chrom", "position").agg(*aggs)
+    if samples is None:
+        counted = cut_lineage(counted)           # read for the samples and for the counts
+        samples = counted
     # the list of samples is one row (as long as the cohort), so each locus is repeated without a pair join
-    samples = bases.select(*keys).distinct().agg(F.collect_set(F.struct(*keys)).alias("__who")).withColumn("__one", F.lit(1))
-    places = loci.select("chrom", "position").distinct().withColumn("__one", F.lit(1)).join(samples, "__one")
+    who = samples.select(*keys).distinct().agg(F.collect_set(F.struct(*keys)).alias("__who")).withColumn("__one", F.lit(1))
+    places = loci.select("chrom", "position").distinct().withColumn("__one", F.lit(1)).join(who, "__one")
     places = places.select("chrom", "position", F.inline("__who"))
     full = places.join(counted, [*keys, "chrom", "position"], "left")
     return full.select(*keys, "chrom", "position",

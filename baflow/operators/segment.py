@@ -18,7 +18,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from baflow.operators import potts
 from baflow.operators import series as R
-from baflow.operators.chunks import null_safe, prefix_sums, windowed
+from baflow.operators.chunks import null_safe, prefix_sums
 from baflow.operators.quantiles import grouped_quantiles
 from baflow.session import cut_lineage, ship_package
 
@@ -133,11 +133,7 @@ def segment_value_rule(df: DataFrame, keys, option: int = 3, seg: str = "baf_seg
         return df
     keys = list(keys)
 
-    def changes(d, w):
-        prev = F.lag(seg, 1).over(w)
-        return d.withColumn("__chg", F.when(prev.isNull() | (prev != F.col(seg)), 1).otherwise(0))
-
-    d = prefix_sums(windowed(df, keys, 1, 0, changes), keys, {"__run": F.col("__chg")}).drop("__chg")
+    d = R.run_ids(df, keys, ["rn"], [seg], "__run")
     d = cut_lineage(d)
     medians = grouped_quantiles(d, [*keys, "__run"], [(phased, F.lit(True), 0.5, "__med")])
     d = null_safe(d, medians, [*keys, "__run"])

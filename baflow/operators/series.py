@@ -34,6 +34,18 @@ def index_series(df: DataFrame, keys, order) -> DataFrame:
     return ranked(df, keys, order)
 
 
+def run_ids(df: DataFrame, keys, order, values, out: str, size: int = CHUNK) -> DataFrame:
+    """AG-06/AG-10: add ``out``, the 1-based number of the run of equal ``values`` in the series."""
+    now = F.struct(*[F.col(v) for v in values])
+
+    def changes(d, w):
+        before = F.lag(now, 1).over(w)
+        return d.withColumn("__chg", F.when(before.isNull() | ~before.eqNullSafe(now), 1).otherwise(0))
+
+    d = windowed(ranked(df, keys, order, "__rn", None), keys, 1, 0, changes, rn="__rn", size=size)
+    return prefix_sums(d, keys, {out: F.col("__chg")}, rn="__rn", size=size).drop("__rn", "__chg")
+
+
 def cumsum(df: DataFrame, keys, value: str, out: str = "S", square: bool = False, size: int = CHUNK) -> DataFrame:
     """WN-04: running sum (or sum of squares) from the start of the series, ordered by ``rn``."""
     v = F.col(value) * F.col(value) if square else F.col(value)

@@ -37,7 +37,6 @@ class RunParams:
     hole_limit: int = 3_000_000
     calc_seg_baf_option: int = 3
     no_segmentation: bool = False
-    range_bucket: int = 1_000_000
     fit: T.FitParams = field(default_factory=T.FitParams)
 
 
@@ -90,7 +89,7 @@ def run(tables: dict[str, DataFrame], params: RunParams = RunParams(), side=None
     seg_nochr = seg.withColumn("chrom", F.regexp_replace("chrom", "chr", ""))
     logr_nochr = logr_raw.withColumn("chrom", F.regexp_replace("chrom", "chr", ""))
     calls = K.call_subclones(seg_nochr, logr_nochr, fitted["rho_psi"], p.fit.gamma, p.fit.siglevel_baf,
-                             p.fit.maxdist_baf, p.range_bucket)
+                             p.fit.maxdist_baf)
     out["copy_number"] = calls
     # plot-ready frames
     out["plot_haplotype"] = PF.haplotype_frame(het)

@@ -13,13 +13,11 @@ from baflow.plans.registry import register
 from baflow.plans.sql_fit import D
 from baflow.sources import views as V
 
-BUCKET = 100_000   # fixture positions are seconds within a month
-
 
 def _segs(spark, d):
     bs = V.baf_segmented(spark, d)
     logr = V.series(spark, d).select("sample_id", "chrom", "position", "logr")
-    return K.segment_range_mean(K.baf_segments(bs), logr, "logr", bucket=BUCKET)
+    return K.segment_range_mean(K.baf_segments(bs), logr, "logr")
 
 
 def _point(spark, d):
@@ -139,7 +137,7 @@ def _rho_psi(spark, d):
 def q_copy_number(spark, d):
     bs = V.baf_segmented(spark, d)
     logr = V.series(spark, d).select("sample_id", "chrom", "position", "logr")
-    return K.call_subclones(bs, logr, _rho_psi(spark, d), bucket=BUCKET)
+    return K.call_subclones(bs, logr, _rho_psi(spark, d))
 
 
 # ------------------------------------------------------------------ plot frames
@@ -186,5 +184,5 @@ def q_pipeline_copy_number(spark, d):
     tables = {"bases": V.bases(spark, d), "loci": V.loci(spark, d), "phased": V.phased(spark, d),
               "contig_stats": V.contigs(spark, d)}
     params = RunParams(min_baseq=TP["min_baseq"], min_mapq=TP["min_mapq"], min_counts=TP["min_counts"],
-                       het_min_counts=TP["min_counts"], range_bucket=BUCKET)
+                       het_min_counts=TP["min_counts"])
     return run(tables, params, side=test_side())["copy_number"]

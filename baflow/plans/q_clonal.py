@@ -101,7 +101,7 @@ def q_ln_ratio(spark, d):
 def q_ref_segment_refine(spark, d):
     segs = clonal_segments(spark, d)
     cen = T.centroid_optimum(T.clonal_distance(segs, fine_spec(spark, d), 0, P))
-    return T.ref_segment_refine(segs, cen, P)
+    return T.ref_segment_refine(segs, T.reference_segment(segs, cen, P), P)
 
 
 @register("psi_t")
