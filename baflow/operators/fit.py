@@ -46,6 +46,7 @@ class FitParams:
 # Fixed values of the clonal test.
 MINOR_FLOOR = 0.01     # a negative minor copy number is raised to it
 MANY_COPIES = 1000.0   # major copy number where raising fails
+COPY_DIGITS = 10       # decimals of copy numbers that the test looks at
 READ_DEPTH = 30        # reads that a point stands for in the likelihood
 
 # ------------------------------------------------------------------ scalar helpers (FIT-20)
@@ -358,7 +359,8 @@ def segment_clonal(rows: DataFrame, gamma: float, siglevel: float, maxdist: floa
     distinct size, so no UDF runs per cell."""
     ship_package(rows.sparkSession)
     b, r0, rho, psi = F.col("b"), F.coalesce(F.col("r"), F.lit(0.0)), F.col("rho"), F.col("psi")
-    na, nb = copy_numbers(b, r0, rho, psi, gamma)
+    # at a reference segment's own purity its copy numbers are whole; digits beyond COPY_DIGITS must not move them to the next corner
+    na, nb = (F.round(x, COPY_DIGITS) for x in copy_numbers(b, r0, rho, psi, gamma))
     d = rows.withColumns({"__cmaj0": F.greatest(na, nb), "__cmin0": F.least(na, nb)})
     maj, mn = _adjusted(F.col("__cmaj0"), F.col("__cmin0"), b, True)
     d = d.withColumns({"__cmaj": maj, "__cmin": mn})
@@ -445,7 +447,7 @@ def _is_clonal(row, psi, rho, gamma: float, maxdist: float):
     """The test of ``segment_clonal`` on arrays: |t| below the critical value (column ``__tcrit``)."""
     b, sd = row["b"], row["sd"]
     r = np.where(np.isnan(row["r"]), 0.0, row["r"])
-    na, nb = _copies(b, r, rho, psi, gamma)
+    na, nb = (np.round(x, COPY_DIGITS) for x in _copies(b, r, rho, psi, gamma))
     major0, minor0 = np.maximum(na, nb), np.minimum(na, nb)
     raised = major0 + b * (MINOR_FLOOR - minor0) / (1 - b)
     raised = np.where((b == 1) | (raised < 0), MANY_COPIES, raised)

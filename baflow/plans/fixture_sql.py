@@ -52,6 +52,17 @@ FROM (SELECT *, CASE WHEN avg(baf) OVER (PARTITION BY sample_id, chrom, CAST(flo
        CAST(0 AS BIGINT) AS unmapped
 FROM v_loci l JOIN v_bases_raw b ON l.locus = b.locus GROUP BY l.chrom
 UNION ALL SELECT 'chrM', 16569, 900, 0 UNION ALL SELECT 'chr1_alt', 500, 9, 0 UNION ALL SELECT '*', 0, 0, 77""",
+    "v_tumour": """SELECT sample_id, CAST(c AS VARCHAR) AS chrom, position, segno, state,
+       (1 - rho + rho * maj) / (2 - 2 * rho + rho * (maj + mnr)) + 0.12::DOUBLE * (h / 1009.0::DOUBLE - 0.5) AS baf_phased,
+       log2((2 - 2 * rho + rho * (maj + mnr)) / (2 - 2 * rho + rho * psi)) + 0.3::DOUBLE * ((h * 31 % 1009) / 1009.0::DOUBLE - 0.5) AS logr
+FROM (SELECT *, avg(maj + mnr) OVER (PARTITION BY sample_id) AS psi
+FROM (SELECT *, ([1.0, 2.0, 1.0, 2.0, 3.0, 2.0, 1.6]::DOUBLE[])[state + 1] AS maj, ([1.0, 1.0, 0.0, 2.0, 1.0, 0.0, 1.0]::DOUBLE[])[state + 1] AS mnr,
+  ([0.75, 0.6, 0.85]::DOUBLE[])[CAST(substr(sample_id, 2, 1) AS INT)] AS rho
+FROM (SELECT *, CAST((c * 2 + segno * 3) % 7 AS INT) AS state
+FROM (SELECT *, CAST(position // 2048 AS INT) AS segno
+FROM (SELECT concat('S', CAST(l_suppkey % 3 + 1 AS VARCHAR)) AS sample_id, CAST(l_orderkey % 22 + 1 AS INT) AS c, (l_orderkey // 22) * 8 + l_linenumber AS position,
+  min((l_orderkey * 7919 + l_linenumber * 104729 + l_suppkey * 1299709) % 1009) AS h FROM lineitem GROUP BY 1, 2, 3)))))""",
+    "v_tumseg": "SELECT *, avg(baf_phased) OVER (PARTITION BY sample_id, chrom, segno) AS baf_seg FROM v_tumour",
 }
 
 _ORDER = list(VIEWS)
