@@ -10,7 +10,8 @@ from baflow.operators import plot_frames as PF
 from baflow.plans.q_clonal import _planted_point
 from baflow.plans.q_fit import COARSE_CELLS, OPT_CTES, P, _dist1
 from baflow.plans.registry import register
-from baflow.plans.sql_fit import D
+from baflow.plans.sql_clonal import tail_sql
+from baflow.plans.sql_fit import D, distance_sql
 from baflow.sources import views as V
 
 
@@ -56,6 +57,14 @@ FROM segs s JOIN opt o ON o.sample_id = s.sample_id"""),
 ]
 
 
+# The six candidate states of the reference's table as (major, minor) offsets, by BAF case and LogR case.
+CANDIDATES = {
+    "above3": ([(0, 0), (-1, 0), (0, 0), (1, 0), (1, -1), (1, 0)], [(1, 0), (1, -1), (1, 0), (0, 0), (-1, 0), (0, 0)]),
+    "above2": ([(0, 0), (0, -1), (0, 0), (1, 0), (1, -1), (1, 0)], [(1, 0), (1, -1), (1, 0), (0, 0), (0, -1), (0, 0)]),
+    "below": ([(0, 0), (0, -1), (0, 0), (0, 1), (-1, 1), (0, 1)], [(0, 1), (-1, 1), (0, 1), (0, 0), (0, -1), (0, 0)]),
+}
+
+
 def _lev(maj, mn):
     return (f"CASE WHEN ({maj}) = 0 AND ({mn}) = 0 THEN 0.5 ELSE (1 - rr + rr * ({maj})) / "
             f"(2 - 2 * rr + rr * (({maj}) + ({mn}))) END")
@@ -69,11 +78,12 @@ def _edge_sql() -> str:
     parts = []
     for k in range(6):
         maj, mn = [], []
-        for (c, lc), offs in K.EDGE_OFFSETS.items():
-            dy, dx = offs[k]
-            cond = f"ecase = '{c}' AND {'' if lc else 'NOT '}logr_case"
-            maj.append(f"WHEN {cond} THEN y + ({dy})")
-            mn.append(f"WHEN {cond} THEN x + ({dx})")
+        for c, both in CANDIDATES.items():
+            for offs, no in zip(both, ("", "NOT "), strict=True):
+                dy, dx = offs[k]
+                cond = f"ecase = '{c}' AND {no}logr_case"
+                maj.append(f"WHEN {cond} THEN y + ({dy})")
+                mn.append(f"WHEN {cond} THEN x + ({dx})")
         parts.append(f"SELECT sample_id, chrom, seg_id, {k} AS k, CASE {' '.join(maj)} END AS mj, CASE {' '.join(mn)} END AS mi FROM ec")
     body = " UNION ALL ".join(parts)
     return (f"SELECT sample_id, chrom, seg_id, k, CASE WHEN mj >= 0 AND mi >= 0 THEN mj END AS major, "
@@ -133,13 +143,30 @@ def _rho_psi(spark, d):
     return pt.select("sample_id", F.lit("FRAC_GENOME").alias("method"), "rho", "psi")
 
 
-@register("copy_number")
+PVAL_CTES = STATE_CTES + [
+    ("pv", f"""SELECT *, CASE WHEN abs(l - test_level) < 0.01 THEN 1.0 WHEN sd IS NULL OR sd = 0 THEN 0.0
+  ELSE {tail_sql('t_stat', 'CAST(n - 1 AS DOUBLE)')} END AS pval FROM st3"""),
+    ("calls", """SELECT c.sample_id, c.chrom AS Chromosome, c.start AS Start_Pos, c."end" AS End_Pos, c.l AS BAF, p.pval, c.logr AS LogR,
+  c.n_major + c.n_minor AS Total_Copy_Number, CAST(CASE WHEN p.pval <= 0.05 THEN p.subclonal_major ELSE p.clonal_major END AS DOUBLE) AS Major_Copy_Number,
+  CAST(CASE WHEN p.pval <= 0.05 THEN p.subclonal_minor ELSE p.clonal_minor END AS DOUBLE) AS Minor_Copy_Number, p.pval <= 0.05 AS is_subclonal
+FROM cn c JOIN pv p ON p.sample_id = c.sample_id AND p.chrom = c.chrom AND p.seg_id = c.seg_id""")]
+CN_DOUBLES = ["BAF", "pval", "LogR", "Total_Copy_Number"]
+
+
+@register("copy_number", ctes=PVAL_CTES, doubles=CN_DOUBLES, sql="SELECT * FROM calls")
 def q_copy_number(spark, d):
     bs = V.baf_segmented(spark, d)
     logr = V.series(spark, d).select("sample_id", "chrom", "position", "logr")
     return K.call_subclones(bs, logr, _rho_psi(spark, d))
 
 
+@register("snp_pvalues", ctes=PVAL_CTES, doubles=["pval"],
+          sql="SELECT r.sample_id, r.chrom, r.event_id, r.seg_id, p.pval FROM cr r JOIN pv p USING (sample_id, chrom, seg_id)")
+def q_snp_pvalues(spark, d):
+    calls = K.call_states(_edges(spark, d), F.col("__rho"))
+    return K.snp_pvalues(V.baf_segmented(spark, d), calls).select("sample_id", "chrom", "event_id", "seg_id", "pval")
+
+
 # ------------------------------------------------------------------ plot frames
 
 @register("plot_haplotype", doubles=["baf", "baf_mirror", "point_size"], sql="""SELECT h.sample_id, h.chrom, h.position, h.baf, 1 - h.baf AS baf_mirror,
@@ -164,13 +191,15 @@ def q_plot_segments(spark, d):
     return PF.segmented_frame(s.join(b, ["sample_id", "chrom", "event_id"]))
 
 
-@register("plot_cnv")
+@register("plot_cnv", ctes=PVAL_CTES, doubles=["start_mb", "end_mb", "Total_Copy_Number"], sql="""SELECT sample_id, Chromosome AS chrom,
+  CAST(NULL AS INT) AS chrom_rank, Start_Pos / 1e6 AS start_mb, End_Pos / 1e6 AS end_mb, Total_Copy_Number, Major_Copy_Number, Minor_Copy_Number,
+  CAST(floor(min(Total_Copy_Number) OVER (PARTITION BY sample_id)) AS BIGINT) AS cn_low, CAST(ceil(max(Total_Copy_Number) OVER (PARTITION BY sample_id)) AS BIGINT) AS cn_high
+FROM calls""")
 def q_plot_cnv(spark, d):
     return PF.cnv_frame(q_copy_number(spark, d))
 
 
-@register("plot_distance", ctes=__import__("baflow.plans.sql_fit", fromlist=["x"]).distance_sql(
-    "v_planted", COARSE_CELLS, 1),
+@register("plot_distance", ctes=distance_sql("v_planted", COARSE_CELLS, 1),
     doubles=["psi", "rho", "neg_d"], sql="SELECT sample_id, i, j, psi, rho, -d AS neg_d FROM dist")
 def q_plot_distance(spark, d):
     return PF.distance_frame(_dist1(spark, d))
