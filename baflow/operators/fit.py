@@ -697,10 +697,11 @@ def fit_copy_number(matched: DataFrame, p: FitParams = FitParams()) -> dict[str,
     ``run_clonal`` and ``rho_psi`` (3 rows per sample: ASCAT, FRAC_GENOME, REF_SEG).
     """
     p.check()
-    s_ascat = make_segments(matched.withColumn("__b1", 1 - F.col("baf_seg")), "logr_seg", "__b1")
+    segs = cut_lineage(segment_info(matched))
+    s_ascat = segs.withColumn("b", 1 - F.col("b"))              # the runs of (r, 1 - b) are those of (r, b)
     dist = cut_lineage(distance_grid(s_ascat, coarse_grid_spec(p), p.ascat_dist_choice, p.gamma, p.uninformative_baf))
     opt = cut_lineage(ascat_optimum(dist, p))
-    s_cl = cut_lineage(index_segments(segment_info(matched).filter(F.col("length") > 1)))
+    s_cl = cut_lineage(index_segments(segs.filter(F.col("length") > 1)))
     spec = clonal_grid_spec(new_bounds(opt, p))
     cd = cut_lineage(clonal_distance(s_cl, spec, p.clonal_dist_choice, p))
     minimise = p.clonal_dist_choice in (1, 2, 3)

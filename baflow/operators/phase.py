@@ -87,7 +87,7 @@ def het_baf(counts: DataFrame, haplotypes: DataFrame, min_counts: int = 1, kind:
     ref = _letter_count(F.col("ref"))
     alt = _letter_count(F.col("alt"))
     j = j.withColumn("denom", ref + alt).filter(F.col("denom") >= min_counts)
-    baf = alt / F.col("denom")
+    baf = F.try_divide(alt, F.col("denom"))          # null at an uncovered locus, which stays when min_counts is 0
     if orient_by_phase:
         baf = F.when(F.col("allele1") == 1, 1 - baf).otherwise(baf)
     return j.select("sample_id", "chrom", "position", baf.alias("baf"))

@@ -15,7 +15,7 @@ from baflow.operators.chunks import null_safe
 from baflow.session import cut_lineage
 
 BINS = 1024
-FEW = 4096
+FEW = 65_536
 
 
 def _intervals(stats: DataFrame) -> DataFrame:

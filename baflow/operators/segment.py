@@ -35,14 +35,15 @@ def segment_ends(blocks: DataFrame, keys, kmin: int, part: int = BLOCKS) -> Data
     """(keys, end_block): last block of every segment of the cheapest partition of each series.
 
     ``blocks``: keys, block_id (0, 1, ...), nr, sm, sq, penalty (constant per series). A part forward and a part
-    back are one cogroup each over all series that reach it; what it puts out is written before the next.
+    back are one cogroup each over all series that reach it; what it puts out is written before the next. ``blocks`` is read
+    once for each part, so it should be a stored table.
     """
     keys = list(keys)
     ship_package(blocks.sparkSession)
     fields = [blocks.schema[k] for k in keys]
     told = StructType([*fields, StructField("block_id", LongType()), StructField("before", LongType()), StructField("starts", BinaryType())])
     names = told.fieldNames()
-    cut = cut_lineage(blocks.withColumn("part", F.floor(F.col("block_id") / part)))
+    cut = blocks.withColumn("part", F.floor(F.col("block_id") / part))
     last = cut.agg(F.max("part")).first()[0]
     if last is None:
         return blocks.select(*keys, F.col("block_id").cast("long").alias("end_block")).limit(0)
@@ -72,16 +73,17 @@ def segment_ends(blocks: DataFrame, keys, kmin: int, part: int = BLOCKS) -> Data
     from pyspark.sql.pandas.types import to_arrow_schema
     told_schema = to_arrow_schema(told)
     state = blocks.sparkSession.createDataFrame([], told)
+    store = cut_lineage if last > 0 else lambda done: done         # with a single part nothing is read twice
     parts = []
     for k in range(last + 1):
-        done = cut_lineage(cut.where(F.col("part") == k).groupBy(*keys).cogroup(state.groupBy(*keys)).applyInArrow(forward, told))
+        done = store(cut.where(F.col("part") == k).groupBy(*keys).cogroup(state.groupBy(*keys)).applyInArrow(forward, told))
         parts.append(done.where(F.col("block_id") >= 0))
         state = done.where(F.col("block_id") < 0)
     state = cut.groupBy(*keys).agg((F.max("block_id") + 1).alias("before")).select(
         *keys, F.lit(-1).cast("long").alias("block_id"), F.col("before").cast("long").alias("before"), F.lit(None).cast("binary").alias("starts"))
     found = None
     for rows in reversed(parts):
-        done = cut_lineage(rows.groupBy(*keys).cogroup(state.groupBy(*keys)).applyInArrow(back, told))
+        done = store(rows.groupBy(*keys).cogroup(state.groupBy(*keys)).applyInArrow(back, told))
         ends = done.where(F.col("block_id") >= 0).select(*keys, F.col("block_id").alias("end_block"))
         found = ends if found is None else found.unionByName(ends)
         state = done.where(F.col("block_id") < 0)

@@ -67,6 +67,7 @@ def baf_side(df: DataFrame, side: Column | None = None, seed: int = 42) -> DataF
 
 def logr_normalised(df: DataFrame) -> DataFrame:
     """log2 of tumour/normal depth ratio divided by the sample's mean ratio; normal LogR is 0 (SIG-04).
+    A sample without a tumour read has a null LogR.
 
     The mean is a per-sample aggregate joined back (one row per sample), not a driver round trip;
     Spark broadcasts that small side when its measured size is under the broadcast threshold.
@@ -76,7 +77,7 @@ def logr_normalised(df: DataFrame) -> DataFrame:
     means = d.groupBy("sample_id").agg(F.avg("depth_ratio").alias("mean_ratio"))
     return (d.join(means, "sample_id")
             .withColumn("normal_logr", F.lit(0).cast("int"))
-            .withColumn("mutant_logr", F.log2(F.col("depth_ratio") / F.col("mean_ratio")))
+            .withColumn("mutant_logr", F.log2(F.try_divide(F.col("depth_ratio"), F.col("mean_ratio"))))
             .drop("mean_ratio"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,20 +57,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss; never local).
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it back.
 
-    The frame is persisted first so the checkpoint write reads the cached blocks instead of computing
-    the plan a second time; the cache is dropped once the checkpoint files exist. The result keeps
-    its output partitioning, so a following window or join on the same keys does not shuffle again.
+    What reads the result restarts from these files, also when executors are lost. Nothing is cached on
+    executors and nothing is written twice; later steps read only the columns they need. The folder has a new name each time and lives as long as
+    other files of ``spark.checkpoint.dir``.
     """
-    from pyspark import StorageLevel
-    checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out = df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-    return out
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()

@@ -46,3 +46,50 @@ def test_tail_of_student_t():
     assert np.allclose(t_two_sided_np(t, np.full(4, 2.0)), 1 - t / np.sqrt(2 + t * t), rtol=1e-9)
     normal = np.array([math.erfc(x / math.sqrt(2)) for x in (0.1, 1.0, 5.0)])
     assert np.allclose(t_two_sided_np(t[:3], np.full(3, 1e8)), normal, rtol=1e-5)
+
+
+def test_no_division_by_zero_without_depth_filters(spark):
+    from baflow.operators import phase, signals
+    counts = spark.createDataFrame([("s", "tumour", "1", 10, 0, 0, 0, 0), ("s", "tumour", "1", 20, 3, 1, 0, 0)],
+                                   "sample_id string, sample_kind string, chrom string, position int, count_a int, count_c int, count_g int, count_t int")
+    haps = spark.createDataFrame([("1", 10, "A", "C", "0", "1"), ("1", 20, "A", "C", "1", "0")],
+                                 "chrom string, position int, ref string, alt string, allele1 string, allele2 string")
+    assert {r["position"]: r["baf"] for r in phase.het_baf(counts, haps, 0).collect()} == {10: None, 20: 0.25}
+    depth = spark.createDataFrame([("s", 0, 7), ("s", 0, 9), ("t", 4, 4)], "sample_id string, total_tumour int, total_normal int")
+    got = [(r["sample_id"], r["mutant_logr"]) for r in signals.logr_normalised(depth).collect()]
+    assert sorted(got, key=str) == [("s", None), ("s", None), ("t", 0.0)]
+
+
+def test_first_row_of_a_position_stays(spark):
+    kind = "sample_id string, chrom string, position int, value double"
+    seg = spark.createDataFrame([("s", "1", 10, 0.4, 0.5)], "sample_id string, chrom string, position int, baf_phased double, baf_seg double")
+    baf = spark.createDataFrame([("s", "1", 10, 0.9), ("s", "1", 10, 0.1)], kind).coalesce(1)
+    logr = spark.createDataFrame([("s", "1", 10, 0.5)], kind)
+    assert [r["baf"] for r in fit.match_signals(seg, baf, logr).collect()] == [0.9]
+
+
+def test_range_means_of_overlapping_segments(spark):
+    from baflow.operators.call import segment_range_mean
+    points = spark.createDataFrame([("s", "1", p, float(p)) for p in (5, 10, 20, 30, 30, 40)] + [("s", "1", 25, float("nan")), ("s", "2", 7, 1.0)],
+                                   "sample_id string, chrom string, position int, logr double")
+    segs = spark.createDataFrame([("s", "1", 1, 10, 30), ("s", "1", 2, 20, 20), ("s", "1", 3, 21, 29), ("s", "1", 4, 0, 99), ("s", "2", 1, 7, 7)],
+                                 "sample_id string, chrom string, seg_id long, start int, end int")
+    got = {(r["chrom"], r["seg_id"]): r["logr"] for r in segment_range_mean(segs, points).collect()}
+    assert got == {("1", 1): 22.5, ("1", 2): 20.0, ("1", 3): 0.0, ("1", 4): 22.5, ("2", 1): 1.0}
+
+
+def test_grid_sums_are_the_plain_sums(spark, monkeypatch):
+    """Partial vectors of several tasks, put out in small lots, against the direct sum; a null row adds nothing."""
+    import numpy as np
+    from baflow.operators import grids
+    monkeypatch.setattr(grids, "HELD", 1)
+    rows = [(f"s{k % 3}", float(k), None if k == 4 else 0.5 * k) for k in range(40)]
+    df = spark.createDataFrame(rows, "sample_id string, a double, b double").repartition(6)
+    spec = {"psi_min": 1.0, "psi_max": 1.5, "psi_by": 0.25, "rho_min": 0.1, "rho_max": 0.4, "rho_by": 0.1}
+    got = grids.cell_sums(grids.with_spec(df, spec), ["a", "b"], lambda r, psi, rho: {"x": r["a"] * psi + rho, "y": r["b"] * rho}, ["x", "y"]).collect()
+    assert len(got) == 3 * 3 * 4
+    for r in got:
+        mine = [(a, b) for s, a, b in rows if s == r["sample_id"]]
+        psi, rho = 1 + 0.25 * r["i"], 0.1 + 0.1 * r["j"]
+        assert np.isclose(r["psi"], psi) and np.isclose(r["rho"], rho)
+        assert np.isclose(r["x"], sum(a * psi + rho for a, _ in mine)) and np.isclose(r["y"], sum(b * rho for _, b in mine if b is not None))
