@@ -1,8 +1,8 @@
 """Ordered series that are larger than a task: row numbers, prefix sums and windows over chunks.
 
 A series is the rows of one group of ``keys`` in the order of ``order``. Rows are dealt to range partitions of
-(keys, order), so a long series spreads over many tasks and many short series share one. Numbers inside a
-partition come from a window on (partition, keys); what lies before a partition comes from one row per
+(keys, order) and sorted in them, so a long series spreads over many tasks and many short series share one. A row's number is its place among the
+sorted rows of its series in the partition and what lies before the partition, which comes from one row per
 (keys, partition). Windows of bounded reach then run on chunks of consecutive rows, each with a few rows of its
 neighbours (the halo). No window is wider than a range partition or a chunk with its halo.
 """
@@ -45,17 +45,18 @@ def ranked(df: DataFrame, keys, order, out: str = "rn", total: str | None = "n")
     """
     keys, order = list(keys), list(order)
     sort = [F.asc(o) if isinstance(o, str) else o for o in order]
-    dealt = df.repartitionByRange(*[F.asc(k) for k in keys], *sort).withColumn("__part", F.spark_partition_id())
+    dealt = df.repartitionByRange(*[F.asc(k) for k in keys], *sort).sortWithinPartitions(*[F.asc(k) for k in keys], *sort)
+    # the id counts the sorted rows of a partition, from the partition's number shifted by 33 bits
+    dealt = dealt.withColumn("__id", F.monotonically_increasing_id())
     if not keys:                                # one series of all rows
         dealt, keys = dealt.withColumn("__all", F.lit(0)), ["__all"]
-    dealt = cut_lineage(dealt)
-    counts = dealt.groupBy(*keys, "__part").agg(F.count("*").alias("__rows"))
-    ahead = before_parts(counts, keys, "__part", {"__rows": "__before"})
+    dealt = cut_lineage(dealt.withColumn("__part", F.shiftright("__id", 33)))
+    counts = dealt.groupBy(*keys, "__part").agg(F.count("*").alias("__rows"), F.min("__id").alias("__first"))
+    ahead = null_safe(before_parts(counts, keys, "__part", {"__rows": "__before"}), counts.select(*keys, "__part", "__first"), [*keys, "__part"])
     if total:
         ahead = null_safe(ahead, counts.groupBy(*keys).agg(F.sum("__rows").alias(total)), keys)
-    d = dealt.withColumn("__at_part", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(*sort)))
-    d = null_safe(d, ahead, [*keys, "__part"])
-    return d.withColumn(out, F.col("__before") + F.col("__at_part")).drop("__part", "__at_part", "__before", "__all")
+    d = null_safe(dealt, ahead, [*keys, "__part"])
+    return d.withColumn(out, F.col("__before") + F.col("__id") - F.col("__first") + 1).drop("__part", "__id", "__first", "__before", "__all")
 
 
 def chunk_of(rn: str = "rn", size: int = CHUNK) -> Column:

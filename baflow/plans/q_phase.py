@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from baflow.operators import phase as H
 from baflow.operators.pileup import pileup_counts
 from baflow.plans.q_signals import CHROM_RANK_SQL, PILEUP_SQL, TP
 from baflow.plans.registry import register
+from baflow.session import checkpoint_dir
 from baflow.sources import io
 from baflow.sources import views as V
 
@@ -79,6 +84,21 @@ def q_vcf_projection(spark, d):
     return H.vcf_projection(H.call_genotype(_snp_baf(spark, d)))
 
 
+VCF_NAMES = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "SAMP0001"]
+
+
+@register("vcf_export", ctes=PH_CTES, sql=f"""SELECT row_number() OVER (ORDER BY {CHROM_RANK_SQL.format(c='chrom')}, position) AS row,
+  regexp_replace(chrom, '^chr', '') AS CHROM, CAST(position AS BIGINT) AS POS, '.' AS ID, a0 AS REF, a1 AS ALT, '.' AS QUAL, 'PASS' AS FILTER, '.' AS INFO,
+  'GT' AS FORMAT, genotype AS SAMP0001 FROM gts WHERE genotype IS NOT NULL""")
+def q_vcf_export(spark, d):
+    """Genotypes written as an ordered VCF and read back: every line at its place in the files."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vcf-{uuid.uuid4().hex}"
+    io.export_vcf(H.vcf_projection(H.call_genotype(_snp_baf(spark, d))).drop("sample_id"), path)
+    parts = F.split("line", "\t")
+    return io.read_ordered(spark, path).select("row", *[
+        parts[k].cast("long" if n == "POS" else "string").alias(n) for k, n in enumerate(VCF_NAMES)])
+
+
 @register("phased_split", sql=SPLIT_SQL)
 def q_phased_split(spark, d):
     return H.phased_split(V.phased(spark, d))

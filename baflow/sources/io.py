@@ -7,11 +7,15 @@ filters on them prune directories. TSV is only read or written at the boundary,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField, StructType)
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from baflow.functions.chrom import chrom_ord
+from baflow.session import cut_lineage
 
 ALLELE_COUNTS = StructType([StructField("#CHR", StringType()), StructField("POS", IntegerType())]
                            + [StructField(f"Count_{b}", IntegerType()) for b in "ACGT"]
@@ -39,12 +43,43 @@ BAF_SEGMENTED = StructType([StructField("Chromosome", StringType()), StructField
                             StructField("BAFseg", DoubleType())])
 
 
+@dataclass(frozen=True)
+class Checked:
+    """Rows that fit the schema, and the lines that do not: ``rejects`` (file, line)."""
+    rows: DataFrame
+    rejects: DataFrame
+
+    def counts(self) -> DataFrame:
+        """(file, rejected) for every file with a rejected line."""
+        return self.rejects.groupBy("file").agg(F.count("*").alias("rejected"))
+
+
+def read_checked(spark: SparkSession, paths, schema: StructType, header: bool = True, sep: str = "\t") -> Checked:
+    """SRC-01: TSV with a fixed schema, every line either a row or a reject; spaces in names become dots.
+
+    A line with a wrong number of fields or a value of the wrong type is a reject. The files are scanned once (the parsed lines are stored as a
+    stage); rejects are counted by file and a warning is logged for each file that has some.
+    """
+    full = StructType([*schema.fields, StructField("__line", StringType())])
+    raw = (spark.read.schema(full).option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "__line").csv(paths))
+    # an alias for each column, since a name may hold a dot or a blank
+    names = [f"c{k}" for k in range(len(schema.fields))]
+    stored = cut_lineage(raw.select(*[F.col(f"`{f.name}`").alias(n) for f, n in zip(schema.fields, names, strict=True)],
+                                    F.col("__line").alias("line"), F.col("_metadata.file_path").alias("file")))
+    rows = stored.where(F.col("line").isNull())
+    rows = rows.select(*[F.col(n).alias(f.name.replace(" ", ".")) for f, n in zip(schema.fields, names, strict=True)], F.col("file").alias("__file"))
+    checked = Checked(rows, stored.where(F.col("line").isNotNull()).select("file", "line"))
+    worst = checked.counts().orderBy(F.desc("rejected"), "file").limit(20).collect()
+    for r in worst:
+        logging.getLogger(__name__).warning("%s: %d lines do not fit the schema", r["file"], r["rejected"])
+    return checked
+
+
 def read_table_generic(spark: SparkSession, paths, schema: StructType, header: bool = True,
                        sep: str = "\t") -> DataFrame:
-    """SRC-01: TSV with a fixed schema; malformed rows dropped; spaces in names become dots."""
-    df = (spark.read.schema(schema).option("sep", sep).option("header", header)
-          .option("mode", "DROPMALFORMED").csv(paths))
-    return df.toDF(*[c.replace(" ", ".") for c in df.columns])
+    """The rows of ``read_checked``."""
+    return read_checked(spark, paths, schema, header, sep).rows.drop("__file")
 
 
 def existing_paths(spark: SparkSession, paths) -> list[str]:
@@ -57,6 +92,8 @@ def existing_paths(spark: SparkSession, paths) -> list[str]:
         fs = hp.getFileSystem(conf)
         if fs.exists(hp) and (fs.getFileStatus(hp).isDirectory() or fs.getFileStatus(hp).getLen() > 0):
             keep.append(p)
+        else:
+            logging.getLogger(__name__).warning("%s: missing or empty, left out", p)
     return keep
 
 
@@ -71,12 +108,10 @@ def read_per_chrom(spark: SparkSession, paths: list[str], schema: StructType, he
     if not paths:
         empty = spark.createDataFrame([], schema)
         return empty.withColumn("CHR", F.lit(None).cast("string")) if chrom_from_name else empty
-    df = (spark.read.schema(schema).option("sep", sep).option("header", header)
-          .option("mode", "DROPMALFORMED").csv(paths))
+    df = read_checked(spark, paths, schema, header, sep).rows
     if chrom_from_name:
-        df = df.select("*", F.regexp_extract(F.col("_metadata.file_path"), r"((?:chr)?(?:\d+|X|Y))\.[^/.]+$", 1)
-                       .alias("CHR"))
-    return df
+        df = df.withColumn("CHR", F.regexp_extract(F.col("__file"), r"((?:chr)?(?:\d+|X|Y))\.[^/.]+$", 1))
+    return df.drop("__file")
 
 
 def read_impute_info(spark: SparkSession, path: str, chrom: str | None = None, is_male: bool = False) -> DataFrame:
@@ -228,22 +263,57 @@ def export_tsv(df: DataFrame, path: str, header: bool = True, single_file: bool
     """SNK-01/04/05/06/08: tab-separated export at the edge.
 
     ``single_file`` mirrors the reference's one-file output; it funnels the final write through one
-    task, so it is meant for small result tables (segments, copy number), not per-locus tables.
+    task, so it is meant for small result tables (segments, copy number), not per-locus tables (``export_ordered``).
     """
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("sep", "\t").option("header", header).csv(path)
 
 
+def export_ordered(lines: DataFrame, order, path: str, header: list[str] | None = None) -> None:
+    """SRT-01/02/03, SNK-01/03: column ``line`` of ``lines`` as text files in the order of ``order``, without one task for all.
+
+    Rows are dealt to range partitions and sorted inside them; part files follow each other by name under ``path/body``, and the header lines are a
+    file of their own under ``path/header``, so that ``cat header/part-* body/part-*`` is the whole text.
+    """
+    sort = [F.asc(o) if isinstance(o, str) else o for o in order]
+    body = lines.repartitionByRange(*sort).sortWithinPartitions(*sort).select("line")
+    body.write.mode("overwrite").text(f"{path}/body")
+    head = lines.sparkSession.createDataFrame([(h,) for h in header or []], "line string")
+    head.coalesce(1).write.mode("overwrite").text(f"{path}/header")
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """(row, line) of an ordered export: the place of each body line in the files as they lie there."""
+    raw = spark.read.text(f"{path}/body").select("value", F.col("_metadata.file_name").alias("file"),
+                                                F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    raw = cut_lineage(raw)
+    blocks = raw.groupBy("file", "start").agg(F.count("*").alias("n"))
+    ahead = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)          # one row for each block of the files
+    blocks = blocks.select("file", "start", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("file", "start").orderBy("at"))
+    return raw.withColumn("inside", inside).join(blocks, ["file", "start"]).select(
+        (F.col("before") + F.col("inside")).alias("row"), F.col("value").alias("line"))
+
+
+VCF_HEADER = ["##fileformat=VCFv4.2",
+              '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
+              "##reference=hg38",
+              "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tSAMP0001"]
+
+
+def export_vcf(calls: DataFrame, path: str) -> None:
+    """SNK-03: the VCF columns of one sample (``vcf_projection``) as an ordered export."""
+    lines = vcf_lines(calls).where("chrom_ord >= 0")
+    export_ordered(lines, ["chrom_ord", "ord", "line"], path, VCF_HEADER)
+
+
 def vcf_lines(df: DataFrame) -> DataFrame:
     """SNK-03: VCF text lines -- three ``##`` header lines, ``#CHROM`` header, body without ``chr``.
 
     Returns (chrom_ord, ord, line): a writer orders by these within a sample, so chromosomes follow each other
     (X last) and positions rise within each; the header lines come first.
     """
-    header = ["##fileformat=VCFv4.2",
-              '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
-              "##reference=hg38",
-              "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tSAMP0001"]
+    header = VCF_HEADER
     keys = [c for c in ("sample_id",) if c in df.columns]
     body = df.select(*keys, F.coalesce(chrom_ord("CHROM"), F.lit(1000)).cast("int").alias("chrom_ord"),
                      F.col("POS").cast("long").alias("ord"), F.concat_ws(

@@ -114,3 +114,34 @@ def test_rho_psi_reader(spark):
     assert set(rows) == {"ASCAT", "FRAC_GENOME", "REF_SEG"}
     assert rows["FRAC_GENOME"]["rho"] == 0.71 and rows["FRAC_GENOME"]["is_best"] is True
     assert rows["ASCAT"]["distance"] is None
+
+
+def test_every_line_is_a_row_or_a_reject(spark, caplog):
+    d = tempfile.mkdtemp(prefix="baflow-io-")
+    header = "#CHR\tPOS\tCount_A\tCount_C\tCount_G\tCount_T\tGood_depth"
+    _write_text(f"{d}/t_chr1.txt", [header, "chr1\t100\t1\t2\t3\t4\t10", "chr1\tbad\t1\t2\t3\t4\t10", "chr1\t300\t1\t2", "chr1\t400\t1\t2\t3\t4\t10\t99"])
+    _write_text(f"{d}/t_chr2.txt", [header, "chr2\t200\t5\t6\t7\t8\t26", "chr2\t201\t5\t6\t7\t8\tx"])
+    _write_text(f"{d}/t_chr3.txt", [header, "chr3\t200\t5\t6\t7\t8\t26"])
+    got = io.read_checked(spark, [f"{d}/t_chr{k}.txt" for k in (1, 2, 3)], io.ALLELE_COUNTS)
+    assert sorted(r["POS"] for r in got.rows.collect()) == [100, 200, 200]
+    assert got.rows.columns[:2] == ["#CHR", "POS"]
+    assert {os.path.basename(r["file"]): r["rejected"] for r in got.counts().collect()} == {"t_chr1.txt": 3, "t_chr2.txt": 1}
+    assert {r["line"].split("\t")[1] for r in got.rejects.collect()} == {"bad", "300", "400", "201"}
+    assert "3 lines do not fit" in caplog.text
+    # a reader of fewer columns sees the same rows
+    assert got.rows.select("POS").count() == 3
+    assert io.read_per_chrom(spark, [f"{d}/t_chr2.txt", f"{d}/nothing.txt"], io.ALLELE_COUNTS).select("#CHR").count() == 1
+    assert "nothing.txt: missing" in caplog.text
+
+
+def test_ordered_export_reads_back_in_order(spark):
+    d = tempfile.mkdtemp(prefix="baflow-io-")
+    rows = [(c, p, ".", "A", "G", ".", "PASS", ".", "GT", "0/1") for c in ("X", "10", "2") for p in range(500, 0, -1)]
+    calls = spark.createDataFrame(rows, "CHROM string, POS int, ID string, REF string, ALT string, QUAL string, FILTER string, INFO string, FORMAT string, "
+                                  "SAMP0001 string").repartition(7)
+    io.export_vcf(calls, f"{d}/out")
+    back = [r["line"].split("\t")[:2] for r in io.read_ordered(spark, f"{d}/out").orderBy("row").collect()]
+    assert back == [[c, str(p)] for c in ("2", "10", "X") for p in range(1, 501)]
+    assert [r["value"] for r in spark.read.text(f"{d}/out/header").collect()] == io.VCF_HEADER
+    io.export_vcf(calls.limit(0), f"{d}/none")
+    assert io.read_ordered(spark, f"{d}/none").count() == 0
