@@ -690,25 +690,29 @@ def index_segments(segs: DataFrame) -> DataFrame:
     return segs.withColumn("seg_idx", F.row_number().over(Window.partitionBy("sample_id").orderBy("seg_id")))
 
 
-def fit_copy_number(matched: DataFrame, p: FitParams = FitParams()) -> dict[str, DataFrame]:
-    """FIT-21 / FIT-18: ASCAT grid search, clonal refinement, and the rho/psi table per sample.
+def first_distance(segs: DataFrame, p: FitParams) -> DataFrame:
+    """FIT-05: the coarse grid of every sample from its segments; the runs of (r, 1 - b) are those of (r, b)."""
+    return distance_grid(segs.withColumn("b", 1 - F.col("b")), coarse_grid_spec(p), p.ascat_dist_choice, p.gamma, p.uninformative_baf)
 
-    ``matched`` is the output of ``match_signals``. Returns frames ``ascat``, ``distance``, ``clonal_distance``,
-    ``run_clonal`` and ``rho_psi`` (3 rows per sample: ASCAT, FRAC_GENOME, REF_SEG).
-    """
-    p.check()
-    segs = cut_lineage(segment_info(matched))
-    s_ascat = segs.withColumn("b", 1 - F.col("b"))              # the runs of (r, 1 - b) are those of (r, b)
-    dist = cut_lineage(distance_grid(s_ascat, coarse_grid_spec(p), p.ascat_dist_choice, p.gamma, p.uninformative_baf))
-    opt = cut_lineage(ascat_optimum(dist, p))
-    s_cl = cut_lineage(index_segments(segs.filter(F.col("length") > 1)))
-    spec = clonal_grid_spec(new_bounds(opt, p))
-    cd = cut_lineage(clonal_distance(s_cl, spec, p.clonal_dist_choice, p))
+
+def clonal_segments(segs: DataFrame) -> DataFrame:
+    """Segments of more than one point with their index in genome order."""
+    return index_segments(segs.filter(F.col("length") > 1))
+
+
+def second_distance(segs: DataFrame, opt: DataFrame, p: FitParams) -> DataFrame:
+    """FIT-12..14: the clonal distance on the fine grid around each sample's optimum."""
+    return clonal_distance(clonal_segments(segs), clonal_grid_spec(new_bounds(opt, p)), p.clonal_dist_choice, p)
+
+
+def run_clonal(segs: DataFrame, cd: DataFrame, p: FitParams) -> DataFrame:
+    """FIT-18: per sample with a solution the purity and ploidy without and with a reference segment, and which is better."""
+    s_cl = cut_lineage(clonal_segments(segs))
     minimise = p.clonal_dist_choice in (1, 2, 3)
     best = cd.groupBy("sample_id").agg((F.min("d") if minimise else F.max("d")).alias("distance_without_ref"))
     cen = cut_lineage(reference_segment(s_cl, centroid_optimum(cd), p))
     pl_wo = ploidy_at(s_cl, cen.select("sample_id", F.col("rho_raw").alias("rho"), "psi"), p.gamma)
-    ref = ref_segment_refine(s_cl, cen, p)
+    ref = cut_lineage(ref_segment_refine(s_cl, cen, p))
     d_ref = distance_at_point(s_cl, ref.filter(F.col("rho").isNotNull()), p).withColumnRenamed("d", "__dref")
     ref = (ref.join(cen.select("sample_id", "ref_seg"), "sample_id").join(d_ref, "sample_id", "left")
            .withColumn("distance", F.when(F.col("ref_seg") == 0, F.lit(1.0))
@@ -726,8 +730,12 @@ def fit_copy_number(matched: DataFrame, p: FitParams = FitParams()) -> dict[str,
               & (F.col("rho_ref") >= p.min_rho) & (F.col("rho_ref") <= p.max_rho)
               & ((F.col("distance") < F.col("distance_without_ref")) if minimise
                  else (F.col("distance") > F.col("distance_without_ref"))))
-    rc = cut_lineage(rc.withColumn("is_ref_better", F.coalesce(better, F.lit(False)))
-                     .withColumn("psi_without_ref", F.coalesce(F.col("psi_t"), F.col("psi_grid"))))
+    return rc.withColumn("is_ref_better", F.coalesce(better, F.lit(False))).withColumn(
+        "psi_without_ref", F.coalesce(F.col("psi_t"), F.col("psi_grid")))
+
+
+def rho_psi_table(opt: DataFrame, rc: DataFrame) -> DataFrame:
+    """SNK-07: rows ASCAT, FRAC_GENOME and REF_SEG per sample; a sample without a solution has its ASCAT row only (null fit and a status)."""
     ascat_row = F.array(F.struct(
         F.lit("ASCAT").alias("method"), F.col("rho").alias("rho"), F.col("psi").alias("psi"),
         F.col("ploidy").alias("ploidy"), F.lit(None).cast("double").alias("distance"),
@@ -739,9 +747,21 @@ def fit_copy_number(matched: DataFrame, p: FitParams = FitParams()) -> dict[str,
         F.struct(F.lit("REF_SEG").alias("method"), F.col("rho_ref").alias("rho"), F.col("psi_ref").alias("psi"),
                  F.col("ploidy_ref").alias("ploidy"), F.col("distance").alias("distance"),
                  F.col("is_ref_better").alias("is_best")))
-    # every sample gets its ASCAT row (null fit and a status when no solution); the clonal rows only
-    # exist for samples with a solution (the reference stops there)
-    rho_psi = (opt.select("sample_id", "status", F.inline(ascat_row))
-               .unionByName(rc.join(opt.select("sample_id", "status"), "sample_id").select(
-                   "sample_id", "status", F.inline(clonal_rows))))
-    return {"ascat": opt, "distance": dist, "clonal_distance": cd, "run_clonal": rc, "rho_psi": rho_psi}
+    return (opt.select("sample_id", "status", F.inline(ascat_row))
+            .unionByName(rc.join(opt.select("sample_id", "status"), "sample_id").select(
+                "sample_id", "status", F.inline(clonal_rows))))
+
+
+def fit_copy_number(matched: DataFrame, p: FitParams = FitParams()) -> dict[str, DataFrame]:
+    """FIT-21 / FIT-18: ASCAT grid search, clonal refinement, and the rho/psi table per sample.
+
+    ``matched`` is the output of ``match_signals``. Returns frames ``ascat``, ``distance``, ``clonal_distance``,
+    ``run_clonal`` and ``rho_psi`` (3 rows per sample: ASCAT, FRAC_GENOME, REF_SEG).
+    """
+    p.check()
+    segs = cut_lineage(segment_info(matched))
+    dist = cut_lineage(first_distance(segs, p))
+    opt = cut_lineage(ascat_optimum(dist, p))
+    cd = cut_lineage(second_distance(segs, opt, p))
+    rc = cut_lineage(run_clonal(segs, cd, p))
+    return {"ascat": opt, "distance": dist, "clonal_distance": cd, "run_clonal": rc, "rho_psi": rho_psi_table(opt, rc)}

@@ -91,3 +91,13 @@ def het_baf(counts: DataFrame, haplotypes: DataFrame, min_counts: int = 1, kind:
     if orient_by_phase:
         baf = F.when(F.col("allele1") == 1, 1 - baf).otherwise(baf)
     return j.select("sample_id", "chrom", "position", baf.alias("baf"))
+
+
+def panel_files(impute_info: DataFrame, sex: DataFrame, key: str = "sample_id") -> DataFrame:
+    """FLT-01: the reference panel's files for each sample of ``sex`` (``sex_call``): all of them, or the pseudoautosomal ones alone where X is covered like
+    the autosomes. A sample without an X contig ends the job, as its files cannot be chosen."""
+    keys = [key] if key in sex.columns else []
+    known = F.coalesce(F.col("x_like_autosomes"), F.raise_error(F.lit("no X contig: the panel's files cannot be chosen")).cast("boolean"))
+    who = sex.select(*keys, known.alias("__par_only"), F.lit(1).alias("__one"))          # one row per sample
+    j = impute_info.withColumn("__one", F.lit(1)).join(who, "__one").drop("__one")
+    return j.where(~F.col("__par_only") | (F.col("is_par") == 1)).select(*keys, *impute_info.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from baflow.functions.chrom import chrom_ord
@@ -32,10 +32,31 @@ def cnv_frame(calls: DataFrame) -> DataFrame:
                                          F.ceil(F.max("Total_Copy_Number")).alias("cn_high"))
     return (calls.select("sample_id", F.col("Chromosome").alias("chrom"), chrom_ord("Chromosome").alias("chrom_rank"),
                          (F.col("Start_Pos") / 1e6).alias("start_mb"), (F.col("End_Pos") / 1e6).alias("end_mb"),
-                         "Total_Copy_Number", "Major_Copy_Number", "Minor_Copy_Number")
+                         "BAF", "Total_Copy_Number", "Major_Copy_Number", "Minor_Copy_Number")
             .join(lim, "sample_id"))
 
 
+def breakpoint_frame(breakpoints: DataFrame) -> DataFrame:
+    """PLT-01: prior breakpoints in Mb."""
+    return breakpoints.select(*[c for c in ("sample_id",) if c in breakpoints.columns], "chrom", (F.col("position") / 1e6).alias("position_mb"))
+
+
+def cnv_points_frame(het: DataFrame, calls: DataFrame) -> DataFrame:
+    """PLT-04: the raw BAF points behind the copy-number segments, in Mb, for the samples that have a call."""
+    points = het.select("sample_id", F.regexp_replace("chrom", "^chr", "").alias("chrom"), (F.col("position") / 1e6).alias("position_mb"), "baf")
+    return points.join(calls.select("sample_id").distinct(), "sample_id", "left_semi")
+
+
+def profile_frame(reliability: DataFrame, rounded: bool = True) -> DataFrame:
+    """PLT-05 / AG-25: the copy-number profile along the genome: segments end to end by their number of points, with whole
+    (``rounded``) or raw copy numbers, their sum, and the confidences."""
+    a, b = ("nA", "nB") if rounded else ("nAfull", "nBfull")
+    w = Window.partitionBy("sample_id").orderBy("seg_id").rowsBetween(Window.unboundedPreceding, -1)       # segments of one sample
+    start = F.coalesce(F.sum("length").over(w), F.lit(0))
+    return reliability.select("sample_id", "seg_id", start.alias("x_start"), (start + F.col("length")).alias("x_end"), F.col(a).alias("n_a"),
+                              F.col(b).alias("n_b"), (F.col(a) + F.col(b)).alias("n_total"), "confidenceR", "confidenceBAF")
+
+
 def distance_frame(dist: DataFrame) -> DataFrame:
     """PLT-05: the distance surface (-d, as drawn) over (psi, rho)."""
     return dist.select("sample_id", "i", "j", "psi", "rho", (-F.col("d")).alias("neg_d"))

@@ -92,6 +92,9 @@ def allele_signal(bases: DataFrame, loci: DataFrame, min_baseq: int = 20, min_ma
     return logr_normalised(baf_side(pairs, side, seed))
 
 
+SIGNAL_OUTPUTS = ("normal_baf", "mutant_baf", "normal_logr", "mutant_logr", "allele_counts")
+
+
 def signal_outputs(sig: DataFrame) -> dict[str, DataFrame]:
     """The five per-sample outputs in tidy form (SNK-02): value column is ``value``."""
     base = ["sample_id", "chrom", "position"]

@@ -191,8 +191,8 @@ def q_plot_segments(spark, d):
     return PF.segmented_frame(s.join(b, ["sample_id", "chrom", "event_id"]))
 
 
-@register("plot_cnv", ctes=PVAL_CTES, doubles=["start_mb", "end_mb", "Total_Copy_Number"], sql="""SELECT sample_id, Chromosome AS chrom,
-  CAST(NULL AS INT) AS chrom_rank, Start_Pos / 1e6 AS start_mb, End_Pos / 1e6 AS end_mb, Total_Copy_Number, Major_Copy_Number, Minor_Copy_Number,
+@register("plot_cnv", ctes=PVAL_CTES, doubles=["start_mb", "end_mb", "BAF", "Total_Copy_Number"], sql="""SELECT sample_id, Chromosome AS chrom,
+  CAST(NULL AS INT) AS chrom_rank, Start_Pos / 1e6 AS start_mb, End_Pos / 1e6 AS end_mb, BAF, Total_Copy_Number, Major_Copy_Number, Minor_Copy_Number,
   CAST(floor(min(Total_Copy_Number) OVER (PARTITION BY sample_id)) AS BIGINT) AS cn_low, CAST(ceil(max(Total_Copy_Number) OVER (PARTITION BY sample_id)) AS BIGINT) AS cn_high
 FROM calls""")
 def q_plot_cnv(spark, d):

@@ -114,6 +114,16 @@ RC_DOUBLES = ["psi_grid", "rho_without_ref", "goodness_grid", "ploidy_without_re
               "distance", "psi_without_ref"]
 
 
+@register("tumour_profile", ctes=FIT_CTES + AT_OPT, doubles=["n_a", "n_b", "n_total"], sql="""SELECT sample_id, seg_id, x_end - length AS x_start, x_end, n_a, n_b, n_a + n_b AS n_total
+FROM (SELECT *, CAST(sum(length) OVER (PARTITION BY sample_id ORDER BY seg_id) AS BIGINT) AS x_end,
+  greatest(round_even((rho - 1 - ((1 - b) - 1) * pow(2.0::DOUBLE, r) * ((1 - rho) * 2 + rho * psi)) / rho, 0), 0.0) AS n_a,
+  greatest(round_even((rho - 1 + (1 - b) * pow(2.0::DOUBLE, r) * ((1 - rho) * 2 + rho * psi)) / rho, 0), 0.0) AS n_b FROM at_opt)""")
+def q_tumour_profile(spark, d):
+    rows = at_optimum(spark, d).withColumn("b", 1 - F.col("b"))
+    rel = T.reliability(rows.drop("rho", "psi"), rows.select("sample_id", "rho", "psi").distinct(), P.gamma)
+    return PF.profile_frame(rel).drop("confidenceR", "confidenceBAF")
+
+
 @register("tumour_run_clonal", ctes=FIT_CTES, doubles=RC_DOUBLES, sql="SELECT * FROM rc")
 def q_tumour_run_clonal(spark, d):
     return fitted(spark, d)["run_clonal"]
