@@ -138,25 +138,6 @@ def dbinom_clamped(sample_proportion: Column, sample_size: Column, pop_proportio
     return _dbinom_udf(k, sample_size.cast("double"), p)
 
 
-def with_t_pvalue(df, n: str, mean: str, sd: str, mu: str, max_dist: float, out: str = "pval"):
-    """Add the two-sided t-test p-value as ``out``, calling the pandas UDF once per distinct argument
-    tuple (a grid search repeats the same (n, mean, sd, level) many times) and joining it back.
-
-    sd 0 or null gives 0 and |mean - mu| < max_dist gives 1, without a UDF call. ``df`` should be a
-    materialised table (checkpoint): it is read twice.
-    """
-    args = [n, mean, sd, mu]
-    need = F.col(sd).isNotNull() & (F.col(sd) != 0) & (F.abs(F.col(mean) - F.col(mu)) >= F.lit(max_dist))
-    uniq = (df.filter(need).select(*[F.col(c).alias(f"__u_{c}") for c in args]).distinct()
-            .withColumn("__u_p", t_pvalue_two_sided(F.col(f"__u_{n}"), F.col(f"__u_{mean}"), F.col(f"__u_{sd}"),
-                                                    F.col(f"__u_{mu}"), max_dist)))
-    j = df.join(uniq, [F.col(c) == F.col(f"__u_{c}") for c in args], "left")
-    p = (F.when(F.col(sd).isNull() | (F.col(sd) == 0), F.lit(0.0))
-         .when(F.abs(F.col(mean) - F.col(mu)) < F.lit(max_dist), F.lit(1.0))
-         .otherwise(F.col("__u_p")))
-    return j.withColumn(out, p).drop(*[f"__u_{c}" for c in args], "__u_p")
-
-
 def t_critical_np(df: np.ndarray, alpha: float) -> np.ndarray:
     """Two-sided critical value: the t with 2 P(T > t) = alpha, by bisection on the same tail function."""
     df = np.asarray(df, dtype=float)

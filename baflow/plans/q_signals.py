@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from baflow.functions.chrom import chrom_ord
 from baflow.operators import pileup as P
 from baflow.operators import signals as S
 from baflow.plans.registry import register
+from baflow.session import checkpoint_dir
+from baflow.sources import io
 from baflow.sources import views as V
 
 TP = V.TEST_PARAMS
@@ -117,9 +121,12 @@ def q_logr_normalised(spark, d):
 @register("loci_alleles_union", doubles=[],
           sql=f"SELECT chrom, {CHROM_RANK_SQL.format(c='chrom')} AS chrom_rank, position, a0, a1 FROM v_loci")
 def q_loci_alleles_union(spark, d):
-    from baflow.sources.io import genomic_sort
-    lo = V.loci(spark, d).select("chrom", "position", "a0", "a1")
-    return genomic_sort(lo).select("chrom", "chrom_rank", "position", "a0", "a1")
+    """Loci written as one allele file per chromosome and read back as one table."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/loci-{uuid.uuid4().hex}"
+    io.write_per_chrom(V.loci(spark, d).select("chrom", "position", "a0", "a1"), path, "alleles_")
+    chroms = [f"chr{c}" for c in [*range(1, 23), "X", "Y"]]                    # there is none for Y
+    lo = io.read_allele_loci(spark, [f"{path}/file=alleles_{c}.txt" for c in chroms])
+    return io.genomic_sort(lo).select("chrom", "chrom_rank", "position", "a0", "a1")
 
 
 @register("sex_call", doubles=["x_ratio", "others_mean"], sql="""

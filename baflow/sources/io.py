@@ -102,7 +102,7 @@ def read_per_chrom(spark: SparkSession, paths: list[str], schema: StructType, he
     """SRC-02/03/04: one scan over many per-chromosome files; missing files are skipped.
 
     With ``chrom_from_name`` the chromosome is taken from the file name suffix
-    (``prefix<chrom>.txt``) through the hidden ``_metadata`` column selected on the scan.
+    (``prefix<chrom>.txt``, also a folder of part files of that name) through the hidden ``_metadata`` column selected on the scan.
     """
     paths = existing_paths(spark, paths)
     if not paths:
@@ -110,7 +110,7 @@ def read_per_chrom(spark: SparkSession, paths: list[str], schema: StructType, he
         return empty.withColumn("CHR", F.lit(None).cast("string")) if chrom_from_name else empty
     df = read_checked(spark, paths, schema, header, sep).rows
     if chrom_from_name:
-        df = df.withColumn("CHR", F.regexp_extract(F.col("__file"), r"((?:chr)?(?:\d+|X|Y))\.[^/.]+$", 1))
+        df = df.withColumn("CHR", F.regexp_extract(F.col("__file"), r"((?:chr)?(?:\d+|X|Y))\.[^/.]+(?:/part-[^/]*)?$", 1))
     return df.drop("__file")
 
 
@@ -238,6 +238,12 @@ def read_breakpoints(spark: SparkSession, path: str | None) -> DataFrame:
         "chrom", F.col("position").try_cast("int").alias("position"))
 
 
+def write_per_chrom(df: DataFrame, path: str, prefix: str, chrom: str = "chrom") -> None:
+    """SNK-01: one folder ``file=<prefix><chrom>.txt`` of TSV parts with a header for each chromosome, in one job (read by ``read_per_chrom``)."""
+    name = F.concat(F.lit(prefix), F.col(chrom), F.lit(".txt"))
+    df.withColumn("file", name).drop(chrom).repartition("file").write.partitionBy("file").option("sep", "\t").option("header", True).csv(path)
+
+
 def prefix_columns(df: DataFrame, prefix: str, keep=("sample_id", "chrom", "position")) -> DataFrame:
     """PRJ-01: prefix every column except the keys (``snp_``, ``normal_``), in one projection."""
     return df.select(*[F.col(c) if c in keep else F.col(c).alias(prefix + c) for c in df.columns])

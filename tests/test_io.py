@@ -145,3 +145,22 @@ def test_ordered_export_reads_back_in_order(spark):
     assert [r["value"] for r in spark.read.text(f"{d}/out/header").collect()] == io.VCF_HEADER
     io.export_vcf(calls.limit(0), f"{d}/none")
     assert io.read_ordered(spark, f"{d}/none").count() == 0
+
+
+def test_reference_tables_follow_the_contig_style(spark):
+    import pytest
+    from baflow.params import Catalogue, ReferencePaths, reference_tables
+    d = tempfile.mkdtemp(prefix="baflow-io-")
+    for style, c in (("plain", "1"), ("prefixed", "chr1")):
+        _write_text(f"{d}/{style}/loci_{c}.txt", ["position\ta0\ta1", f"{len(c)}00\t1\t3"])
+        _write_text(f"{d}/{style}/info.txt", [f"{c}\tl\tm\th\t1\t9\t1"])
+        _write_text(f"{d}/{style}/bad.txt", ["Chr\tPos", f"{c}\t5"])
+    cat = Catalogue(*[ReferencePaths(f"{d}/{s}/loci_{{chrom}}.txt", f"{d}/{s}/info.txt", f"{d}/{s}/bad.txt") for s in ("prefixed", "plain")])
+    schema = "sample_id string, chrom string, length long, mapped long, unmapped long"
+    stats = {k: spark.createDataFrame([("s", c, 9, 9, 0)], schema) for k, c in (("chr1", "chr1"), ("1", "1"))}
+    for c in ("chr1", "1"):
+        got = reference_tables(spark, cat, stats[c])
+        assert [(r["chrom"], r["position"]) for r in got["loci"].collect()] == [(c, 100 * len(c))]
+        assert got["impute_info"].first()["chrom"] == c and got["problem_loci"].first()["chrom"] == c
+    with pytest.raises(ValueError, match="both contig naming styles"):
+        reference_tables(spark, cat, stats["chr1"].union(spark.createDataFrame([("t", "1", 9, 9, 0)], schema)))
