@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from baflow.operators import fit as T
 from baflow.plans.q_fit import OPT_CTES, P, COARSE, _dist1, matched, planted
+from baflow.plans import sql_clonal as C
 from baflow.plans.registry import register
 from baflow.plans.sql_fit import D, bounds_sql
 from baflow.sources import views as V
@@ -50,9 +51,25 @@ def q_clonal_distance_3(spark, d):
         "sample_id", "i", "j", "psi", "rho", "d")
 
 
+DAY_CTES = FINE_CTES + [
+    ("ca", "SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY chrom, day) AS seg_idx FROM v_segments WHERE length > 1"),
+    ("crit", C.critical_sql("ca")),
+    ("grid", "SELECT s.*, c.i, c.j, c.psi, c.rho FROM ca s JOIN fc c ON c.sample_id = s.sample_id WHERE s.b > 0.51"),
+    ("at_opt", "SELECT s.*, o.rho, o.psi FROM ca s JOIN opt o ON o.sample_id = s.sample_id")]
+_CELL = "SELECT g.sample_id, g.i, g.j, g.psi, g.rho, f.n_psi, f.n_rho, g.d, {} AS minimise FROM ({}) g JOIN fs f ON f.sample_id = g.sample_id"
+DISTANCES = {
+    0: _CELL.format("false", f"""SELECT sample_id, i, j, psi, rho, sum(CASE WHEN clonal THEN CAST(size AS DOUBLE) ELSE 0 END) / sum(CAST(size AS DOUBLE)) AS d
+FROM ({C.clonal_sql('grid', 'crit')}) GROUP BY ALL"""),
+    1: _CELL.format("true", f"""SELECT sample_id, i, j, psi, rho, CASE WHEN sum(included) > 0 THEN sum(tvar * tvar) / sum(included) ELSE 0.0 END AS d
+FROM ({C.std_error_sql('grid')}) GROUP BY ALL"""),
+    # one candidate state for each segment, so every ratio is 0
+    4: _CELL.format("false", f"SELECT sample_id, i, j, psi, rho, sum(ln_ratio) AS d FROM ({C.likelihood_sql('grid', False)}) GROUP BY ALL"),
+}
+
+
 for _c in (0, 1, 4):
     def _mk(c):
-        @register(f"clonal_distance_{c}")
+        @register(f"clonal_distance_{c}", ctes=DAY_CTES, doubles=["psi", "rho", "d"], sql=DISTANCES[c])
         def _q(spark, d):
             return T.clonal_distance(clonal_segments(spark, d), fine_spec(spark, d), c, P)
         return _q
@@ -78,20 +95,22 @@ def _planted_point(spark, d):
     return T.ascat_optimum(_dist1(spark, d), P).select("sample_id", "rho", "psi")
 
 
-@register("segment_clonal")
+@register("segment_clonal", ctes=DAY_CTES, doubles=["pval"], sql=f"""SELECT sample_id, seg_idx, tmaj AS nmaj_test, tmin AS nmin_test,
+  {C.pvalue_sql()} AS pval, tmaj = tmin AS balanced, kept AND {C.pvalue_sql()} > {C.SIGLEVEL} AS is_clonal FROM ({C.tested_sql('at_opt')})""")
 def q_segment_clonal(spark, d):
     rows = clonal_segments(spark, d).join(_planted_point(spark, d), "sample_id")
     return T.segment_clonal(rows, P.gamma, P.siglevel_baf, P.maxdist_baf).select(
         "sample_id", "seg_idx", "nmaj_test", "nmin_test", "pval", "balanced", "is_clonal")
 
 
-@register("std_error")
+@register("std_error", ctes=DAY_CTES, doubles=["tvar"], sql=f"SELECT sample_id, seg_idx, tvar, included FROM ({C.std_error_sql('at_opt')})")
 def q_std_error(spark, d):
     rows = clonal_segments(spark, d).join(_planted_point(spark, d), "sample_id")
     return T.standardised_error(rows, P.gamma).select("sample_id", "seg_idx", "tvar", "included")
 
 
-@register("ln_ratio")
+@register("ln_ratio", ctes=DAY_CTES, doubles=["likelihood", "ln_ratio"],
+          sql=f"SELECT sample_id, seg_idx, likelihood, ln_ratio FROM ({C.likelihood_sql('at_opt', False)})")
 def q_ln_ratio(spark, d):
     rows = clonal_segments(spark, d).join(_planted_point(spark, d), "sample_id")
     return T.ln_likelihood_ratio(rows, P.gamma, read_depth=30).select("sample_id", "seg_idx", "likelihood", "ln_ratio")
@@ -104,7 +123,7 @@ def q_ref_segment_refine(spark, d):
     return T.ref_segment_refine(segs, T.reference_segment(segs, cen, P), P)
 
 
-@register("psi_t")
+@register("psi_t", ctes=DAY_CTES + [("pt", C.psi_t_sql("at_opt"))], doubles=["psi_t"], sql="SELECT sample_id, psi_t FROM pt")
 def q_psi_t(spark, d):
     return T.psi_t(clonal_segments(spark, d), _planted_point(spark, d), P)
 
