@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from baflow.operators import fit as T
-from baflow.plans.q_fit import OPT_CTES, P, COARSE, _dist1, matched, planted
+from baflow.plans.q_fit import COARSE, OPT_CTES, P, RUN_CTES, _dist1, matched
 from baflow.plans import sql_clonal as C
 from baflow.plans.registry import register
 from baflow.plans.sql_fit import D, bounds_sql
@@ -146,11 +146,18 @@ def q_reliability(spark, d):
                       "confidenceR", "confidenceBAF")
 
 
-@register("run_clonal")
+FIT_CTES = RUN_CTES + [
+    ("rseg_all", """SELECT r.*, p.size, p.mean, p.sd FROM runs r JOIN (
+  SELECT sample_id, baf_seg AS b, count(*) AS size, avg(baf_phased) AS mean, stddev_samp(baf_phased) AS sd FROM matched GROUP BY 1, 2) p
+ON p.sample_id = r.sample_id AND p.b = r.b"""),
+    ("rseg", "SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY seg_id) AS seg_idx FROM rseg_all WHERE length > 1")] + C.fit_ctes("rseg", P, COARSE)
+
+
+@register("run_clonal", ctes=FIT_CTES, doubles=C.RUN_DOUBLES, sql="SELECT * FROM rc")
 def q_run_clonal(spark, d):
     return T.fit_copy_number(matched(spark, d), P)["run_clonal"]
 
 
-@register("rho_psi")
+@register("rho_psi", ctes=FIT_CTES, doubles=["rho", "psi", "ploidy", "distance"], sql="SELECT * FROM rho_psi")
 def q_rho_psi(spark, d):
     return T.fit_copy_number(matched(spark, d), P)["rho_psi"]

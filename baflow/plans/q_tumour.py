@@ -110,10 +110,6 @@ def q_tumour_psi_t(spark, d):
     return T.psi_t(segs, T.centroid_optimum(grid).select("sample_id", "rho", "psi"), P)
 
 
-RC_DOUBLES = ["psi_grid", "rho_without_ref", "goodness_grid", "ploidy_without_ref", "psi_t", "distance_without_ref", "psi_ref", "rho_ref", "ploidy_ref",
-              "distance", "psi_without_ref"]
-
-
 @register("tumour_profile", ctes=FIT_CTES + AT_OPT, doubles=["n_a", "n_b", "n_total"], sql="""SELECT sample_id, seg_id, x_end - length AS x_start, x_end, n_a, n_b, n_a + n_b AS n_total
 FROM (SELECT *, CAST(sum(length) OVER (PARTITION BY sample_id ORDER BY seg_id) AS BIGINT) AS x_end,
   greatest(round_even((rho - 1 - ((1 - b) - 1) * pow(2.0::DOUBLE, r) * ((1 - rho) * 2 + rho * psi)) / rho, 0), 0.0) AS n_a,
@@ -124,7 +120,7 @@ def q_tumour_profile(spark, d):
     return PF.profile_frame(rel).drop("confidenceR", "confidenceBAF")
 
 
-@register("tumour_run_clonal", ctes=FIT_CTES, doubles=RC_DOUBLES, sql="SELECT * FROM rc")
+@register("tumour_run_clonal", ctes=FIT_CTES, doubles=C.RUN_DOUBLES, sql="SELECT * FROM rc")
 def q_tumour_run_clonal(spark, d):
     return fitted(spark, d)["run_clonal"]
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from baflow.plans.sql_fit import D, bounds_sql, cells_sql, distance_sql, minima_sql, optimum_sql
 
+RUN_DOUBLES = ["psi_grid", "rho_without_ref", "goodness_grid", "ploidy_without_ref", "psi_t", "distance_without_ref", "psi_ref", "rho_ref", "ploidy_ref",
+               "distance", "psi_without_ref"]
 UNINFORMATIVE, SIGLEVEL, MAXDIST, DEPTH = 0.51, 0.05, 0.01, 30
 
 
