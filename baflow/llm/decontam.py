@@ -7,23 +7,22 @@ distance. Bit sampling on the embeddings gives locality-sensitive keys: ``WALKS`
 items from the tables, and a retrieved item is verified by its exact edit distance to the best substring
 around the window (at most ``EDITS`` of its length).
 
-Windows start where an item could lie: long words (``WORD_BYTES``) and long pairs of neighbouring words
-(``PAIR_BYTES``) that occur in some item vote for the start that they imply, and a start needs a sixteenth of the item's
-votes (two at least) within ``NEAR`` words. Items with fewer than ``FEW`` such seeds, and texts in scripts without blanks
-(words of ``RUN_BYTES`` on average), vote with all their runs of ``GRAM`` bytes instead (``TINY`` bytes for items of a few bytes): an
-eighth of them (two at least) within ``GRAM_NEAR`` bytes. Inserted words move the implied start, the more the longer an
-item is, so an item of two or more times ``PART`` characters is indexed by parts of about that length, each with votes and keys of its
-own; a part that is retrieved has the whole item verified. This places the windows; what is reported is what tables and
-verification find. Recall on items with edited characters is measured in the tests.
-
-Comparison is on lower-cased text with single blanks. The index of the items is sent to all tasks in slices of
-at most ``SLICE_BYTES`` of item text; more slices mean more passes, never fewer items. Null or empty items match
+Windows start where an item could lie: runs of bytes that occur in some item vote for the start that they imply, and a
+start needs the share ``SHARE`` of the item's runs (two at least, where it has two) within ``NEAR`` bytes and a sixteenth of its size. One
+rule holds for all items and scripts: runs have 8 bytes, for items of less than 96 bytes fewer (``GRAMS``), so that enough of them outlive
+edits up to ``EDITS``. Inserted words move the implied start, the more the longer an item is, so items are indexed by parts of about ``PART``
+characters, each with votes and keys of its own; a part that is retrieved has the whole item verified. This places the windows;
+what is reported is what tables and verification find. Recall at rates up to ``EDITS`` is measured in the tests.
+
+Comparison is on lower-cased text with single blanks. The index of the items (sorted arrays: one entry per run of bytes and
+one per table and part) is sent to all tasks in slices of about ``INDEX_BYTES``; more slices mean more passes, never fewer items. Null or empty items match
 nothing; an item of a single word needs that word as it is or by edits. Null and empty documents have no leak.
 Repeated rows, null ids, and extra columns change nothing; an empty benchmark leaves every document clean.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -33,17 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from baflow.llm.common import map_texts
-from baflow.llm.words import mix, word_hashes
+from baflow.llm.words import mix
 
 EDITS = 0.2
 WALKS, TABLES, BITS = 8, 12, 3
-WORD_BYTES, PAIR_BYTES = 7, 10
-NEAR = 2
-FEW, RUN_BYTES = 4, 24
-GRAM, TINY, GRAM_NEAR = 6, 3, 16
-GRAM_SLICE = 500_000
+GRAMS = ((96, 8), (48, 6), (16, 4), (0, 3))      # (least bytes of an item or part, bytes of a run)
+SHARE, NEAR = 1 / 10, 12
+GRAM_SLICE = 2_000_000
 PART = 256
-SLICE_BYTES = 16_000_000
+INDEX_BYTES = 128_000_000
+RUN_COST, KEY_COST = 16, 12                      # bytes of an index entry for a run, for a table
 _BLANK = re.compile(r"[\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -110,68 +108,71 @@ class Walks:
         return out
 
 
-def _seeds(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, word place in its text, text) of every seed: long words and pairs of neighbouring words."""
-    h, first, start = word_hashes(texts)
-    n = np.diff(first)
-    doc = np.repeat(np.arange(len(n)), n)
-    place = np.arange(len(h)) - np.repeat(first[:-1], n)
-    with np.errstate(over="ignore"):
-        pair = mix(h[:-1] * np.uint64(5) + mix(h[1:])) if len(h) else h
-    a = texts.cast(pa.binary()).fill_null(b"")
-    off = np.frombuffer(a.buffers()[1], "<i4")[a.offset:a.offset + len(a) + 1].astype("i8")
-    # bytes up to the next word (or the end of the text), blanks included
-    size = np.r_[start[1:], off[-1] - off[0]][:len(h)] - start
-    size[first[1:][n > 0] - 1] += 1
-    inner = np.flatnonzero((doc[1:] == doc[:-1]) & (size[1:] + size[:-1] > PAIR_BYTES + 1))
-    long = np.flatnonzero(size > WORD_BYTES)
-    return (np.concatenate([pair[inner], h[long]]), np.concatenate([place[inner], place[long]]),
-            np.concatenate([doc[inner], doc[long]]))
-
-
-_GRAM_BYTE = np.random.default_rng(17).integers(1, 1 << 63, (GRAM, 256), dtype="u8")
-
-
-def _grams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, byte place, text) of every run of ``n`` bytes of normal texts, a blank on either side included."""
-    raw = [b" %b " % t.encode("utf-8", "replace") for t in texts]
-    data = np.frombuffer(b"".join(raw), "u1")
-    size = np.array([len(r) for r in raw], "i8")
-    doc = np.repeat(np.arange(len(raw)), size)
-    place = np.arange(len(data)) - np.repeat(size.cumsum() - size, size)
-    h = np.full(max(0, len(data) - n + 1), n, "u8")
+_LOWER_BYTE = np.arange(256, dtype="u1")
+_LOWER_BYTE[65:91] += 32
+_LOWER_BYTE[9:14] = 32
+_END = 255                                       # stands between texts; no byte of UTF-8
+
+
+def _runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Eight bytes from every place of the normal texts on, and the places of the ends of texts.
+
+    Texts are lower-cased, blanks single, one blank on either side; runs over the end of a text hold the end mark.
+    """
+    data = _LOWER_BYTE[np.frombuffer(b" " + b" \xff ".join(texts) + b" \xff", "u1")]
+    blank = data == 32
+    data = data[~np.r_[False, blank[1:] & blank[:-1]]]
+    n = len(data)
+    wide = np.r_[data, np.full(15, _END, "u1")]
+    run = np.empty((n + 7) // 8 * 8, "<u8")
+    for k in range(8):
+        run[k::8] = wide[k:k + len(run)].view("<u8")
+    return run[:n], np.flatnonzero(data == _END)
+
+
+def _gate(key: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        for k in range(n):
-            h += _GRAM_BYTE[k][data[k:len(h) + k]]
-        h = mix(h)
-    some = np.flatnonzero(doc[:len(h)] == doc[n - 1:n - 1 + len(h)])
-    return h[some], place[some], doc[some]
+        return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype("i8")
 
 
 @dataclass
 class Seeds:
-    """Seeds of one kind in order of their keys."""
+    """Runs of one length in order of their bytes."""
 
+    size: int
     key: np.ndarray
     item: np.ndarray
     place: np.ndarray
     gate: np.ndarray
 
     @classmethod
-    def of(cls, key: np.ndarray, place: np.ndarray, item: np.ndarray) -> Seeds:
+    def of(cls, size: int, texts: list[bytes], item: np.ndarray) -> Seeds:
+        """Seeds of ``texts``, which are the items of the numbers ``item``."""
+        run, end = _runs(texts)
+        at = np.arange(len(run))
+        owner = np.searchsorted(end, at)
+        at = at[at + size <= end[owner]]
+        owner, key = owner[at], cls.cut(run[at], size)
         order = np.argsort(key, kind="stable")
         gate = np.zeros(1 << 22, bool)
-        gate[(key >> np.uint64(42)).astype("i8")] = True
-        return cls(key[order], item[order], place[order], gate)
+        gate[_gate(key)] = True
+        place = at - np.r_[0, end[:-1] + 1][owner]
+        return cls(size, key[order], item[owner[order]].astype("i4"), place[order].astype("i4"), gate)
+
+    @staticmethod
+    def cut(run: np.ndarray, size: int) -> np.ndarray:
+        return run & np.uint64((1 << 8 * size) - 1)
 
-    def starts(self, key: np.ndarray, place: np.ndarray, doc: np.ndarray, need: np.ndarray, near: int) -> list[tuple[int, int, int]]:
+    def starts(self, run: np.ndarray, end: np.ndarray, need: np.ndarray, near: np.ndarray) -> list[tuple[int, int, int]]:
         """(text, item, start) of every start with ``need`` votes within ``near``."""
-        some = np.flatnonzero(self.gate[(key >> np.uint64(42)).astype("i8")])
+        key = self.cut(run, self.size)
+        some = np.flatnonzero(self.gate[_gate(key)])
         lo, hi = (np.searchsorted(self.key, key[some], side) for side in ("left", "right"))
         n = hi - lo
         entry = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(n.cumsum() - n, n)
         src = np.repeat(some, n)
-        d, i, start = doc[src], self.item[entry], place[src] - self.place[entry]
+        d = np.searchsorted(end, src)
+        i, start = self.item[entry].astype("i8"), src - np.r_[0, end[:-1] + 1][d] - self.place[entry]
         order = np.lexsort((start, i, d))
         d, i, start = d[order], i[order], start[order]
         if not len(d):
@@ -179,7 +180,7 @@ class Seeds:
         # votes near each vote, for the same text and item
         group = np.r_[0, ((d[1:] != d[:-1]) | (i[1:] != i[:-1])).cumsum()]
         line = group * (1 << 40) + start + (1 << 39)
-        count = np.searchsorted(line, line + near, "right") - np.searchsorted(line, line - near, "left")
+        count = np.searchsorted(line, line + near[i], "right") - np.searchsorted(line, line - near[i], "left")
         ok = np.flatnonzero((count >= need[i]) & np.r_[True, line[1:] != line[:-1]])
         return list(zip(d[ok].tolist(), i[ok].tolist(), start[ok].tolist(), strict=True))
 
@@ -197,18 +198,19 @@ def _parts(text: str) -> list[tuple[int, str]]:
 
 @dataclass
 class Index:
-    """Items of one slice: their parts (id, text, item and place in it), seeds and tables."""
+    """Items of one slice: their parts (id, text, item and place in it), seeds by length of run, and tables as sorted keys."""
 
     ids: list[int]
     texts: list[str]
     whole: list[str]
     item: list[int]
     offset: list[int]
-    words: Seeds
-    grams: dict[int, Seeds]
+    seeds: list[Seeds]
     need: np.ndarray
+    near: np.ndarray
     walks: Walks
-    tables: dict[int, list[int]]
+    key: np.ndarray
+    part: np.ndarray
 
     @classmethod
     def of(cls, ids: list[int], texts: list[str]) -> Index:
@@ -216,93 +218,95 @@ class Index:
         parts = [(k, at, t) for k, text in enumerate(whole) for at, t in _parts(text)]
         owner, offset, texts = ([x[c] for x in parts] for c in range(3))
         ids = [ids[k] for k in owner]
-        words = [t.split(" ") for t in texts]
-        size = np.array([len(t.encode("utf-8", "replace")) for t in texts], "i8")
-        key, place, item = _seeds(pa.array(texts, pa.string()))
-        bare = (np.bincount(item, minlength=len(texts)) < FEW) | (size > RUN_BYTES * np.array([len(w) for w in words], "i8"))
-        regular = np.flatnonzero(~bare[item])
-        votes = np.bincount(item[regular], minlength=len(texts))
-        need = np.minimum(votes, np.maximum(2, votes // 16))
-        grams = {}
-        for n, some in ((GRAM, bare & (size > GRAM)), (TINY, bare & (size <= GRAM))):
-            at = np.flatnonzero(some & (size > 0))
+        raw = [t.encode("utf-8", "replace") for t in texts]
+        size = np.array([len(t) for t in raw], "i8")
+        near = NEAR + size // 16
+        need = np.ones(len(raw), "i8")
+        seeds, above = [], np.inf
+        for least, n in GRAMS:
+            at = np.flatnonzero((size >= max(1, least)) & (size < above))
+            above = least
             if len(at):
-                k, p, i = _grams([texts[x] for x in at], n)
-                grams[n] = Seeds.of(k, p, at[i])
-                votes = np.bincount(i)
-                need[at] = np.minimum(votes, np.maximum(2, votes // 8)) if n == GRAM else 1
+                seeds.append(Seeds.of(n, [raw[k] for k in at], at))
+                votes = np.bincount(seeds[-1].item, minlength=len(raw))[at]
+                need[at] = np.minimum(votes, np.maximum(2, votes * SHARE)) if least else 1
         walks = Walks(max(map(len, texts), default=1))
-        tables: dict[int, list[int]] = {}
-        for k, row in enumerate(walks.keys(texts, np.array([len(t) for t in texts], "i8"))):
-            for t in row.tolist():
-                tables.setdefault(t, []).append(k)
-        return cls(ids, texts, whole, owner, offset, Seeds.of(key[regular], place[regular], item[regular]), grams, need, walks, tables)
-
-    def windows(self, texts: pa.Array) -> list[tuple[int, int, int, bool]]:
-        """(text, item, first word or byte, whether it is a byte) of every start with enough votes."""
-        out = [(*x, False) for x in self.words.starts(*_seeds(texts), self.need, NEAR)]
-        lo = 0
-        while self.grams and lo < len(texts):
-            plain, size, hi = [], 0, lo
-            while hi < len(texts) and (hi == lo or size < GRAM_SLICE):
-                plain.append(" ".join(normal_words(texts[hi].as_py() or "")))
-                size += len(plain[-1])
-                hi += 1
-            for n, seeds in self.grams.items():
-                out += [(lo + d, i, s, True) for d, i, s in seeds.starts(*_grams(plain, n), self.need, GRAM_NEAR)]
+        keys = [walks.keys(texts[k:k + 2000], np.array([len(t) for t in texts[k:k + 2000]], "i8")) for k in range(0, len(texts), 2000)]
+        key = np.concatenate(keys).ravel() if keys else np.empty(0, "u8")
+        order = np.argsort(key, kind="stable")
+        return cls(ids, texts, whole, owner, offset, seeds, need, near, walks, key[order], (order // (WALKS * TABLES)).astype("i4"))
+
+    def windows(self, texts: pa.Array) -> list[tuple[int, int, int]]:
+        """(text, item, first byte) of every start with enough votes."""
+        out, lo = [], 0
+        raw = texts.cast(pa.binary()).fill_null(b"")
+        size = np.diff(np.frombuffer(raw.buffers()[1], "<i4")[raw.offset:raw.offset + len(raw) + 1]).cumsum() if len(raw) else []
+        while lo < len(texts):
+            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + GRAM_SLICE, "right")))
+            run, end = _runs(raw[lo:hi].to_pylist())
+            for seeds in self.seeds:
+                out += [(lo + d, i, s) for d, i, s in seeds.starts(run, end, self.need, self.near)]
             lo = hi
         return sorted(out)
 
+    def retrieved(self, strings: list[str], size: np.ndarray) -> list[tuple[int, int]]:
+        """(string, part) of every part that shares a key with a string."""
+        key = self.walks.keys(strings, size)
+        lo, hi = (np.searchsorted(self.key, key.ravel(), side) for side in ("left", "right"))
+        n = hi - lo
+        entry = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(n.cumsum() - n, n)
+        pair = np.unique(np.repeat(np.arange(len(n)) // key.shape[1], n) * len(self.texts) + self.part[entry])
+        return list(zip((pair // len(self.texts)).tolist(), (pair % len(self.texts)).tolist(), strict=True))
+
     def leaks(self, texts: pa.Array, edits: float) -> list[list[tuple[int, int, int]]]:
         """Per text (item id, edit distance, item length) of every item found in it."""
         found: list[dict] = [{} for _ in range(len(texts))]
         near = self.windows(texts)
         for lo in range(0, len(near), 2000):
-            part = [x for x in near[lo:lo + 2000] if self.ids[x[1]] not in found[x[0]]]
+            windows = [x for x in near[lo:lo + 2000] if self.ids[x[1]] not in found[x[0]]]
             strings, spans = [], []
-            cache: dict[int, tuple[str, list[int]]] = {}
+            cache: dict[int, tuple[str, np.ndarray | None]] = {}
             tried: set[tuple[int, int, int, int]] = set()
-            for d, i, s, byte in part:
+            for d, i, s in windows:
                 if d not in cache:
-                    words = normal_words(texts[d].as_py())
-                    cache[d] = (" ".join(words), np.r_[0, np.cumsum([len(w) + 1 for w in words])].tolist())
-                text, at = cache[d]
-                if byte:
-                    a = s if text.isascii() else len(text.encode("utf-8", "replace")[:max(s, 0)].decode("utf-8", "ignore"))
-                    a = min(max(a, 0), len(text))
-                else:
-                    a = at[min(max(s, 0), len(at) - 1)]
+                    text = " ".join(normal_words(texts[d].as_py()))
+                    lead = None if text.isascii() else (np.frombuffer(text.encode(), "u1") & 0xC0) != 0x80
+                    cache[d] = text, None if lead is None else np.r_[0, lead.cumsum()]
+                text, place = cache[d]
+                a = max(s, 0) if place is None else int(place[min(max(s, 0), len(place) - 1)])
+                a = min(a, len(text))
                 strings.append(text[a:a + len(self.texts[i])])
                 spans.append((d, a))
-            size = np.array([len(self.texts[i]) for _, i, *_ in part], "i8")
-            for (d, a), row, n in zip(spans, self.walks.keys(strings, size).tolist(), size.tolist(), strict=True):
-                for k in {k for t in row for k in self.tables.get(t, ())}:
-                    item = self.whole[self.item[k]]
-                    if self.ids[k] in found[d] or not item:
-                        continue
-                    most = int(edits * len(item))
-                    slack = most + 12
-                    start, stop = a - self.offset[k] - slack, a - self.offset[k] + len(item) + slack
-                    if len(item) >= 2 * PART:                  # parts of one copy share a span: it is looked at once
-                        start, stop = start // slack * slack, -(-stop // slack) * slack
-                    span = (d, self.item[k], max(0, start), max(0, stop))
-                    if span in tried:
-                        continue
-                    tried.add(span)
-                    dist, _ = infix_distance(item, cache[d][0][span[2]:span[3]], most)
-                    if dist <= most:
-                        found[d][self.ids[k]] = (self.ids[k], dist, len(item))
+            if not windows:
+                continue
+            for w, k in self.retrieved(strings, np.array([len(self.texts[i]) for _, i, _ in windows], "i8")):
+                d, a = spans[w]
+                item = self.whole[self.item[k]]
+                if self.ids[k] in found[d] or not item:
+                    continue
+                most = int(edits * len(item))
+                slack = most + int(self.near[k])
+                # windows of one copy share a span: it is looked at once
+                start = (a - self.offset[k] - slack) // slack * slack
+                stop = -(-(a - self.offset[k] + len(item) + slack) // slack) * slack
+                span = (d, self.item[k], max(0, start), max(0, stop))
+                if span in tried:
+                    continue
+                tried.add(span)
+                dist, _ = infix_distance(item, cache[d][0][span[2]:span[3]], most)
+                if dist <= most:
+                    found[d][self.ids[k]] = (self.ids[k], dist, len(item))
         return [sorted(f.values()) for f in found]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), edits: float = EDITS,
-               slice_bytes: int = SLICE_BYTES, into: str = "leaks") -> DataFrame:
+               index_bytes: int = INDEX_BYTES, into: str = "leaks") -> DataFrame:
     """``keep`` columns of every row and column ``into``: (item_id, distance, length) of each item found in it."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(
         "item_id is not null and trim(text) <> ''").distinct()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slices = max(1, -(-size // slice_bytes))
+    cost = F.octet_length("text") * RUN_COST + (1 + F.length("text") / PART) * (WALKS * TABLES * KEY_COST)
+    slices = max(1, math.ceil((items.agg(F.sum(cost)).first()[0] or 0) / index_bytes))
     out = docs.select(*(c for c in keep if c != "text"), F.col("text").cast("string").alias("text"), F.array().cast(
         "array<struct<item_id:bigint,distance:int,length:int>>").alias(into))
     for k in range(slices):

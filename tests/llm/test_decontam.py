@@ -43,7 +43,7 @@ def test_recall_on_edited_items():
     items = pd.read_parquet(f"{SMALL}/benchmark.parquet")
     index = decontam.Index.of(items["item_id"].tolist(), items["text"].tolist())
     hosts = [t for t in documents()["text"] if len(t) > 800][:60]
-    for share, least in ((0.0, 1.0), (0.05, 0.95), (0.1, 0.85)):
+    for share, least in ((0.0, 1.0), (0.05, 0.98), (0.1, 0.95), (0.15, 0.93), (0.18, 0.9), (0.2, 0.9)):
         picks = [rng.randrange(len(items)) for _ in range(150)]
         texts = []
         for n, k in enumerate(picks):
@@ -69,8 +69,8 @@ def test_odd_rows_slices_and_empty(spark):
     docs = odd_documents(spark)
     items = spark.createDataFrame([(1, "the cat and the dog the cat and the dog"), (2, None), (3, ""), (None, "x y"), (4, "zebra")],
                                   "item_id long, text string")
-    for size in (16_000_000, 20):
-        got = decontam.find_leaks(docs, items, slice_bytes=size).collect()
+    for size in (decontam.INDEX_BYTES, 2000):
+        got = decontam.find_leaks(docs, items, index_bytes=size).collect()
         assert {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in got if r["leaks"]} == {5: [1]}
         assert len(got) == docs.count()
     kept = decontam.clean(docs, items)
@@ -118,3 +118,27 @@ def test_recall_on_long_items_with_inserted_words():
     assert [k for k, got in zip(want, found, strict=True) if k not in [f[0] for f in got]] == []
     # a part of a long item alone is no leak
     assert not any(index.leaks(pa.array([f"{host} {items[2][:1500]} {host}", host]), decontam.EDITS))
+
+
+def test_reports_equal_brute_force_distances():
+    rng = random.Random(8)
+    items = pd.read_parquet(f"{SMALL}/benchmark.parquet")["text"].tolist()[:12]
+    index = decontam.Index.of(list(range(len(items))), items)
+    plain = [" ".join(decontam.normal_words(t)) for t in items]
+    for k, item in enumerate(items):
+        for share in (0.0, 0.1, 0.18):
+            text = f"before it {_edit(rng, item, share)} and after"
+            want = infix(plain[k], " ".join(decontam.normal_words(text)))
+            got = {i: d for i, d, _ in index.leaks(pa.array([text]), decontam.EDITS)[0]}
+            assert want > decontam.EDITS * len(plain[k]) or got.get(k, want) == want
+            assert set(got) <= {j for j, t in enumerate(plain) if infix(t, " ".join(decontam.normal_words(text))) <= decontam.EDITS * len(t)}
+
+
+def test_index_takes_the_room_it_is_cut_for():
+    rng = random.Random(9)
+    items = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.choice((5, 40, 300, 3000)))) for _ in range(1500)]
+    index = decontam.Index.of(list(range(len(items))), items)
+    held = sum(x.nbytes for s in index.seeds for x in (s.key, s.item, s.place)) + index.key.nbytes + index.part.nbytes
+    cost = sum(len(t.encode()) * decontam.RUN_COST + (1 + len(t) / decontam.PART) * decontam.WALKS * decontam.TABLES * decontam.KEY_COST
+               for t in items)
+    assert held <= 1.1 * cost
