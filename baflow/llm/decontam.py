@@ -41,7 +41,7 @@ SHARE, NEAR = 1 / 10, 12
 GRAM_SLICE = 2_000_000
 PART = 256
 INDEX_BYTES = 128_000_000
-RUN_COST, KEY_COST = 16, 12                      # bytes of an index entry for a run, for a table
+RUN_COST, KEY_COST = 20, 12                      # bytes of an index entry for a run, for a table
 _BLANK = re.compile(r"[\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -73,6 +73,18 @@ def infix_distance(item: str, text: str, most: int) -> tuple[int, int]:
     return best, end
 
 
+def _triples(text: str) -> np.ndarray:
+    """Every three neighbouring characters as one number."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype("u8")
+    return c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:]
+
+
+def near_enough(item: np.ndarray, text: np.ndarray, most: int) -> bool:
+    """False where too few triples of the item occur in the text: each of ``most`` edits can spoil three of them."""
+    least = len(item) - 3 * most
+    return least <= 0 or int(np.isin(item, text).sum()) >= least
+
+
 class Walks:
     """Random walks and sampled places, the same on every worker."""
 
@@ -143,6 +155,7 @@ class Seeds:
     key: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    same: np.ndarray             # how many entries have the same bytes
     gate: np.ndarray
 
     @classmethod
@@ -157,32 +170,42 @@ class Seeds:
         gate = np.zeros(1 << 22, bool)
         gate[_gate(key)] = True
         place = at - np.r_[0, end[:-1] + 1][owner]
-        return cls(size, key[order], item[owner[order]].astype("i4"), place[order].astype("i4"), gate)
+        key = key[order]
+        same = (np.searchsorted(key, key, "right") - np.searchsorted(key, key)).astype("i4")
+        return cls(size, key, item[owner[order]].astype("i4"), place[order].astype("i4"), same, gate)
 
     @staticmethod
     def cut(run: np.ndarray, size: int) -> np.ndarray:
         return run & np.uint64((1 << 8 * size) - 1)
 
     def starts(self, run: np.ndarray, end: np.ndarray, need: np.ndarray, near: np.ndarray) -> list[tuple[int, int, int]]:
-        """(text, item, start) of every start with ``need`` votes within ``near``."""
+        """(text, item, start) of starts with ``need`` votes within ``near``."""
         key = self.cut(run, self.size)
         some = np.flatnonzero(self.gate[_gate(key)])
-        lo, hi = (np.searchsorted(self.key, key[some], side) for side in ("left", "right"))
-        n = hi - lo
-        entry = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(n.cumsum() - n, n)
-        src = np.repeat(some, n)
-        d = np.searchsorted(end, src)
-        i, start = self.item[entry].astype("i8"), src - np.r_[0, end[:-1] + 1][d] - self.place[entry]
-        order = np.lexsort((start, i, d))
-        d, i, start = d[order], i[order], start[order]
-        if not len(d):
-            return []
-        # votes near each vote, for the same text and item
-        group = np.r_[0, ((d[1:] != d[:-1]) | (i[1:] != i[:-1])).cumsum()]
-        line = group * (1 << 40) + start + (1 << 39)
-        count = np.searchsorted(line, line + near[i], "right") - np.searchsorted(line, line - near[i], "left")
-        ok = np.flatnonzero((count >= need[i]) & np.r_[True, line[1:] != line[:-1]])
-        return list(zip(d[ok].tolist(), i[ok].tolist(), start[ok].tolist(), strict=True))
+        key = key[some]
+        lo = np.searchsorted(self.key, key)
+        some, lo = (x[self.key[np.minimum(lo, len(self.key) - 1)] == key] for x in (some, lo))
+        n = self.same[lo]
+        entry = np.repeat(lo - n.cumsum() + n, n) + np.arange(n.sum())
+        # places of the starts of all items on one line, texts and items so far apart that no votes of two come near each other
+        gap = 4 * (int(self.place.max(initial=0)) + int(near.max(initial=0)) + 1)
+        text = np.searchsorted(end, some)
+        reach = len(run) + (len(end) + 1) * gap
+        line = np.repeat(some + (text + 1) * gap, n) - self.place[entry] + self.item[entry].astype("i8") * reach
+        line.sort()
+        item = line // reach
+        count = np.searchsorted(line, line + near[item], "right") - np.searchsorted(line, line - near[item], "left")
+        ok = np.flatnonzero((count >= need[item]) & np.r_[True, line[1:] != line[:-1]][:len(line)])
+        item, at = item[ok], line[ok] % reach
+        text = np.searchsorted(end + np.arange(1, len(end) + 1) * gap + gap // 2, at)
+        start = at - (text + 1) * gap - np.r_[0, end[:-1] + 1][text]
+        # of the starts of one stretch of ``near`` bytes the one on which most votes agree
+        agree = np.searchsorted(line, line[ok] + 2, "right") - np.searchsorted(line, line[ok] - 2, "left")
+        cell = start // near[item]
+        best = np.lexsort((start, -agree, cell, item, text))
+        text, item, start, cell = (x[best] for x in (text, item, start, cell))
+        first = np.r_[True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (cell[1:] != cell[:-1])][:len(text)]
+        return list(zip(text[first].tolist(), item[first].tolist(), start[first].tolist(), strict=True))
 
 
 def _parts(text: str) -> list[tuple[int, str]]:
@@ -267,6 +290,7 @@ class Index:
             strings, spans = [], []
             cache: dict[int, tuple[str, np.ndarray | None]] = {}
             tried: set[tuple[int, int, int, int]] = set()
+            triples: dict[int, np.ndarray] = {}
             for d, i, s in windows:
                 if d not in cache:
                     text = " ".join(normal_words(texts[d].as_py()))
@@ -293,7 +317,12 @@ class Index:
                 if span in tried:
                     continue
                 tried.add(span)
-                dist, _ = infix_distance(item, cache[d][0][span[2]:span[3]], most)
+                near_text = cache[d][0][span[2]:span[3]]
+                if self.item[k] not in triples:
+                    triples[self.item[k]] = _triples(item)
+                if not near_enough(triples[self.item[k]], _triples(near_text), most):
+                    continue
+                dist, _ = infix_distance(item, near_text, most)
                 if dist <= most:
                     found[d][self.ids[k]] = (self.ids[k], dist, len(item))
         return [sorted(f.values()) for f in found]
