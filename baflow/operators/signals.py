@@ -16,6 +16,15 @@ def _allele(idx: Column, prefix: str) -> Column:
     return F.when(idx.between(1, 4), F.element_at(arr, idx))
 
 
+def allele_quality(loci: DataFrame) -> DataFrame:
+    """UDF-01: per chromosome the loci, and those whose a0 or a1 is no allele index (null or not 1..4).
+
+    ``allele_pair_counts`` gives null counts at the latter, which every filter on depth then drops.
+    """
+    good = F.coalesce(F.col("a0").between(1, 4) & F.col("a1").between(1, 4), F.lit(False))
+    return loci.groupBy("chrom").agg(F.count("*").alias("n_loci"), F.count_if(~good).alias("n_bad_alleles"))
+
+
 def allele_pair_counts(counts: DataFrame, loci: DataFrame) -> DataFrame:
     """Counts of the reference pair a0/a1 in tumour and normal at each locus (SIG-01).
 

@@ -95,6 +95,7 @@ class Run(Mapping):
             if "impute_info" in t:
                 out["panel"] = (("impute_info", "sex"), (), False, H.panel_files)
         # PIPE-02 counting
+        out["allele_quality"] = (("loci",), (), False, S.allele_quality)
         out["counts"] = (("bases", "loci"), (p.min_baseq, p.min_mapq), True, lambda b, loci: P.pileup_counts(b, loci, p.min_baseq, p.min_mapq))
         out["signal"] = (("counts", "loci"), (p.min_counts, p.seed, str(self.side)), True, lambda counts, loci: S.logr_normalised(S.baf_side(
             cut_lineage(S.min_depth(S.allele_pair_counts(counts, loci), p.min_counts)), self.side, p.seed)))

@@ -42,6 +42,7 @@ def test_given_tables_stand_for_stages(spark):
     counts = run(t, RunParams(min_baseq=20, min_mapq=0), side())["counts"]
     r = run({"counts": counts, "loci": t["loci"]}, RunParams(min_counts=3), side())
     assert r["counts"] is counts and "het_baf" not in r and "copy_number" not in r and "signal_mutant_baf" in r
+    assert r["allele_quality"].agg({"n_loci": "sum"}).first()[0] == t["loci"].count()
     assert r["signal_mutant_baf"].columns == ["sample_id", "chrom", "position", "value"]
 
 

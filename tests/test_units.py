@@ -23,6 +23,9 @@ def test_allele_index_out_of_range_is_null(spark):
     loci = spark.createDataFrame([("1", 1, 0, 5), ], "chrom string, position int, a0 int, a1 int")
     r = S.allele_pair_counts(counts, loci).collect()[0]
     assert r["mut_count1"] is None and r["mut_count2"] is None
+    more = loci.union(spark.createDataFrame([("1", 2, 1, 4), ("1", 3, None, 2), ("2", 1, 3, 1)], loci.schema))
+    assert sorted(map(tuple, S.allele_quality(more).collect())) == [("1", 3, 2), ("2", 1, 0)]
+    assert S.allele_quality(loci.where("false")).count() == 0
     loci2 = spark.createDataFrame([("1", 1, 2, 4)], "chrom string, position int, a0 int, a1 int")
     r = S.allele_pair_counts(counts, loci2).collect()[0]
     assert (r["mut_count1"], r["mut_count2"], r["total_normal"]) == (20, 40, 60)
