@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from baflow.llm import secret_scan
+from baflow.llm import secret_scan, trees
 from baflow.llm.common import read
 from baflow.llm.queries import QUERIES
 from tests.llm.helpers import documents, odd_documents
@@ -51,6 +51,19 @@ def test_rare_secrets_are_learned_at_any_size(spark):
         assert {r["doc_id"] for r in secret_scan.scan(docs, model).collect()} >= {1000, 1001, 1002, 2000, 2039}
 
 
+def test_every_row_is_learned_from(spark):
+    docs = spark.range(30_000).selectExpr(
+        "id as doc_id", "'s' as source", "concat('plain words id=', id, if(id % 10000 = 7, ' zebrafish', '')) as text")
+    assert "zebrafish" in secret_scan.train(docs).words         # three documents of 30,000
+    # a rule of two features, whatever the partitions
+    rows = spark.range(40_000).selectExpr("array(cast(id % 17 as double), cast(id % 29 as double), cast(id % 1000 as double)) as x",
+                                          "cast(id % 17 > 5 and id % 29 < 9 as double) as y", "xxhash64(id) as row")
+    one, other = trees.forest(rows.repartition(3), trees=30), trees.forest(rows.coalesce(1), trees=30)
+    x = np.array([[a, b, c] for a in range(17) for b in range(29) for c in (10.0, 999.0)])
+    assert (one.predict(x) == other.predict(x)).all()
+    assert ((one.predict(x) >= 0.5) == ((x[:, 0] > 5) & (x[:, 1] < 9))).mean() > 0.97
+
+
 def test_long_values_are_whole():
     rng = random.Random(1)
     body = "".join(rng.choice("ABCDEFGHabcdefgh0123456789+/") for _ in range(600))
