@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from baflow.session import ship_package
+from baflow.session import ship_package, spread
 
 HELD = 32              # samples whose arrays a task holds
 ROWS = 16              # rows that are spread over the grid at once
@@ -103,7 +103,8 @@ def cell_sums(rows: DataFrame, columns, kernel, sums) -> DataFrame:
                "n_psi": pa.array(np.full(n, first["n_psi"], "i4")), "n_rho": pa.array(np.full(n, n, "i4"))}
         return pa.table(out | {name: pa.array(x) for name, x in zip(sums, total.reshape(len(sums), n), strict=True)})
 
-    told = rows.select("sample_id", *SPEC, *columns).mapInArrow(add, partial)
+    # a row is small but stands for thousands of cells; in ranges, a sample's rows lie in few tasks
+    told = spread(rows.select("sample_id", *SPEC, *columns), "sample_id", *columns).mapInArrow(add, partial)
     # the grid is the sample's, so its numbers may stand in the key
     return told.groupBy("sample_id", "i").applyInArrow(
         merge, f"sample_id {kind}, i int, j int, psi double, rho double, n_psi int, n_rho int, " + ", ".join(f"{s} double" for s in sums))

@@ -37,9 +37,9 @@ def fitted(spark, d):
 
 def at_optimum(spark, d):
     """Segments with the purity and ploidy that the first grid search finds for their sample."""
-    m = cut_lineage(matched(spark, d))
+    m = matched(spark, d)
     segs = T.index_segments(T.segment_info(m).filter(F.col("length") > 1))
-    first = T.make_segments(m.withColumn("__b1", 1 - F.col("baf_seg")), "logr_seg", "__b1")
+    first = T.make_segments(m.withColumn("__b1", 1 - F.col("baf_seg")), "logr_seg", "__b1", "run_id")
     opt = T.ascat_optimum(T.distance_grid(first, COARSE, 1), P)
     return segs.join(opt.select("sample_id", "rho", "psi"), "sample_id")
 
@@ -77,9 +77,9 @@ for _name, _corners in (("segment_likelihood", False), ("segment_likelihood_corn
 
 
 def _grid(spark, d, choice):
-    m = cut_lineage(matched(spark, d))
+    m = matched(spark, d)
     segs = cut_lineage(T.index_segments(T.segment_info(m).filter(F.col("length") > 1)))
-    first = T.make_segments(m.withColumn("__b1", 1 - F.col("baf_seg")), "logr_seg", "__b1")
+    first = T.make_segments(m.withColumn("__b1", 1 - F.col("baf_seg")), "logr_seg", "__b1", "run_id")
     opt = T.ascat_optimum(T.distance_grid(first, COARSE, 1), P)
     return segs, cut_lineage(T.clonal_distance(segs, T.clonal_grid_spec(T.new_bounds(opt, P)), choice, P))
 

@@ -83,3 +83,52 @@ def test_quantiles_by_refinement(spark, monkeypatch, few, bins):
                 assert got[k][name] == pytest.approx(quantile7(sub, p), rel=1e-12), (k, name)
             else:
                 assert got[k][name] is None
+
+
+def test_runs_over_range_partitions(spark):
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for name, n in (("a", 900), ("b", 1), (None, 300)):
+        level = np.repeat(rng.integers(0, 3, n), rng.integers(1, 40, n))[:n]
+        values = [None if v == 0 else (float("nan") if v == 1 else 0.5) for v in level]
+        x = rng.integers(0, 64, n) / 8
+        run = np.cumsum(np.r_[1, np.diff(level) != 0])
+        mean = np.bincount(run, x) / np.maximum(np.bincount(run), 1)
+        rows += [(name, p, v, float(y)) for p, (v, y) in enumerate(zip(values, x, strict=True))]
+        want |= {(name, p): (int(r), mean[r]) for p, r in enumerate(run)}
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(r[0], int(r[1]), None if r[2] is None else float(r[2]), float(r[3])) for r in rows],
+                               "chrom string, position int, v double, x double").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")       # runs that go on in the next partition
+    try:
+        for dealt in (False, True):
+            d = df.repartitionByRange(7, F.asc("chrom"), F.asc("position")) if dealt else df
+            got = R.run_ids(d, ["chrom"], ["position"], ["v"], "run", mean=("x", "m"), dealt=dealt).collect()
+            assert {(r["chrom"], r["position"]): (r["run"], r["m"]) for r in got} == want and len(got) == len(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_few_segments_are_spread_over_the_cores(spark):
+    from pyspark import TaskContext
+
+    from baflow.operators.grids import cell_sums, with_spec
+    spec = {"psi_min": 1.0, "psi_max": 2.0, "psi_by": 1.0, "rho_min": 0.5, "rho_max": 1.0, "rho_by": 0.5}
+    segs = with_spec(spark.createDataFrame([("s", float(k)) for k in range(200)], "sample_id string, b double").coalesce(1), spec)
+
+    def kernel(row, psi, rho):
+        return {"n": np.ones_like(row["b"]), "late": np.full_like(row["b"], float(TaskContext.get().partitionId() > 0))}
+
+    got = cell_sums(segs, ["b"], kernel, ("n", "late")).collect()
+    assert len(got) == 4 and all(r["n"] == 200 and r["late"] >= 100 for r in got)
+
+
+def test_segments_from_runs_are_those_from_points(spark):
+    from baflow.operators import fit
+    rows = [("s", c, 10 * k, 0.5 + (k // 7 % 3) * 0.1, 0.25 * (k // 7 % 2)) for c in ("1", "2") for k in range(60)]
+    pts = spark.createDataFrame(rows, "sample_id string, chrom string, position long, b double, v double")
+    m = fit.match_signals(pts.select("sample_id", "chrom", "position", F.col("v").alias("baf_phased"), F.col("b").alias("baf_seg")),
+                          pts.withColumn("value", F.col("v")), pts.withColumn("value", F.col("v")))
+    key = lambda d: sorted((r["seg_id"], r["r"], r["b"], r["length"]) for r in d.collect())
+    whole = key(fit.make_segments(m, "logr_seg", "baf_seg"))
+    assert len(whole) > 10 and key(fit.make_segments(m, "logr_seg", "baf_seg", "run_id")) == whole
