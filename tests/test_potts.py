@@ -111,6 +111,31 @@ def test_segment_ends_do_not_depend_on_the_part(spark):
     assert segment_ends(df.limit(0), ["chrom"], 3).count() == 0
 
 
+def test_parts_do_not_add_jobs_and_rounds_hand_on(spark):
+    from baflow.operators.segment import segment_ends
+    rows, want = [], {}
+    for k, name in enumerate(["a", "b", None]):
+        y = _series(k, (57, 81, 60 + 40 * k), sd=0.08)
+        rows += [(name, p, 1.0, float(v), float(v * v), 0.1) for p, v in enumerate(y)]
+        want[name] = [int(e) - 1 for e in optimal_breaks(np.ones(len(y)), y, y * y, 3, 0.1)]
+    df = spark.createDataFrame(rows, "chrom string, block_id long, nr double, sm double, sq double, penalty double").repartition(5)
+
+    def run(group, **how):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            got = {}
+            for r in segment_ends(df, ["chrom"], 3, **how).collect():
+                got.setdefault(r["chrom"], []).append(r["end_block"])
+            assert {k: sorted(v) for k, v in got.items()} == want
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    assert run("few", part=1000) == run("many", part=4)
+    run("rounds", part=30, most=100)                    # state between jobs; series that end in different rounds
+    run("exact", part=33, most=99)
+
+
 def test_segment_value_options(spark, caplog):
     from baflow.operators.segment import segment_value_rule
     rows = [("s", k + 1, s, v) for k, (s, v) in enumerate([(0.6, 0.5), (0.6, 0.9), (0.6, 0.4), (0.2, 0.0), (0.2, 0.0), (0.2, 0.6), (0.6, 0.8)])]
