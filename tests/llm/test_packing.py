@@ -60,3 +60,22 @@ def test_round_trip(spark, tok):
 
 def test_empty(spark):
     assert packing.pack(odd_documents(spark).where("false")).count() == 0
+
+
+def test_words_with_marks_share_the_letters_and_the_marks(tok, monkeypatch):
+    """Letters with any run of marks behind them are not sent to the tokenizer one by one."""
+    enc, calls = packing.WordEncoder(P.path("word_bpe_49k.json")), []
+    raw = enc._raw
+    monkeypatch.setattr(enc, "_raw", lambda text: calls.append(text) or raw(text))
+    words = [a + b for a in "abcdefgh" for b in "abcdefgh"]
+    texts = [" ".join(w + m for w in words) for m in ("!!", "$$$", ",%%", "")]
+    assert [x.tolist() for x in enc.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(calls) <= 4
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abE.,;:!'$%_-(<|>\n\t 09éß́İΣª中 "), max_size=40), max_size=4))
+def test_kept_and_new_words_give_the_ids_of_whole_texts(tok, encoder, texts):
+    ids, size = encoder.flat_ids(packing.pa.array([*texts, None], packing.pa.string()))
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert size.tolist() == [*map(len, want), 0] and ids.tolist() == [i for x in want for i in x]
