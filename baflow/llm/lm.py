@@ -60,25 +60,37 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, before, start
 
 
+def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct keys, index of each key among them)."""
+    order = np.argsort(key)
+    key = key[order]
+    new = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
+    index = np.empty(len(key), "<i4")
+    index[order] = new.cumsum(dtype="i4") - 1
+    return key[new], index
+
+
 def _grams(texts: pa.Array):
     """For unigrams and bigrams: (sorted distinct keys, index of each token's key); and the texts' starts."""
     t, before, start = tokens(texts)
-    found = []
     with np.errstate(over="ignore"):
-        for key in (mix(t + np.uint64(1)), mix(mix(before) * np.uint64(3) + t)):
-            order = np.argsort(key, kind="stable")
-            s = key[order]
-            new = np.r_[True, s[1:] != s[:-1]] if len(s) else np.zeros(0, bool)
-            index = np.empty(len(s), "i8")
-            index[order] = new.cumsum() - 1
-            found.append((s[new], index))
-    return found, start
+        one = _distinct(mix(t + np.uint64(1)))
+        before = mix(before)
+        before *= np.uint64(3)
+        before += t
+        del t
+        return [one, _distinct(mix(before))], start
 
 
 def _add(index: np.ndarray, size: int, weight: np.ndarray) -> np.ndarray:
     return np.bincount(index, weight, size).astype("<u4")
 
 
+def _buffers(table: pa.Table, column: str) -> list[pa.Buffer]:
+    """The values of a binary column where they lie, without a copy."""
+    return [x.as_buffer() for x in table.column(column)]
+
+
 def _count(docs: DataFrame, bits: int) -> DataFrame:
     """One row per block, n-gram order and bucket: what the block sends to the bucket."""
 
@@ -119,31 +131,32 @@ def _merge(sent: DataFrame) -> DataFrame:
 
     def run(key, table):
         out = {c: [] for c in ("block", "kind", "bucket", "a", "b", "c")}
-        rows = table.to_pylist()
-        for r in rows:
-            if r["kind"] == 0:
-                for c, v in zip(out, (r["block"], 0, r["bucket"], r["keys"], r["kept"], r["held"]), strict=True):
-                    out[c].append(v)
+
+        def put(*row):
+            for c, v in zip(out, row, strict=True):
+                out[c].append(v)
+
+        block, kinds, bucket = (table.column(c).to_pylist() for c in ("block", "kind", "bucket"))
+        raw = {c: _buffers(table, c) for c in ("keys", "kept", "held")}
+        for k, kind in enumerate(kinds):
+            if kind == 0:
+                put(block[k], 0, bucket[k], *(raw[c][k].to_pybytes() for c in ("keys", "kept", "held")))
         for kind in (1, 2):
-            mine = [r for r in rows if r["kind"] == kind]
+            mine = [k for k, x in enumerate(kinds) if x == kind]
             if not mine:
                 continue
-            keys = [_unplanes(r["keys"], "<u8") for r in mine]
-            every, index = np.unique(np.concatenate(keys), return_inverse=True)
-            kept, held = (np.bincount(index, np.concatenate([_unplanes(r[c], "<u4") for r in mine]), len(every)).astype("<u4")
+            size = [raw["keys"][k].size // 8 for k in mine]
+            every, index = _distinct(np.concatenate([_unplanes(raw["keys"][k], "<u8") for k in mine]))
+            kept, held = (_add(index, len(every), np.concatenate([_unplanes(raw[c][k], "<u4") for k in mine]))
                           for c in ("kept", "held"))
-            at = 0
-            for r, k in zip(mine, keys, strict=True):
-                part = index[at:at + len(k)]
-                at += len(k)
-                for c, v in zip(out, (r["block"], kind, r["bucket"], _planes((kept + held)[part]), _planes(kept[part]), b""),
-                                strict=True):
-                    out[c].append(v)
+            at, both = 0, kept + held
+            for k, n in zip(mine, size, strict=True):
+                part = index[at:at + n]
+                at += n
+                put(block[k], kind, bucket[k], _planes(both[part]), _planes(kept[part]), b"")
             if kind == 1:
-                both = kept.astype("i8") + held
-                totals = np.array([both.sum(), (both > 0).sum(), kept.sum(), (kept > 0).sum()], "<i8")
-                for c, v in zip(out, (-1, -1, key[0].as_py(), totals.tobytes(), b"", b""), strict=True):
-                    out[c].append(v)
+                totals = np.array([both.sum(dtype="i8"), (both > 0).sum(), kept.sum(dtype="i8"), (kept > 0).sum()], "<i8")
+                put(-1, -1, key[0].as_py(), totals.tobytes(), b"", b"")
         return pa.table([pa.array(out[c], t) for c, t in zip(out, (
             pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=list(out))
 

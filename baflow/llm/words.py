@@ -9,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+PIECE = 500_000
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype="u8") | np.uint64(1)
 _PLACE = _RNG.integers(1, 1 << 63, 1 << 14, dtype="u8") | np.uint64(1)
@@ -21,9 +22,12 @@ _COMBINE = _RNG.integers(1, 1 << 63, 16, dtype="u8") | np.uint64(1)
 
 def mix(h: np.ndarray) -> np.ndarray:
     """A fixed bijection of 64-bit numbers that spreads every bit."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,10 +50,19 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = np.flatnonzero(~space & before)
     if len(starts) == 0:
         return np.zeros(0, "u8"), np.zeros(len(off), "i8"), np.zeros(0, "i8")
-    size = np.diff(starts, append=len(data))
-    body = data[starts[0]:]
-    place = (np.arange(starts[0], len(data), dtype="i4") - np.repeat(starts.astype("i4"), size)) & (len(_PLACE) - 1)
-    h = np.add.reduceat(_BYTE[body] * _PLACE[place], starts - starts[0])
+    until = np.append(starts, len(data))
+    h = np.empty(len(starts), "u8")
+    at = 0
+    while at < len(starts):          # PIECE bytes at a time: the products take many times the bytes' room; a long word stays whole
+        to = max(at + 1, int(np.searchsorted(until, starts[at] + PIECE, "right")) - 1)
+        lo, hi = until[at], until[to]
+        place = np.arange(lo, hi)
+        place -= np.repeat(starts[at:to], np.diff(until[at:to + 1]))
+        place &= len(_PLACE) - 1
+        product = _PLACE[place]
+        product *= _BYTE[data[lo:hi]]
+        h[at:to] = np.add.reduceat(product, starts[at:to] - lo)
+        at = to
     return mix(h), np.searchsorted(starts, off), starts
 
 

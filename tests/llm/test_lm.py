@@ -1,11 +1,14 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from baflow.llm import lm
 from baflow.llm.common import fold, read
+from baflow.llm.words import word_hashes
 from tests.llm.helpers import SMALL, documents, odd_documents, words
 
 
@@ -54,3 +57,32 @@ def test_odd_rows(spark):
     none = lm.score(docs, fold("doc_id", 5) == 9).collect()
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in none} == {(0, 0, 0.0)}
     assert lm.score(docs.where("false"), fold("doc_id", 5) != 1).count() == 0
+
+
+def _peak(run, *args):
+    """Bytes that ``run`` holds at most (numpy's arrays are traced)."""
+    tracemalloc.start()
+    try:
+        run(*args)
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_block_is_a_small_multiple_of_its_text():
+    rng = np.random.default_rng(1)
+    lines = [" ".join("".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(3, 9, 200)) for _ in range(2000)]
+    texts = pa.array(lines, pa.string())
+    size = sum(map(len, lines))
+    assert _peak(word_hashes, texts) < 14 * size
+    assert _peak(lm._grams, texts) < 22 * size
+    cut = pa.array([" ".join(lines)], pa.string())                # one long text takes no more
+    assert _peak(word_hashes, cut) < 14 * size
+    assert np.array_equal(word_hashes(cut)[0], word_hashes(texts)[0])
+
+
+def test_words_longer_than_a_piece():
+    texts = ["a " + "b" * 700_000 + " c", None, "c " * 300_000]
+    h = word_hashes(pa.array(texts, pa.string()))[0]
+    alone = [word_hashes(pa.array([w], pa.string()))[0][0] for w in ("a", "b" * 700_000, "c")]
+    assert h.tolist() == [*alone, *[alone[2]] * 300_000]
