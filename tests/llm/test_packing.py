@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -79,3 +80,18 @@ def test_kept_and_new_words_give_the_ids_of_whole_texts(tok, encoder, texts):
     ids, size = encoder.flat_ids(packing.pa.array([*texts, None], packing.pa.string()))
     want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
     assert size.tolist() == [*map(len, want), 0] and ids.tolist() == [i for x in want for i in x]
+
+
+def test_kept_words_take_little_memory():
+    """Workers keep the encoder while other stages run in them."""
+    enc = packing.WordEncoder(P.path("word_bpe_49k.json"))
+    letters = np.random.default_rng(1).integers(97, 123, (60_000, 9), dtype="u1")
+    words = [bytes(w).decode() for w in letters]
+    enc.encode(words[:10])
+    tracemalloc.start()
+    before = packing.pa.total_allocated_bytes()
+    for k in range(10, len(words), 5000):
+        enc.encode([" ".join(words[k:k + 5000])])
+    held = tracemalloc.get_traced_memory()[0] + packing.pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 80 * len(words)
